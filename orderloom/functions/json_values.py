@@ -6,60 +6,51 @@ is a field that is missing, a VARIANT null is a JSON null, and every value still
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from orderloom.functions import quoted
 
 INT_MIN, INT_MAX = -2147483648, 2147483647
 
+# Whole numbers beyond 64 bits are held as wide decimals.
+_WIDE_WHOLE = r"rlike r'^DECIMAL\((19|[23]\d),0\)$'"
 
-def _get(x: Column, kind: str) -> Column:
-    return F.try_variant_get(x, "$", kind)
 
+def _get(x: str, kind: str) -> str:
+    return f"try_variant_get({x}, '$', '{kind}')"
 
-def _wide_whole(kind: Column) -> Column:
-    """Whole numbers beyond 64 bits are held as wide decimals."""
-    return kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
 
+def _low_bits(number: str) -> str:
+    return f"cast(shiftright(shiftleft({number}, 32), 32) as int)"
 
-def as_text(x: Column, null_text: str | None = "null") -> Column:
+
+def as_text(x: str, null_text: str | None = "null") -> str:
     """Text of a scalar, '' for an object or array, `null_text` for JSON null, NULL if missing."""
-    kind = F.schema_of_variant(x)
+    kind = f"schema_of_variant({x})"
+    null = "null" if null_text is None else quoted(null_text)
     # A decimal point or exponent makes a double, printed as such: 1.50 -> 1.5, 2.0 -> 2.0.
-    return (
-        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), _get(x, "string"))
-        .when(kind == "VOID", F.lit(null_text))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
-        .when(_wide_whole(kind), _get(x, "string"))
-        .when(kind.isNotNull(), _get(x, "double").cast("string"))
-    )
+    return f"""case
+        when {kind} in ('STRING', 'BIGINT', 'BOOLEAN') then {_get(x, 'string')}
+        when {kind} = 'VOID' then {null}
+        when {kind} like 'OBJECT%' or {kind} like 'ARRAY%' then ''
+        when {kind} {_WIDE_WHOLE} then {_get(x, 'string')}
+        when {x} is not null then cast({_get(x, 'double')} as string) end"""
 
 
-def as_double(x: Column) -> Column:
+def as_double(x: str) -> str:
     """Number, numeric text or boolean as double; anything else, and what is not finite, as 0."""
     number = _get(x, "double")
-    return F.when(F.abs(number) < float("inf"), number).otherwise(F.lit(0.0))
-
+    return f"case when abs({number}) < double('infinity') then {number} else 0D end"
 
-def _low_bits(number: Column) -> Column:
-    return F.shiftright(F.shiftleft(number, 32), 32).cast("int")
 
-
-def as_int(x: Column) -> Column:
+def as_int(x: str) -> str:
     """Like `as_double`, cut to an int: whole numbers keep their low 32 bits, fractions saturate."""
-    kind = F.schema_of_variant(x)
-    text = _get(x, "string")
-    number = _get(x, "double")
-    clamped = F.least(F.greatest(number, F.lit(float(INT_MIN))), F.lit(float(INT_MAX)))
-    wide = F.pmod(_get(x, "decimal(38,0)"), F.lit(1 << 32)).cast("bigint")
-    return (
-        F.when(kind == "BIGINT", _low_bits(_get(x, "bigint")))
-        .when(_wide_whole(kind), _low_bits(wide))
-        .when(
-            (kind == "STRING") & F.trim(text).rlike(r"^[+-]?\d+$"),
-            F.coalesce(text.try_cast("int"), F.lit(0)),
-        )
-        # Spark reads more words as infinity than the one spelling that counts here.
-        .when((kind == "STRING") & text.rlike(r"(?i)^\s*[+-]?inf") & ~text.contains("Infinity"), F.lit(0))
-        .when(number.isNull() | F.isnan(number), F.lit(0))
-        .otherwise(clamped.cast("int"))
-    )
+    kind, text, number = f"schema_of_variant({x})", _get(x, "string"), _get(x, "double")
+    wide = f"cast(pmod({_get(x, 'decimal(38,0)')}, 4294967296) as bigint)"
+    # Spark reads more words as infinity than the one spelling that counts here.
+    other_infinity = f"{text} rlike r'(?i)^\\s*[+-]?inf' and not contains({text}, 'Infinity')"
+    return f"""case
+        when {kind} = 'BIGINT' then {_low_bits(_get(x, 'bigint'))}
+        when {kind} {_WIDE_WHOLE} then {_low_bits(wide)}
+        when {kind} = 'STRING' and trim({text}) rlike r'^[+-]?\\d+$' then coalesce(try_cast({text} as int), 0)
+        when {kind} = 'STRING' and {other_infinity} then 0
+        when {number} is null or isnan({number}) then 0
+        else cast(least(greatest({number}, {INT_MIN}D), {INT_MAX}D) as int) end"""

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from orderloom.functions import quoted
 
 # The event that carries a fetched order.
 ACTION = "interior_fetch_order_detail_pubsub_success"
@@ -35,11 +34,13 @@ STORE_RENAMES = {
 STORE_NAME_JUNK = "[^-0-9A-Za-z&() ]"
 
 
-def first_status(channel: Column, status: Column) -> Column:
+def first_status(channel: str, status: str) -> str:
     """True when the status is one of the channel's first statuses."""
-    pairs = [F.struct(F.lit(c), F.lit(s)) for c, statuses in FIRST_STATUSES.items() for s in statuses]
-    return F.struct(channel, status).isin(pairs)
+    pairs = [f"({quoted(c)}, {quoted(s)})" for c, statuses in FIRST_STATUSES.items() for s in statuses]
+    return f"({channel}, {status}) in ({', '.join(pairs)})"
 
 
-def wanted_event(action: Column, url: Column, channel: Column, status: Column) -> Column:
-    return (action == ACTION) & (url == URL) & first_status(channel, status)
+def wanted_event(action: str, url: str, channel: str, status: str) -> str:
+    return (
+        f"{action} = {quoted(ACTION)} and {url} = {quoted(URL)} and {first_status(channel, status)}"
+    )

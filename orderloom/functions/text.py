@@ -2,46 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from orderloom.functions import quoted, rules
 
-from orderloom.functions import rules
 
-
-def quote_escape(text: Column) -> Column:
+def quote_escape(text: str) -> str:
     """Double every single quote."""
-    return F.replace(text, F.lit("'"), F.lit("''"))
+    return f"""replace({text}, "'", "''")"""
 
 
-def before_first(text: Column, mark: str) -> Column:
+def before_first(text: str, mark: str) -> str:
     """Trimmed text before the first mark; all of it if there is none."""
-    return F.trim(F.substring_index(text, mark, 1))
+    return f"trim(substring_index({text}, {quoted(mark)}, 1))"
 
 
-def after_last(text: Column, mark: str) -> Column:
+def after_last(text: str, mark: str) -> str:
     """Trimmed text after the last mark; all of it if there is none."""
-    return F.trim(F.substring_index(text, mark, -1))
+    return f"trim(substring_index({text}, {quoted(mark)}, -1))"
 
 
-def excluded_channel(channel_code: Column) -> Column:
-    return F.lower(channel_code).rlike("|".join(rules.EXCLUDED_CHANNEL_WORDS))
+def excluded_channel(channel_code: str) -> str:
+    return f"lower({channel_code}) rlike {quoted('|'.join(rules.EXCLUDED_CHANNEL_WORDS))}"
 
 
-def official_store(channel_code: Column, channel_name: Column, case_insensitive: bool = False) -> Column:
+def official_store(channel_code: str, channel_name: str, case_insensitive: bool = False) -> str:
     """Store part of `<marketplace>-<store>`; B2B names without a dash use the code's suffix."""
-    pattern = "|".join(rules.B2B_NAMES)
-    b2b = channel_name.rlike(f"(?i){pattern}" if case_insensitive else pattern)
-    return F.when(
-        b2b & ~channel_name.contains("-"), after_last(channel_code, "_")
-    ).otherwise(after_last(channel_name, "-"))
+    pattern = ("(?i)" if case_insensitive else "") + "|".join(rules.B2B_NAMES)
+    return f"""case when {channel_name} rlike {quoted(pattern)} and not contains({channel_name}, '-')
+        then {after_last(channel_code, '_')} else {after_last(channel_name, '-')} end"""
 
 
-def clean_store_name(store: Column) -> Column:
+def clean_store_name(store: str) -> str:
     """Apply the renames, else strip the characters a store name may not have."""
-    cleaned = F.trim(F.regexp_replace(store, rules.STORE_NAME_JUNK, ""))
-    renames = iter(rules.STORE_RENAMES.items())
-    prefix, name = next(renames)
-    out = F.when(F.lower(store).startswith(prefix), F.lit(name))
-    for prefix, name in renames:
-        out = out.when(F.lower(store).startswith(prefix), F.lit(name))
-    return out.otherwise(cleaned)
+    renamed = " ".join(
+        f"when startswith(lower({store}), {quoted(prefix)}) then {quoted(name)}"
+        for prefix, name in rules.STORE_RENAMES.items()
+    )
+    return f"case {renamed} else trim(regexp_replace({store}, {quoted(rules.STORE_NAME_JUNK)}, '')) end"

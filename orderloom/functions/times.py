@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from orderloom.functions import quoted
 
 # The date that stands for "none" in a message, and its text in the table.
 NO_DATE_IN = "0001-01-01T00:00:00Z"
@@ -19,46 +18,45 @@ ISO_ZONED = (
 _OFFSET = r"([+-])(\d\d):?(\d\d)?:?(\d\d)?(?:\[.*)?$"
 
 
-def _wall_text(text: Column) -> Column:
-    seconds = F.when(F.substring(text, 17, 1) == ":", F.substring(text, 17, 3)).otherwise(":00")
-    return F.concat(F.substring(text, 1, 10), F.lit(" "), F.substring(text, 12, 5), seconds)
+def _wall(text: str) -> str:
+    seconds = f"if(substring({text}, 17, 1) = ':', substring({text}, 17, 3), ':00')"
+    return f"concat(substring({text}, 1, 10), ' ', substring({text}, 12, 5), {seconds})"
 
 
-def _utc_wall(text: Column, wall: Column) -> Column:
+def _utc_wall(text: str, wall: str) -> str:
     """The wall clock less its offset."""
-    tail = F.substring(text, 17, 100)
+    tail = f"substring({text}, 17, 100)"
 
-    def part(group: int) -> Column:
-        return F.coalesce(F.regexp_extract(tail, _OFFSET, group).try_cast("int"), F.lit(0))
+    def part(group: int) -> str:
+        return f"coalesce(try_cast(regexp_extract({tail}, r'{_OFFSET}', {group}) as int), 0)"
 
-    seconds = part(2) * 3600 + part(3) * 60 + part(4)
-    signed = F.when(F.regexp_extract(tail, _OFFSET, 1) == "-", -seconds).otherwise(seconds)
-    return wall.cast("timestamp_ntz") - F.make_dt_interval(secs=signed)
+    seconds = f"({part(2)} * 3600 + {part(3)} * 60 + {part(4)})"
+    sign = f"if(regexp_extract({tail}, r'{_OFFSET}', 1) = '-', -1, 1)"
+    return f"(cast({wall} as timestamp_ntz) - make_dt_interval(0, 0, 0, {sign} * {seconds}))"
 
 
-def normalize_ts(text: Column, to_utc: bool = False) -> Column:
+def normalize_ts(text: str, to_utc: bool = False) -> str:
     """`yyyy-MM-dd HH:mm:ss` of a zoned ISO date-time, or NULL if the text is not one.
 
     Keeps the text's own wall clock and drops the offset; `to_utc` shifts to UTC instead. A region
     in brackets decides the wall clock of the instant the offset gives, as zoned parsing does.
     """
-    wall = _wall_text(text)
-    region = F.regexp_extract(text, r"\[(.*)\]$", 1)
+    wall = _wall(text)
+    region = f"regexp_extract({text}, r'\\[(.*)\\]$', 1)"
     # The cast is NULL for a region nobody knows, where the conversion would fail.
-    known = ~text.endswith("]") | F.concat_ws(" ", wall, region).try_cast("timestamp").isNotNull()
-    valid = text.rlike(ISO_ZONED) & wall.try_cast("timestamp_ntz").isNotNull() & known
+    known = f"(not endswith({text}, ']') or try_cast(concat({wall}, ' ', {region}) as timestamp) is not null)"
+    valid = f"{text} rlike r'{ISO_ZONED}' and try_cast({wall} as timestamp_ntz) is not null and {known}"
     if to_utc:
-        shown = _utc_wall(text, wall).cast("string")
+        shown = f"cast({_utc_wall(text, wall)} as string)"
     else:
-        rebased = F.convert_timezone(F.lit("UTC"), region, _utc_wall(text, wall)).cast("string")
-        shown = F.when(text.endswith("]"), rebased).otherwise(wall)
+        rebased = f"cast(convert_timezone('UTC', {region}, {_utc_wall(text, wall)}) as string)"
+        shown = f"if(endswith({text}, ']'), {rebased}, {wall})"
     # The year is printed within its era, so year 0 reads 1.
-    shown = F.when(shown.startswith("0000"), F.concat(F.lit("0001"), F.substring(shown, 5, 15))).otherwise(shown)
-    return F.when(
-        text.isNull() | text.isin("null", NO_DATE_IN), F.lit(NO_DATE_OUT)
-    ).when(valid, shown)
+    shown = f"if(startswith({shown}, '0000'), concat('0001', substring({shown}, 5)), {shown})"
+    return f"""case when {text} is null or {text} in ('null', {quoted(NO_DATE_IN)}) then {quoted(NO_DATE_OUT)}
+        when {valid} then {shown} end"""
 
 
-def load_ts() -> Column:
+def load_ts() -> str:
     """Processing time to the second; one value for a whole query or micro-batch."""
-    return F.date_trunc("second", F.localtimestamp()).cast("timestamp_ntz")
+    return "cast(date_trunc('second', localtimestamp()) as timestamp_ntz)"

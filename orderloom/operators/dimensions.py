@@ -20,12 +20,12 @@ from orderloom.functions.text import (
 
 def split_channels(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """Shop channels, split into their four parts; duplicates remain."""
-    code, name = F.col("channel_code"), F.col("channel_name")
-    return channels.where(~excluded_channel(code)).select(
-        before_first(code, "_").alias("channel_code"),
-        F.lower(after_last(code, "_")).alias("mp_code"),
-        official_store(code, name, case_insensitive).alias("official_store"),
-        before_first(name, "-").alias("marketplace"),
+    code, name = "channel_code", "channel_name"
+    return channels.where(f"not {excluded_channel(code)}").selectExpr(
+        f"{before_first(code, '_')} as channel_code",
+        f"lower({after_last(code, '_')}) as mp_code",
+        f"{official_store(code, name, case_insensitive)} as official_store",
+        f"{before_first(name, '-')} as marketplace",
     )
 
 
@@ -56,7 +56,7 @@ def _marketplace_rows(channels: DataFrame) -> DataFrame:
 
 def _cleaned(stores: DataFrame) -> DataFrame:
     """The choice among names is made on the raw name, so cleaning comes last."""
-    return stores.withColumn("official_store", clean_store_name(F.col("official_store")))
+    return stores.withColumn("official_store", F.expr(clean_store_name("official_store")))
 
 
 def master_store(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:

@@ -15,16 +15,12 @@ def lookup_overwrite(df: DataFrame, lookup: Lookup, key: str, target: str) -> Da
     A small lookup is broadcast. A large one is joined by shuffle, where adaptive execution splits
     the partitions of keys that hold very many rows.
     """
-    found = lookup.rows.select(
-        F.col(lookup.key).alias("_key"), F.col(lookup.value).alias("_found")
-    )
+    found = lookup.rows.selectExpr(f"{lookup.key} as _key", f"{lookup.value} as _found")
     if lookup.small:
         found = F.broadcast(found)
     joined = df.join(found, df[key] == found["_key"], "left")
-    columns = [
-        F.coalesce("_found", F.col(target)).alias(target) if c == target else F.col(c) for c in df.columns
-    ]
-    return joined.select(*columns)
+    columns = [f"coalesce(_found, {c}) as {c}" if c == target else c for c in df.columns]
+    return joined.selectExpr(*columns)
 
 
 def store_lookup(df: DataFrame, store: Lookup) -> DataFrame:

@@ -1,20 +1,16 @@
 """From JSON message texts to typed order lines.
 
 A message is a JSON envelope whose `request_body` is the order, again as JSON text. Both are parsed
-once, by `from_json` with VARIANT leaves. The parse sits in a generator (`inline` of a one-element
-array): Catalyst copies a plain projected expression into every filter above it, which would parse
-each message several times, but it cannot copy a generator.
+once, by `from_json` with VARIANT leaves. Values that are tested and then used are computed in a
+generator (`inline` of a one-element array): Catalyst copies a plainly projected expression into
+every filter above it, which would parse each message several times, but not out of a generator.
 
 Input frames have a `value` column; all other columns are carried along.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from orderloom import schemas as S
 from orderloom.config import JobConfig
@@ -32,21 +28,26 @@ BAD_DATE = "date_not_iso_zoned"
 HEADER_FIELD_MISSING = "header_field_missing"
 LINE_FIELD_MISSING = "line_field_missing"
 
-_STRICT_JSON = {
-    "columnNameOfCorruptRecord": S.BAD,
-    "allowSingleQuotes": "false",
-    "allowNonNumericNumbers": "false",
-}
-_REASON, _BODY = "error_reason", "request_body"
+_STRICT_JSON = f"""map('columnNameOfCorruptRecord', '{S.BAD}',
+    'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"""
+_DATES = ("order_date", "paid_at")
+
+
+def _once(df: DataFrame, keep: list[str], row: str) -> DataFrame:
+    """`keep` and the fields of the struct `row`, each computed a single time."""
+    return df.selectExpr(*keep, f"inline(array({row}))")
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f'{name!r}, {sql}' for name, sql in fields.items())})"
 
 
 def _parse(df: DataFrame, column: str, ddl: str, keep: list[str]) -> DataFrame:
-    parsed = F.from_json(column, ddl, _STRICT_JSON)
-    return df.select(*keep, F.inline(F.array(parsed)))
+    return _once(df, keep, f"from_json({column}, '{ddl}', {_STRICT_JSON})")
 
 
-def _any_missing(fields: list[Column]) -> Column:
-    return reduce(or_, [f.isNull() for f in fields])
+def _any_missing(fields: list[str]) -> str:
+    return f"({' or '.join(f'{f} is null' for f in fields)})"
 
 
 def _carried(messages: DataFrame) -> list[str]:
@@ -55,86 +56,73 @@ def _carried(messages: DataFrame) -> list[str]:
 
 def _read_envelopes(messages: DataFrame, keep: list[str]) -> DataFrame:
     """Messages that are wanted or rejected; the others are dropped here."""
-    parsed = _parse(messages, "value", S.ENVELOPE_DDL, [*keep, *({"value"} - set(keep))])
-    action, url, channel, status, body = (F.col(f) for f in S.ENVELOPE_FIELDS)
+    kept = [*keep, *({"value"} - set(keep))]
+    parsed = _parse(messages, "value", S.ENVELOPE_DDL, kept)
+    read = _once(parsed, [*kept, S.BAD], _struct({f: as_text(f) for f in S.ENVELOPE_FIELDS}))
 
     # Flagged values that still parse are JSON of another kind than an object: not for us.
-    not_json = F.col(S.BAD).isNotNull() & F.try_parse_json("value").isNull()
-    addressed = action.isNotNull() & url.isNotNull()
-    wanted = rules.wanted_event(as_text(action), as_text(url), as_text(channel), as_text(status))
-    # The costly test comes last: for a sound message it runs once, in the filter below.
-    reason = (
-        F.when(not_json, NOT_JSON)
-        .when(addressed & _any_missing([channel, status]), ENVELOPE_FIELD_MISSING)
-        .when(addressed & body.isNull() & wanted, BODY_MISSING)
-    )
+    not_json = f"({S.BAD} is not null and try_parse_json(value) is null)"
+    addressed = "(action is not null and url is not null)"
+    wanted = f"({addressed} and {rules.wanted_event('action', 'url', 'channel', 'remote_order_status')})"
+    reason = f"""case when {not_json} then '{NOT_JSON}'
+        when {addressed} and {_any_missing(['channel', 'remote_order_status'])} then '{ENVELOPE_FIELD_MISSING}'
+        when {wanted} and request_body is null then '{BODY_MISSING}' end"""
     # A body that is an object or array has no text, and a message without text is dropped.
-    return parsed.where(reason.isNotNull() | (addressed & wanted & (as_text(body) != ""))).select(
-        *keep,
-        as_text(channel).alias("channel"),
-        as_text(status).alias("remote_order_status"),
-        as_text(body).alias(_BODY),
-        reason.alias(_REASON),
+    return read.where(f"{reason} is not null or ({wanted} and request_body <> '')").selectExpr(
+        *keep, "channel", "remote_order_status", "request_body", f"{reason} as error_reason"
     )
 
 
-def _fail_on(df: DataFrame, reason: Column) -> DataFrame:
-    stop = F.raise_error(F.concat(F.lit("malformed message: "), reason)).cast("boolean")
-    return df.where(F.when(reason.isNull(), F.lit(True)).otherwise(stop))
-
-
-def _admit(df: DataFrame, reason: Column, on_error: str) -> DataFrame:
-    return _fail_on(df, reason) if on_error == "fail" else df.where(reason.isNull())
+def _admit(df: DataFrame, reason: str, on_error: str) -> DataFrame:
+    if on_error == "quarantine":
+        return df.where(f"{reason} is null")
+    stop = f"cast(raise_error(concat('malformed message: ', {reason})) as boolean)"
+    return df.where(f"case when {reason} is null then true else {stop} end")
 
 
 def envelope_filter(messages: DataFrame, on_error: str = "fail") -> DataFrame:
     """Messages of the wanted event and a first status, with the order's JSON text."""
     read = _read_envelopes(messages, _carried(messages))
-    return _admit(read, F.col(_REASON), on_error).drop(_REASON)
+    return _admit(read, "error_reason", on_error).drop("error_reason")
 
 
-def _body_reason(cfg: JobConfig) -> Column:
-    order = F.col("order")
-    lines = order["line_items"]
-    malformed = F.col(S.BAD).isNotNull() | _any_missing(
-        [order["order_status"], order["order_date"], order["paid_at"], lines]
-    )
-    bad_date = _any_missing([_date(order[c], cfg) for c in ("order_date", "paid_at")])
-    header = [F.col(c) for c in S.BODY_FIELDS] + [order[c] for c in S.ORDER_FIELDS]
-    bad_line = F.exists(lines, lambda li: li.isNull() | _any_missing([li[f] for f in S.LINE_FIELDS]))
-    return (
-        F.when(malformed, BODY_MALFORMED)
-        .when(bad_date, BAD_DATE)
-        # Header fields are read line by line: an order without lines is not asked for them.
-        .when((F.size(lines) > 0) & _any_missing(header), HEADER_FIELD_MISSING)
-        .when(bad_line, LINE_FIELD_MISSING)
-    )
-
-
-def _date(x: Column, cfg: JobConfig) -> Column:
-    return normalize_ts(as_text(x), cfg.to_utc)
-
-
-def _text(x: Column, cfg: JobConfig) -> Column:
+def _text(x: str, cfg: JobConfig) -> str:
     text = as_text(x, cfg.null_text)
     return quote_escape(text) if cfg.escape_quotes else text
 
 
-def _header_columns(cfg: JobConfig) -> list[Column]:
-    order = F.col("order")
-    dates = ("order_date", "paid_at")
-    return [_text(F.col(c), cfg).alias(c) for c in S.BODY_FIELDS] + [
-        (_date(order[c], cfg) if c in dates else _text(order[c], cfg)).alias(c) for c in S.ORDER_FIELDS
-    ]
+def _read_bodies(envelopes: DataFrame, keep: list[str], cfg: JobConfig) -> DataFrame:
+    """`keep`, the ten header columns, `line_items` and what is wrong with the body, if anything."""
+    parsed = _parse(envelopes, "request_body", S.BODY_DDL, keep)
+    lines = "`order`.line_items"
+    header = {c: c for c in S.BODY_FIELDS} | {c: f"`order`.{c}" for c in S.ORDER_FIELDS}
+    required = [header[c] for c in ("order_status", *_DATES)]
+    line_lacks = _any_missing(["li", *[f"li.{f}" for f in S.LINE_FIELDS]])
+    read = _once(
+        parsed,
+        keep,
+        _struct(
+            {c: as_text(x) if c in _DATES else _text(x, cfg) for c, x in header.items()}
+            | {
+                "line_items": lines,
+                "malformed": f"{S.BAD} is not null or {_any_missing([*required, lines])}",
+                # Header fields are read line by line: an order without lines is not asked for them.
+                "header_lacks": f"size({lines}) > 0 and {_any_missing(list(header.values()))}",
+                "line_lacks": f"exists({lines}, li -> {line_lacks})",
+            }
+        ),
+    )
+    others = [c for c in read.columns if c not in _DATES]
+    dated = _once(read, others, _struct({c: normalize_ts(c, cfg.to_utc) for c in _DATES}))
+    reason = f"""case when malformed then '{BODY_MALFORMED}' when {_any_missing(_DATES)} then '{BAD_DATE}'
+        when header_lacks then '{HEADER_FIELD_MISSING}' when line_lacks then '{LINE_FIELD_MISSING}' end"""
+    return dated.selectExpr(*keep, *S.HEADER_COLUMNS, "line_items", f"{reason} as body_reason")
 
 
 def order_headers(messages: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     """One row per wanted order: its ten header columns and `line_items`, still to be exploded."""
-    carried = _carried(messages)
-    envelopes = envelope_filter(messages, cfg.on_error)
-    parsed = _parse(envelopes, _BODY, S.BODY_DDL, carried)
-    sound = _admit(parsed, _body_reason(cfg), cfg.on_error)
-    return sound.select(*carried, *_header_columns(cfg), F.col("order.line_items").alias("line_items"))
+    read = _read_bodies(envelope_filter(messages, cfg.on_error), _carried(messages), cfg)
+    return _admit(read, "body_reason", cfg.on_error).drop("body_reason")
 
 
 def explode_lines(headers: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
@@ -144,21 +132,20 @@ def explode_lines(headers: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame
     check that stops at malformed messages.
     """
     header = [c for c in headers.columns if c != "line_items"]
-    lines = headers.select(*header, F.posexplode_outer("line_items").alias("line_pos", "line"))
-    line = F.col("line")
-    typed = lines.where(F.col("line_pos").isNotNull()).select(
+    lines = headers.selectExpr(*header, "posexplode_outer(line_items) as (line_pos, line)")
+    typed = lines.where("line_pos is not null").selectExpr(
         *header,
         "line_pos",
-        _text(line["product_code"], cfg).alias("product_code"),
-        _text(line["product_description"], cfg).alias("product_description"),
-        as_double(line["raw_price"]).alias("raw_price"),
-        as_int(line["quantity"]).alias("quantity"),
-        as_double(line["line_total"]).alias("line_total"),
-        as_double(line["discount_amount"]).alias("discount_amount"),
-        _text(line["remote_order_item_id"], cfg).alias("remote_order_item_id"),
+        f"{_text('line.product_code', cfg)} as product_code",
+        f"{_text('line.product_description', cfg)} as product_description",
+        f"{as_double('line.raw_price')} as raw_price",
+        f"{as_int('line.quantity')} as quantity",
+        f"{as_double('line.line_total')} as line_total",
+        f"{as_double('line.discount_amount')} as discount_amount",
+        f"{_text('line.remote_order_item_id', cfg)} as remote_order_item_id",
     )
-    number = F.col("quantity") if cfg.line_number == "quantity" else F.col("line_pos") + 1
-    return typed.withColumn("line_number", number.cast("string"))
+    number = "quantity" if cfg.line_number == "quantity" else "line_pos + 1"
+    return typed.selectExpr("*", f"cast({number} as string) as line_number")
 
 
 def order_lines(messages: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
@@ -171,24 +158,21 @@ def classify_messages(messages: DataFrame, cfg: JobConfig = JobConfig()) -> Data
     The result holds what both outcomes need: keep it (`persist`) to write the two without
     parsing again, then take `sound_headers` and `rejected`.
     """
-    carried = _carried(messages)
-    envelopes = _read_envelopes(messages, messages.columns).withColumnRenamed(_REASON, "_envelope_reason")
-    parsed = _parse(envelopes, _BODY, S.BODY_DDL, [*messages.columns, "_envelope_reason"])
-    reason = F.coalesce("_envelope_reason", _body_reason(cfg))
-    judged = parsed.withColumn(_REASON, reason)
-    return judged.select(
-        *carried,
-        F.when(F.col(_REASON).isNotNull(), F.col("value")).alias("value"),
-        _REASON,
-        *_header_columns(cfg),
-        F.col("order.line_items").alias("line_items"),
+    envelopes = _read_envelopes(messages, messages.columns)
+    read = _read_bodies(envelopes, [*messages.columns, "error_reason"], cfg)
+    reason = "coalesce(error_reason, body_reason)"
+    return read.selectExpr(
+        *_carried(messages),
+        f"if({reason} is null, null, value) as value",
+        f"{reason} as error_reason",
+        *S.HEADER_COLUMNS,
+        "line_items",
     )
 
 
 def sound_headers(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col(_REASON).isNull()).drop("value", _REASON)
+    return classified.where("error_reason is null").drop("value", "error_reason")
 
 
 def rejected(classified: DataFrame) -> DataFrame:
-    dropped = [*S.HEADER_COLUMNS, "line_items"]
-    return classified.where(F.col(_REASON).isNotNull()).drop(*dropped)
+    return classified.where("error_reason is not null").drop(*S.HEADER_COLUMNS, "line_items")

@@ -15,8 +15,9 @@ from orderloom.operators.messages import explode_lines, order_headers
 
 def to_sink(lines: DataFrame, loaded: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
     """The target table's columns, in its order and types, after any `extra` ones."""
-    stamped = lines.withColumn("load_timestamp", load_ts() if loaded is None else loaded)
-    return stamped.select(*extra, *[F.col(c).cast(t).alias(c) for c, t in S.SINK_TYPES.items()])
+    columns = [f"cast({c} as {t}) as {c}" for c, t in S.SINK_TYPES.items()]
+    stamped = lines.withColumn("load_timestamp", F.expr(load_ts()) if loaded is None else loaded)
+    return stamped.selectExpr(*extra, *columns)
 
 
 def lines_of(headers: DataFrame, store: Lookup, marketplace: Lookup, cfg: JobConfig = JobConfig()) -> DataFrame:

@@ -92,7 +92,7 @@ def first_status_filter(spark, sf_dir):
     tried = fx.table(spark, sf_dir, "orders").select(
         "o_orderkey", pick(TRIED_CHANNELS).alias("channel"), pick(TRIED_STATUSES).alias("status")
     )
-    return tried.where(rules.first_status(F.col("channel"), F.col("status")))
+    return tried.where(rules.first_status("channel", "status"))
 
 
 def order_headers(spark, sf_dir):
@@ -139,26 +139,26 @@ def _leaves(spark, sf_dir) -> DataFrame:
 
 
 def json_as_text(spark, sf_dir):
-    return _leaves(spark, sf_dir).select(
+    return _leaves(spark, sf_dir).selectExpr(
         "o_orderkey",
-        as_text(F.col("v")).alias("v"),
-        as_text(F.col("v"), None).alias("v_or_null"),
-        as_text(F.col("price_text")).alias("price_text"),
-        as_text(F.col("absent")).alias("absent"),
+        f"{as_text('v')} as v",
+        f"{as_text('v', None)} as v_or_null",
+        f"{as_text('price_text')} as price_text",
+        f"{as_text('absent')} as absent",
     )
 
 
 def numeric_coerce(spark, sf_dir):
-    return _leaves(spark, sf_dir).select(
+    kinds = {"double": as_double, "int": as_int}
+    return _leaves(spark, sf_dir).selectExpr(
         "o_orderkey",
-        *[f(F.col(c)).alias(f"{c}_{n}") for c in ("v", "price", "price_text") for n, f in
-          (("double", as_double), ("int", as_int))],
+        *[f"{read(c)} as {c}_{kind}" for c in ("v", "price", "price_text") for kind, read in kinds.items()],
     )
 
 
 def quote_escape_text(spark, sf_dir):
-    quoted = F.expr("concat(o_orderpriority, '''', cast(o_orderkey as string), '''''', o_orderstatus)")
-    return fx.table(spark, sf_dir, "orders").select("o_orderkey", quote_escape(quoted).alias("escaped"))
+    text = "concat(o_orderpriority, \"'\", cast(o_orderkey as string), \"''\", o_orderstatus)"
+    return fx.table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{quote_escape(text)} as escaped")
 
 
 # Ends of a date-time text, put behind the order's day.
@@ -173,8 +173,9 @@ def timestamp_normalize(spark, sf_dir):
     tail = F.array(*map(F.lit, DATE_TAILS))[(F.col("o_orderkey") % len(DATE_TAILS)).cast("int")]
     day = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
     text = F.when(F.col("o_orderkey") % 29 == 0, F.lit("0001-01-01T00:00:00Z")).otherwise(F.concat(day, tail))
-    return fx.table(spark, sf_dir, "orders").select(
-        "o_orderkey", normalize_ts(text).alias("wall"), normalize_ts(text, to_utc=True).alias("utc")
+    texts = fx.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    return texts.selectExpr(
+        "o_orderkey", f"{normalize_ts('text')} as wall", f"{normalize_ts('text', to_utc=True)} as utc"
     )
 
 
