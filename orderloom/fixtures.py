@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table read in few partitions, as a file with one row group is. A table
+    large enough to come in many partitions is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # --- channels ---------------------------------------------------------------------------------
 
 MARKETPLACES = [("SHPE", "Shopee"), ("SHPE", "Shopee Mall"), ("LZDA", "Lazada"), ("TKPD", "Tokopedia")]
@@ -108,7 +115,7 @@ def _envelope(body: Column) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON text per order, with `message_seq`."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     return orders.select(F.col("o_orderkey").alias("message_seq"), _envelope(_body()).alias("value"))
 
 
@@ -163,7 +170,7 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     return (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .withColumn("body", _body())
         .withColumn("envelope", _envelope(body))
         .select(F.col("o_orderkey").alias("message_seq"), value.alias("value"))
@@ -204,6 +211,6 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 def line_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sink rows in three batches, many keys coming more than once; ordered by `batch_id, seq`."""
     columns = [F.expr(sql).cast(S.SINK_TYPES[c]).alias(c) for c, sql in BATCH_LINE.items()]
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.expr(BATCH_ID).alias("batch_id"), F.struct(*LINE_ORDER).alias("seq"), *columns
     )

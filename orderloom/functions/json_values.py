@@ -27,12 +27,12 @@ def as_text(x: str, null_text: str | None = "null") -> str:
     kind = f"schema_of_variant({x})"
     null = "null" if null_text is None else quoted(null_text)
     # A decimal point or exponent makes a double, printed as such: 1.50 -> 1.5, 2.0 -> 2.0.
+    number = f"if({kind} {_WIDE_WHOLE}, {_get(x, 'string')}, cast({_get(x, 'double')} as string))"
     return f"""case
         when {kind} in ('STRING', 'BIGINT', 'BOOLEAN') then {_get(x, 'string')}
         when {kind} = 'VOID' then {null}
-        when {kind} like 'OBJECT%' or {kind} like 'ARRAY%' then ''
-        when {kind} {_WIDE_WHOLE} then {_get(x, 'string')}
-        when {x} is not null then cast({_get(x, 'double')} as string) end"""
+        when {kind} like 'D%' then {number}
+        when {x} is not null then '' end"""
 
 
 def as_double(x: str) -> str:

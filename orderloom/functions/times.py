@@ -15,7 +15,7 @@ ISO_ZONED = (
     r"(Z|[+-]((0\d|1[0-7])(:[0-5]\d(:[0-5]\d)?)?|18(:00(:00)?)?))"
     r"(\[[^\]]+\])?$"
 )
-_OFFSET = r"([+-])(\d\d):?(\d\d)?:?(\d\d)?(?:\[.*)?$"
+_OFFSET = r"([Zz]|[+-][\d:]+)$"
 
 
 def _wall(text: str) -> str:
@@ -24,15 +24,10 @@ def _wall(text: str) -> str:
 
 
 def _utc_wall(text: str, wall: str) -> str:
-    """The wall clock less its offset."""
-    tail = f"substring({text}, 17, 100)"
-
-    def part(group: int) -> str:
-        return f"coalesce(try_cast(regexp_extract({tail}, r'{_OFFSET}', {group}) as int), 0)"
-
-    seconds = f"({part(2)} * 3600 + {part(3)} * 60 + {part(4)})"
-    sign = f"if(regexp_extract({tail}, r'{_OFFSET}', 1) = '-', -1, 1)"
-    return f"(cast({wall} as timestamp_ntz) - make_dt_interval(0, 0, 0, {sign} * {seconds}))"
+    """The wall clock in UTC, as TIMESTAMP_NTZ."""
+    offset = f"upper(regexp_extract(substring_index({text}, '[', 1), r'{_OFFSET}', 1))"
+    seconds = f"unix_seconds(try_cast(concat({wall}, {offset}) as timestamp))"
+    return f"(timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
 
 
 def normalize_ts(text: str, to_utc: bool = False) -> str:
@@ -52,7 +47,7 @@ def normalize_ts(text: str, to_utc: bool = False) -> str:
         rebased = f"cast(convert_timezone('UTC', {region}, {_utc_wall(text, wall)}) as string)"
         shown = f"if(endswith({text}, ']'), {rebased}, {wall})"
     # The year is printed within its era, so year 0 reads 1.
-    shown = f"if(startswith({shown}, '0000'), concat('0001', substring({shown}, 5)), {shown})"
+    shown = f"replace({shown}, '0000-', '0001-')"
     return f"""case when {text} is null or {text} in ('null', {quoted(NO_DATE_IN)}) then {quoted(NO_DATE_OUT)}
         when {valid} then {shown} end"""
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,14 +138,15 @@ def lookups(tables: Sequence[tuple[DataFrame, str, str]], broadcast_limit: int)
 
 
 def channel_lookups(
-    channels: DataFrame, broadcast_limit: int, case_insensitive: bool = False
+    channels: DataFrame, broadcast_limit: int, case_insensitive: bool = False, keep: bool = False
 ) -> tuple[Lookup, Lookup]:
-    """Store and marketplace lookups over a channel table."""
-    store, marketplace = lookups(
-        [
-            (master_store(channels, case_insensitive), "brand_id", "official_store"),
-            (master_marketplace(channels, case_insensitive), "mp_code", "marketplace"),
-        ],
-        broadcast_limit,
-    )
+    """Store and marketplace lookups over a channel table; `keep` stores them for repeated use."""
+    tables = [
+        (master_store(channels, case_insensitive), "brand_id", "official_store"),
+        (master_marketplace(channels, case_insensitive), "mp_code", "marketplace"),
+    ]
+    if keep:
+        for df, _, _ in tables:
+            df.persist(StorageLevel.MEMORY_AND_DISK)
+    store, marketplace = lookups(tables, broadcast_limit)
     return store, marketplace

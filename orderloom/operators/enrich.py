@@ -9,16 +9,32 @@ from orderloom.config import JobConfig
 from orderloom.operators.dimensions import Lookup
 
 
+# Partitions a single key is spread over where a lookup is joined by shuffle.
+SALTS = 8
+
+
+def _spread_join(df: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Left join by shuffle that bears a key with very many rows: its rows are dealt out by a hash of
+    their values, with a copy of the lookup row for each share. Both sides are shuffled for the
+    join alone, so adaptive execution can split a share that is still too large."""
+    atomic = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]
+    dealt = df.withColumn("_share", F.expr(f"cast(pmod(xxhash64({', '.join(atomic)}), {SALTS}) as int)"))
+    copies = found.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) as _copy").hint("merge")
+    return dealt.join(
+        copies, (dealt[key] == copies["_key"]) & (dealt["_share"] == copies["_copy"]), "left"
+    )
+
+
 def lookup_overwrite(df: DataFrame, lookup: Lookup, key: str, target: str) -> DataFrame:
     """Set `target` to the value found for `key`; rows without a match keep theirs.
 
-    A small lookup is broadcast. A large one is joined by shuffle, where adaptive execution splits
-    the partitions of keys that hold very many rows.
+    A lookup measured to be small is broadcast, a large one is joined by shuffle.
     """
     found = lookup.rows.selectExpr(f"{lookup.key} as _key", f"{lookup.value} as _found")
     if lookup.small:
-        found = F.broadcast(found)
-    joined = df.join(found, df[key] == found["_key"], "left")
+        joined = df.join(F.broadcast(found), df[key] == found["_key"], "left")
+    else:
+        joined = _spread_join(df, found, key)
     columns = [f"coalesce(_found, {c}) as {c}" if c == target else c for c in df.columns]
     return joined.selectExpr(*columns)
 

@@ -54,16 +54,31 @@ def _carried(messages: DataFrame) -> list[str]:
     return [c for c in messages.columns if c != "value"]
 
 
+_EVENT_FIELDS = [f for f in S.ENVELOPE_FIELDS if f != "request_body"]
+_WANTED = rules.wanted_event(*_EVENT_FIELDS)
+
+
+def _candidates(messages: DataFrame, keep: list[str]) -> DataFrame:
+    """Leave out sound messages of other events, after a parse that reads four plain texts.
+
+    Plain texts do not tell a JSON null from a missing field, so messages lacking one stay, as do
+    those that do not parse; the strict reading decides on them.
+    """
+    ddl = ", ".join(f"{f} string" for f in [*_EVENT_FIELDS, S.BAD])
+    read = _parse(messages, "value", ddl, keep)
+    return read.where(f"{S.BAD} is not null or {_any_missing(_EVENT_FIELDS)} or ({_WANTED})").select(*keep)
+
+
 def _read_envelopes(messages: DataFrame, keep: list[str]) -> DataFrame:
     """Messages that are wanted or rejected; the others are dropped here."""
     kept = [*keep, *({"value"} - set(keep))]
-    parsed = _parse(messages, "value", S.ENVELOPE_DDL, kept)
+    parsed = _parse(_candidates(messages, kept), "value", S.ENVELOPE_DDL, kept)
     read = _once(parsed, [*kept, S.BAD], _struct({f: as_text(f) for f in S.ENVELOPE_FIELDS}))
 
     # Flagged values that still parse are JSON of another kind than an object: not for us.
     not_json = f"({S.BAD} is not null and try_parse_json(value) is null)"
     addressed = "(action is not null and url is not null)"
-    wanted = f"({addressed} and {rules.wanted_event('action', 'url', 'channel', 'remote_order_status')})"
+    wanted = f"({addressed} and {_WANTED})"
     reason = f"""case when {not_json} then '{NOT_JSON}'
         when {addressed} and {_any_missing(['channel', 'remote_order_status'])} then '{ENVELOPE_FIELD_MISSING}'
         when {wanted} and request_body is null then '{BODY_MISSING}' end"""

@@ -135,7 +135,7 @@ def _leaves(spark, sf_dir) -> DataFrame:
         F.lit(',"price_text":"'), F.col("o_totalprice").cast("string"), F.lit('"}'),
     )
     parsed = F.from_json(text, "v variant, price variant, price_text variant, absent variant")
-    return fx.table(spark, sf_dir, "orders").select("o_orderkey", F.inline(F.array(parsed)))
+    return fx.spread(fx.table(spark, sf_dir, "orders")).select("o_orderkey", F.inline(F.array(parsed)))
 
 
 def json_as_text(spark, sf_dir):
@@ -173,7 +173,7 @@ def timestamp_normalize(spark, sf_dir):
     tail = F.array(*map(F.lit, DATE_TAILS))[(F.col("o_orderkey") % len(DATE_TAILS)).cast("int")]
     day = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
     text = F.when(F.col("o_orderkey") % 29 == 0, F.lit("0001-01-01T00:00:00Z")).otherwise(F.concat(day, tail))
-    texts = fx.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    texts = fx.spread(fx.table(spark, sf_dir, "orders")).select("o_orderkey", text.alias("text"))
     return texts.selectExpr(
         "o_orderkey", f"{normalize_ts('text')} as wall", f"{normalize_ts('text', to_utc=True)} as utc"
     )

@@ -43,13 +43,10 @@ def frozen_lookups(spark: SparkSession, channels: Reader, cfg: JobConfig) -> tup
     executor cannot bring in rows read at another time; the small results are kept besides."""
     ensure_checkpoint_dir(spark)
     snapshot = channels(spark).select("channel_code", "channel_name").checkpoint()
-    store, marketplace = channel_lookups(snapshot, cfg.broadcast_limit, cfg.case_insensitive)
-    for lookup in (store, marketplace):
-        lookup.rows.persist(StorageLevel.MEMORY_AND_DISK)
-    return store, marketplace
+    return channel_lookups(snapshot, cfg.broadcast_limit, cfg.case_insensitive, keep=True)
 
 
-def _released(lookups: tuple[Lookup, Lookup]) -> None:
+def _release(lookups: tuple[Lookup, Lookup]) -> None:
     for lookup in lookups:
         lookup.rows.unpersist()
 
@@ -98,7 +95,7 @@ def run_stream(
             _process(batch, batch_id, *lookups, targets, cfg)
         finally:
             if frozen is None:
-                _released(lookups)
+                _release(lookups)
 
     return (
         messages(spark)

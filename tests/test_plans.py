@@ -1,0 +1,129 @@
+"""The physical plans the job relies on at scale."""
+
+from __future__ import annotations
+
+import pytest
+from builders import channels
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from orderloom import fixtures as fx
+from orderloom import schemas as S
+from orderloom.config import JobConfig
+from orderloom.operators import dimensions as d
+from orderloom.operators.messages import order_lines
+from orderloom.operators.upsert import latest_state, merge_snapshot
+from orderloom.plans.order_lines import build
+from orderloom.session import CHECKPOINT_CONF, shared_dir
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def count(text: str, word: str) -> int:
+    return sum(word in row for row in text.splitlines())
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stored") / "messages")
+    fx.messages(spark, SMALL).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_lines_need_no_shuffle_and_no_python(spark, stored):
+    text = plan(order_lines(stored))
+    assert "Exchange" not in text and "Python" not in text
+    # Two readings of the envelope, one of the body.
+    assert text.count("from_json(") == 3
+
+
+def test_enrichment_broadcasts_small_lookups(spark, stored):
+    text = plan(build(stored, fx.oms_channel(spark, SMALL)))
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+    # Headers are looked up, not lines: the joins are below the explode.
+    assert text.index("posexplode") < text.index("BroadcastHashJoin")
+
+
+def test_large_lookups_are_joined_by_shuffle(spark, stored):
+    text = plan(build(stored, fx.oms_channel(spark, SMALL), JobConfig(broadcast_limit=0)))
+    assert text.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in text
+    assert text.index("posexplode") < text.index("SortMergeJoin")
+
+
+def test_hot_keys_of_a_large_lookup_are_split(spark, stored, conf):
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    hot = stored.repartition(16).withColumn("value", F.regexp_replace("value", r"BR\d*[02468]\b", "BR0"))
+    cfg = JobConfig(broadcast_limit=0)
+    df = build(hot, fx.oms_channel(spark, SMALL), cfg)
+    rows = df.collect()
+    assert "SortMergeJoin(skew=true)" in plan(df)
+    small = build(hot, fx.oms_channel(spark, SMALL)).collect()
+    key = [c for c in S.SINK_COLUMNS if c != "load_timestamp"]
+    assert sorted(str([r[c] for c in key]) for r in rows) == sorted(str([r[c] for c in key]) for r in small)
+
+
+def test_scan_reads_only_what_is_used(spark, stored):
+    wide = stored.selectExpr("*", "message_seq as other")
+    assert "other" not in plan(order_lines(wide).select("id", "quantity"))
+
+
+def test_compiled_methods_stay_small_enough_to_be_optimised(spark, stored):
+    # The JVM does not compile methods of more than 8000 bytes.
+    for cfg in (JobConfig(), JobConfig(to_utc=True, null_text=None), JobConfig(broadcast_limit=0)):
+        df = build(stored, fx.oms_channel(spark, SMALL), cfg)
+        df.collect()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("table", [d.master_store, d.master_marketplace])
+def test_lookup_tables_take_one_shuffle_after_partial_maxima(spark, table):
+    text = plan(table(channels(spark, [("A_x", "m-s")])))
+    assert count(text, "Exchange hashpartitioning") == 1
+    assert text.count("partial_max") == 1 and "Window" not in text
+
+
+def test_upsert_reduces_before_its_one_shuffle(spark):
+    text = plan(latest_state(fx.line_batches(spark, SMALL), ["id"], ["batch_id", "seq"]))
+    assert count(text, "Exchange hashpartitioning") == 1
+    assert "partial_max_by" in text and "partial_min_by" in text
+
+
+def test_merging_into_a_bucketed_table_shuffles_only_the_changes(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    keys = ["id", "remote_order_item_id"]
+    rows = fx.line_batches(spark, SMALL)
+    state = latest_state(rows.where("batch_id = 0"), keys, ["seq"])
+    (
+        state.write.bucketBy(4, *keys).sortBy(*keys).option("path", str(tmp_path / "state"))
+        .mode("overwrite").saveAsTable("order_state")
+    )
+    try:
+        changes = latest_state(rows.where("batch_id > 0"), keys, ["batch_id", "seq"])
+        text = plan(merge_snapshot(spark.table("order_state"), changes, keys))
+        old_side = text[text.index("SortMergeJoin"):text.index("SortAggregate")]
+        assert "Exchange" not in old_side
+        # The changes are reduced on the key, and that partitioning serves the join as well.
+        assert count(text, "Exchange hashpartitioning") == 1
+    finally:
+        spark.sql("drop table order_state")
+
+
+def test_shared_folder_comes_from_the_session():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = settings
+
+    named = Session(**{CHECKPOINT_CONF: "/shared/folder", "spark.master": "yarn"})
+    assert shared_dir(named) == "/shared/folder"
+    assert shared_dir(Session(**{"spark.master": "local[4]"})).startswith("/tmp/")
+    with pytest.raises(ValueError, match=CHECKPOINT_CONF):
+        shared_dir(Session(**{"spark.master": "yarn"}))

@@ -1,0 +1,120 @@
+"""Coercion of JSON values, texts and dates, case by case."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.functions.json_values import as_double, as_int, as_text
+from orderloom.functions.rules import FIRST_STATUSES, first_status
+from orderloom.functions.text import quote_escape
+from orderloom.functions.times import load_ts, normalize_ts
+
+# JSON text, as text, as double, as int
+VALUES = [
+    ('"a"', "a", 0.0, 0),
+    ('"[1]"', "[1]", 0.0, 0),
+    ("220", "220", 220.0, 220),
+    ("-0", "0", 0.0, 0),
+    ("1.50", "1.5", 1.5, 1),
+    ("2.0", "2.0", 2.0, 2),
+    ("1e3", "1000.0", 1000.0, 1000),
+    ("12345678.9", "1.23456789E7", 12345678.9, 12345678),
+    ("12345678901234567890", "12345678901234567890", 12345678901234567890.0, -350287150),
+    ("99999999999", "99999999999", 99999999999.0, 1215752191),
+    ("-5000000000.5", "-5.0000000005E9", -5000000000.5, -2147483648),
+    ("true", "true", 1.0, 1),
+    ("false", "false", 0.0, 0),
+    ("null", "null", 0.0, 0),
+    ("{}", "", 0.0, 0),
+    ('{"a": 1}', "", 0.0, 0),
+    ("[1]", "", 0.0, 0),
+    ('"12.5"', "12.5", 12.5, 12),
+    ('"abc"', "abc", 0.0, 0),
+    ('"3.7"', "3.7", 3.7, 3),
+    ("3.7", "3.7", 3.7, 3),
+    ('"x"', "x", 0.0, 0),
+    ('" 7 "', " 7 ", 7.0, 7),
+    ('"+5"', "+5", 5.0, 5),
+    ('"99999999999"', "99999999999", 99999999999.0, 0),
+    ('"99999999999.5"', "99999999999.5", 99999999999.5, 2147483647),
+    ("1e999", "Infinity", 0.0, 2147483647),
+    ('"inf"', "inf", 0.0, 0),
+    ('"Infinity"', "Infinity", 0.0, 2147483647),
+    ('"NaN"', "NaN", 0.0, 0),
+    ('""', "", 0.0, 0),
+]
+
+
+def parsed(spark, texts):
+    rows = spark.createDataFrame([(i, f'{{"v":{t}}}') for i, t in enumerate(texts)], "i int, value string")
+    return rows.select("i", F.inline(F.array(F.from_json("value", "v variant, absent variant"))))
+
+
+def test_json_values(spark):
+    df = parsed(spark, [v[0] for v in VALUES])
+    rows = df.selectExpr("i", as_text("v"), as_double("v"), as_int("v")).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in rows] == [v[1:] for v in VALUES]
+
+
+def test_null_and_missing_differ(spark):
+    df = parsed(spark, ["null"])
+    row = df.selectExpr(as_text("v"), as_text("v", None), as_text("v", "-"), as_text("absent")).first()
+    assert tuple(row) == ("null", None, "-", None)
+
+
+def test_quotes_are_doubled(spark):
+    df = spark.createDataFrame([("O'X",), ("''",), ("plain",)], "t string")
+    assert [r[0] for r in df.selectExpr(quote_escape("t")).collect()] == ["O''X", "''''", "plain"]
+
+
+DATES = [
+    ("2023-12-20T18:47:34.987+07:00", "2023-12-20 18:47:34", "2023-12-20 11:47:34"),
+    ("2023-12-20T18:47Z", "2023-12-20 18:47:00", "2023-12-20 18:47:00"),
+    ("0001-01-01T00:00:00Z", "0000-01-01 00:00:00", "0000-01-01 00:00:00"),
+    ("null", "0000-01-01 00:00:00", "0000-01-01 00:00:00"),
+    (None, "0000-01-01 00:00:00", "0000-01-01 00:00:00"),
+    ("0001-01-01T00:00:00+00:00", "0001-01-01 00:00:00", "0001-01-01 00:00:00"),
+    ("0000-05-05T00:00:00Z", "0001-05-05 00:00:00", "0001-05-05 00:00:00"),
+    ("2024-03-10T02:30:00-05:00", "2024-03-10 02:30:00", "2024-03-10 07:30:00"),
+    ("2024-02-29T23:59:59-03:30", "2024-02-29 23:59:59", "2024-03-01 03:29:59"),
+    ("2023-12-20T18:47:34+07", "2023-12-20 18:47:34", "2023-12-20 11:47:34"),
+    ("2023-12-20t18:47:34.z", "2023-12-20 18:47:34", "2023-12-20 18:47:34"),
+    ("2023-12-20T18:47:34+07:00[Asia/Jakarta]", "2023-12-20 18:47:34", "2023-12-20 11:47:34"),
+    ("2023-12-20T18:47:34+00:00[Asia/Jakarta]", "2023-12-21 01:47:34", "2023-12-20 18:47:34"),
+    ("2024-11-03T01:30:00-05:00[America/New_York]", "2024-11-03 01:30:00", "2024-11-03 06:30:00"),
+    ("2023-12-20T18:47:34+07:00[Nowhere/Land]", None, None),
+    ("2023-12-20T18:47:34", None, None),
+    ("2023-12-20", None, None),
+    ("", None, None),
+    ("2023-12-20 18:47:34Z", None, None),
+    ("2023-02-30T18:47:34Z", None, None),
+    ("2023-12-20T24:00:00Z", None, None),
+    ("2023-12-20T18:47:34+19:00", None, None),
+    ("yesterday", None, None),
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Jakarta"])
+def test_dates_in_any_session_zone(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    df = spark.createDataFrame([(i, d[0]) for i, d in enumerate(DATES)], "i int, t string")
+    rows = df.selectExpr("i", normalize_ts("t"), normalize_ts("t", to_utc=True)).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in rows] == [d[1:] for d in DATES]
+
+
+def test_load_time_is_a_plain_second(spark):
+    df = spark.range(2).selectExpr(f"{load_ts()} as t")
+    times = {r["t"] for r in df.collect()}
+    assert df.dtypes == [("t", "timestamp_ntz")]
+    assert len(times) == 1 and times.pop().microsecond == 0
+
+
+def test_first_statuses(spark):
+    statuses = sorted({s for v in FIRST_STATUSES.values() for s in v} | {"Unpaid", "pu", ""})
+    channels = [*FIRST_STATUSES, "SHPE", "other", ""]
+    tried = [(c, s) for c in channels for s in statuses]
+    df = spark.createDataFrame(tried, "channel string, status string")
+    kept = {tuple(r) for r in df.where(first_status("channel", "status")).collect()}
+    assert kept == {(c, s) for c, v in FIRST_STATUSES.items() for s in v}
+    assert len(kept) == 13
