@@ -92,12 +92,25 @@ def _struct(fields: dict[str, str]) -> str:
     return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in fields.items()) + ")"
 
 
-def _body() -> Column:
+# What a second message about an order says differently; every other order has one.
+LATER = {
+    "order_status": "concat(o_orderstatus, ' later')",
+    "customer_reference": "concat('later ', cast(o_custkey as string))",
+    "remote_order_id": "concat('later ', cast(o_orderkey as string))",
+}
+LATER_LINE = {
+    "raw_price": "o_totalprice * i",
+    "quantity": "cast(100 + i as int)",
+}
+HAS_LATER = "o_orderkey % 2 = 0"
+
+
+def _body(header: dict[str, str] = HEADER, line: dict[str, str] = LINE) -> Column:
     lines = (
-        f"transform(slice(sequence(1, {MAX_LINES}), 1, cast({LINE_COUNT} as int)), i -> {_struct(LINE)})"
+        f"transform(slice(sequence(1, {MAX_LINES}), 1, cast({LINE_COUNT} as int)), i -> {_struct(line)})"
     )
-    order = _struct({f: HEADER[f] for f in S.ORDER_FIELDS} | {"line_items": lines})
-    body = _struct({f: HEADER[f] for f in S.BODY_FIELDS} | {"order": order})
+    order = _struct({f: header[f] for f in S.ORDER_FIELDS} | {"line_items": lines})
+    body = _struct({f: header[f] for f in S.BODY_FIELDS} | {"order": order})
     return F.expr(f"to_json({body}, map('ignoreNullFields', 'false'))")
 
 
@@ -119,6 +132,13 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("message_seq"), _envelope(_body()).alias("value"))
 
 
+def later_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second messages."""
+    orders = spread(table(spark, sf_dir, "orders").where(HAS_LATER))
+    body = _body(HEADER | LATER, LINE | LATER_LINE)
+    return orders.select(F.col("o_orderkey").alias("message_seq"), _envelope(body).alias("value"))
+
+
 # --- messages with faults ---------------------------------------------------------------------
 
 # One fault per remainder of `o_orderkey` by DIRTY_MODULUS; other remainders are sound.
@@ -183,7 +203,7 @@ BATCHES = 3
 BATCH_ID = f"l_partkey % {BATCHES}"
 _SHIPPED = "substring(cast(l_shipdate as string), 1, 19)"
 BATCH_LINE = {
-    "load_timestamp": "cast(l_shipdate as timestamp)",
+    "load_timestamp": "l_shipdate",
     "id": "cast(l_orderkey as string)",
     "brand_id": "concat('BR', cast(l_suppkey % 60 as string))",
     "shop_name": "concat('Shop ', cast(l_suppkey as string))",

@@ -68,22 +68,29 @@ def _text(sql: str, plain: bool) -> str:
     return sql if plain else f"replace(coalesce({sql}, 'null'), '''', '''''')"
 
 
-def _headers(plain: bool = False, brand: str | None = None) -> str:
+def _headers(plain: bool = False, brand: str | None = None) -> dict[str, str]:
     shown = {f: _text(sql, plain) for f, sql in fx.HEADER.items()}
     shown["order_date"] = _ORDER_DATE_UTC if plain else _ORDER_DATE
     shown["paid_at"] = _PAID_AT_UTC if plain else _PAID_AT
     if brand:
         shown["brand_id"] = brand
+    return shown
+
+
+def _named(shown: dict[str, str]) -> str:
     return ", ".join(f"{sql} as {f}" for f, sql in shown.items())
 
 
-def _lines(wanted: str = _WANTED, plain: bool = False, brand: str | None = None) -> str:
+def _lines(
+    wanted: str = _WANTED, plain: bool = False, brand: str | None = None, changed: dict[str, str] | None = None
+) -> str:
     texts = ("product_code", "product_description", "remote_order_item_id")
-    line = ", ".join(f"{_text(sql, plain) if f in texts else sql} as {f}" for f, sql in fx.LINE.items())
-    number = "i" if plain else fx.LINE["quantity"]
+    line = {f: _text(sql, plain) if f in texts else sql for f, sql in fx.LINE.items()}
+    line["line_number"] = f"cast({'i' if plain else fx.LINE['quantity']} as varchar)"
+    shown = _headers(plain, brand) | line
+    shown |= {f: f"case when {fx.HAS_LATER} then {sql} else {shown[f]} end" for f, sql in (changed or {}).items()}
     return f"""lines as (
-  select o_orderkey, cast(i - 1 as integer) as line_pos, {_headers(plain, brand)}, {line},
-         cast({number} as varchar) as line_number
+  select o_orderkey, cast(i - 1 as integer) as line_pos, {_named(shown)}
   from orders, (select cast(unnest(range(1, {fx.MAX_LINES + 1})) as integer) as i)
   where i <= {fx.LINE_COUNT} and {wanted})"""
 
@@ -101,6 +108,9 @@ left join marketplace m on l.channel_code = m.mp_code"""
 
 ENRICHED = _enriched(_lines())
 
+# Of what a second message says, these take effect; references and line number stay as first told.
+_RENEWED = {f: (fx.LATER | fx.LATER_LINE)[f] for f in ("order_status", "raw_price", "quantity")}
+
 _FAULT = f"o_orderkey % {fx.DIRTY_MODULUS}"
 _HAS_LINES = f"{fx.LINE_COUNT} > 0"
 _OUTCOME = f"""case when {_FAULT} = {fx.CUT_SHORT} then 'envelope_not_json'
@@ -206,7 +216,7 @@ select channel_code as brand_id, count(*) as n_rows from pairs group by 1 having
   {fx.STATUS} as remote_order_status, cast(o_orderkey as varchar) as id from orders where {_WANTED}""",
     "first_status_filter": f"""select * from (select o_orderkey, {_choice(_quoted(R.TRIED_CHANNELS))} as channel,
   {_choice(_quoted(R.TRIED_STATUSES))} as status from orders) where (channel, status) in {_PAIRS}""",
-    "order_headers": f"select o_orderkey as message_seq, {_headers()} from orders where {_WANTED}",
+    "order_headers": f"select o_orderkey as message_seq, {_named(_headers())} from orders where {_WANTED}",
     "order_lines": f"with {_lines()} select * exclude (o_orderkey) from lines",
     "quarantine_split": f"""select * from (select o_orderkey as message_seq, {_OUTCOME} as outcome
   from orders) where outcome <> 'dropped'""",
@@ -223,11 +233,11 @@ select channel_code as brand_id, count(*) as n_rows from pairs group by 1 having
     "timestamp_normalize": f"""select o_orderkey, {_date_choice(_WALL_TAILS)} as wall,
   {_date_choice(_UTC_TAILS)} as utc from orders""",
     "store_lookup": f"""{_DIMENSIONS}, store as ({_STORE}),
-  headers as (select {_headers()} from orders where {_WANTED})
+  headers as (select {_named(_headers())} from orders where {_WANTED})
 select h.id, h.brand_id, coalesce(s.official_store, h.shop_name) as shop_name
 from headers h left join store s on h.brand_id = s.brand_id""",
     "marketplace_lookup": f"""{_DIMENSIONS}, marketplace as ({_MARKETPLACE}),
-  headers as (select {_headers()} from orders where {_WANTED})
+  headers as (select {_named(_headers())} from orders where {_WANTED})
 select h.id, h.channel_code, coalesce(m.marketplace, 'null') as marketplace
 from headers h left join marketplace m on h.channel_code = m.mp_code""",
     "order_lines_enriched": ENRICHED,
@@ -237,4 +247,5 @@ from headers h left join marketplace m on h.channel_code = m.mp_code""",
     "upsert_latest": _upserted(["id", "remote_order_item_id"]),
     "upsert_first_last_policy": _upserted(["id"]),
     "stream_order_lines": ENRICHED,
+    "stream_upsert_state": _enriched(_lines(changed=_RENEWED)),
 }

@@ -22,8 +22,8 @@ from orderloom.plans.order_lines import build
 from orderloom.session import fresh_dir
 from orderloom.sources.files import append_lines as append_columns
 from orderloom.sources.files import read_log
-from orderloom.sources.streams import text_messages
-from orderloom.streaming.job import Targets, run_stream
+from orderloom.sources.streams import parquet_messages, text_messages
+from orderloom.streaming.job import Targets, current_state, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,21 +236,31 @@ def upsert_first_last_policy(spark, sf_dir):
     return _timestamps_as_text(state)
 
 
+def _stream(spark, sf_dir, reader, targets):
+    """Run the job on what has arrived, to its end."""
+    query = run_stream(
+        spark, reader, lambda s: fx.oms_channel(s, sf_dir), targets, trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+
+
 def stream_order_lines(spark, sf_dir):
     """The job on text files through Structured Streaming, read back from its log."""
     inbox, log, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "lines", "progress"))
     fx.messages(spark, sf_dir).select("value").write.text(inbox)
-    query = run_stream(
-        spark,
-        lambda s: text_messages(s, inbox),
-        lambda s: fx.oms_channel(s, sf_dir),
-        Targets(lines=log, checkpoint=checkpoint),
-        trigger={"availableNow": True},
-    )
-    query.awaitTermination()
+    _stream(spark, sf_dir, lambda s: text_messages(s, inbox), Targets(log, checkpoint))
     return read_log(spark, log).select(*CHECKED)
 
 
+def stream_upsert_state(spark, sf_dir):
+    """The upserted table after a stream that brings second messages about half of the orders."""
+    inbox, log, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "lines", "progress"))
+    for arriving in (fx.messages(spark, sf_dir), fx.later_messages(spark, sf_dir)):
+        arriving.write.mode("append").parquet(inbox)
+        _stream(spark, sf_dir, lambda s: parquet_messages(s, inbox), Targets(log, checkpoint))
+    return current_state(spark, log).select(*CHECKED)
+
+
 QUERIES: dict[str, Query] = {
     "oms_channel_clean": oms_channel_clean,
     "master_store": master_store,
@@ -278,4 +288,5 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": upsert_latest,
     "upsert_first_last_policy": upsert_first_last_policy,
     "stream_order_lines": stream_order_lines,
+    "stream_upsert_state": stream_upsert_state,
 }

@@ -29,3 +29,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whatever storage it names."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(hadoop).exists(target)

@@ -15,6 +15,7 @@ from orderloom.operators.messages import order_lines
 from orderloom.operators.upsert import latest_state, merge_snapshot
 from orderloom.plans.order_lines import build
 from orderloom.session import CHECKPOINT_CONF, shared_dir
+from orderloom.sources.files import read_log, write_batch
 
 
 def plan(df) -> str:
@@ -117,6 +118,13 @@ def test_merging_into_a_bucketed_table_shuffles_only_the_changes(spark, tmp_path
         spark.sql("drop table order_state")
 
 
+def test_log_filter_skips_folders(spark, tmp_path):
+    for batch in range(3):
+        write_batch(spark.range(5), str(tmp_path), batch)
+    span = read_log(spark, str(tmp_path)).where("batch_id between 1 and 1")
+    assert "PartitionFilters: [isnotnull(batch_id" in plan(span) and span.count() == 5
+
+
 def test_shared_folder_comes_from_the_session():
     class Session:
         def __init__(self, **settings):

@@ -166,3 +166,10 @@ def test_quarantine_needs_a_folder(spark, tmp_path):
         job.run_stream(
             spark, lambda s: None, lambda s: None, targets, JobConfig(on_error="quarantine")
         )
+
+
+def test_new_checkpoint_needs_a_new_folder(spark, tmp_path):
+    write_text(tmp_path / "in", "a.txt", [message()])
+    (tmp_path / "lines").mkdir()
+    with pytest.raises(ValueError, match="another run"):
+        run(spark, tmp_path)
