@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from builders import body, channels, message, messages
@@ -141,3 +142,40 @@ def test_size_decides_about_broadcast(spark):
     assert [x.small for x in small] == [True, True]
     assert [x.small for x in d.channel_lookups(df, 100)] == [False, False]
     assert d.channel_lookups(df.limit(0), 0)[0].small
+
+
+def read_stores(pairs):
+    """The store table, row by row."""
+    best = {}
+    for code, name in pairs:
+        if code is None or re.search("request|interco|csr|nonevent|reclass|non event|offline", code.lower()):
+            continue
+        if name is None:
+            continue
+        b2b = re.search("B2B Beauty|B2B JNS|B2BJNS", name) and "-" not in name
+        store = (code.rsplit("_", 1)[-1] if b2b else name.rsplit("-", 1)[-1]).strip(" ")
+        brand = code.split("_", 1)[0].strip(" ")
+        best[brand] = max(best.get(brand, store), store, key=lambda s: s.encode())
+    return {brand: clean(store) for brand, store in best.items()}
+
+
+def clean(store):
+    low = store.lower()
+    if low.startswith("sleek"):
+        return "Kino Baby & Kids Official Store"
+    if low.startswith("ellip"):
+        return "Kino Hair & Beauty Care Official Store"
+    return re.sub("[^-0-9A-Za-z&() ]", "", store).strip(" ")
+
+
+def test_random_channels(spark):
+    rng = random.Random(5)
+    parts = ["A", "b", "_", "-", " ", "B2B JNS", "Sleek", "ellips", "!", "é", "(x)", "&", "OFFline", "csr", "9"]
+
+    def text():
+        return None if rng.random() < 0.03 else "".join(rng.choice(parts) for _ in range(rng.randrange(6)))
+
+    pairs = [(text(), text()) for _ in range(4000)]
+    want = read_stores(pairs)
+    assert len(want) > 100
+    assert stores(spark, pairs) == want

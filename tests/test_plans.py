@@ -91,6 +91,12 @@ def test_lookup_tables_take_one_shuffle_after_partial_maxima(spark, table):
     assert text.count("partial_max") == 1 and "Window" not in text
 
 
+@pytest.mark.parametrize("table", [d.master_store_windowed, d.master_marketplace_windowed])
+def test_ranking_is_limited_before_its_shuffle(spark, table):
+    text = plan(table(channels(spark, [("A_x", "m-s")])))
+    assert ", Partial" in text[text.index("Exchange hashpartitioning"):] and "WindowGroupLimit" in text
+
+
 def test_upsert_reduces_before_its_one_shuffle(spark):
     text = plan(latest_state(fx.line_batches(spark, SMALL), ["id"], ["batch_id", "seq"]))
     assert count(text, "Exchange hashpartitioning") == 1

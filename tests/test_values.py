@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +121,22 @@ def test_first_statuses(spark):
     kept = {tuple(r) for r in df.where(first_status("channel", "status")).collect()}
     assert kept == {(c, s) for c, v in FIRST_STATUSES.items() for s in v}
     assert len(kept) == 13
+
+
+def test_random_dates(spark):
+    rng = random.Random(7)
+    texts, walls, utcs = [], [], []
+    for _ in range(2000):
+        moment = datetime(rng.randrange(2, 9999), 1, 1) + timedelta(seconds=rng.randrange(2, 363 * 86400))
+        minutes = rng.randrange(-18 * 60, 18 * 60 + 1)
+        sign, size = "-" if minutes < 0 else "+", abs(minutes)
+        offset = "Z" if minutes == 0 else f"{sign}{size // 60:02}:{size % 60:02}"
+        fraction = rng.choice(["", ".5", ".123456789"])
+        wall = moment.isoformat(" ")
+        texts.append(f"{wall.replace(' ', 'T')}{fraction}{offset}")
+        walls.append(wall)
+        utcs.append((moment - timedelta(minutes=minutes)).isoformat(" "))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = df.selectExpr("i", normalize_ts("t"), normalize_ts("t", to_utc=True)).orderBy("i").collect()
+    assert [r[1] for r in rows] == walls
+    assert [r[2] for r in rows] == utcs
