@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from orderloom import schemas as S
 from orderloom.config import JobConfig
 from orderloom.functions import rules
-from orderloom.functions.json_values import as_double, as_int, as_text
+from orderloom.functions.json_values import as_int, as_number, as_text, finite
 from orderloom.functions.text import quote_escape
 from orderloom.functions.times import normalize_ts
 
@@ -31,6 +31,7 @@ LINE_FIELD_MISSING = "line_field_missing"
 _STRICT_JSON = f"""map('columnNameOfCorruptRecord', '{S.BAD}',
     'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"""
 _DATES = ("order_date", "paid_at")
+_AMOUNTS = ("raw_price", "line_total", "discount_amount")
 
 
 def _once(df: DataFrame, keep: list[str], row: str) -> DataFrame:
@@ -148,19 +149,14 @@ def explode_lines(headers: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame
     """
     header = [c for c in headers.columns if c != "line_items"]
     lines = headers.selectExpr(*header, "posexplode_outer(line_items) as (line_pos, line)")
+    read = {f: _text(f"line.{f}", cfg) for f in S.LINE_FIELDS}
+    read |= {f: as_number(f"line.{f}") for f in _AMOUNTS} | {"quantity": as_int("line.quantity")}
     typed = lines.where("line_pos is not null").selectExpr(
-        *header,
-        "line_pos",
-        f"{_text('line.product_code', cfg)} as product_code",
-        f"{_text('line.product_description', cfg)} as product_description",
-        f"{as_double('line.raw_price')} as raw_price",
-        f"{as_int('line.quantity')} as quantity",
-        f"{as_double('line.line_total')} as line_total",
-        f"{as_double('line.discount_amount')} as discount_amount",
-        f"{_text('line.remote_order_item_id', cfg)} as remote_order_item_id",
+        *header, "line_pos", *[f"{sql} as {f}" for f, sql in read.items()]
     )
     number = "quantity" if cfg.line_number == "quantity" else "line_pos + 1"
-    return typed.selectExpr("*", f"cast({number} as string) as line_number")
+    shown = [f"{finite(f)} as {f}" if f in _AMOUNTS else f for f in S.LINE_FIELDS]
+    return typed.selectExpr(*header, "line_pos", *shown, f"cast({number} as string) as line_number")
 
 
 def order_lines(messages: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:

@@ -39,11 +39,24 @@ def latest_state(
     return reduced.select(*[F.col(source.get(c, c)).alias(c) for c in S.SINK_COLUMNS])
 
 
-def merge_snapshot(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_snapshot(
+    current: DataFrame, changes: DataFrame, keys: Sequence[str], null_keys_distinct: bool = False
+) -> DataFrame:
     """Upsert `changes` (one row per key, see `latest_state`) into `current`.
 
-    With `current` a table bucketed and sorted by the key, only the changes are shuffled.
+    With `current` a table bucketed and sorted by the key, only the changes are shuffled. Rows with
+    a NULL in the key match nothing; kept apart, they stay out of the join, where all of them would
+    meet in one task.
     """
+    if null_keys_distinct:
+        loose = " or ".join(f"{k} is null" for k in keys)
+        merged = _merge(current.where(f"not ({loose})"), changes.where(f"not ({loose})"), keys)
+        apart = [side.where(loose).select(*S.SINK_COLUMNS) for side in (current, changes)]
+        return merged.unionAll(apart[0]).unionAll(apart[1])
+    return _merge(current, changes, keys)
+
+
+def _merge(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     first, _ = _split(S.SINK_COLUMNS, keys)
     # A marker is NULL where its side has no row for the key.
     old = current.withColumn("_old", F.lit(True)).alias("old")

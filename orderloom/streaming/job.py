@@ -125,6 +125,7 @@ def compact(
 ) -> None:
     """Fold the batches `after < batch_id <= upto` into a snapshot and write it to a new folder."""
     span = read_log(spark, log).where(F.col("batch_id").between(after + 1, upto))
-    changes = latest_state(span, cfg.key_cols, ORDER, cfg.null_text is None)
-    merged = changes if snapshot is None else merge_snapshot(snapshot, changes, cfg.key_cols)
+    apart = cfg.null_text is None
+    changes = latest_state(span, cfg.key_cols, ORDER, apart)
+    merged = changes if snapshot is None else merge_snapshot(snapshot, changes, cfg.key_cols, apart)
     merged.select(*S.SINK_COLUMNS).write.mode("error").parquet(path)

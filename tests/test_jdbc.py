@@ -63,3 +63,68 @@ def test_unknown_dialect():
 def test_kafka_options():
     options = kafka_options("host:9092", "orders", 1000)
     assert options["subscribe"] == "orders" and options["maxOffsetsPerTrigger"] == "1000"
+
+
+class Reader:
+    """Takes the place of `spark.read` and notes what it is asked for."""
+
+    def __init__(self):
+        self.asked = {}
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **options):
+        self.asked |= options
+        return self
+
+    def option(self, name, value):
+        self.asked[name] = value
+        return self
+
+    def load(self):
+        return self
+
+    def jdbc(self, url, table, predicates, properties):
+        self.asked |= {"url": url, "dbtable": table, "predicates": predicates, **properties}
+        return self
+
+    def select(self, *columns):
+        self.asked["columns"] = columns
+        return self
+
+
+def test_query_text_is_run_by_the_database():
+    reader = Reader()
+    jdbc.read_query(reader, CFG, "select 1 as k;\n")
+    assert reader.asked["format"] == "jdbc" and reader.asked["query"] == "select 1 as k"
+
+
+def test_channels_are_read_whole_or_in_parts():
+    whole, parts = Reader(), Reader()
+    jdbc.read_channels(whole, CFG)
+    jdbc.read_channels(parts, CFG, predicates=["channel_code < 'M'", "channel_code >= 'M'"])
+    assert whole.asked["dbtable"] == parts.asked["dbtable"] == "oms_channel"
+    assert len(parts.asked["predicates"]) == 2 and parts.asked["user"] == "u"
+    assert whole.asked["columns"] == parts.asked["columns"] == ("channel_code", "channel_name")
+
+
+def test_upsert_stages_one_row_per_key_before_it_merges(spark, monkeypatch):
+    from orderloom import fixtures as fx
+    from conftest import SMALL
+    from pyspark.sql import DataFrameWriter
+
+    steps = []
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: steps.append(("staged", self._df)))
+    monkeypatch.setattr(jdbc, "_execute", lambda session, cfg, sql: steps.append(("merged", sql)))
+    rows = fx.line_batches(spark, SMALL)
+    jdbc.upsert(rows, CFG, ["id"], ["batch_id", "seq"])
+    (first, staged), (second, sql) = steps
+    assert (first, second) == ("staged", "merged") and sql.startswith("INSERT INTO order_lines")
+    assert staged.count() == rows.select("id").distinct().count()
+    assert staged.rdd.getNumPartitions() <= CFG.connections and staged.columns == S.SINK_COLUMNS

@@ -70,14 +70,15 @@ def test_null_keys_stay_apart(spark):
 
 
 @pytest.mark.parametrize("keys", [KEYS, ["id"]])
-def test_batch_after_batch(spark, keys):
-    data = rows(1500, 3)
+@pytest.mark.parametrize("null_keys", [0.0, 0.3])
+def test_batch_after_batch(spark, keys, null_keys):
+    data = rows(1500, 3, null_keys=null_keys)
     df = spark.createDataFrame(data, DDL)
-    state = None
+    state, apart = None, null_keys > 0
     for batch in range(4):
-        changes = latest_state(df.where(f"batch_id = {batch}"), keys, ["seq"])
-        state = changes if state is None else merge_snapshot(state, changes, keys)
-    assert shown(state) == upserted(data, keys) == shown(latest_state(df, keys, ["batch_id", "seq"]))
+        changes = latest_state(df.where(f"batch_id = {batch}"), keys, ["seq"], apart)
+        state = changes if state is None else merge_snapshot(state, changes, keys, apart)
+    assert shown(state) == upserted(data, keys) == shown(latest_state(df, keys, ["batch_id", "seq"], apart))
 
 
 def test_merging_the_same_changes_again_changes_nothing(spark):
