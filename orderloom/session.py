@@ -31,8 +31,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_dir(spark))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whatever storage it names."""
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    """Whether the pattern matches any path on whatever storage it names."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(hadoop).exists(target)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(target.getFileSystem(hadoop).globStatus(target))

@@ -17,7 +17,7 @@ from orderloom.operators.dimensions import Lookup, channel_lookups
 from orderloom.operators.messages import classify_messages, order_headers, rejected, sound_headers
 from orderloom.operators.upsert import latest_state, merge_snapshot
 from orderloom.plans.order_lines import lines_of, to_sink
-from orderloom.session import ensure_checkpoint_dir, path_exists
+from orderloom.session import any_path, ensure_checkpoint_dir
 from orderloom.sources import jdbc
 from orderloom.sources.files import read_log, write_batch
 
@@ -87,7 +87,7 @@ def run_stream(
     """Start the job. `trigger` takes the keywords of `DataStreamWriter.trigger`."""
     if cfg.on_error == "quarantine" and not targets.rejects:
         raise ValueError("quarantine needs a folder for rejects")
-    if path_exists(spark, targets.lines) and not path_exists(spark, targets.checkpoint):
+    if any_path(spark, f"{targets.lines}/batch_id=*") and not any_path(spark, f"{targets.checkpoint}/*"):
         # Batch numbers would start again at 0 and replace the batches already there.
         raise ValueError(f"{targets.lines} has batches of another run: use a new folder or its checkpoint")
     frozen = frozen_lookups(spark, channels, cfg) if cfg.refresh == "never" else None

@@ -168,8 +168,15 @@ def test_quarantine_needs_a_folder(spark, tmp_path):
         )
 
 
-def test_new_checkpoint_needs_a_new_folder(spark, tmp_path):
+def test_empty_folders_are_no_hindrance(spark, tmp_path):
     write_text(tmp_path / "in", "a.txt", [message()])
     (tmp_path / "lines").mkdir()
+    (tmp_path / "progress").mkdir()
+    assert run(spark, tmp_path).count() == 1
+
+
+def test_new_checkpoint_needs_a_new_folder(spark, tmp_path):
+    write_text(tmp_path / "in", "a.txt", [message()])
+    (tmp_path / "lines" / "batch_id=0").mkdir(parents=True)
     with pytest.raises(ValueError, match="another run"):
         run(spark, tmp_path)
