@@ -42,6 +42,7 @@ class JobConfig:
     refresh            "never" reads the channels once per run, "per_batch" for every micro-batch
     key_cols           the target's unique key
     broadcast_limit    bytes up to which a lookup table is broadcast; beyond, the join shuffles
+    lookup_shares      partitions a single key is dealt out to where a lookup shuffles
     """
 
     line_number: str = "quantity"
@@ -53,6 +54,7 @@ class JobConfig:
     refresh: str = "never"
     key_cols: tuple[str, ...] = ("id", "remote_order_item_id")
     broadcast_limit: int = 64 * 1024 * 1024
+    lookup_shares: int = 8
 
     def __post_init__(self):
         allowed = {
@@ -65,3 +67,5 @@ class JobConfig:
                 raise ValueError(f"{name} must be one of {values}")
         if not self.key_cols:
             raise ValueError("key_cols must not be empty")
+        if self.lookup_shares < 1:
+            raise ValueError("lookup_shares must be positive")

@@ -8,24 +8,24 @@ from pyspark.sql import functions as F
 from orderloom.config import JobConfig
 from orderloom.operators.dimensions import Lookup
 
+SHARES = JobConfig().lookup_shares
 
-# Partitions a single key is spread over where a lookup is joined by shuffle.
-SALTS = 8
 
-
-def _spread_join(df: DataFrame, found: DataFrame, key: str) -> DataFrame:
+def _spread_join(df: DataFrame, found: DataFrame, key: str, shares: int) -> DataFrame:
     """Left join by shuffle that bears a key with very many rows: its rows are dealt out by a hash of
     their values, with a copy of the lookup row for each share. Both sides are shuffled for the
     join alone, so adaptive execution can split a share that is still too large."""
     atomic = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]
-    dealt = df.withColumn("_share", F.expr(f"cast(pmod(xxhash64({', '.join(atomic)}), {SALTS}) as int)"))
-    copies = found.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) as _copy").hint("merge")
+    dealt = df.withColumn("_share", F.expr(f"cast(pmod(xxhash64({', '.join(atomic)}), {shares}) as int)"))
+    copies = found.selectExpr("*", f"explode(sequence(0, {shares - 1})) as _copy").hint("merge")
     return dealt.join(
         copies, (dealt[key] == copies["_key"]) & (dealt["_share"] == copies["_copy"]), "left"
     )
 
 
-def lookup_overwrite(df: DataFrame, lookup: Lookup, key: str, target: str) -> DataFrame:
+def lookup_overwrite(
+    df: DataFrame, lookup: Lookup, key: str, target: str, shares: int = SHARES
+) -> DataFrame:
     """Set `target` to the value found for `key`; rows without a match keep theirs.
 
     A lookup measured to be small is broadcast, a large one is joined by shuffle.
@@ -34,21 +34,24 @@ def lookup_overwrite(df: DataFrame, lookup: Lookup, key: str, target: str) -> Da
     if lookup.small:
         joined = df.join(F.broadcast(found), df[key] == found["_key"], "left")
     else:
-        joined = _spread_join(df, found, key)
+        joined = _spread_join(df, found, key, shares)
     columns = [f"coalesce(_found, {c}) as {c}" if c == target else c for c in df.columns]
     return joined.selectExpr(*columns)
 
 
-def store_lookup(df: DataFrame, store: Lookup) -> DataFrame:
+def store_lookup(df: DataFrame, store: Lookup, shares: int = SHARES) -> DataFrame:
     """The brand's official store replaces the message's shop name."""
-    return lookup_overwrite(df, store, "brand_id", "shop_name")
+    return lookup_overwrite(df, store, "brand_id", "shop_name", shares)
 
 
-def marketplace_lookup(df: DataFrame, marketplace: Lookup, null_text: str | None = "null") -> DataFrame:
+def marketplace_lookup(
+    df: DataFrame, marketplace: Lookup, null_text: str | None = "null", shares: int = SHARES
+) -> DataFrame:
     """Adds the marketplace of the channel code, `null_text` for a code not found."""
     blank = df.withColumn("marketplace", F.lit(null_text).cast("string"))
-    return lookup_overwrite(blank, marketplace, "channel_code", "marketplace")
+    return lookup_overwrite(blank, marketplace, "channel_code", "marketplace", shares)
 
 
 def enrich(df: DataFrame, store: Lookup, marketplace: Lookup, cfg: JobConfig = JobConfig()) -> DataFrame:
-    return marketplace_lookup(store_lookup(df, store), marketplace, cfg.null_text)
+    named = store_lookup(df, store, cfg.lookup_shares)
+    return marketplace_lookup(named, marketplace, cfg.null_text, cfg.lookup_shares)

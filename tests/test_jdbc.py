@@ -33,7 +33,7 @@ def test_settings_are_required(change):
 
 
 @pytest.mark.parametrize(
-    "change", [{"on_error": "ignore"}, {"line_number": "row"}, {"refresh": "daily"}, {"key_cols": ()}]
+    "change", [{"on_error": "ignore"}, {"line_number": "row"}, {"refresh": "daily"}, {"key_cols": ()}, {"lookup_shares": 0}]
 )
 def test_job_settings_are_checked(change):
     with pytest.raises(ValueError):

@@ -53,13 +53,14 @@ def test_large_lookups_are_joined_by_shuffle(spark, stored):
     assert text.index("posexplode") < text.index("SortMergeJoin")
 
 
-def test_hot_keys_of_a_large_lookup_are_split(spark, stored, conf):
+@pytest.mark.parametrize("shares", [JobConfig().lookup_shares, 1])
+def test_hot_keys_of_a_large_lookup_are_split(spark, stored, conf, shares):
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     hot = stored.repartition(16).withColumn("value", F.regexp_replace("value", r"BR\d*[02468]\b", "BR0"))
-    cfg = JobConfig(broadcast_limit=0)
+    cfg = JobConfig(broadcast_limit=0, lookup_shares=shares)
     df = build(hot, fx.oms_channel(spark, SMALL), cfg)
     rows = df.collect()
     assert "SortMergeJoin(skew=true)" in plan(df)
