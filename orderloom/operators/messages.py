@@ -1,8 +1,9 @@
 """From JSON message texts to typed order lines.
 
-A message is a JSON envelope whose `request_body` is the order, again as JSON text. Both are parsed
-once, by `from_json` with VARIANT leaves. Values that are tested and then used are computed in a
-generator (`inline` of a one-element array): Catalyst copies a plainly projected expression into
+A message is a JSON envelope whose `request_body` is the order, again as JSON text. A quick reading of
+four texts drops sound messages of other events; what is left is parsed once as an envelope and once
+as an order, by `from_json` with VARIANT leaves. Values that are tested and then used are computed in
+a generator (`inline` of a one-element array): Catalyst copies a plainly projected expression into
 every filter above it, which would parse each message several times, but not out of a generator.
 
 Input frames have a `value` column; all other columns are carried along.
