@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, exact_dedup, sharding
+from orderloom.llm import decontam, exact_dedup, pii, sharding
 from orderloom.llm.common import table
 
 
@@ -19,6 +19,15 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitised(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, k)) for k in pii.KINDS]
+    counts = [(F.size("base") - n).cast("bigint").alias(f"n_{k}") for k, n in zip(pii.KINDS, counts, strict=True)]
+    base = F.sha2(pii.span_text(F.col("base")), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -34,5 +43,6 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
+    "op4_pii": op4_pii,
     "op7_decontamination": op7_decontamination,
 }
