@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, exact_dedup, pii, sharding
+from orderloom.llm import decontam, exact_dedup, mixing, pii, sharding
 from orderloom.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.sanitised(table(spark, sf_dir, "documents"))
     kinds = F.transform("base", lambda s: s["kind"])
@@ -43,6 +47,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
+    "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op7_decontamination": op7_decontamination,
 }
