@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, exact_dedup, mixing, pii, sharding
+from orderloom.llm import decontam, exact_dedup, langid, mixing, pii, sharding
 from orderloom.llm.common import table
 
 
@@ -44,10 +44,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = langid.predictions(docs.select("doc_id", "text"), F.col("text"), langid.fit(docs))
+    return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op7_decontamination": op7_decontamination,
+    "op9_language": op9_language,
 }
