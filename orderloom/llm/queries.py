@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontam, exact_dedup, langid, mixing, pii, sharding
+from orderloom.llm import bagminhash, decontam, exact_dedup, langid, mixing, pii, sharding
 from orderloom.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_groups(table(spark, sf_dir, "documents")).drop("node")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
@@ -57,4 +61,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op7_decontamination": op7_decontamination,
     "op9_language": op9_language,
+    "op10_near_dedup": op10_near_dedup,
 }
