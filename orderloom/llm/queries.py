@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bagminhash, decontam, exact_dedup, langid, mixing, pii, sharding
+from orderloom.llm import bagminhash, decontam, exact_dedup, langid, mixing, pii, recompression, sharding
 from orderloom.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     told = langid.predictions(docs.select("doc_id", "text"), F.col("text"), langid.fit(docs))
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op7_decontamination": op7_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_near_dedup": op10_near_dedup,
 }
