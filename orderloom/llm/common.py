@@ -51,5 +51,12 @@ def literal_longs(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
+def small_enough(df: DataFrame, row_bytes: Column | int, limit: int) -> DataFrame:
+    """The table, to be broadcast if it was measured to be within the limit."""
+    size = df.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).head()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
+    """A path for files in the shared folder."""
     return fresh_dir(spark, name)

@@ -75,8 +75,50 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(
 from doc left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
 
+# Base 32 of the 40 hex digits of a SHA-1: each five digits make four characters.
+BASE32 = """array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(sha, 5 * (j // 4) + 1, 5))::int >> (15 - 5 * (j % 4))) & 31) + 1, 1)
+    for j in range(32)], '')"""
+
+WARC = f"""
+with keyed as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(encode(coalesce(html, ''))) as sha,
+           max(page_id) over (partition by coalesce(html, '')) as original
+    from pages
+)
+select page_id, payload_bytes, {BASE32} as payload_digest,
+       case when page_id is not distinct from original then 'response' else 'revisit' end as record_type,
+       case when page_id is distinct from original then original end as refers_to
+from keyed
+"""
+
+SUBSTRINGS = """
+with doc as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents
+),
+win as (
+    select doc_id, s, sha256(array_to_string(w[s + 1:s + 35], ' ')) as gram
+    from (select doc_id, w, unnest(range(0, len(w) - 34)) as s from doc where len(w) >= 35)
+),
+repeated as (select gram from win group by 1 having count(*) > 1),
+gone as (
+    select distinct doc_id, unnest(range(s, s + 35)) as i from win semi join repeated using (gram)
+),
+word as (select doc_id, unnest(w) as word, unnest(range(0, len(w))) as i from doc),
+kept as (
+    select doc_id, count(*) as n_kept, string_agg(word, ' ' order by i) as kept
+    from word anti join gone using (doc_id, i) group by 1
+)
+select doc_id, len(w)::bigint as n_words, len(w) - coalesce(n_kept, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from doc left join kept using (doc_id)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_sharding": SHARDING,
+    "op6_warc": WARC,
     "op7_decontamination": DECONTAMINATION,
+    "op8_substring_dedup": SUBSTRINGS,
 }

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bagminhash, decontam, exact_dedup, langid, mixing, pii, recompression, sharding
+from orderloom.llm import (
+    bagminhash,
+    decontam,
+    exact_dedup,
+    langid,
+    license_scan,
+    mixing,
+    pii,
+    recompression,
+    sharding,
+    warc_zip,
+)
 from orderloom.llm.common import table
 
 
@@ -32,6 +43,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base.alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(spark, table(spark, sf_dir, "pages")).drop("url")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -63,6 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
+    "op5_licenses": op5_licenses,
+    "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,

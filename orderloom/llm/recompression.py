@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import written
+from orderloom.llm.common import small_enough, written
 from orderloom.llm.tokens import RAW_WORDS, mixed, word_hashes
 
 WINDOW = 35
@@ -259,11 +259,6 @@ def node_of(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
 
 
-def _small(df: DataFrame, row_bytes: Column | int, limit: int) -> DataFrame:
-    size = df.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).head()[0] or 0
-    return F.broadcast(df) if size <= limit else df
-
-
 def repeated_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -281,7 +276,7 @@ def repeated_spans(
         .select("node", "keep_id"),
         "copied",
     )
-    marked = named.join(_small(copied, 64, broadcast_bytes), "node", "left")
+    marked = named.join(small_enough(copied, 64, broadcast_bytes), "node", "left")
     texts = marked.where(F.col("keep_id").isNull() | (F.col("doc_id") == F.col("keep_id"))).select("node", "text")
 
     counted = texts.select("text").mapInArrow(_anchor_counts(window), "key long, n long")
@@ -357,8 +352,8 @@ def without_repeats(
     table gives an empty result.
     """
     spans, copied = repeated_spans(docs, id_col, text_col, window, broadcast_bytes)
-    spans = _small(spans, 48 + 16 * F.size("spans"), broadcast_bytes)
-    copied = _small(copied.select("node", F.lit(True).alias("copied")), 64, broadcast_bytes)
+    spans = small_enough(spans, 48 + 16 * F.size("spans"), broadcast_bytes)
+    copied = small_enough(copied.select("node", F.lit(True).alias("copied")), 64, broadcast_bytes)
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     rows = plain.withColumn("node", node_of(F.col("text"))).join(spans, "node", "left").join(copied, "node", "left")
     rows = rows.select("doc_id", "text", "spans", F.coalesce("copied", F.lit(False)).alias("copied"))
