@@ -1,17 +1,65 @@
-"""Documents to sharded training text."""
+"""Documents to sharded training text: five stages, each over all that the one before kept.
+
+Every stage but the last returns the columns of documents. A stage's rows are written as Parquet and read again
+as the next one's input, so a lost executor costs no earlier stage.
+
+The language model learns from the documents it is given; the held-out quarter is never learned from. Documents that it
+rejects are those without a letter. Near duplicates keep the document with the smallest id of each class. A
+document that benchmark passages make up by a twentieth or more is removed. Mixing repeats or drops documents
+by their fitted rate, toxic ones above all being dropped. The last stage adds `slot` and `shard`.
+
+Null texts and texts without a letter leave in the first stage. Null ids take part in every stage; further
+columns are carried along. Empty tables give empty results.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderloom.llm import bagminhash, decontam, langid, mixing, sharding
+from orderloom.llm.common import table, written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    told = langid.predictions(docs, F.col("text"), langid.fit(docs))
+    return told.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bagminhash.representatives(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.place(docs)
+
 
-from orderloom.llm import sharding
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+    ("shards", shards),
+]
 
-STAGES = [("sharding", lambda spark, docs, sf_dir: sharding.place(docs))]
+# Learned models decide in three of the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
     return docs
