@@ -1,0 +1,294 @@
+"""Exact and near duplicates against plain readings of their rules."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from orderloom.llm import bagminhash, exact_dedup, recompression, tokens
+from orderloom.llm.components import components
+
+SCHEMA = "text string, doc_id long, keep_id string, node string, kept int"
+
+
+def table(spark, rows):
+    """Documents with columns whose names the operators use themselves."""
+    return spark.createDataFrame([(t, i, "x", "y", 3) for i, t in rows], SCHEMA)
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+EDGES = [
+    (1, None),
+    (2, ""),
+    (3, "Same Text"),
+    (4, "same text"),
+    (4, "same text"),
+    (5, "ÉCOLE"),
+    (6, "école"),
+    (None, "same text"),
+    (None, "alone"),
+    (7, "word " * 60_000),
+    (8, "word " * 60_000),
+]
+
+
+def exact(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[lowered(t)].append(i)
+    out = []
+    for i, t in rows:
+        ids = [x for x in groups[lowered(t)] if x is not None]
+        keep = max(ids, default=None)
+        out.append((i, keep, len(groups[lowered(t)]), i == keep, hashlib.sha256(lowered(t).encode()).hexdigest()))
+    return Counter(out)
+
+
+def test_exact_groups(spark):
+    rows = EDGES + [(100 + i, f"text {i % 7}") for i in range(200)] + [(1000 + i, "HOT") for i in range(150)]
+    got = exact_dedup.exact_groups(table(spark, rows))
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert Counter(map(tuple, got.collect())) == exact(rows)
+
+
+def test_a_frequent_digest_is_found_and_settled_apart(spark):
+    rows = [(i, "hot") for i in range(2000)] + [(10_000 + i, f"t{i}") for i in range(4000)]
+    keyed = exact_dedup.digests(table(spark, rows))
+    heavy = exact_dedup.heavy_groups(keyed).collect()
+    assert [(r["keep_id"], r["group_size"]) for r in heavy] == [(1999, 2000)]
+    assert exact_dedup.frequent_digests(keyed).count() <= exact_dedup.BUCKETS * exact_dedup.COUNTERS
+    assert exact_dedup.exact_groups(table(spark, rows)).where("group_size = 2000").count() == 2000
+
+
+def test_documents_that_stay(spark):
+    stay = exact_dedup.drop_duplicates(table(spark, [(1, "a"), (2, "A"), (3, "b")]))
+    assert stay.columns == ["text", "doc_id", "keep_id", "node", "kept"]
+    assert sorted(r["doc_id"] for r in stay.collect()) == [2, 3]
+
+
+def test_empty_tables(spark):
+    empty = table(spark, [(1, "a")]).limit(0)
+    assert exact_dedup.exact_groups(empty).count() == 0
+    assert bagminhash.near_groups(empty).count() == 0
+    assert bagminhash.representatives(empty).columns == empty.columns
+    assert recompression.without_repeats(empty).count() == 0
+
+
+# --- near duplicates --------------------------------------------------------------------------
+
+
+def test_components(spark):
+    random.seed(3)
+    links = [(a, b) for a, b in ((random.randrange(300), random.randrange(300)) for _ in range(170))]
+    links += [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5001 + i) for i in range(50)]
+    links = [(f"{a * 7919 % 10007:05d}", f"{b * 7919 % 10007:05d}") for a, b in links]
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[root(a)] = root(b)
+    want = defaultdict(set)
+    for x in list(parent):
+        want[root(x)].add(x)
+    got = defaultdict(set)
+    for r in components(spark.createDataFrame(links, "a string, b string")).collect():
+        got[r["component"]].add(r["node"])
+    alone = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
+    assert sorted(map(sorted, got.values())) == sorted(sorted(s) for s in want.values() if not s <= alone)
+
+
+@pytest.mark.parametrize(("n", "most"), [(5, 1), (40, 6), (400, 1), (1500, 40)])
+def test_signatures_estimate_the_weighted_similarity(n, most):
+    rng = np.random.default_rng(n)
+    items = tokens.mixed(np.arange(1, 2 * n + 1, dtype=np.uint64))
+    a = rng.integers(0, most + 1, 2 * n)
+    b = np.where(rng.random(2 * n) < 0.7, a, rng.integers(0, most + 1, 2 * n))
+    true = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+    places = 4096
+    agree = (
+        bagminhash.signature(items[a > 0], a[a > 0], places) == bagminhash.signature(items[b > 0], b[b > 0], places)
+    ).mean()
+    assert abs(agree - true) < 4.5 * np.sqrt(max(true * (1 - true), 0.01) / places)
+
+
+def plain_bag(text):
+    words = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in lowered(text)).split()
+    size = min(5, len(words))
+    return Counter(tuple(words[i : i + size]) for i in range(len(words) - size + 1)) if words else Counter()
+
+
+def plain_similarity(a, b):
+    shared = sum((a & b).values())
+    return shared / (sum(a.values()) + sum(b.values()) - shared) if a and b else 0.0
+
+
+def plain_classes(rows):
+    parent = list(range(len(rows)))
+    bags = [plain_bag(t) for _, t in rows]
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (rows[i][1] or "") == (rows[j][1] or "") or plain_similarity(bags[i], bags[j]) >= 0.8:
+                parent[root(i)] = root(j)
+    members = defaultdict(list)
+    for i in range(len(rows)):
+        members[root(i)].append(rows[i][0])
+    return Counter(
+        (rows[i][0], min((x for x in members[root(i)] if x is not None), default=None), len(members[root(i)]))
+        for i in range(len(rows))
+    )
+
+
+def test_near_groups_against_all_pairs(spark):
+    random.seed(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = list(EDGES[:9]) + [(20, "!!!"), (21, "!!!"), (22, "???"), (23, "one two"), (24, "One, two")]
+    for group in range(12):
+        base = [random.choice(vocabulary) for _ in range(random.choice([12, 60, 200]))]
+        for copy in range(random.choice([1, 2, 6, 15])):
+            changed = list(base)
+            for _ in range(copy % 5 * max(1, len(base) // 60)):
+                changed[random.randrange(len(changed))] = random.choice(vocabulary)
+            rows.append((100 + group * 20 + copy, " ".join(changed) + "." * copy))
+    rows += [(900 + i, "all work and no play " * n) for i, n in enumerate((10, 11, 12, 30, 31))]
+    got = bagminhash.near_groups(table(spark, rows)).select("doc_id", "class_id", "class_size")
+    assert Counter(map(tuple, got.collect())) == plain_classes(rows)
+
+
+def test_links_beyond_the_pivots_are_found(spark, monkeypatch):
+    """A chain of drifting copies shares buckets, but few of its links go to the bucket's pivots."""
+    random.seed(5)
+    words = [f"c{i}" for i in range(3000)]
+    rows = [(i, " ".join(words[8 * i : 8 * i + 200])) for i in range(60)]
+    monkeypatch.setattr(bagminhash, "PIVOTS", 1)
+    got = bagminhash.near_groups(table(spark, rows)).select("doc_id", "class_id", "class_size")
+    assert Counter(map(tuple, got.collect())) == plain_classes(rows)
+
+
+def test_a_large_group_makes_pairs_in_proportion(spark):
+    words = [f"g{i}" for i in range(150)]
+    rows = [(i, " ".join([*words, f"end{i}"])) for i in range(600)]
+    nodes = table(spark, rows).select("doc_id", bagminhash._node(bagminhash.F.col("text")).alias("node"), "text")
+    signed = nodes.mapInArrow(bagminhash._signed, "doc_id long, node binary, size long, bands array<long>")
+    links = bagminhash.similar_links(signed.select("node", "size", "bands"), nodes.select("doc_id", "text"))
+    assert links.count() <= 600 * bagminhash.BANDS
+    assert bagminhash.near_groups(table(spark, rows)).where("class_id = 0 and class_size = 600").count() == 600
+
+
+def test_representatives_keep_their_columns(spark):
+    words = " ".join(f"r{i}" for i in range(80))
+    docs = table(spark, [(5, words), (3, words + " more"), (9, "another text altogether"), (None, "no id")])
+    stay = bagminhash.representatives(docs)
+    assert stay.columns == docs.columns
+    assert {r["doc_id"] for r in stay.collect()} == {3, 9, None}
+
+
+# --- repeated passages ------------------------------------------------------------------------
+
+
+def plain_cut(rows, window):
+    import re
+
+    texts = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    seen = Counter(tuple(w[i : i + window]) for w in texts for i in range(len(w) - window + 1))
+    out = []
+    for (doc_id, _), w in zip(rows, texts, strict=True):
+        keep = [True] * len(w)
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i : i + window])] > 1:
+                keep[i : i + window] = [False] * window
+        kept = " ".join(x for x, k in zip(w, keep, strict=True) if k)
+        out.append((doc_id, len(w), len(w) - sum(keep), hashlib.sha256(kept.encode()).hexdigest()))
+    return Counter(out)
+
+
+def passages():
+    random.seed(2)
+    vocabulary = [f"v{i}" for i in range(60)] + ["é", "日本", "a", "a", "a"]
+    shared = [[random.choice(vocabulary) for _ in range(n)] for n in (34, 35, 36, 50, 90)]
+    rows = [(1, None), (2, ""), (3, "\x0b \t"), (4, "a " * 300), (5, "a " * 40), (6, "b " * 36), (7, "c " * 35)]
+    rows += [(8, "ab cd " * 50), (9, "x " + "ab cd " * 20), (None, " ".join(shared[4]))]
+    for i in range(40):
+        words = [random.choice(vocabulary) for _ in range(random.randrange(80))]
+        for _ in range(random.randrange(3)):
+            at = random.randrange(len(words) + 1)
+            words[at:at] = random.choice(shared)
+        rows.append((100 + i, ("\n" if i % 2 else " ").join(words)))
+    rows += [(200, rows[20][1]), (200, rows[20][1]), (201, rows[25][1])]
+    rows.append((300, " ".join(random.choice(vocabulary) for _ in range(30_000))))
+    return rows
+
+
+@pytest.mark.parametrize("limit", [recompression.BROADCAST_BYTES, 0])
+def test_repeats_against_all_windows(spark, limit):
+    rows = passages()
+    got = recompression.without_repeats(table(spark, rows), broadcast_bytes=limit)
+    assert Counter(map(tuple, got.drop("kept_text").collect())) == plain_cut(rows, 35)
+
+
+def test_kept_text(spark):
+    words = " ".join(f"k{i}" for i in range(40))
+    got = recompression.without_repeats(table(spark, [(1, f"one {words}  two"), (2, f"{words} three"), (3, "own")]))
+    assert {r["doc_id"]: r["kept_text"] for r in got.collect()} == {1: "one two", 2: "three", 3: None}
+
+
+def test_equal_windows_have_equal_anchors():
+    random.seed(9)
+    rng = np.random.default_rng(9)
+    for trial in range(60):
+        window = rng.integers(0, 4 if trial % 2 else 1000, 35).astype(np.uint64)
+        window = tokens.mixed(window)
+        keys = set()
+        for _ in range(6):
+            left, right = (tokens.mixed(rng.integers(0, 4, rng.integers(0, 50)).astype(np.uint64)) for _ in "ab")
+            text = np.concatenate([left, window, right])
+            (chunk,) = recompression.chunks([text])
+            keys.add(int(recompression.anchors(chunk)[0][len(left)]))
+        assert len(keys) == 1
+
+
+def test_chunks_hold_each_window_once(monkeypatch):
+    monkeypatch.setattr(recompression, "CHUNK_WORDS", 50)
+    monkeypatch.setattr(recompression, "_SPAN", 85)
+    texts = [np.arange(n, dtype=np.uint64) + np.uint64(1000 * k) for k, n in enumerate((0, 34, 35, 36, 200, 84, 85))]
+    seen = Counter()
+    for chunk in recompression.chunks(texts):
+        assert len(chunk.words) <= 85
+        for start, text, place in zip(chunk.starts, chunk.text, chunk.place, strict=True):
+            assert list(chunk.words[start : start + 35]) == list(texts[text][place : place + 35])
+            seen[int(text), int(place)] += 1
+    assert seen == Counter((k, i) for k, t in enumerate(texts) for i in range(len(t) - 34))
+
+
+def test_words_have_one_number_each():
+    random.seed(1)
+    texts = ["".join(random.choice("ab é ç\n.,Z9 \x00") for _ in range(n)) for n in (0, 1, 5, 100, 2000) * 20]
+    texts += ["x" * 600_000 + " yy " + "é" * 300_000, "a " * 400_000]
+    numbers = {}
+    for text in texts:
+        for split in (tokens.PLAIN_WORDS, tokens.RAW_WORDS):
+            words = text.encode().translate(split).replace(b" ", b"\n").split(b"\n")
+            words = [w for w in words if w]
+            hashes = tokens.word_hashes(text, split)
+            if split is tokens.PLAIN_WORDS:
+                assert len(words) == len(hashes)
+                for w, h in zip(words, hashes, strict=True):
+                    assert numbers.setdefault(w, int(h)) == int(h)
+    assert len(set(numbers.values())) == len(numbers)
