@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import SEPARATORS, literal_longs, lower_ascii, words_of, written
+from orderloom.llm.common import SEPARATORS, literal_longs, lower_ascii, small_enough, words_of, written
 
 # kind: plain pattern (fixed values), the same pattern without needless search, what a text must hold.
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -163,23 +163,25 @@ def _bitmap(terms: DataFrame) -> list[int]:
     return out
 
 
-def _small(df: DataFrame, column: str) -> DataFrame:
-    """The table, to be broadcast if it was measured to be small."""
-    size = df.agg(F.sum(F.length(column) + 64)).head()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
-
-
 def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
     """entity, term, disclosure: the terms over the threshold, from the counts of all distinct texts."""
+    texts = F.lit(float(found.select("text_key").distinct().count()))
     near = written(neighbourhoods(found), "near")
     entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    beside = near.select("text_key", F.explode("terms").alias("term")).distinct()
+    beside = beside.groupBy("term").agg(F.count(F.lit(1)).alias("n_beside"))
+    # A term is in as many texts at least as it is beside any entity, which settles common words without counting
+    # them everywhere: more texts only lower the disclosure.
     pairs = written(
         near.select("entity", "text_key", F.explode("terms").alias("term"))
         .distinct()
         .groupBy("entity", "term")
         .agg(F.count(F.lit(1)).alias("n_te"))
         .where(F.col("n_te") >= SUPPORT)
-        .join(entities.where(F.col("n_e") >= SUPPORT), "entity"),
+        .join(entities.where(F.col("n_e") >= SUPPORT), "entity")
+        .join(beside, "term")
+        .where(_disclosure(texts, "n_beside") >= DISCLOSED)
+        .select("entity", "term", "n_e", "n_te"),
         "pairs",
     )
     terms = written(pairs.select("term").distinct(), "terms")
@@ -197,21 +199,27 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text")
     )
     counts = (
         seen.select("text_key", F.explode("words").alias("term"))
-        .join(_small(terms, "term"), "term")
+        .join(small_enough(terms, F.length("term") + 64, BROADCAST_BYTES), "term")
         .distinct()
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_t"))
     )
-    texts = found.select("text_key").distinct().count()
-    content = F.log(F.lit(float(texts)) / F.col("n_e"))
     return (
         pairs.join(counts, "term")
-        .withColumn("disclosure", F.log(F.lit(float(texts)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / content)
-        .where((content > 0) & (F.col("disclosure") >= DISCLOSED))
+        .withColumn("disclosure", _disclosure(texts, "n_t"))
+        .where(F.col("disclosure") >= DISCLOSED)
         .select("entity", "term", "disclosure")
     )
 
 
+def _disclosure(texts: Column, n_term: str) -> Column:
+    """The share of an entity's information in a term that occurs in `n_term` of the texts; null for an entity that
+    every text holds, which has no information."""
+    content = F.log(texts / F.col("n_e"))
+    shared = F.log(texts * F.col("n_te") / (F.col(n_term) * F.col("n_e")))
+    return F.when(content > 0, shared / content)
+
+
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:
     """Where the terms stand in the text, but for what a base span covers already."""
     words = F.filter(F.split(text, SEPARATORS), lambda w: w != "")
