@@ -6,6 +6,10 @@ so further columns, whatever they are called, neither clash nor travel.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +64,18 @@ def small_enough(df: DataFrame, row_bytes: Column | int, limit: int) -> DataFram
 def scratch(spark: SparkSession, name: str) -> str:
     """A path for files in the shared folder."""
     return fresh_dir(spark, name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their Python reads operators from it, and it may not
+    be installed there."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.join(tempfile.mkdtemp(prefix="orderloom-code-"), "orderloom")
+        archive = shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)

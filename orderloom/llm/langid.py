@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import hash_unit, written
+from orderloom.llm.common import hash_unit, ship, written
 
 PLACES = 1 << 12
 PER_LANGUAGE = 600
@@ -145,6 +145,7 @@ def _train(texts: np.ndarray, labels: np.ndarray) -> Model:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Learn from `text` and `lang` of the rows that aren't held out. None if none of them has both."""
+    ship(docs.sparkSession)
     known = docs.where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
@@ -178,6 +179,7 @@ def predictions(docs: DataFrame, text: Column, model: Model | None) -> DataFrame
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     if model is None:
         return docs.select(*names, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

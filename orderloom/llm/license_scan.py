@@ -22,6 +22,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.common import ship
+
 LEVEL = 3
 SAVED = 0.35
 COVERED = 0.75
@@ -40,7 +42,8 @@ TRIGGERS = [
 ]
 TRIGGER = re.compile("|".join(TRIGGERS), re.IGNORECASE)
 BLANK_LINE = re.compile(r"(\n[ \t\r]*\n)")
-SENTENCE_END = re.compile(r"[.!?](?=\s|$)|\n")
+# "v. 2.0" does not end a sentence.
+SENTENCE_END = re.compile(r"(?<!\bv)[.!?](?=\s|$)|\n")
 SENTENCE_MARKS = (". ", "! ", "? ", "\n")
 
 # Templates, fixed values: licence, naming words, text of a statement or notice.
@@ -111,6 +114,7 @@ class Finding:
     missing: list[str]
     extra: list[str]
     block: str
+    matched: int
 
 
 def words(text: str) -> list[str]:
@@ -144,7 +148,7 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False)
         self.known = []
         for name, naming, text in templates:
-            raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            raw = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             packer = zstandard.ZstdCompressor(
                 level=LEVEL, dict_data=raw, write_checksum=False, write_content_size=False
             )
@@ -152,7 +156,7 @@ class Scanner:
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """Share of bytes saved and number of template, the largest share first."""
-        data = block.encode(errors="replace")
+        data = block.lower().encode(errors="replace")
         alone = len(self.plain.compress(data))
         shares = [(1 - len(packer.compress(data)) / alone, i) for i, (*_, packer) in enumerate(self.known)]
         return sorted(((s, i) for s, i in shares if s >= self.saved), key=lambda x: (-x[0], x[1]))
@@ -183,10 +187,12 @@ class Scanner:
             for saved, template in self.ranked(block):
                 told = self.compared(block, template)
                 if told:
-                    found.append(Finding(start, end, self.known[template][0], saved, *told, block))
+                    name, _, own, _ = self.known[template]
+                    found.append(Finding(start, end, name, saved, *told, block, len(own) - len(told[1])))
                     break
+        # Of findings that overlap, the one with more of its template stays, then the shorter block.
         kept: list[Finding] = []
-        for one in sorted(found, key=lambda f: (-f.covered * len(words(f.block)), f.start, f.end)):
+        for one in sorted(found, key=lambda f: (-f.matched, f.end - f.start, f.start)):
             if all(one.end <= k.start or k.end <= one.start for k in kept):
                 kept.append(one)
         return sorted(kept, key=lambda f: f.start)
@@ -217,6 +223,7 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Findings of a text don't overlap. A text without a finding, a null or an empty one has no row. Each row of
     the table is scanned for itself, so repeated rows and null ids have their findings as often.
     """
+    ship(docs.sparkSession)
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     likely = plain.where(F.col("text").rlike("(?i)" + "|".join(TRIGGERS)))
     id_type = plain.schema["doc_id"].dataType.simpleString()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import small_enough, written
+from orderloom.llm.common import ship, small_enough, written
 from orderloom.llm.tokens import RAW_WORDS, mixed, word_hashes
 
 WINDOW = 35
@@ -267,6 +267,7 @@ def repeated_spans(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: node, spans of the texts with repeats, and node, keep_id of the texts that have copies."""
+    ship(docs.sparkSession)
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     named = plain.withColumn("node", node_of(F.col("text")))
     copied = written(

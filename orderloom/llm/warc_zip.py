@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import scratch, small_enough, written
+from orderloom.llm.common import scratch, ship, small_enough, written
 
 ARCHIVE_BYTES = 64 * 1024 * 1024
 RANGE_BYTES = 2 * 1024 * 1024
@@ -137,7 +137,8 @@ def directory(file, size: int) -> list[Member]:
     tail_at = max(0, size - 65_557)
     tail = _read(file, tail_at, size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    # The marker may also stand in the note after the record, whose length tells them apart.
+    while end >= 0 and end + 22 + int.from_bytes(tail[end + 20 : end + 22], "little") != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
         raise ValueError("not a ZIP archive")
@@ -284,6 +285,7 @@ def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a record per page and return the archives: path, bytes, records."""
+    ship(pages.sparkSession)
     system, place = fs.FileSystem.from_uri(folder)
     system.create_dir(place, recursive=True)
     rows = with_originals(pages, min_bytes)
@@ -352,6 +354,7 @@ def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
 
     Payload figures of a revisit are those of the full payload. An archive without records gives no rows.
     """
+    ship(archives.sparkSession)
     runs = written(archives.select("path").mapInArrow(_planner, "path string, start long, length long"), "ranges")
     total = runs.agg(F.sum("length")).head()[0] or 0
     parts = max(1, min(runs.count(), total // (4 * RANGE_BYTES) + 1))

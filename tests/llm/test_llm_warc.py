@@ -1,0 +1,167 @@
+"""Archives of web records: round trips, ZIP directories, damage."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import io
+import zipfile
+from collections import Counter
+
+import pytest
+
+from orderloom.llm import warc_zip
+from orderloom.llm.common import scratch
+
+SCHEMA = "key string, page_id long, url string, html string, original long, refers_to string"
+
+
+def table(spark, rows):
+    """Pages with columns whose names the operator uses itself."""
+    return spark.createDataFrame([("k", i, u, h, 0, "r") for i, u, h in rows], SCHEMA)
+
+
+PAGES = [
+    (1, "http://a/", "<p>one</p>"),
+    (2, "http://b/ x\r\nWARC-Type: evil", "<p>one</p>"),
+    (3, None, "<p>é\r\n\r\nWARC/1.1\r\n</p>"),
+    (4, "", ""),
+    (5, "http://c/", None),
+    (9, "http://a/", "<p>one</p>"),
+    (9, "http://a/", "<p>one</p>"),
+    (None, "http://n/", "<p>one</p>"),
+    (None, "http://n/", "alone"),
+    (10, "http://long/", "long " * 200_000),
+]
+
+
+def expected(rows, min_bytes=0):
+    out = []
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        ids = [j for j, _, h in rows if (h or "") == (html or "") and j is not None]
+        original = max(ids, default=None) if len(payload) >= min_bytes else i
+        revisit = original is not None and i != original
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        out.append((i, len(payload), digest, "revisit" if revisit else "response", original if revisit else None))
+    return Counter(out)
+
+
+def test_round_trip(spark):
+    got = warc_zip.round_trip(spark, table(spark, PAGES)).drop("url")
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert Counter(map(tuple, got.collect())) == expected(PAGES)
+    assert warc_zip.round_trip(spark, table(spark, PAGES).limit(0)).count() == 0
+
+
+def test_payloads_and_small_archives(spark, monkeypatch):
+    monkeypatch.setattr(warc_zip, "RANGE_BYTES", 300)
+    rows = [(i, f"http://h/{i}", f"<p>{'x' * (i % 50)}{i % 70}</p>") for i in range(300)]
+    archives = warc_zip.write_archives(table(spark, rows), scratch(spark, "warc"), archive_bytes=4000)
+    assert archives.count() > 4
+    got = warc_zip.read_archives(archives, with_payload=True).collect()
+    html = {str(i): h.encode() for i, _, h in rows}
+    for r in got:
+        assert r["payload"] == (html[r["record_id"]] if r["record_type"] == "response" else None)
+    assert len(got) == 300 and {r["url"] for r in got} == {u for _, u, _ in rows}
+
+
+def test_smaller_payloads_are_all_responses(spark):
+    rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")]
+    archives = warc_zip.write_archives(table(spark, rows), scratch(spark, "warc"), min_bytes=3)
+    kinds = {r["record_id"]: r["record_type"] for r in warc_zip.read_archives(archives).collect()}
+    assert kinds == {"1": "response", "2": "response", "3": "revisit", "4": "response"}
+
+
+def test_records_can_be_read_by_others(spark):
+    archives = warc_zip.write_archives(table(spark, PAGES[:4]), scratch(spark, "warc")).collect()
+    heads = []
+    for r in archives:
+        with zipfile.ZipFile(r["path"].removeprefix("file://")) as z:
+            assert z.testzip() is None
+            assert {i.compress_type for i in z.infolist()} == {zipfile.ZIP_STORED}
+            heads.append(gzip.decompress(z.read(warc_zip.WARC_MEMBER)))
+    data = b"".join(heads)
+    assert data.startswith(b"WARC/1.1\r\n") and b"WARC-Type: evil\r\n" not in data
+
+
+def archive(records, name="archive/x.warc.gz", method=zipfile.ZIP_STORED, big=False, note=b""):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", method) as z:
+        z.writestr("readme.txt", "hello")
+        with z.open(zipfile.ZipInfo(name), "w", force_zip64=big) as member:
+            member.write(b"".join(records))
+        z.comment = note
+    return out.getvalue()
+
+
+def records():
+    return [warc_zip.record(i, f"http://x/{i}", f"payload {i}".encode()) for i in range(5)]
+
+
+@pytest.mark.parametrize("note", [b"", b"a note with PK\x05\x06 inside", b"n" * 60_000])
+def test_archives_of_others(spark, tmp_path, note):
+    """Without an index, with a note after the directory."""
+    path = tmp_path / "other.zip"
+    path.write_bytes(archive(records(), note=note))
+    got = warc_zip.read_archives(spark.createDataFrame([(str(path),)], "path string"))
+    assert sorted(r["record_id"] for r in got.collect()) == list("01234")
+
+
+def test_zip64_directory():
+    """Every size and offset moved to ZIP64 forms."""
+    import struct
+
+    plain = archive(records())
+    with zipfile.ZipFile(io.BytesIO(plain)) as z:
+        infos = z.infolist()
+    at = plain.rfind(b"PK\x05\x06")
+    _, length, offset = struct.unpack_from("<HII", plain, at + 10)
+    entries = []
+    for info in infos:
+        name = info.filename.encode()
+        extra = struct.pack("<HHHHQQQ", 0x9999, 0, 1, 24, info.file_size, info.compress_size, info.header_offset)
+        fixed = struct.pack("<4sHHHHHHIIIHHHHHII", b"PK\x01\x02", 45, 45, 0, 0, 0, 0, info.CRC, 0xFFFFFFFF, 0xFFFFFFFF,
+                            len(name), len(extra), 0, 0, 0, 0, 0xFFFFFFFF)
+        entries.append(fixed + name + extra)
+    directory = b"".join(entries)
+    end64 = offset + len(directory)
+    tail = struct.pack("<4sQHHIIQQQQ", b"PK\x06\x06", 44, 45, 45, 0, 0, len(infos), len(infos), len(directory), offset)
+    tail += struct.pack("<4sIQI", b"PK\x06\x07", 0, end64, 1)
+    tail += struct.pack("<4sHHHHIIH", b"PK\x05\x06", 0, 0, 0xFFFF, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF, 0)
+    data = plain[:offset] + directory + tail
+    found = warc_zip.directory(io.BytesIO(data), len(data))
+    assert found == warc_zip.directory(io.BytesIO(plain), len(plain)) and len(found) == 2
+    member = next(m for m in found if m.name.endswith(".gz"))
+    contents = list(warc_zip.members(data[member.start : member.start + member.size]))
+    assert [warc_zip.parsed(c).payload for c in contents] == [f"payload {i}".encode() for i in range(5)]
+
+
+def test_members_with_zip64_sizes(spark, tmp_path):
+    path = tmp_path / "big.zip"
+    path.write_bytes(archive(records(), big=True))
+    got = warc_zip.read_archives(spark.createDataFrame([(f"file://{path}",)], "path string"))
+    assert got.count() == 5
+
+
+@pytest.mark.parametrize(
+    "data",
+    [b"", b"not a zip", archive(records())[:-30], archive(records(), method=zipfile.ZIP_DEFLATED)],
+)
+def test_archives_that_cannot_be_read(tmp_path, data):
+    path = tmp_path / "bad.zip"
+    path.write_bytes(data)
+    if data[-22:-18] == b"PK\x05\x06":  # a member that isn't stored, made so in the directory
+        data = data.replace(b"PK\x01\x02\x14\x03\x14\x00\x00\x00\x00\x00", b"PK\x01\x02\x14\x03\x14\x00\x00\x00\x08\x00")
+        path.write_bytes(data)
+    with pytest.raises(ValueError):
+        list(warc_zip.ranges(str(path)))
+
+
+def test_a_damaged_payload_is_noticed(spark, tmp_path):
+    one = gzip.compress(gzip.decompress(records()[0]).replace(b"payload 0", b"payload 9"))
+    path = tmp_path / "changed.zip"
+    path.write_bytes(archive([one]))
+    with pytest.raises(Exception, match="differ"):
+        warc_zip.read_archives(spark.createDataFrame([(str(path),)], "path string")).collect()
