@@ -11,10 +11,11 @@ are taken, so a long text costs little more than a pass over its shingles.
 
 Texts that are equal stand for one node. Nodes that share a band of the signature share a bucket. Emitting all
 pairs of a bucket would be quadratic, so a bucket links its members to one of them, its pivot: those pairs are
-verified by exact overlap, and components of the links are formed. Only buckets whose members lie in more than one
-component go on, twice with another pivot, and what is then left, pairs of members in different components,
-is verified outright, except where the distances to a pivot rule a pair out: 1 - J is a metric. No candidate
-pair is skipped: each is verified, ruled out, or has both ends in one component already.
+verified by exact overlap, and components of the links are formed. A bucket is settled if its other members
+lie in one component. The members of those that aren't are cut into blocks of bounded size, and two blocks at a
+time meet in a task, which works out the overlaps of all their texts as a product of matrices and returns the
+links that join components, a spanning forest at most. No candidate pair is skipped: each is verified, or
+has both ends in one component already.
 """
 
 from __future__ import annotations
@@ -23,19 +24,23 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from orderloom.llm.common import written
+from orderloom.llm.common import ship, small_enough, written
 from orderloom.llm.components import components
 from orderloom.llm.tokens import PLAIN_WORDS, mixed, shingles, word_hashes
 
 SHINGLE = 5
 SIMILAR = 0.8
 ROWS, BANDS = 5, 28
-PIVOTS = 3
+# A block's texts and shingles, on average; two blocks meet in a task.
+BLOCK_TEXTS = 256
+BLOCK_SHINGLES = 1 << 18
+SLICE = 1 << 13
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _SCALE = 2.0**-53
@@ -155,83 +160,119 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_compared, schema), "verified")
 
 
-def _plausible(similar: float) -> Column:
-    """Sizes alone allow the similarity."""
-    return F.least("a_size", "b_size") >= similar * F.greatest("a_size", "b_size")
+def _starred(members: DataFrame, similar: float) -> DataFrame:
+    """Pairs of each bucket's pivot, its least node, and those members that may be as similar by their sizes."""
+    pivots = members.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("pivot"))
+    pivots = pivots.select("bucket", F.col("pivot.node").alias("a"), F.col("pivot.size").alias("a_size"))
+    sides = members.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"))
+    plausible = F.least("a_size", "b_size") >= similar * F.greatest("a_size", "b_size")
+    return sides.join(pivots, "bucket").where((F.col("a") != F.col("b")) & plausible).select("a", "b").distinct()
 
 
-def _starred(members: DataFrame, pivot: Column, similar: float) -> DataFrame:
-    """Pairs of each bucket's pivot and its members in other components, a the pivot."""
-    pivots = members.groupBy("bucket").agg(pivot.alias("pivot")).select(
-        "bucket",
-        F.col("pivot.node").alias("a"),
-        F.col("pivot.size").alias("a_size"),
-        F.col("pivot.component").alias("a_component"),
-    )
-    sides = members.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"), "component")
-    pairs = sides.join(pivots, "bucket").where((F.col("component") != F.col("a_component")) & _plausible(similar))
-    return pairs.select("a", "b").distinct()
-
-
-def _with_components(members: DataFrame, found: DataFrame, similar: float) -> DataFrame:
-    """The members of buckets that still span several components."""
-    labels = components(found.where(F.col("similarity") >= similar))
-    placed = members.select("bucket", "node", "size").join(labels, "node", "left").select(
+def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """bucket, node, component, block, blocks: the members, without pivots, of buckets where they lie in more than one
+    component, dealt to blocks of bounded size."""
+    placed = members.join(components(links), "node", "left").select(
         "bucket", "node", "size", F.coalesce("component", "node").alias("component")
     )
-    spans = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    return placed.join(spans.where("x <> y").select("bucket"), "bucket", "left_semi")
-
-
-def _rest(members: DataFrame, pivot: Column, found: DataFrame, similar: float) -> DataFrame:
-    """All pairs of members in different components that the distances to their bucket's pivot allow."""
-    apart = 1.0 - similar + 1e-9
-    pivots = members.groupBy("bucket").agg(pivot.alias("pivot")).select("bucket", F.col("pivot.node").alias("a"))
-    known = found.select("a", F.col("b").alias("node"), (1 - F.col("similarity")).alias("distance"))
-    told = members.join(pivots, "bucket").join(known, ["a", "node"], "left").drop("a")
-    one = told.select("bucket", *[F.col(c).alias(f"a_{c}") for c in ("node", "size", "component", "distance")])
-    two = told.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "size", "component", "distance")])
-    near = F.coalesce(F.abs(F.col("a_distance") - F.col("b_distance")) <= apart, F.lit(True))
-    pairs = one.join(two, "bucket").where(
-        (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component")) & _plausible(similar) & near
+    spans = placed.groupBy("bucket").agg(F.min("node").alias("pivot"))
+    others = placed.join(spans, "bucket").where(F.col("node") != F.col("pivot")).drop("pivot")
+    others = written(others, "members")
+    sizes = others.groupBy("bucket").agg(
+        F.min("component").alias("x"),
+        F.max("component").alias("y"),
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_TEXTS)), F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES))
+        ).alias("blocks"),
     )
-    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    return others.join(sizes.where("x <> y").select("bucket", "blocks"), "bucket").select(
+        "bucket", "node", "component", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "blocks"
+    )
+
+
+def _overlaps(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weighted overlap of each two bags. A shingle of weight w counts as w elements, of which two bags share the
+    smaller number; elements of one bag only are left out, the others go through in slices."""
+    owner = np.repeat(np.arange(len(bags)), [int(w.sum()) for _, w in bags])
+    elements = [mixed(np.repeat(x, w) + _ranks(w) * np.uint64(_GOLDEN)) for x, w in bags]
+    _, column, count = np.unique(np.concatenate(elements), return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    kept = shared[column]
+    owner, column = owner[kept], number[column[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(bags), len(bags)), dtype=np.float64)
+    for start in range(0, int(shared.sum()), SLICE):
+        low, high = np.searchsorted(column, [start, start + SLICE])
+        part = np.zeros((len(bags), SLICE), dtype=np.float32)
+        part[owner[low:high], column[low:high] - start] = 1.0
+        out += part @ part.T
+    return out
+
+
+def _ranks(weights: np.ndarray) -> np.ndarray:
+    """0, 1, ... w - 1 for each weight."""
+    ends = np.cumsum(weights)
+    return (np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - weights, weights)).astype(np.uint64)
+
+
+def _forest(similar: float):
+    def join(block: pd.DataFrame) -> pd.DataFrame:
+        """Links of `similar` or more between components, from both of two blocks or within one."""
+        two = block["block"].nunique() > 1
+        bags = [bag(t) for t in block["text"]]
+        sizes = np.array([float(w.sum()) for _, w in bags])
+        shared = _overlaps(bags)
+        score = shared / (sizes[:, None] + sizes[None, :] - shared)
+        parts = block["component"].to_numpy()
+        number = np.unique([bytes(p) for p in parts], return_inverse=True)[1]
+        linked = np.triu(score >= similar, 1) & (number[:, None] != number[None, :])
+        if two:
+            blocks = block["block"].to_numpy()
+            linked &= blocks[:, None] != blocks[None, :]
+        root = np.arange(number.max() + 1)
+        found = []
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            x, y = root[number[i]], root[number[j]]
+            if x != y:
+                root[root == y] = x
+                found.append((i, j))
+        nodes = block["node"].to_numpy()
+        return pd.DataFrame(
+            [(nodes[i], nodes[j], score[i, j]) for i, j in found], columns=["a", "b", "similarity"]
+        )
+
+    return join
 
 
 def similar_links(nodes: DataFrame, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """a, b, similarity of verified pairs, enough of them that components of those from `similar` on are those of
-    all candidate pairs. `nodes` has node, size, bands; `docs` has doc_id and text."""
+    """a, b, similarity: verified links, whose components are those of all candidate pairs that are similar. `nodes`
+    has node, size, bands; `docs` has doc_id and text."""
     opened = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     shared = opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = written(opened.join(shared, "bucket").withColumn("component", F.col("node")), "buckets")
-
+    members = written(opened.join(shared, "bucket"), "buckets")
     wanted = written(members.select("node").distinct(), "candidates")
-    small = wanted.count() * 64 <= BROADCAST_BYTES
     texts = docs.select(_node(F.col("text")).alias("node"), "text").join(
-        F.broadcast(wanted) if small else wanted, "node", "left_semi"
+        small_enough(wanted, 64, BROADCAST_BYTES), "node", "left_semi"
     )
     texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    row = F.struct("node", "size", "component")
-    order = F.xxhash64("node", "bucket")
-    pivots = [F.min(row), F.max(row), F.min_by(row, order)][:PIVOTS]
-    found = None
-    for pivot in pivots:
-        pairs = _starred(members, pivot, similar)
-        if found is not None:
-            pairs = pairs.join(found, ["a", "b"], "left_anti").join(
-                found.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"
-            )
-        checked = _verified(pairs, texts)
-        found = checked if found is None else written(found.union(checked), "found")
-        members = written(_with_components(members, found, similar), "unresolved")
-        if members.isEmpty():
-            return found
-    pairs = _rest(members, F.min(row), found, similar)
-    pairs = pairs.join(found, ["a", "b"], "left_anti").join(
-        found.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"
+    links = _verified(_starred(members, similar), texts).where(F.col("similarity") >= similar)
+    open_members = written(_unsettled(members, links), "unsettled")
+    if open_members.isEmpty():
+        return links
+    block, other = F.col("block"), F.col("other")
+    dealt = (
+        open_members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .select(
+            "bucket", F.least(block, other).alias("low"), F.greatest(block, other).alias("high"), "block", "node", "component"
+        )
+        .join(texts, "node")
     )
-    return found.union(_verified(pairs, texts))
+    schema = links.select("a", "b", "similarity").schema
+    joined = dealt.groupBy("bucket", "low", "high").applyInPandas(_forest(similar), schema)
+    return links.union(written(joined, "joined"))
 
 
 def near_groups(
@@ -246,6 +287,7 @@ def near_groups(
     rows repeated with id and text are the same document, and a class of null ids alone is kept whole. An empty
     table gives an empty result.
     """
+    ship(docs.sparkSession)
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     signed = plain.select("doc_id", _node(F.col("text")).alias("node"), "text")
     schema = signed.select("doc_id", "node").schema.add("size", "long").add("bands", ArrayType(LongType()))
@@ -259,7 +301,7 @@ def near_groups(
         ),
         "nodes",
     )
-    links = written(similar_links(nodes, plain, similar).where(F.col("similarity") >= similar), "similar")
+    links = written(similar_links(nodes, plain, similar), "similar")
     placed = nodes.join(components(links), "node", "left").select(
         "node", "least", "copies", F.coalesce("component", "node").alias("component")
     )
@@ -282,7 +324,6 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(
         F.col("doc_id").alias("__id"), F.col("node").alias("__node")
     )
-    gone = written(gone.distinct(), "gone")
-    small = gone.count() * 96 <= BROADCAST_BYTES
+    gone = small_enough(written(gone.distinct(), "gone"), 96, BROADCAST_BYTES)
     same = docs[id_col].eqNullSafe(F.col("__id")) & (_node(docs[text_col]) == F.col("__node"))
-    return docs.join(F.broadcast(gone) if small else gone, same, "left_anti")
+    return docs.join(gone, same, "left_anti")

@@ -172,14 +172,34 @@ def test_near_groups_against_all_pairs(spark):
     assert Counter(map(tuple, got.collect())) == plain_classes(rows)
 
 
-def test_links_beyond_the_pivots_are_found(spark, monkeypatch):
-    """A chain of drifting copies shares buckets, but few of its links go to the bucket's pivots."""
+@pytest.mark.parametrize("texts", [256, 7])
+def test_links_beyond_the_pivots_are_found(spark, monkeypatch, texts):
+    """Chains of drifting copies share buckets, but few of their links go to the bucket's pivots."""
     random.seed(5)
+    monkeypatch.setattr(bagminhash, "BLOCK_TEXTS", texts)
     words = [f"c{i}" for i in range(3000)]
     rows = [(i, " ".join(words[8 * i : 8 * i + 200])) for i in range(60)]
-    monkeypatch.setattr(bagminhash, "PIVOTS", 1)
+    base = [f"b{i}" for i in range(150)]
+    for i in range(120):
+        changed = list(base)
+        for k in random.sample(range(150), random.randrange(2, 6)):
+            changed[k] = f"x{random.randrange(4)}"
+        rows.append((100 + i, " ".join(changed)))
     got = bagminhash.near_groups(table(spark, rows)).select("doc_id", "class_id", "class_size")
-    assert Counter(map(tuple, got.collect())) == plain_classes(rows)
+    want = plain_classes(rows)
+    assert len({c for _, c, _ in want}) > 20
+    assert Counter(map(tuple, got.collect())) == want
+
+
+def test_overlaps_as_a_product(monkeypatch):
+    monkeypatch.setattr(bagminhash, "SLICE", 16)
+    random.seed(7)
+    texts = [" ".join(random.choice("abcd") for _ in range(random.choice([3, 30, 90]))) for _ in range(25)]
+    bags = [bagminhash.bag(t) for t in texts]
+    got = bagminhash._overlaps(bags)
+    for i, t in enumerate(texts):
+        want = [sum((plain_bag(t) & plain_bag(u)).values()) for j, u in enumerate(texts) if j != i]
+        assert [got[i, j] for j in range(25) if j != i] == want
 
 
 def test_a_large_group_makes_pairs_in_proportion(spark):
