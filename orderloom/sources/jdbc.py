@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom import schemas as S
 from orderloom.config import JdbcConfig
@@ -44,16 +48,16 @@ def read_channels(
     return rows.select("channel_code", "channel_name")
 
 
-def staging_options(cfg: JdbcConfig) -> dict[str, str]:
+def staging_options(cfg: JdbcConfig, staging: str) -> dict[str, str]:
     return connection_options(cfg) | {
-        "dbtable": cfg.staging,
+        "dbtable": staging,
         "batchsize": str(cfg.batch_size),
         "truncate": "true",
     }
 
 
-def upsert_statement(cfg: JdbcConfig, keys: Sequence[str]) -> str:
-    """One statement that upserts the staging table into the target.
+def upsert_statement(cfg: JdbcConfig, keys: Sequence[str], staging: str) -> str:
+    """One statement that upserts a staging table into the target.
 
     DISTINCT takes out rows that a task attempt lost after its commit has written twice.
     """
@@ -62,7 +66,7 @@ def upsert_statement(cfg: JdbcConfig, keys: Sequence[str]) -> str:
     if cfg.dialect == "mysql":
         updates = ", ".join(f"{c} = VALUES({c})" for c in renewed)
         return (
-            f"INSERT INTO {cfg.table} ({columns}) SELECT DISTINCT {columns} FROM {cfg.staging} "
+            f"INSERT INTO {cfg.table} ({columns}) SELECT DISTINCT {columns} FROM {staging} "
             f"ON DUPLICATE KEY UPDATE {updates}"
         )
     if cfg.dialect == "ansi":
@@ -70,21 +74,27 @@ def upsert_statement(cfg: JdbcConfig, keys: Sequence[str]) -> str:
         updates = ", ".join(f"{c} = s.{c}" for c in renewed)
         values = ", ".join(f"s.{c}" for c in S.SINK_COLUMNS)
         return (
-            f"MERGE INTO {cfg.table} t USING (SELECT DISTINCT {columns} FROM {cfg.staging}) s ON {match} "
+            f"MERGE INTO {cfg.table} t USING (SELECT DISTINCT {columns} FROM {staging}) s ON {match} "
             f"WHEN MATCHED THEN UPDATE SET {updates} "
             f"WHEN NOT MATCHED THEN INSERT ({columns}) VALUES ({values})"
         )
     raise ValueError(f"unknown dialect {cfg.dialect!r}")
 
 
-def _execute(spark: SparkSession, cfg: JdbcConfig, statement: str) -> None:
+def _execute(spark: SparkSession, cfg: JdbcConfig, statements: Sequence[str]) -> None:
+    """Run statements over one connection. The driver is asked by instance: the list of known drivers leaves out those
+    that came with the application's packages."""
     jvm = spark.sparkContext._jvm
-    jvm.java.lang.Class.forName(cfg.driver, True, jvm.java.lang.Thread.currentThread().getContextClassLoader())
-    connection = jvm.java.sql.DriverManager.getConnection(cfg.url, cfg.username, cfg.password)
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    login = jvm.java.util.Properties()
+    login.setProperty("user", cfg.username)
+    login.setProperty("password", cfg.password)
+    connection = jvm.java.lang.Class.forName(cfg.driver, True, loader).newInstance().connect(cfg.url, login)
     try:
         call = connection.createStatement()
         try:
-            call.executeUpdate(statement)
+            for statement in statements:
+                call.executeUpdate(statement)
         finally:
             call.close()
     finally:
@@ -92,11 +102,19 @@ def _execute(spark: SparkSession, cfg: JdbcConfig, statement: str) -> None:
 
 
 def upsert(rows: DataFrame, cfg: JdbcConfig, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Upsert lines: reduce to one row per key, stage them from the executors, merge in one
-    statement. Running it again with the same rows changes nothing."""
-    reduced = latest_state(rows, keys, order).coalesce(cfg.connections)
-    reduced.write.format("jdbc").options(**staging_options(cfg)).mode("overwrite").save()
-    _execute(rows.sparkSession, cfg, upsert_statement(cfg, keys))
+    """Upsert lines: reduce to one row per key, stage them from the executors in a table of this run's own, merge in
+    one statement. Running it again with the same rows changes nothing.
+
+    A unique index takes any number of rows with a NULL in the key, so upserting them again would add them
+    again; such rows are refused. The reduce runs at full width; only its result moves to the few partitions that
+    write over a connection each.
+    """
+    if not rows.where(reduce(or_, [F.col(k).isNull() for k in keys])).isEmpty():
+        raise ValueError(f"rows with NULL in the key {tuple(keys)} cannot be upserted")
+    staging = f"{cfg.staging}_{uuid.uuid4().hex[:12]}"
+    reduced = latest_state(rows, keys, order).repartition(cfg.connections)
+    reduced.write.format("jdbc").options(**staging_options(cfg, staging)).mode("overwrite").save()
+    _execute(rows.sparkSession, cfg, [upsert_statement(cfg, keys, staging), f"DROP TABLE {staging}"])
 
 
 def append(lines: DataFrame, cfg: JdbcConfig) -> None:

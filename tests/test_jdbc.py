@@ -18,7 +18,7 @@ def test_options():
     assert jdbc.connection_options(CFG) == {
         "url": "jdbc:mysql://db/shop", "driver": "com.mysql.cj.jdbc.Driver", "user": "u", "password": "secret",
     }
-    staged = jdbc.staging_options(CFG)
+    staged = jdbc.staging_options(CFG, "order_lines_staging")
     assert staged["dbtable"] == "order_lines_staging" and staged["batchsize"] == "100"
 
 
@@ -41,15 +41,15 @@ def test_job_settings_are_checked(change):
 
 
 def test_upsert_statement():
-    sql = jdbc.upsert_statement(CFG, ["id", "remote_order_item_id"])
+    sql = jdbc.upsert_statement(CFG, ["id", "remote_order_item_id"], "order_lines_staging")
     inserted, renewed = sql.split(" ON DUPLICATE KEY UPDATE ")
     assert inserted.startswith(f"INSERT INTO order_lines ({', '.join(S.SINK_COLUMNS)}) SELECT DISTINCT ")
     assert re.findall(r"(\w+) = VALUES\(\1\)", renewed) == S.LAST_WINS
 
 
 def test_merge_statement():
-    cfg = JdbcConfig(url="x", table="t", username="u", password="p", dialect="ansi", staging_table="s1")
-    sql = jdbc.upsert_statement(cfg, ["id", "brand_id"])
+    cfg = JdbcConfig(url="x", table="t", username="u", password="p", dialect="ansi")
+    sql = jdbc.upsert_statement(cfg, ["id", "brand_id"], "s1")
     assert "ON t.id = s.id AND t.brand_id = s.brand_id" in sql and "FROM s1" in sql
     updated = re.findall(r"(\w+) = s\.\1", sql.split("UPDATE SET ")[1].split(" WHEN NOT")[0])
     assert updated == [c for c in S.LAST_WINS if c != "brand_id"]
@@ -57,7 +57,7 @@ def test_merge_statement():
 
 def test_unknown_dialect():
     with pytest.raises(ValueError, match="dialect"):
-        jdbc.upsert_statement(JdbcConfig(url="x", table="t", username="u", password="p", dialect="other"), ["id"])
+        jdbc.upsert_statement(JdbcConfig(url="x", table="t", username="u", password="p", dialect="other"), ["id"], "s")
 
 
 def test_kafka_options():
@@ -121,10 +121,68 @@ def test_upsert_stages_one_row_per_key_before_it_merges(spark, monkeypatch):
 
     steps = []
     monkeypatch.setattr(DataFrameWriter, "save", lambda self: steps.append(("staged", self._df)))
-    monkeypatch.setattr(jdbc, "_execute", lambda session, cfg, sql: steps.append(("merged", sql)))
+    monkeypatch.setattr(jdbc, "_execute", lambda session, cfg, statements: steps.append(("merged", statements)))
     rows = fx.line_batches(spark, SMALL)
     jdbc.upsert(rows, CFG, ["id"], ["batch_id", "seq"])
-    (first, staged), (second, sql) = steps
+    (first, staged), (second, (sql, cleared)) = steps
     assert (first, second) == ("staged", "merged") and sql.startswith("INSERT INTO order_lines")
+    own = re.search(r"FROM (order_lines_staging_\w+) ", sql)[1]
+    assert cleared == f"DROP TABLE {own}"
+    # The connections' few partitions come after a shuffle of their own, not on top of the aggregate.
+    text = staged._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in text and text.index("RoundRobinPartitioning(8)") < text.index("SortAggregate")
     assert staged.count() == rows.select("id").distinct().count()
     assert staged.rdd.getNumPartitions() <= CFG.connections and staged.columns == S.SINK_COLUMNS
+
+
+def test_each_upsert_has_a_staging_table_of_its_own(spark, monkeypatch):
+    from conftest import SMALL
+    from orderloom import fixtures as fx
+    from pyspark.sql import DataFrameWriter
+
+    merged = []
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: None)
+    monkeypatch.setattr(jdbc, "_execute", lambda session, cfg, statements: merged.append(statements[1]))
+    for _ in range(2):
+        jdbc.upsert(fx.line_batches(spark, SMALL), CFG, ["id"], ["batch_id", "seq"])
+    assert len(set(merged)) == 2
+
+
+def test_rows_without_a_key_are_refused(spark, monkeypatch):
+    from conftest import SMALL
+    from orderloom import fixtures as fx
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(jdbc, "_execute", lambda *a: pytest.fail("must not get here"))
+    rows = fx.line_batches(spark, SMALL).withColumn("id", F.expr("if(id = '1', null, id)"))
+    with pytest.raises(ValueError, match="NULL in the key"):
+        jdbc.upsert(rows, CFG, ["id"], ["batch_id", "seq"])
+
+
+def test_a_dimension_query_is_checked(monkeypatch, spark):
+    pairs = {"good": [("a", "1"), ("b", "2")], "twice": [("a", "1"), ("a", "2")], "null": [("a", None)]}
+    monkeypatch.setattr(
+        jdbc, "read_query", lambda session, cfg, query: spark.createDataFrame(pairs[query], "k string, v string")
+    )
+    assert jdbc.read_dimension(spark, CFG, "good", "k", "v").count() == 2
+    for query, said in (("twice", "repeats"), ("null", "NULL")):
+        with pytest.raises(ValueError, match=said):
+            jdbc.read_dimension(spark, CFG, query, "k", "v")
+
+
+def test_plain_inserts(spark, monkeypatch):
+    from conftest import SMALL
+    from orderloom import fixtures as fx
+    from pyspark.sql import DataFrameWriter
+
+    asked = {}
+
+    def options(self, **given):
+        asked.update(given)
+        return self
+
+    monkeypatch.setattr(DataFrameWriter, "options", options)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: asked.update(columns=self._df.columns))
+    jdbc.append(fx.line_batches(spark, SMALL), CFG)
+    assert asked["dbtable"] == "order_lines" and asked["batchsize"] == "100"
+    assert asked["columns"] == S.APPEND_COLUMNS
