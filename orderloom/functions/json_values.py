@@ -50,29 +50,6 @@ def as_double(x: str) -> str:
     return finite(as_number(x))
 
 
-def _low_bits(number: str) -> str:
-    return f"cast(shiftright(shiftleft({number}, 32), 32) as int)"
-
-
-def as_text(x: str, null_text: str | None = "null") -> str:
-    """Text of a scalar, '' for an object or array, `null_text` for JSON null, NULL if missing."""
-    kind = f"schema_of_variant({x})"
-    null = "null" if null_text is None else quoted(null_text)
-    # A decimal point or exponent makes a double, printed as such: 1.50 -> 1.5, 2.0 -> 2.0.
-    number = f"if({kind} {_WIDE_WHOLE}, {_get(x, 'string')}, cast({_get(x, 'double')} as string))"
-    return f"""case
-        when {kind} in ('STRING', 'BIGINT', 'BOOLEAN') then {_get(x, 'string')}
-        when {kind} = 'VOID' then {null}
-        when {kind} like 'D%' then {number}
-        when {x} is not null then '' end"""
-
-
-def as_double(x: str) -> str:
-    """Number, numeric text or boolean as double; anything else, and what is not finite, as 0."""
-    number = _get(x, "double")
-    return f"case when abs({number}) < double('infinity') then {number} else 0D end"
-
-
 def as_int(x: str) -> str:
     """Like `as_double`, cut to an int: whole numbers keep their low 32 bits, fractions saturate."""
     kind, text, number = f"schema_of_variant({x})", _get(x, "string"), _get(x, "double")

@@ -30,6 +30,11 @@ def _utc_wall(text: str, wall: str) -> str:
     return f"(timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
 
 
+def _four_digit_year(instant: str) -> str:
+    """Its text, NULL if a shift has taken it out of the years of four digits."""
+    return rf"get(regexp_extract_all(cast({instant} as string), r'^\d{{4}}-.*$', 0), 0)"
+
+
 def normalize_ts(text: str, to_utc: bool = False) -> str:
     """`yyyy-MM-dd HH:mm:ss` of a zoned ISO date-time, or NULL if the text is not one.
 
@@ -42,9 +47,9 @@ def normalize_ts(text: str, to_utc: bool = False) -> str:
     known = f"(not endswith({text}, ']') or try_cast(concat({wall}, ' ', {region}) as timestamp) is not null)"
     valid = f"{text} rlike r'{ISO_ZONED}' and try_cast({wall} as timestamp_ntz) is not null and {known}"
     if to_utc:
-        shown = f"cast({_utc_wall(text, wall)} as string)"
+        shown = _four_digit_year(_utc_wall(text, wall))
     else:
-        rebased = f"cast(convert_timezone('UTC', {region}, {_utc_wall(text, wall)}) as string)"
+        rebased = _four_digit_year(f"convert_timezone('UTC', {region}, {_utc_wall(text, wall)})")
         shown = f"if(endswith({text}, ']'), {rebased}, {wall})"
     # The year is printed within its era, so year 0 reads 1.
     shown = f"replace({shown}, '0000-', '0001-')"

@@ -140,3 +140,19 @@ def test_random_dates(spark):
     rows = df.selectExpr("i", normalize_ts("t"), normalize_ts("t", to_utc=True)).orderBy("i").collect()
     assert [r[1] for r in rows] == walls
     assert [r[2] for r in rows] == utcs
+
+
+@pytest.mark.parametrize(
+    ("text", "wall", "utc"),
+    [
+        ("9999-12-31T23:59:59-05:00", "9999-12-31 23:59:59", None),
+        ("9999-12-31T23:59:59Z", "9999-12-31 23:59:59", "9999-12-31 23:59:59"),
+        ("0000-01-01T00:00:00+07:00", "0001-01-01 00:00:00", None),
+        ("0000-01-01T12:00:00+07:00", "0001-01-01 12:00:00", "0001-01-01 05:00:00"),
+        ("0001-01-01T00:00:00+07:00", "0001-01-01 00:00:00", "0001-12-31 17:00:00"),
+        ("9999-12-31T23:59:59Z[Asia/Jakarta]", None, "9999-12-31 23:59:59"),
+    ],
+)
+def test_years_at_the_edge(spark, text, wall, utc):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert tuple(df.selectExpr(normalize_ts("t"), normalize_ts("t", to_utc=True)).head()) == (wall, utc)
