@@ -19,13 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table read in few partitions, as a file with one row group is. A table
-    large enough to come in many partitions is left as it is, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 # --- channels ---------------------------------------------------------------------------------
 
 MARKETPLACES = [("SHPE", "Shopee"), ("SHPE", "Shopee Mall"), ("LZDA", "Lazada"), ("TKPD", "Tokopedia")]
@@ -105,8 +98,8 @@ LATER_LINE = {
 HAS_LATER = "o_orderkey % 2 = 0"
 
 
-def _body(header: dict[str, str] = HEADER, line: dict[str, str] = LINE) -> Column:
-    lines = (
+def _body(header: dict[str, str] = HEADER, line: dict[str, str] = LINE, lines: str | None = None) -> Column:
+    lines = lines or (
         f"transform(slice(sequence(1, {MAX_LINES}), 1, cast({LINE_COUNT} as int)), i -> {_struct(line)})"
     )
     order = _struct({f: header[f] for f in S.ORDER_FIELDS} | {"line_items": lines})
@@ -114,13 +107,13 @@ def _body(header: dict[str, str] = HEADER, line: dict[str, str] = LINE) -> Colum
     return F.expr(f"to_json({body}, map('ignoreNullFields', 'false'))")
 
 
-def _envelope(body: Column) -> Column:
+def _envelope(body: Column, url: str = EVENT_URL, channel: str = CHANNEL, status: str = STATUS) -> Column:
     return F.to_json(
         F.struct(
             F.lit(ACTION).alias("action"),
-            F.expr(EVENT_URL).alias("url"),
-            F.expr(CHANNEL).alias("channel"),
-            F.expr(STATUS).alias("remote_order_status"),
+            F.expr(url).alias("url"),
+            F.expr(channel).alias("channel"),
+            F.expr(status).alias("remote_order_status"),
             body.alias("request_body"),
         )
     )
@@ -128,17 +121,49 @@ def _envelope(body: Column) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON text per order, with `message_seq`."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     return orders.select(F.col("o_orderkey").alias("message_seq"), _envelope(_body()).alias("value"))
 
 
 def later_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second messages."""
-    orders = spread(table(spark, sf_dir, "orders").where(HAS_LATER))
+    orders = table(spark, sf_dir, "orders").where(HAS_LATER)
     body = _body(HEADER | LATER, LINE | LATER_LINE)
     return orders.select(F.col("o_orderkey").alias("message_seq"), _envelope(body).alias("value"))
 
 
+# A message per row of `lineitem`, which is never gathered by order.
+_SHIP_DAY = "substring(cast(l_shipdate as string), 1, 10)"
+ITEM_HEADER = {
+    "id": "cast(l_orderkey as string)",
+    "brand_id": "concat('BR', cast(l_suppkey % 60 as string))",
+    "shop_name": "concat('Shop ', cast(l_suppkey as string))",
+    "order_status": "l_linestatus",
+    "order_date": f"concat({_SHIP_DAY}, 'T00:00:00+07:00')",
+    "paid_at": f"concat({_SHIP_DAY}, 'T10:11:12.345Z')",
+    "customer_reference": "concat('C''', cast(l_partkey as string))",
+    "channel_code": "case l_suppkey % 3 when 0 then 'shpe' when 1 then 'lzda' else 'tktk' end",
+    "remote_order_id": "concat('R', cast(l_suppkey as string), '-', cast(l_partkey as string))",
+    "remote_warehouse_id": "concat('W', cast(l_suppkey % 10 as string))",
+}
+ITEM_LINE = {
+    "product_code": "cast(l_partkey as string)",
+    "product_description": "concat('Item''s ', l_returnflag)",
+    "raw_price": "l_extendedprice",
+    "quantity": "cast(l_quantity as int)",
+    "line_total": "l_extendedprice * (1 - l_discount)",
+    "discount_amount": "l_discount",
+    "remote_order_item_id": "cast(l_linenumber as string)",
+}
+
+
+def line_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wanted message with one line for each row of `lineitem`."""
+    body = _body(ITEM_HEADER, lines=f"array({_struct(ITEM_LINE)})")
+    value = _envelope(body, "'order-fetched'", "'lzda'", "'unpaid'")
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("message_seq"), value.alias("value"))
+
+
 # --- messages with faults ---------------------------------------------------------------------
 
 # One fault per remainder of `o_orderkey` by DIRTY_MODULUS; other remainders are sound.
@@ -190,7 +215,7 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     return (
-        spread(table(spark, sf_dir, "orders"))
+        table(spark, sf_dir, "orders")
         .withColumn("body", _body())
         .withColumn("envelope", _envelope(body))
         .select(F.col("o_orderkey").alias("message_seq"), value.alias("value"))
@@ -231,6 +256,6 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 def line_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sink rows in three batches, many keys coming more than once; ordered by `batch_id, seq`."""
     columns = [F.expr(sql).cast(S.SINK_TYPES[c]).alias(c) for c, sql in BATCH_LINE.items()]
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.expr(BATCH_ID).alias("batch_id"), F.struct(*LINE_ORDER).alias("seq"), *columns
     )

@@ -6,17 +6,15 @@ A channel row reads `channel_code = <brand>_<marketplace code>`,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.text import (
     after_last, before_first, clean_store_name, excluded_channel, official_store,
 )
+from orderloom.session import ensure_checkpoint_dir
 
 
 def split_channels(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:
@@ -34,13 +32,14 @@ def oms_channel_clean(channels: DataFrame) -> DataFrame:
     return split_channels(channels).distinct()
 
 
-def _greatest(df: DataFrame, key: str, value: str, case_insensitive: bool) -> DataFrame:
-    """The greatest value per key. Partial maxima are taken before the one shuffle, so a key with
+def _greatest(df: DataFrame, key: str, value: str, case_insensitive: bool, *kinds: str) -> DataFrame:
+    """The greatest value per key (and kind). Partial maxima are taken before the one shuffle, so a key with
     very many rows costs no more than the others."""
     if not case_insensitive:
-        return df.groupBy(key).agg(F.max(value).alias(value))
+        return df.groupBy(*kinds, key).agg(F.max(value).alias(value))
     top = F.max(F.struct(F.lower(value).alias("folded"), F.col(value), F.col(key))).alias("top")
-    return df.groupBy(F.lower(key).alias("folded_key")).agg(top).select(f"top.{key}", f"top.{value}")
+    folded = df.groupBy(*kinds, F.lower(key).alias("folded_key")).agg(top)
+    return folded.select(*kinds, f"top.{key}", f"top.{value}")
 
 
 def _store_rows(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:
@@ -92,8 +91,10 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def dimension(df: DataFrame, key: str, value: str) -> DataFrame:
-    """A checked two-column lookup table from any query result: unique keys, no NULLs."""
-    pairs = df.select(key, value)
+    """A checked two-column lookup table from any query result: unique keys, no NULLs. The query is run once; what is
+    returned are the rows that were checked, kept by a checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    pairs = df.select(key, value).checkpoint()
     if not pairs.where(F.col(key).isNull() | F.col(value).isNull()).isEmpty():
         raise ValueError(f"lookup table has NULL in {key} or {value}")
     repeated = duplicate_keys(pairs, key).limit(5).collect()
@@ -121,32 +122,35 @@ def _measured_bytes(key: str, value: str) -> Column:
     return F.coalesce(F.sum(text + ROW_OVERHEAD_BYTES), F.lit(0))
 
 
-def lookups(tables: Sequence[tuple[DataFrame, str, str]], broadcast_limit: int) -> list[Lookup]:
-    """Measure (table, key, value) triples in one job; one number per table reaches the driver."""
-    sizes = reduce(
-        DataFrame.union,
-        [
-            df.agg(_measured_bytes(key, value).alias("bytes")).select(F.lit(i).alias("i"), "bytes")
-            for i, (df, key, value) in enumerate(tables)
-        ],
-    )
-    size_of = {r["i"]: r["bytes"] for r in sizes.collect()}
-    return [
-        Lookup(df, key, value, size_of[i] <= broadcast_limit)
-        for i, (df, key, value) in enumerate(tables)
-    ]
+STORE, MARKETPLACE = "store", "marketplace"
 
 
 def channel_lookups(
-    channels: DataFrame, broadcast_limit: int, case_insensitive: bool = False, keep: bool = False
+    channels: DataFrame, broadcast_limit: int, case_insensitive: bool = False
 ) -> tuple[Lookup, Lookup]:
-    """Store and marketplace lookups over a channel table; `keep` stores them for repeated use."""
-    tables = [
-        (master_store(channels, case_insensitive), "brand_id", "official_store"),
-        (master_marketplace(channels, case_insensitive), "mp_code", "marketplace"),
-    ]
-    if keep:
-        for df, _, _ in tables:
-            df.persist(StorageLevel.MEMORY_AND_DISK)
-    store, marketplace = lookups(tables, broadcast_limit)
-    return store, marketplace
+    """Store and marketplace lookups over a channel table.
+
+    The table is read once: each channel gives a pair for either lookup, and one shuffle takes the greatest value
+    per lookup and key, which makes keys unique. The result is kept by a checkpoint. What is measured,
+    what is broadcast and both lookups are thus the same rows, whatever becomes of the table or of an
+    executor. A store has no NULL name; a marketplace may, and then counts as not found.
+    """
+    ensure_checkpoint_dir(channels.sparkSession)
+    pairs = split_channels(channels, case_insensitive).selectExpr(
+        f"""inline(array(named_struct('kind', '{STORE}', 'key', channel_code, 'value', official_store),
+            named_struct('kind', '{MARKETPLACE}', 'key', mp_code, 'value', marketplace)))"""
+    )
+    wanted = pairs.where(f"if(kind = '{STORE}', value is not null, key is not null)")
+    best = _greatest(wanted, "key", "value", case_insensitive, "kind")
+    shown = f"if(kind = '{STORE}', {clean_store_name('value')}, value)"
+    kept = best.selectExpr("kind", "key", f"{shown} as value").checkpoint()
+    bytes_of = {
+        r["kind"]: r["bytes"]
+        for r in kept.groupBy("kind").agg(_measured_bytes("key", "value").alias("bytes")).collect()
+    }
+
+    def lookup(kind: str, key: str, value: str) -> Lookup:
+        rows = kept.where(F.col("kind") == kind).select(F.col("key").alias(key), F.col("value").alias(value))
+        return Lookup(rows, key, value, bytes_of.get(kind, 0) <= broadcast_limit)
+
+    return lookup(STORE, "brand_id", "official_store"), lookup(MARKETPLACE, "mp_code", "marketplace")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom.config import JobConfig
@@ -11,16 +13,34 @@ from orderloom.operators.dimensions import Lookup
 SHARES = JobConfig().lookup_shares
 
 
-def _spread_join(df: DataFrame, found: DataFrame, key: str, shares: int) -> DataFrame:
-    """Left join by shuffle that bears a key with very many rows: its rows are dealt out by a hash of
-    their values, with a copy of the lookup row for each share. Both sides are shuffled for the
-    join alone, so adaptive execution can split a share that is still too large."""
+def hot_keys(df: DataFrame, key: str, shares: int) -> dict[str, int]:
+    """Keys that hold more than one part in `shares` of the rows, and into how many such parts they go. There are
+    fewer than `shares` of them; nothing else reaches the driver."""
+    total = Observation()
+    counts = df.observe(total, F.count(F.lit(1)).alias("n")).where(F.col(key).isNotNull()).groupBy(key)
+    top = counts.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(shares).collect()
+    rows = total.get["n"]
+    return {r[key]: math.ceil(r["n"] * shares / rows) for r in top if r["n"] * shares > rows}
+
+
+def _parts(key: str, hot: dict[str, int]) -> Column:
+    """The number of parts of a key, looked up in a constant."""
+    known = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.col(key)), F.lit(1))
+
+
+def _shuffled_join(df: DataFrame, found: DataFrame, key: str, shares: int) -> DataFrame:
+    """Left join by shuffle that bears keys with very many rows. The keys are counted, which reads the rows a second
+    time. A hot key's rows are dealt out, by a hash of their values, to parts in proportion to their
+    number, with a copy of its lookup row for each part; all other keys and lookup rows stay as they are."""
+    hot = hot_keys(df, key, shares)
+    found = found.hint("merge")
+    if not hot:
+        return df.join(found, df[key] == found["_key"], "left")
     atomic = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "bigint", "int")]
-    dealt = df.withColumn("_share", F.expr(f"cast(pmod(xxhash64({', '.join(atomic)}), {shares}) as int)"))
-    copies = found.selectExpr("*", f"explode(sequence(0, {shares - 1})) as _copy").hint("merge")
-    return dealt.join(
-        copies, (dealt[key] == copies["_key"]) & (dealt["_share"] == copies["_copy"]), "left"
-    )
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*atomic), _parts(key, hot)))
+    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(0), _parts("_key", hot) - 1)))
+    return dealt.join(copies, (dealt[key] == copies["_key"]) & (dealt["_part"] == copies["_copy"]), "left")
 
 
 def lookup_overwrite(
@@ -34,7 +54,7 @@ def lookup_overwrite(
     if lookup.small:
         joined = df.join(F.broadcast(found), df[key] == found["_key"], "left")
     else:
-        joined = _spread_join(df, found, key, shares)
+        joined = _shuffled_join(df, found, key, shares)
     columns = [f"coalesce(_found, {c}) as {c}" if c == target else c for c in df.columns]
     return joined.selectExpr(*columns)
 

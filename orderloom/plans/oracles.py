@@ -14,35 +14,43 @@ CHANNELS = f"""channels as (
   from supplier cross join (values {_MARKETPLACES}) v(mp, mk))"""
 
 
+# Channels that are no shops, and stores that go by another name.
+_NO_SHOPS = "request|interco|csr|nonevent|reclass|non event|offline"
+_B2B = "B2B Beauty|B2B JNS|B2BJNS"
+_RENAMED = """(values ('sleek', 'Kino Baby & Kids Official Store'),
+  ('ellip', 'Kino Hair & Beauty Care Official Store')) r(prefix, name)"""
+
+
 def _split(b2b: str) -> str:
-    return f"""split as (
-  select trim(split_part(channel_code, '_', 1)) as channel_code,
-         lower(trim(split_part(channel_code, '_', -1))) as mp_code,
-         case when regexp_matches(channel_name, '{b2b}') and channel_name not like '%-%'
-              then trim(split_part(channel_code, '_', -1))
-              else trim(split_part(channel_name, '-', -1)) end as official_store,
-         trim(split_part(channel_name, '-', 1)) as marketplace
-  from channels
-  where not regexp_matches(lower(channel_code), 'request|interco|csr|nonevent|reclass|non event|offline'))"""
-
-
-SPLIT = _split("B2B Beauty|B2B JNS|B2BJNS")
-_CLEAN_STORE = """case when lower(t.official_store) like 'sleek%' then 'Kino Baby & Kids Official Store'
-    when lower(t.official_store) like 'ellip%' then 'Kino Hair & Beauty Care Official Store'
-    else trim(regexp_replace(t.official_store, '[^-0-9A-Za-z&() ]', '', 'g')) end"""
-_STORE = f"""select brand_id, official_store from (
-  select t.channel_code as brand_id, {_CLEAN_STORE} as official_store,
-         row_number() over (partition by t.channel_code order by t.official_store desc nulls last) as row_num
-  from split t where t.official_store is not null) where row_num = 1"""
-_MARKETPLACE = """select mp_code, marketplace from (
-  select t.mp_code, t.marketplace,
-         row_number() over (partition by t.mp_code order by t.marketplace desc nulls last) as row_num
-  from split t where t.mp_code is not null) where row_num = 1"""
-_STORE_ANY_CASE = f"""select brand_id, official_store from (
-  select t.channel_code as brand_id, {_CLEAN_STORE} as official_store,
-         row_number() over (partition by lower(t.channel_code)
-             order by lower(t.official_store) desc nulls last, t.official_store desc, t.channel_code desc) as row_num
-  from split t where t.official_store is not null) where row_num = 1"""
+    return f"""parts as (
+  select string_split(channel_code, '_') as c, string_split(channel_name, '-') as n,
+         len(string_split(channel_name, '-')) = 1 and regexp_matches(channel_name, '{b2b}') as by_code
+  from channels where not regexp_matches(lower(channel_code), '{_NO_SHOPS}')
+), split as (
+  select trim(c[1]) as channel_code, lower(trim(c[-1])) as mp_code, trim(n[1]) as marketplace,
+         trim(if(by_code, c[-1], n[-1])) as official_store
+  from parts)"""
+
+
+SPLIT = _split(_B2B)
+
+
+def _stores(greatest: str, grouped: str) -> str:
+    """`greatest` gives the brand and the store chosen for each group."""
+    return f"""select brand_id,
+    coalesce(name, trim(regexp_replace(chosen, '[^-0-9A-Za-z&() ]', '', 'g'))) as official_store
+  from (select {greatest} from split where official_store is not null group by {grouped})
+  left join {_RENAMED} on starts_with(lower(chosen), prefix)"""
+
+
+_STORE = _stores("channel_code as brand_id, max(official_store) as chosen", "channel_code")
+_LAST_BY = "row(lower(official_store), official_store, channel_code)"
+_STORE_ANY_CASE = _stores(
+    f"arg_max(channel_code, {_LAST_BY}) as brand_id, arg_max(official_store, {_LAST_BY}) as chosen",
+    "lower(channel_code)",
+)
+_MARKETPLACE = """select mp_code, max(marketplace) as marketplace from split
+  where mp_code is not null group by mp_code"""
 
 _DIMENSIONS = f"with {CHANNELS}, {SPLIT}"
 
@@ -95,12 +103,13 @@ def _lines(
   where i <= {fx.LINE_COUNT} and {wanted})"""
 
 
-def _enriched(lines: str, no_marketplace: str = "'null'") -> str:
+def _enriched(lines: str, no_marketplace: str = "'null'", loaded: bool = False) -> str:
     shown = {
         "shop_name": "coalesce(s.official_store, l.shop_name)",
         "marketplace": f"coalesce(m.marketplace, {no_marketplace})",
     }
     columns = ", ".join(f"{shown.get(c, 'l.' + c)} as {c}" for c in R.CHECKED)
+    columns += f", '{R.LOADED}' as load_timestamp" if loaded else ""
     return f"""{_DIMENSIONS}, store as ({_STORE}), marketplace as ({_MARKETPLACE}), {lines}
 select {columns} from lines l left join store s on l.brand_id = s.brand_id
 left join marketplace m on l.channel_code = m.mp_code"""
@@ -108,6 +117,12 @@ left join marketplace m on l.channel_code = m.mp_code"""
 
 ENRICHED = _enriched(_lines())
 
+_SHIP_DAY = "substring(cast(l_shipdate as varchar), 1, 10)"
+_ITEMS = {f: _text(sql, False) for f, sql in (fx.ITEM_HEADER | fx.ITEM_LINE).items()}
+_ITEMS |= {f: fx.ITEM_LINE[f] for f in ("raw_price", "quantity", "line_total", "discount_amount")}
+_ITEMS |= {"order_date": f"concat({_SHIP_DAY}, ' 00:00:00')", "paid_at": f"concat({_SHIP_DAY}, ' 10:11:12')"}
+_ITEMS |= {"line_number": f"cast({fx.ITEM_LINE['quantity']} as varchar)"}
+
 # Of what a second message says, these take effect; references and line number stay as first told.
 _RENEWED = {f: (fx.LATER | fx.LATER_LINE)[f] for f in ("order_status", "raw_price", "quantity")}
 
@@ -189,16 +204,20 @@ _BATCHED = f"""rows as (select {fx.BATCH_ID} as batch_id,
   {", ".join(fx.LINE_ORDER)} from lineitem)"""
 
 
-def _upserted(keys: list[str]) -> str:
+def _upserted(keys: list[str], apart: str | None = None) -> str:
+    """The state by `keys`; the id is NULL, and the row kept apart, where `apart` holds."""
     by = ", ".join(keys)
     order = ["batch_id", *fx.LINE_ORDER]
     up, down = ", ".join(order), ", ".join(f"{c} desc" for c in order)
     columns = ", ".join(f"{'f' if c in S.FIRST_WINS else 'l'}.{c} as {c}" for c in S.SINK_COLUMNS)
     joined = " and ".join(f"f.{k} = l.{k}" for k in keys)
+    loose = "" if apart is None else f"""
+union all select {", ".join("null as id" if c == "id" else c for c in S.SINK_COLUMNS)} from rows where {apart}"""
     return f"""with {_BATCHED},
   ranked as (select *, row_number() over (partition by {by} order by {up}) as from_first,
-                       row_number() over (partition by {by} order by {down}) as from_last from rows)
-select {columns} from ranked f join ranked l on {joined} where f.from_first = 1 and l.from_last = 1"""
+                       row_number() over (partition by {by} order by {down}) as from_last
+             from rows where not ({apart or "false"}))
+select {columns} from ranked f join ranked l on {joined} where f.from_first = 1 and l.from_last = 1{loose}"""
 
 
 ORACLES: dict[str, str] = {
@@ -206,7 +225,7 @@ ORACLES: dict[str, str] = {
     "master_store": f"{_DIMENSIONS} {_STORE}",
     "master_store_agg": f"{_DIMENSIONS} {_STORE}",
     "master_store_any_case": (
-        f"with {CHANNELS}, {_split('(?i)B2B Beauty|B2B JNS|B2BJNS')} {_STORE_ANY_CASE}"
+        f"with {CHANNELS}, {_split(f'(?i){_B2B}')} {_STORE_ANY_CASE}"
     ),
     "master_marketplace": f"{_DIMENSIONS} {_MARKETPLACE}",
     "master_marketplace_agg": f"{_DIMENSIONS} {_MARKETPLACE}",
@@ -220,6 +239,8 @@ select channel_code as brand_id, count(*) as n_rows from pairs group by 1 having
     "order_lines": f"with {_lines()} select * exclude (o_orderkey) from lines",
     "quarantine_split": f"""select * from (select o_orderkey as message_seq, {_OUTCOME} as outcome
   from orders) where outcome <> 'dropped'""",
+    "quarantine_rejects": f"""select message_seq, true as has_text, outcome as error_reason from (
+  select o_orderkey as message_seq, {_OUTCOME} as outcome from orders) where outcome not in ('dropped', 'sound')""",
     "quarantine_lines": _enriched(_lines(f"{_OUTCOME} = 'sound'", brand=_DIRTY_BRAND)),
     "json_as_text": f"""select o_orderkey, {_choice(_quoted(_AS_TEXT))} as v,
   case when o_orderkey % {len(_AS_TEXT)} <> {_NULL_AT} then {_choice(_quoted(_AS_TEXT))} end as v_or_null,
@@ -240,12 +261,15 @@ from headers h left join store s on h.brand_id = s.brand_id""",
   headers as (select {_named(_headers())} from orders where {_WANTED})
 select h.id, h.channel_code, coalesce(m.marketplace, 'null') as marketplace
 from headers h left join marketplace m on h.channel_code = m.mp_code""",
-    "order_lines_enriched": ENRICHED,
+    "order_lines_enriched": _enriched(_lines(), loaded=True),
+    "order_lines_from_lineitem": _enriched(f"lines as (select {_named(_ITEMS)} from lineitem)", loaded=True),
     "order_lines_shuffled": ENRICHED,
     "order_lines_plain": _enriched(_lines(plain=True), "null"),
     "append_lines": f"with {_BATCHED} select {', '.join(S.APPEND_COLUMNS)} from rows",
     "upsert_latest": _upserted(["id", "remote_order_item_id"]),
+    "upsert_null_keys": _upserted(["id", "remote_order_item_id"], "cast(id as bigint) % 7 = 0"),
     "upsert_first_last_policy": _upserted(["id"]),
     "stream_order_lines": ENRICHED,
     "stream_upsert_state": _enriched(_lines(changed=_RENEWED)),
+    "stream_state_after_compaction": _enriched(_lines(changed=_RENEWED)),
 }

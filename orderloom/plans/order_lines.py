@@ -10,7 +10,10 @@ from orderloom.config import JobConfig
 from orderloom.functions.times import load_ts
 from orderloom.operators.dimensions import Lookup, channel_lookups
 from orderloom.operators.enrich import enrich
-from orderloom.operators.messages import explode_lines, order_headers
+from orderloom.operators.messages import (
+    classify_messages, explode_lines, order_headers, rejected, sound_headers,
+)
+from orderloom.session import ensure_checkpoint_dir
 
 
 def to_sink(lines: DataFrame, loaded: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -33,7 +36,24 @@ def build(
     loaded: Column | None = None,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Messages and channels to rows of the target table. Malformed messages stop the query, or
-    are left out with `on_error="quarantine"`."""
+    """Messages and channels to rows of the target table. Malformed messages stop the query; with
+    `on_error="quarantine"` they are left out, and `build_with_rejects` returns them as well."""
     store, marketplace = channel_lookups(channels, cfg.broadcast_limit, cfg.case_insensitive)
     return to_sink(lines_of(order_headers(messages, cfg), store, marketplace, cfg), loaded, extra)
+
+
+def build_with_rejects(
+    messages: DataFrame,
+    channels: DataFrame,
+    cfg: JobConfig = JobConfig(on_error="quarantine"),
+    loaded: Column | None = None,
+    extra: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the target table, and the malformed messages with their text and `error_reason`.
+
+    The messages are read once; the reading is kept by a checkpoint, so the two results belong together.
+    """
+    ensure_checkpoint_dir(messages.sparkSession)
+    judged = classify_messages(messages, cfg).checkpoint()
+    store, marketplace = channel_lookups(channels, cfg.broadcast_limit, cfg.case_insensitive)
+    return to_sink(lines_of(sound_headers(judged), store, marketplace, cfg), loaded, extra), rejected(judged)

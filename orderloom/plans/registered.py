@@ -18,17 +18,24 @@ from orderloom.operators import dimensions as dims
 from orderloom.operators import enrich as en
 from orderloom.operators import messages as msg
 from orderloom.operators.upsert import latest_state, merge_snapshot
-from orderloom.plans.order_lines import build
+from orderloom.plans.order_lines import build, build_with_rejects
 from orderloom.session import fresh_dir
 from orderloom.sources.files import append_lines as append_columns
 from orderloom.sources.files import read_log
 from orderloom.sources.streams import parquet_messages, text_messages
-from orderloom.streaming.job import Targets, current_state, run_stream
+from orderloom.streaming.job import Targets, compact, current_state, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Processing time differs from run to run, so results under check leave it out.
+# Processing time differs from run to run, so results under check leave it out unless it is given.
 CHECKED = [c for c in S.SINK_COLUMNS if c != "load_timestamp"]
+LOADED = "2024-02-29 12:34:56"
+
+
+def _loaded() -> Column:
+    return F.lit(LOADED).cast("timestamp_ntz")
+
+
 PLAIN = JobConfig(line_number="position", escape_quotes=False, null_text=None, to_utc=True)
 
 
@@ -118,6 +125,12 @@ def quarantine_lines(spark, sf_dir):
     return lines.select(*CHECKED)
 
 
+def quarantine_rejects(spark, sf_dir):
+    """The messages that are set aside; their text goes along."""
+    _, rejects = build_with_rejects(fx.dirty_messages(spark, sf_dir), fx.oms_channel(spark, sf_dir))
+    return rejects.select("message_seq", (F.length("value") > 0).alias("has_text"), "error_reason")
+
+
 # --- value functions, on JSON made of varied values
 
 JSON_VALUES = [
@@ -135,7 +148,7 @@ def _leaves(spark, sf_dir) -> DataFrame:
         F.lit(',"price_text":"'), F.col("o_totalprice").cast("string"), F.lit('"}'),
     )
     parsed = F.from_json(text, "v variant, price variant, price_text variant, absent variant")
-    return fx.spread(fx.table(spark, sf_dir, "orders")).select("o_orderkey", F.inline(F.array(parsed)))
+    return fx.table(spark, sf_dir, "orders").select("o_orderkey", F.inline(F.array(parsed)))
 
 
 def json_as_text(spark, sf_dir):
@@ -173,7 +186,7 @@ def timestamp_normalize(spark, sf_dir):
     tail = F.array(*map(F.lit, DATE_TAILS))[(F.col("o_orderkey") % len(DATE_TAILS)).cast("int")]
     day = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
     text = F.when(F.col("o_orderkey") % 29 == 0, F.lit("0001-01-01T00:00:00Z")).otherwise(F.concat(day, tail))
-    texts = fx.spread(fx.table(spark, sf_dir, "orders")).select("o_orderkey", text.alias("text"))
+    texts = fx.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
     return texts.selectExpr(
         "o_orderkey", f"{normalize_ts('text')} as wall", f"{normalize_ts('text', to_utc=True)} as utc"
     )
@@ -198,7 +211,12 @@ def marketplace_lookup(spark, sf_dir):
 
 
 def order_lines_enriched(spark, sf_dir):
-    return build(fx.messages(spark, sf_dir), fx.oms_channel(spark, sf_dir)).select(*CHECKED)
+    return _timestamps_as_text(build(fx.messages(spark, sf_dir), fx.oms_channel(spark, sf_dir), loaded=_loaded()))
+
+
+def order_lines_from_lineitem(spark, sf_dir):
+    """The same for one message per row of `lineitem`, with all columns of the target."""
+    return _timestamps_as_text(build(fx.line_messages(spark, sf_dir), fx.oms_channel(spark, sf_dir), loaded=_loaded()))
 
 
 def order_lines_shuffled(spark, sf_dir):
@@ -226,12 +244,19 @@ def upsert_latest(spark, sf_dir):
     return _timestamps_as_text(latest_state(rows, ["id", "remote_order_item_id"], UPSERT_ORDER))
 
 
+def upsert_null_keys(spark, sf_dir):
+    """Every seventh order has no id: as in a unique index, its lines are kept apart."""
+    rows = fx.line_batches(spark, sf_dir).withColumn("id", F.expr("if(cast(id as bigint) % 7 = 0, null, id)"))
+    return _timestamps_as_text(latest_state(rows, ["id", "remote_order_item_id"], UPSERT_ORDER, True))
+
+
 def upsert_first_last_policy(spark, sf_dir):
-    """One batch after the other merged into the table, keyed by order only."""
-    rows = fx.line_batches(spark, sf_dir)
+    """One batch after the other merged into the table, keyed by order only. The batches are written once, as a log."""
+    log = fresh_dir(spark, "batches")
+    fx.line_batches(spark, sf_dir).write.partitionBy("batch_id").parquet(log)
     state = None
     for batch in range(fx.BATCHES):
-        changes = latest_state(rows.where(F.col("batch_id") == batch), ["id"], UPSERT_ORDER)
+        changes = latest_state(read_log(spark, log).where(F.col("batch_id") == batch), ["id"], ["seq"])
         state = changes if state is None else merge_snapshot(state, changes, ["id"])
     return _timestamps_as_text(state)
 
@@ -261,6 +286,20 @@ def stream_upsert_state(spark, sf_dir):
     return current_state(spark, log).select(*CHECKED)
 
 
+def stream_state_after_compaction(spark, sf_dir):
+    """The same state from a snapshot of the first stream's batches and what the second one adds."""
+    inbox, log, checkpoint, folder = (fresh_dir(spark, n) for n in ("inbox", "lines", "progress", "state"))
+    snapshot = None
+    for arriving in (fx.messages(spark, sf_dir), fx.later_messages(spark, sf_dir)):
+        arriving.write.mode("append").parquet(inbox)
+        _stream(spark, sf_dir, lambda s: parquet_messages(s, inbox), Targets(log, checkpoint))
+        if snapshot is None:
+            upto = read_log(spark, log).agg(F.max("batch_id")).head()[0]
+            name = f"state_{folder.rsplit('-', 1)[-1]}"
+            snapshot = compact(spark, log, upto, folder, name, buckets=8)
+    return current_state(spark, log, snapshot=snapshot).select(*CHECKED)
+
+
 QUERIES: dict[str, Query] = {
     "oms_channel_clean": oms_channel_clean,
     "master_store": master_store,
@@ -275,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "order_lines": order_lines,
     "quarantine_split": quarantine_split,
     "quarantine_lines": quarantine_lines,
+    "quarantine_rejects": quarantine_rejects,
     "json_as_text": json_as_text,
     "numeric_coerce": numeric_coerce,
     "quote_escape": quote_escape_text,
@@ -282,11 +322,14 @@ QUERIES: dict[str, Query] = {
     "store_lookup": store_lookup,
     "marketplace_lookup": marketplace_lookup,
     "order_lines_enriched": order_lines_enriched,
+    "order_lines_from_lineitem": order_lines_from_lineitem,
     "order_lines_shuffled": order_lines_shuffled,
     "order_lines_plain": order_lines_plain,
     "append_lines": append_lines,
     "upsert_latest": upsert_latest,
+    "upsert_null_keys": upsert_null_keys,
     "upsert_first_last_policy": upsert_first_last_policy,
     "stream_order_lines": stream_order_lines,
     "stream_upsert_state": stream_upsert_state,
+    "stream_state_after_compaction": stream_state_after_compaction,
 }

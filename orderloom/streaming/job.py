@@ -17,7 +17,7 @@ from orderloom.operators.dimensions import Lookup, channel_lookups
 from orderloom.operators.messages import classify_messages, order_headers, rejected, sound_headers
 from orderloom.operators.upsert import latest_state, merge_snapshot
 from orderloom.plans.order_lines import lines_of, to_sink
-from orderloom.session import any_path, ensure_checkpoint_dir
+from orderloom.session import any_path
 from orderloom.sources import jdbc
 from orderloom.sources.files import read_log, write_batch
 
@@ -38,19 +38,6 @@ class Targets:
     database: JdbcConfig | None = None
 
 
-def frozen_lookups(spark: SparkSession, channels: Reader, cfg: JobConfig) -> tuple[Lookup, Lookup]:
-    """Lookups over a snapshot of the channels. The snapshot is a checkpoint, so that a lost
-    executor cannot bring in rows read at another time; the small results are kept besides."""
-    ensure_checkpoint_dir(spark)
-    snapshot = channels(spark).select("channel_code", "channel_name").checkpoint()
-    return channel_lookups(snapshot, cfg.broadcast_limit, cfg.case_insensitive, keep=True)
-
-
-def _release(lookups: tuple[Lookup, Lookup]) -> None:
-    for lookup in lookups:
-        lookup.rows.unpersist()
-
-
 def _write(lines: DataFrame, targets: Targets, batch_id: int, cfg: JobConfig) -> None:
     rows = to_sink(lines, extra=LOGGED)
     write_batch(rows, targets.lines, batch_id)
@@ -87,18 +74,20 @@ def run_stream(
     """Start the job. `trigger` takes the keywords of `DataStreamWriter.trigger`."""
     if cfg.on_error == "quarantine" and not targets.rejects:
         raise ValueError("quarantine needs a folder for rejects")
-    if any_path(spark, f"{targets.lines}/batch_id=*") and not any_path(spark, f"{targets.checkpoint}/*"):
-        # Batch numbers would start again at 0 and replace the batches already there.
-        raise ValueError(f"{targets.lines} has batches of another run: use a new folder or its checkpoint")
-    frozen = frozen_lookups(spark, channels, cfg) if cfg.refresh == "never" else None
+    if targets.database is not None and cfg.null_text is None:
+        raise ValueError("a database needs a null_text: rows with NULL in the key cannot be upserted")
+    for folder in filter(None, (targets.lines, targets.rejects)):
+        if any_path(spark, f"{folder}/batch_id=*") and not any_path(spark, f"{targets.checkpoint}/*"):
+            # Batch numbers would start again at 0 and replace the batches already there.
+            raise ValueError(f"{folder} has batches of another run: use a new folder or its checkpoint")
+
+    def read_lookups(session: SparkSession) -> tuple[Lookup, Lookup]:
+        return channel_lookups(channels(session), cfg.broadcast_limit, cfg.case_insensitive)
+
+    frozen = read_lookups(spark) if cfg.refresh == "never" else None
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        lookups = frozen or frozen_lookups(batch.sparkSession, channels, cfg)
-        try:
-            _process(batch, batch_id, *lookups, targets, cfg)
-        finally:
-            if frozen is None:
-                _release(lookups)
+        _process(batch, batch_id, *(frozen or read_lookups(batch.sparkSession)), targets, cfg)
 
     return (
         messages(spark)
@@ -109,23 +98,76 @@ def run_stream(
     )
 
 
-def current_state(spark: SparkSession, log: str, cfg: JobConfig = JobConfig()) -> DataFrame:
-    """The upserted table, from the whole log."""
-    return latest_state(read_log(spark, log), cfg.key_cols, ORDER, cfg.null_text is None)
+@dataclass(frozen=True)
+class Snapshot:
+    """A table, bucketed and sorted by the key, that holds the state up to and with a batch of the log."""
+
+    table: str
+    upto: int
+
+
+def current_state(
+    spark: SparkSession, log: str, cfg: JobConfig = JobConfig(), snapshot: Snapshot | None = None
+) -> DataFrame:
+    """The upserted table: a snapshot, if there is one, with the batches after it, which alone are read and shuffled."""
+    apart = cfg.null_text is None
+    rows = read_log(spark, log)
+    if snapshot is None:
+        return latest_state(rows, cfg.key_cols, ORDER, apart)
+    changes = latest_state(rows.where(F.col("batch_id") > snapshot.upto), cfg.key_cols, ORDER, apart)
+    return merge_snapshot(spark.table(snapshot.table), changes, cfg.key_cols, apart)
 
 
 def compact(
     spark: SparkSession,
     log: str,
-    after: int,
     upto: int,
-    snapshot: DataFrame | None,
-    path: str,
+    folder: str,
+    name: str = "order_state",
+    snapshot: Snapshot | None = None,
     cfg: JobConfig = JobConfig(),
-) -> None:
-    """Fold the batches `after < batch_id <= upto` into a snapshot and write it to a new folder."""
-    span = read_log(spark, log).where(F.col("batch_id").between(after + 1, upto))
+    buckets: int = 64,
+) -> Snapshot:
+    """Fold the batches after a snapshot, up to and with `upto`, into a new one in a folder of its own.
+
+    The old one is untouched, and once the new one is in use it may go, as may the batches it holds. Use the same
+    number of buckets throughout, large enough for a bucket to fit a task.
+    """
+    first = -1 if snapshot is None else snapshot.upto
+    if upto <= first:
+        raise ValueError(f"the snapshot holds batch {first} already")
+    span = read_log(spark, log).where(F.col("batch_id").between(first + 1, upto))
     apart = cfg.null_text is None
     changes = latest_state(span, cfg.key_cols, ORDER, apart)
-    merged = changes if snapshot is None else merge_snapshot(snapshot, changes, cfg.key_cols, apart)
-    merged.select(*S.SINK_COLUMNS).write.mode("error").parquet(path)
+    merged = changes
+    if snapshot is not None:
+        merged = merge_snapshot(spark.table(snapshot.table), changes, cfg.key_cols, apart)
+    made = Snapshot(f"{name}_{upto}", upto)
+    # Dealt out by the key as the table is, each task writes its own buckets only.
+    merged.select(*S.SINK_COLUMNS).repartition(buckets, *cfg.key_cols).write.bucketBy(buckets, *cfg.key_cols).sortBy(
+        *cfg.key_cols
+    ).option("path", _snapshot_path(folder, upto, buckets)).saveAsTable(made.table)
+    return made
+
+
+def _snapshot_path(folder: str, upto: int, buckets: int) -> str:
+    return f"{folder}/upto={upto},buckets={buckets}"
+
+
+def open_snapshot(
+    spark: SparkSession,
+    folder: str,
+    upto: int,
+    name: str = "order_state",
+    cfg: JobConfig = JobConfig(),
+    buckets: int = 64,
+) -> Snapshot:
+    """Make a snapshot written by another session known to this one's catalog."""
+    columns = ", ".join(f"{c} {t}" for c, t in S.SINK_TYPES.items())
+    keys = ", ".join(cfg.key_cols)
+    spark.sql(
+        f"""CREATE TABLE IF NOT EXISTS {name}_{upto} ({columns}) USING parquet
+        CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS
+        LOCATION '{_snapshot_path(folder, upto, buckets)}'"""
+    )
+    return Snapshot(f"{name}_{upto}", upto)

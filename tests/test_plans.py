@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 from builders import channels
 from conftest import SMALL
@@ -11,6 +13,7 @@ from orderloom import fixtures as fx
 from orderloom import schemas as S
 from orderloom.config import JobConfig
 from orderloom.operators import dimensions as d
+from orderloom.operators.enrich import hot_keys, lookup_overwrite, store_lookup
 from orderloom.operators.messages import order_lines
 from orderloom.operators.upsert import latest_state, merge_snapshot
 from orderloom.plans.order_lines import build
@@ -53,20 +56,63 @@ def test_large_lookups_are_joined_by_shuffle(spark, stored):
     assert text.index("posexplode") < text.index("SortMergeJoin")
 
 
-@pytest.mark.parametrize("shares", [JobConfig().lookup_shares, 1])
-def test_hot_keys_of_a_large_lookup_are_split(spark, stored, conf, shares):
+def hot_messages(stored):
+    """Half of the orders under one brand."""
+    return stored.repartition(16).withColumn("value", F.regexp_replace("value", r"BR\d*[02468]\b", "BR0"))
+
+
+def checked(rows):
+    key = [c for c in S.SINK_COLUMNS if c != "load_timestamp"]
+    return sorted(str([r[c] for c in key]) for r in rows)
+
+
+def test_hot_keys_of_a_large_lookup_may_be_split_at_run_time(spark, stored, conf):
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    hot = stored.repartition(16).withColumn("value", F.regexp_replace("value", r"BR\d*[02468]\b", "BR0"))
-    cfg = JobConfig(broadcast_limit=0, lookup_shares=shares)
-    df = build(hot, fx.oms_channel(spark, SMALL), cfg)
+    hot = hot_messages(stored)
+    df = build(hot, fx.oms_channel(spark, SMALL), JobConfig(broadcast_limit=0, lookup_shares=1))
     rows = df.collect()
     assert "SortMergeJoin(skew=true)" in plan(df)
-    small = build(hot, fx.oms_channel(spark, SMALL)).collect()
-    key = [c for c in S.SINK_COLUMNS if c != "load_timestamp"]
-    assert sorted(str([r[c] for c in key]) for r in rows) == sorted(str([r[c] for c in key]) for r in small)
+    assert checked(rows) == checked(build(hot, fx.oms_channel(spark, SMALL)).collect())
+
+
+def test_hot_keys_of_a_large_lookup_are_dealt_out(spark, conf):
+    """Without adaptive execution, and a third of the rows under one key, no task gets much more than its part."""
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "8")
+    rows = spark.range(30_000).selectExpr(
+        "cast(id as string) as id", "if(id % 3 = 0, 'hot', concat('k', id % 997)) as brand_id", "'x' as shop_name"
+    )
+    found = spark.range(997).selectExpr("concat('k', id) as brand_id", "concat('store ', id) as official_store")
+    found = found.union(spark.sql("select 'hot', 'hot store'"))
+    lookup = d.Lookup(found, "brand_id", "official_store", small=False)
+    assert hot_keys(rows, "brand_id", 64) == {"hot": 22}
+    joined = store_lookup(rows, lookup)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 1.6 * 30_000 / 8
+    plain = lookup_overwrite(rows, d.Lookup(found, "brand_id", "official_store", small=True), "brand_id", "shop_name")
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))
+    # Without a hot key nothing is copied.
+    even = spark.range(1000).selectExpr("concat('k', id) as brand_id", "'x' as shop_name")
+    assert hot_keys(even, "brand_id", 64) == {} and "explode" not in plan(store_lookup(even, lookup))
+
+
+def test_channels_are_read_once(spark, stored):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(code):
+        read.add(1)
+        return code
+
+    pairs = [(f"B{i}_shpe", f"Shopee - S{i}") for i in range(10)]
+    source = channels(spark, pairs).repartition(1).withColumn("channel_code", noted.asNondeterministic()("channel_code"))
+    df = build(stored, source)
+    df.collect()
+    assert read.value == 10
+    assert "channel_name" not in plan(df)
 
 
 def test_scan_reads_only_what_is_used(spark, stored):
@@ -139,6 +185,12 @@ def test_shared_folder_comes_from_the_session():
 
     named = Session(**{CHECKPOINT_CONF: "/shared/folder", "spark.master": "yarn"})
     assert shared_dir(named) == "/shared/folder"
-    assert shared_dir(Session(**{"spark.master": "local[4]"})).startswith("/tmp/")
+    assert shared_dir(Session(**{"spark.master": "local[4]"})).startswith(tempfile.gettempdir())
     with pytest.raises(ValueError, match=CHECKPOINT_CONF):
         shared_dir(Session(**{"spark.master": "yarn"}))
+
+
+def test_batches_are_read_in_one_scan(spark):
+    from orderloom.plans.registered import upsert_first_last_policy
+
+    assert "lineitem.parquet" not in plan(upsert_first_last_policy(spark, SMALL))

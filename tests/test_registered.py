@@ -33,11 +33,11 @@ def bag(columns, names, rows) -> Counter:
     return Counter(tuple(shown(row[i]) for i in places) for row in rows)
 
 
-def test_each_query_has_an_expected_result():
-    assert set(QUERIES) == set(ORACLES)
+def test_each_query_of_the_job_has_an_expected_result():
+    assert set(registered.QUERIES) <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query(spark, tables, name):
     got = QUERIES[name](spark, TESTDATA)
     want = tables.execute(ORACLES[name])

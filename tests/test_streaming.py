@@ -7,7 +7,7 @@ from builders import body, channels, line, message
 from conftest import SMALL
 
 from orderloom import fixtures as fx
-from orderloom.config import JobConfig
+from orderloom.config import JdbcConfig, JobConfig
 from orderloom.operators.upsert import latest_state
 from orderloom.plans.order_lines import build
 from orderloom.plans.registered import CHECKED
@@ -135,21 +135,45 @@ def test_channels_are_frozen_or_read_per_batch(spark, tmp_path, refresh, second)
     assert [r.shop_name for r in log.orderBy("batch_id").collect()] == ["Official", second]
 
 
-def test_compaction(spark, tmp_path):
-    log = str(tmp_path / "lines")
+def batch_log(spark, log):
     rows = fx.line_batches(spark, SMALL).selectExpr(
         "*", "seq as message_seq", "0L as message_row", "0 as line_pos"
     )
-    cfg = JobConfig(key_cols=("id",))
     for batch in range(fx.BATCHES):
         write_batch(rows.where(f"batch_id = {batch}").drop("batch_id", "seq"), log, batch)
-    job.compact(spark, log, -1, 0, None, str(tmp_path / "s0"), cfg)
-    first = spark.read.parquet(str(tmp_path / "s0"))
-    job.compact(spark, log, 0, fx.BATCHES - 1, first, str(tmp_path / "s1"), cfg)
+    return rows
+
+
+def test_compaction(spark, tmp_path, conf):
+    log, folder = str(tmp_path / "lines"), str(tmp_path / "state")
+    cfg = JobConfig(key_cols=("id",))
+    rows = batch_log(spark, log)
     want = latest_state(rows, cfg.key_cols, job.ORDER)
-    columns = want.columns
-    assert shown(spark.read.parquet(str(tmp_path / "s1")), columns) == shown(want, columns)
-    assert shown(job.current_state(spark, log, cfg), columns) == shown(want, columns)
+    first = job.compact(spark, log, 0, folder, "compacted", cfg=cfg, buckets=4)
+    assert first == job.Snapshot("compacted_0", 0)
+    later = job.current_state(spark, log, cfg, first)
+    assert shown(later, want.columns) == shown(want, want.columns)
+    assert shown(job.current_state(spark, log, cfg), want.columns) == shown(want, want.columns)
+
+    # Of the snapshot and the later batches, only the latter are read from the log, and only they are shuffled.
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    text = job.current_state(spark, log, cfg, first)._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line for line in text.splitlines()) == 1
+    assert "Exchange" not in text[text.index("SortMergeJoin") : text.index("SortAggregate")]
+    assert "(batch_id" in text and "> 0)" in text
+
+    second = job.compact(spark, log, fx.BATCHES - 1, folder, "compacted", first, cfg, buckets=4)
+    assert shown(spark.table(second.table), want.columns) == shown(want, want.columns)
+    with pytest.raises(ValueError, match="already"):
+        job.compact(spark, log, fx.BATCHES - 1, folder, "compacted", second, cfg, buckets=4)
+
+    # Another session finds the snapshot in its folder.
+    spark.sql(f"drop table {second.table}")
+    again = job.open_snapshot(spark, folder, second.upto, "compacted", cfg, buckets=4)
+    assert again == second and shown(spark.table(again.table), want.columns) == shown(want, want.columns)
+    for snapshot in (first, second):
+        spark.sql(f"drop table {snapshot.table}")
 
 
 def test_append(spark, tmp_path):
@@ -180,3 +204,34 @@ def test_new_checkpoint_needs_a_new_folder(spark, tmp_path):
     (tmp_path / "lines" / "batch_id=0").mkdir(parents=True)
     with pytest.raises(ValueError, match="another run"):
         run(spark, tmp_path)
+
+
+def test_new_checkpoint_needs_a_new_folder_for_rejects(spark, tmp_path):
+    write_text(tmp_path / "in", "a.txt", [message(), "{"])
+    quarantine = JobConfig(on_error="quarantine")
+
+    def start(checkpoint, lines):
+        targets = job.Targets(str(tmp_path / lines), str(tmp_path / checkpoint), str(tmp_path / "rejects"))
+        query = job.run_stream(
+            spark,
+            lambda s: text_messages(s, str(tmp_path / "in")),
+            lambda s: channels(s, CHANNELS),
+            targets,
+            quarantine,
+            {"availableNow": True},
+        )
+        query.awaitTermination()
+
+    start("c1", "l1")
+    first = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert [r.value for r in first] == ["{"]
+    with pytest.raises(ValueError, match="rejects has batches of another run"):
+        start("c2", "l2")
+    assert spark.read.parquet(str(tmp_path / "rejects")).collect() == first
+
+
+def test_a_database_needs_a_text_for_null(spark, tmp_path):
+    database = JdbcConfig(url="jdbc:x", table="t", username="u", password="p")
+    targets = job.Targets(str(tmp_path / "l"), str(tmp_path / "c"), database=database)
+    with pytest.raises(ValueError, match="null_text"):
+        job.run_stream(spark, lambda s: None, lambda s: None, targets, JobConfig(null_text=None))
