@@ -27,6 +27,7 @@ from orderloom.llm.common import hash_unit, ship, written
 PLACES = 1 << 12
 PER_LANGUAGE = 600
 UNDETERMINED = "und"
+LETTER = r"\p{L}"
 PIECE_BYTES = 1 << 20
 # Languages by family, fixed values; a language that is not listed is a family by itself.
 FAMILIES = {
@@ -147,7 +148,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Learn from `text` and `lang` of the rows that aren't held out. None if none of them has both."""
     ship(docs.sparkSession)
     known = docs.where(
-        ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+        ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(LETTER)
     )
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     chance = F.least(F.lit(1.0), F.lit(1.2 * per_language) / F.col("n"))
@@ -187,7 +188,7 @@ def predictions(docs: DataFrame, text: Column, model: Model | None) -> DataFrame
         told = [(None, None) if t is None else shared.value.predict(t) for t in texts]
         return pd.DataFrame(told, columns=["lang_pred", "score"])
 
-    told = docs.select(*names, predict(F.when(text.rlike(r"\p{L}"), text)).alias("__told"))
+    told = docs.select(*names, predict(F.when(text.rlike(LETTER), text)).alias("__told"))
     return told.select(
         *names,
         F.coalesce("__told.lang_pred", F.lit(UNDETERMINED)).alias("lang_pred"),

@@ -64,6 +64,7 @@ class Classifier:
 
     priors: tuple[int, ...]
     weights: tuple[tuple[int, ...], ...]
+    texts: int
 
 
 def _table(values) -> Column:
@@ -100,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, z_score: f
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     read = written(texts.select(*QUESTIONS, _features(F.col("text")).alias("places")), "labelled")
     tokens, texts_with = _counted(read, F.col("places")), _counted(read, F.array_distinct("places"))
-    priors, weights = [], []
+    priors, weights, labelled_texts = [], [], read.count()
     for q in QUESTIONS:
         yes, no = f"{q}1", f"{q}0"
         n_no, n_yes = [float(n or 0) for n in read.agg(*[F.sum((F.col(q) == a).cast("int")) for a in (0, 1)]).head()]
@@ -111,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, z_score: f
         n_no, n_yes = [n or 0 for n in plain.agg(*[F.sum((F.col(q) == a).cast("int")) for a in (0, 1)]).head()]
         priors.append(round(math.log((n_yes + 0.5) / (n_no + 0.5)) * UNIT))
         weights.append(tuple(told.tolist()))
-    return Classifier(tuple(priors), tuple(weights))
+    return Classifier(tuple(priors), tuple(weights), labelled_texts)
 
 
 def _without(read: DataFrame, telling: list[int]) -> DataFrame:
@@ -200,7 +201,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     classifier = fit(plain, labels)
     weighted = written(_weighted(plain, F.col("text"), classifier).drop("text"), "weighted")
-    return classifier, weighted, fit_rates(weighted, targets)
+    return classifier, weighted, fit_rates(weighted, targets) if classifier.texts else []
 
 
 def _copies(rate: Column, key: Column) -> Column:
@@ -218,8 +219,8 @@ def rates(
     """One row per document: doc_id, tokens, domain (the likeliest), p_clean, p_poor, p_toxic, rate, copies.
 
     A null or empty text has no tokens and no words, so it has the prior probabilities. Rows repeated
-    with id and text get the same rate and count as often as they come. Without labels or tokens all
-    rates are 1. An empty table gives an empty result.
+    with id and text get the same rate and count as often as they come. Without labelled texts or
+    tokens all rates are 1. An empty table gives an empty result.
     """
     _, weighted, steps = _fitted(docs, labels, targets, id_col, text_col)
     p = F.col("__p")
