@@ -26,7 +26,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    told = langid.predictions(docs, F.col("text"), langid.fit(docs))
+    model = langid.fit(docs)
+    if model is None:  # nothing to learn from is no reason to reject a text
+        return docs.where(F.col("text").rlike(langid.LETTER))
+    told = langid.predictions(docs, F.col("text"), model)
     return told.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 
 
