@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from orderloom.llm.pii import DISCLOSED, KINDS, REACH, SHORTEST_TERM, SUPPORT
 from orderloom.llm.sharding import SHARDS, SLOTS
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -115,10 +116,135 @@ select doc_id, len(w)::bigint as n_words, len(w) - coalesce(n_kept, 0) as n_remo
 from doc left join kept using (doc_id)
 """
 
+# --- personal data: matches and their places, then the terms that disclose an entity
+
+_WORD = "[0-9A-Za-z\\x{80}-\\x{10FFFF}]+"
+
+
+def _matches(pattern: str, what: str = "text") -> str:
+    """Columns value and start (in code points) of the matches in a text, one row each."""
+    return f"""hits[k] as value,
+        (list_sum([length(x) for x in pieces[1:k]]) + coalesce(list_sum([length(x) for x in hits[1:k - 1]]), 0))::bigint
+        as start
+        from (select *, string_split_regex({what}, '{pattern}') as pieces, regexp_extract_all({what}, '{pattern}') as hits
+              from doc), unnest(range(1, len(hits) + 1)) as u(k)"""
+
+
+_DIGITS = "regexp_replace(value, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum([
+        (case when i % 2 = 1 then d when d > 4 then 2 * d - 9 else 2 * d end)
+        for d, i in [substr(reverse({_DIGITS}), j + 1, 1)::int for j in range(length({_DIGITS}))]]) % 10 = 0"""
+_FOUND = " union all ".join(
+    f"select doc_id, {rank} as rank, '{kind}' as kind, {_matches(pattern.replace('(', '(?:') if kind != 'phone' else pattern)}"
+    for rank, (kind, (pattern, *_)) in enumerate(KINDS.items())
+)
+
+
+def _lower(x: str) -> str:
+    return f"translate({x}, '{UPPER}', '{UPPER.lower()}')"
+
+
+PERSONAL = f"""
+with doc as (select doc_id, coalesce(text, '') as text from documents),
+found as ({_FOUND}),
+base as (
+    select *, start + length(value) as stop, kind || ':' || {_lower("value")} as entity from found
+    where case kind
+        when 'ip' then len([p for p in string_split(value, '.') if p::double > 255]) = 0
+        when 'card' then length({_DIGITS}) between 12 and 19 and {_LUHN}
+        when 'phone' then length({_DIGITS}) between 9 and 15
+        else true end
+),
+sides as (
+    select entity, text, start, substr(text, greatest(start - {REACH - 1}, 1), least(start, {REACH})) as before,
+           substr(text, stop + 1, {REACH}) as after
+    from base join doc using (doc_id)
+),
+near as (
+    select distinct entity, text, unnest(
+        regexp_extract_all({_lower(f"case when start > {REACH} then regexp_replace(before, '^{_WORD}', '') else before end")}, '{_WORD}')
+        || regexp_extract_all({_lower(f"case when length(after) = {REACH} then regexp_replace(after, '{_WORD}$', '') else after end")}, '{_WORD}')
+    ) as term
+    from sides
+),
+n_e as (select entity, count(distinct text) as n_e from base join doc using (doc_id) group by 1),
+n_te as (select entity, term, count(*) as n_te from near where length(term) >= {SHORTEST_TERM} group by 1, 2),
+n_t as (
+    select term, count(*) as n_t
+    from (select distinct text, unnest(regexp_extract_all({_lower("text")}, '{_WORD}')) as term from doc)
+    where term in (select term from n_te where n_te >= {SUPPORT}) group by 1
+),
+disclosing as (
+    select entity, term from n_te join n_e using (entity) join n_t using (term),
+           (select count(distinct text)::double as n from doc)
+    where n_te >= {SUPPORT} and n_e >= {SUPPORT} and n > n_e
+      and ln(n * n_te / (n_t * n_e)) / ln(n / n_e) >= {DISCLOSED}
+),
+given_away as (select distinct doc_id, term from base join disclosing using (entity)),
+words as (select doc_id, {_matches(_WORD).replace("from doc)", "from doc where doc_id in (select doc_id from given_away))")}),
+terms as (
+    select doc_id, {len(KINDS)} as rank, 'term' as kind, start, start + length(value) as stop
+    from words w semi join given_away g on w.doc_id = g.doc_id and {_lower("w.value")} = g.term
+),
+spans as (
+    select doc_id, rank, kind, start, stop from base
+    union all
+    select * from terms t anti join base b on t.doc_id = b.doc_id and t.start < b.stop and b.start < t.stop
+),
+shown as (
+    select doc_id, string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) as spans,
+           string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) filter (rank < {len(KINDS)}) as base
+    from spans group by 1
+),
+counted as (
+    select doc_id, {", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in KINDS)} from base group by 1
+)
+select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in KINDS)},
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from doc left join shown using (doc_id) left join counted using (doc_id)
+"""
+
+# --- near duplicates: all pairs of texts that share a shingle
+
+NEAR = f"""
+with recursive texts as (
+    select coalesce(text, '') as text, min(doc_id) as node, count(*) as copies from documents group by 1
+),
+words as (select node, regexp_extract_all({LOWERED}, '{_WORD}') as w from texts),
+bags as (
+    select node, shingle, count(*) as weight
+    from (select node, unnest([array_to_string(w[i + 1:i + least(5, len(w))], ' ')
+                               for i in range(len(w) - least(5, len(w)) + 1)]) as shingle
+          from words where len(w) > 0)
+    group by 1, 2
+),
+sizes as (select node, sum(weight) as size from bags group by 1),
+shared as (
+    select a.node as a, b.node as b, sum(least(a.weight, b.weight)) as n
+    from bags a join bags b on a.shingle = b.shingle and a.node < b.node group by 1, 2
+),
+links as (
+    select a, b from shared join sizes x on x.node = a join sizes y on y.node = b
+    where n / (x.size + y.size - n) >= 0.8
+),
+reached as (
+    select node, node as other from texts
+    union
+    select node, case when other = a then b else a end from reached join links on other in (a, b)
+),
+classes as (select node, min(other) as class_id from reached group by 1),
+sized as (select class_id, sum(copies)::bigint as class_size from classes join texts using (node) group by 1)
+select d.doc_id, class_id, class_size, d.doc_id = class_id as kept
+from documents d join texts t on coalesce(d.text, '') = t.text
+join classes using (node) join sized using (class_id)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_sharding": SHARDING,
+    "op4_pii": PERSONAL,
     "op6_warc": WARC,
     "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRINGS,
+    "op10_near_dedup": NEAR,
 }
