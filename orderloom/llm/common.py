@@ -50,11 +50,6 @@ def hash_unit(*columns: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11)) / F.lit(float(1 << 53))
 
 
-def literal_longs(values: list[int]) -> Column:
-    """A constant array, folded to one literal when the plan is made."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
-
-
 def small_enough(df: DataFrame, row_bytes: Column | int, limit: int) -> DataFrame:
     """The table, to be broadcast if it was measured to be within the limit."""
     size = df.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).head()[0] or 0

@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import SEPARATORS, literal_longs, words_of, written
+from orderloom.llm import bitmaps
+from orderloom.llm.common import SEPARATORS, words_of, written
 
 WINDOW = 13
 EVERY_NTH = 3
-BITMAP_BITS = 1 << 20
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A document counts as contaminated where one word in so many is hit.
 ONE_IN = 20
@@ -41,43 +41,20 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def _bit(words: Column, start: Column, length: int, bits: int) -> Column:
     """The bit of the window that begins at `start`: a hash of every third word and the last."""
     places = sorted({*range(0, length, EVERY_NTH), length - 1})
-    return F.xxhash64(*[words[(start + k).cast("int")] for k in places]).bitwiseAND(F.lit(bits - 1))
+    return bitmaps.bit_of(*[words[(start + k).cast("int")] for k in places], bits=bits)
 
 
-def _mask(bit: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
-
-
-def _bitmap(grams: DataFrame, length: int, bits: int) -> list[int]:
-    """The bits of all windows of one length. The driver gets at most bits / 64 numbers."""
-    rows = (
-        grams.where(F.col("length") == length)
-        .select(F.split("gram", " ").alias("words"))
-        .select(_bit(F.col("words"), F.lit(0), length, bits).alias("bit"))
-        .select(F.shiftright("bit", 6).cast("int").alias("place"), _mask(F.col("bit")).alias("mask"))
-        .groupBy("place")
-        .agg(F.bit_or("mask").alias("mask"))
-    )
-    out = [0] * (bits // 64)
-    for row in rows.collect():
-        out[row["place"]] = row["mask"]
-    return out
-
-
-def _windows_let_through(length: int, bitmap: list[int]) -> Column:
-    """Starts of the windows whose bit is set. A start and its bit travel as one number."""
-    bits = 64 * len(bitmap)
+def _windows_let_through(grams: DataFrame, length: int, bits: int) -> Column:
+    """The windows of one length whose bit is set. A start and its bit travel as one number."""
+    own = grams.where(F.col("length") == length).select(F.split("gram", " ").alias("words"))
+    table = bitmaps.constant(bitmaps.gathered(own, _bit(F.col("words"), F.lit(0), length, bits), bits))
     shift = bits.bit_length() - 1
     starts = F.sequence(F.lit(0).cast("bigint"), F.size("words").cast("bigint") - length)
     probed = F.transform(
         starts,
         lambda i: F.shiftleft(i, shift).bitwiseOR(_bit(F.col("words"), i, length, bits)),
     )
-    table = literal_longs(bitmap)
-    passed = F.filter(
-        probed,
-        lambda v: table[F.shiftright(v.bitwiseAND(F.lit(bits - 1)), 6).cast("int")].bitwiseAND(_mask(v)) != 0,
-    )
+    passed = F.filter(probed, lambda v: bitmaps.holds(table, v.bitwiseAND(F.lit(bits - 1))))
     return F.when(
         F.size("words") >= length,
         F.transform(
@@ -93,10 +70,10 @@ def _windows_let_through(length: int, bitmap: list[int]) -> Column:
     ).otherwise(F.array().cast("array<struct<start:int,length:int,gram:string>>"))
 
 
-def scanned(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str, bits: int = BITMAP_BITS) -> DataFrame:
+def scanned(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str, bits: int = bitmaps.BITS) -> DataFrame:
     """One row per document, written: row, doc_id, text_key, n_words and the windows let through."""
     lengths = sorted(r["length"] for r in grams.select("length").distinct().collect())
-    found = [_windows_let_through(n, _bitmap(grams, n, bits)) for n in lengths]
+    found = [_windows_let_through(grams, n, bits) for n in lengths]
     none = F.array().cast("array<struct<start:int,length:int,gram:string>>")
     words = docs.select(
         F.monotonically_increasing_id().alias("row"),

@@ -171,6 +171,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     rows = sample.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "features").collect()
     if not rows:
         return None
+    rows.sort(key=lambda r: (r["lang"], r["features"]))  # the same model whatever order the tasks ended in
     texts = np.stack([np.frombuffer(r["features"], dtype=np.float32) for r in rows])
     return _train(texts, np.array([r["lang"] for r in rows], dtype=object))
 

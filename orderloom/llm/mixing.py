@@ -94,8 +94,8 @@ def _counted(read: DataFrame, places: Column) -> dict[str, np.ndarray]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, z_score: float = Z_SCORE) -> Classifier:
-    """Learn from at most `labelled` of the labels, taken by a hash of the id. A null label is no answer, and a
-    question with one kind of answer only is left at even odds."""
+    """Learn from at most `labelled` of the labels, taken by a hash of the id. A null label is no answer; to a
+    question with one kind of answer only, that is the likely one for all texts."""
     answers = labels.select(labels["doc_id"].alias("doc_id"), *[labels[q].cast("int").alias(q) for q in QUESTIONS])
     sample = answers.where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", *QUESTIONS).limit(labelled)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")

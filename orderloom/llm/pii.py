@@ -26,7 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import SEPARATORS, literal_longs, lower_ascii, small_enough, words_of, written
+from orderloom.llm import bitmaps
+from orderloom.llm.common import SEPARATORS, lower_ascii, small_enough, words_of, written
 
 # kind: plain pattern (fixed values), the same pattern without needless search, what a text must hold.
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -49,7 +50,6 @@ REACH = 80
 SUPPORT = 3
 DISCLOSED = 0.8
 SHORTEST_TERM = 4
-BITMAP_BITS = 1 << 20
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
@@ -144,25 +144,6 @@ def neighbourhoods(found: DataFrame) -> DataFrame:
     )
 
 
-def _bit(word: Column) -> Column:
-    return F.xxhash64(word).bitwiseAND(F.lit(BITMAP_BITS - 1))
-
-
-def _mask(bit: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
-
-
-def _bitmap(terms: DataFrame) -> list[int]:
-    """The bits of all terms; the driver gets at most BITMAP_BITS / 64 numbers."""
-    out = [0] * (BITMAP_BITS // 64)
-    bits = terms.select(_bit(F.col("term")).alias("bit")).select(
-        F.shiftright("bit", 6).cast("int").alias("place"), _mask(F.col("bit")).alias("mask")
-    )
-    for row in bits.groupBy("place").agg(F.bit_or("mask").alias("mask")).collect():
-        out[row["place"]] = row["mask"]
-    return out
-
-
 def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
     """entity, term, disclosure: the terms over the threshold, from the counts of all distinct texts."""
     texts = F.lit(float(found.select("text_key").distinct().count()))
@@ -187,14 +168,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text")
     terms = written(pairs.select("term").distinct(), "terms")
     if terms.isEmpty():
         return pairs.select("entity", "term", F.lit(1.0).alias("disclosure"))
-    table = literal_longs(_bitmap(terms))
+    table = bitmaps.constant(bitmaps.gathered(terms, bitmaps.bit_of(F.col("term"))))
     seen = docs.select(
         F.sha2(F.coalesce(docs[text_col], F.lit("")), 256).alias("text_key"),
         F.array_distinct(
-            F.filter(
-                words_of(docs[text_col]),
-                lambda w: table[F.shiftright(_bit(w), 6).cast("int")].bitwiseAND(_mask(_bit(w))) != 0,
-            )
+            F.filter(words_of(docs[text_col]), lambda w: bitmaps.holds(table, bitmaps.bit_of(w)))
         ).alias("words"),
     )
     counts = (

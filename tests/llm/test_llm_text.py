@@ -80,7 +80,6 @@ def test_contamination(spark, limit):
 
 def test_a_full_bitmap_loses_nothing(spark, monkeypatch):
     docs, benchmark = sets()
-    monkeypatch.setattr(decontam, "BITMAP_BITS", 64)
     monkeypatch.setattr(decontam.scanned, "__defaults__", (64,))
     got = decontam.contamination(table(spark, docs), items(spark, benchmark))
     got = got.select("doc_id", "n_words", "n_hit", "n_items", F.array_join("items", ","), "contaminated")
