@@ -207,7 +207,8 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids += [i] * len(own)
             found += own
         columns = ("start", "end", "license", "saved", "covered", "missing", "extra", "block")
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string())
+        number, share, text = pa.int64(), pa.float64(), pa.string()
+        kinds = (number, number, text, share, share, pa.list_(text), pa.list_(text), text)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").take(pa.array(ids, pa.int64())),

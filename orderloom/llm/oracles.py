@@ -161,11 +161,13 @@ sides as (
     from base join doc using (doc_id)
 ),
 near as (
-    select distinct entity, text, unnest(
-        regexp_extract_all({_lower(f"case when start > {REACH} then regexp_replace(before, '^{_WORD}', '') else before end")}, '{_WORD}')
-        || regexp_extract_all({_lower(f"case when length(after) = {REACH} then regexp_replace(after, '{_WORD}$', '') else after end")}, '{_WORD}')
-    ) as term
-    from sides
+    select distinct entity, text, unnest(regexp_extract_all({_lower("before || ' ' || after")}, '{_WORD}')) as term
+    from (
+        select entity, text,
+               case when start > {REACH} then regexp_replace(before, '^{_WORD}', '') else before end as before,
+               case when length(after) = {REACH} then regexp_replace(after, '{_WORD}$', '') else after end as after
+        from sides
+    )
 ),
 n_e as (select entity, count(distinct text) as n_e from base join doc using (doc_id) group by 1),
 n_te as (select entity, term, count(*) as n_te from near where length(term) >= {SHORTEST_TERM} group by 1, 2),

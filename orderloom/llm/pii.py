@@ -139,9 +139,10 @@ def _near(text: Column, span: Column) -> Column:
 
 def neighbourhoods(found: DataFrame) -> DataFrame:
     """entity, text_key, terms: one row per entity found in a text."""
-    return found.where(F.size("spans") > 0).select(
-        "text_key", F.inline(F.transform("spans", lambda s: F.struct(_entity(s).alias("entity"), _near(F.col("text"), s).alias("terms"))))
+    beside = F.transform(
+        "spans", lambda s: F.struct(_entity(s).alias("entity"), _near(F.col("text"), s).alias("terms"))
     )
+    return found.where(F.size("spans") > 0).select("text_key", F.inline(beside))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:

@@ -250,7 +250,8 @@ def _writer(folder: str, archive_bytes: int):
             for page_id, url, payload, refers_to in zip(*batch.columns, strict=True):
                 archive = archive or _Archive(folder)
                 key = page_id.as_py()
-                archive.add(key, url.as_py(), record(key, url.as_py(), (payload.as_py() or "").encode(errors="replace"), refers_to.as_py()))
+                content = (payload.as_py() or "").encode(errors="replace")
+                archive.add(key, url.as_py(), record(key, url.as_py(), content, refers_to.as_py()))
                 if archive.size >= archive_bytes:
                     made.append(archive.close())
                     archive = None
