@@ -111,20 +111,23 @@ def _vote(names: list[str], margins: dict[tuple[str, str], float]) -> tuple[str,
 
 
 def _machine(x: np.ndarray, y: np.ndarray, rounds: int = 300, cost: float = 1.0) -> tuple[np.ndarray, float]:
-    """A linear machine with squared hinge loss, by accelerated gradient steps on standardised features."""
-    mean, spread = x.mean(0), x.std(0) + 1e-6
-    z = (x - mean) / spread / np.sqrt(x.shape[1])
+    """A linear machine with squared hinge loss, by accelerated gradient steps on standardised features. `x` is used up:
+    it is standardised in place, so that no second matrix of its size is held."""
+    mean, scale = x.mean(0), (x.std(0) + 1e-6) * np.float32(np.sqrt(x.shape[1]))
+    z = x
+    z -= mean
+    z /= scale
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    step = 1.0 / (1e-3 + 2 * cost * (1 + np.max((z * z).sum(1))))
-    w, b = np.zeros(z.shape[1]), 0.0
+    step = 1.0 / (1e-3 + 2 * cost * (1 + float(np.einsum("ij,ij->i", z, z).max())))
+    w, b = np.zeros(z.shape[1], dtype=np.float32), 0.0
     v, c = w.copy(), b
     for t in range(rounds):
-        slack = np.maximum(0.0, 1 - y * (z @ v + c)) * y * weight * 2 * cost
-        w_next, b_next = v + step * (z.T @ slack - 1e-3 * v), c + step * slack.sum()
+        slack = (np.maximum(0.0, 1 - y * (z @ v + c)) * y * weight * 2 * cost).astype(np.float32)
+        w_next, b_next = v + np.float32(step) * (slack @ z - np.float32(1e-3) * v), c + step * float(slack.sum())
         k = t / (t + 3)
-        v, c = w_next + k * (w_next - w), b_next + k * (b_next - b)
+        v, c = w_next + np.float32(k) * (w_next - w), b_next + k * (b_next - b)
         w, b = w_next, b_next
-    scaled = w / spread / np.sqrt(x.shape[1])
+    scaled = w / scale
     return scaled, float(b - scaled @ mean)
 
 
@@ -136,7 +139,7 @@ def _train(texts: np.ndarray, labels: np.ndarray) -> Model:
     for names, of in ((sorted(members), families), *((m, labels) for m in members.values())):
         for a, b in combinations(names, 2):
             rows = (of == a) | (of == b)
-            w, bias = _machine(texts[rows].astype(np.float64), np.where(of[rows] == a, 1.0, -1.0))
+            w, bias = _machine(texts[rows], np.where(of[rows] == a, 1.0, -1.0))
             pairs.append((a, b))
             weights.append(w)
             biases.append(bias)
@@ -172,8 +175,11 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], r["features"]))  # the same model whatever order the tasks ended in
-    texts = np.stack([np.frombuffer(r["features"], dtype=np.float32) for r in rows])
-    return _train(texts, np.array([r["lang"] for r in rows], dtype=object))
+    languages = np.array([r["lang"] for r in rows], dtype=object)
+    texts = np.empty((len(rows), PLACES), dtype=np.float32)
+    for i in range(len(rows)):
+        texts[i], rows[i] = np.frombuffer(rows[i]["features"], dtype=np.float32), None
+    return _train(texts, languages)
 
 
 def predictions(docs: DataFrame, text: Column, model: Model | None) -> DataFrame:
