@@ -79,5 +79,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    groups = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(groups.distinct(), docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = exact_groups(docs, id_col, text_col).where("kept")
+    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")).distinct()
+    digest = F.sha2(lower_ascii(docs[text_col]), 256)
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")) & (digest == F.col("__digest")), "left_semi")

@@ -68,9 +68,9 @@ def test_a_frequent_digest_is_found_and_settled_apart(spark):
 
 
 def test_documents_that_stay(spark):
-    stay = exact_dedup.drop_duplicates(table(spark, [(1, "a"), (2, "A"), (3, "b")]))
+    stay = exact_dedup.drop_duplicates(table(spark, [(1, "a"), (2, "A"), (3, "b"), (1, "c"), (None, None)]))
     assert stay.columns == ["text", "doc_id", "keep_id", "node", "kept"]
-    assert sorted(r["doc_id"] for r in stay.collect()) == [2, 3]
+    assert {(r["doc_id"], r["text"]) for r in stay.collect()} == {(2, "A"), (3, "b"), (1, "c"), (None, None)}
 
 
 def test_empty_tables(spark):
