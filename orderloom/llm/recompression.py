@@ -288,7 +288,7 @@ def repeated_spans(
     if number == 0:
         windows = texts.select("node", *[F.lit(0).cast("long").alias(c) for c in ("place", "d1", "d2")]).limit(0)
     elif number * 8 <= broadcast_bytes:
-        known = np.sort(again.toPandas()["key"].to_numpy().view(np.uint64))
+        known = np.sort(again.toArrow()["key"].to_numpy().view(np.uint64))
         shared = docs.sparkSession.sparkContext.broadcast(known)
         windows = texts.mapInArrow(_window_digests(window, shared), schema)
     else:
