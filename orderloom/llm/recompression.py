@@ -297,6 +297,8 @@ def repeated_spans(
         windows = texts.join(keys, "node").mapInArrow(_window_digests(window, None), schema)
     windows = written(windows, "windows")
     repeats = windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2")
+    # Written, the other side of the join is a plain table too, and Spark may split a window found very often.
+    repeats = written(repeats, "repeats")
     places = windows.join(repeats, ["d1", "d2"]).groupBy("node").agg(F.collect_set("place").alias("places"))
     spans = places.mapInArrow(_merged(window), f"node {node_type}, spans array<long>")
     return written(spans, "spans"), copied
