@@ -5,7 +5,7 @@ set of one-versus-one machines picks the family; within it, each pair of languag
 which looks at what tells just these two apart. All machines are linear and the features are means, so
 a machine's answer is the mean of one weight per n-gram: scoring is a lookup and a sum per text.
 
-The machines are fitted on at most `PER_LANGUAGE` labelled texts of each language, taken by a hash of the text
+The machines are fitted on at most `PER_LANGUAGE` distinct labelled texts of each language, taken by a hash of the text
 over all of the table; the executors turn these texts into features, and the driver gets a bounded
 matrix. Scoring covers whole texts, in pieces of bounded size.
 """
@@ -153,25 +153,36 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     known = docs.where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(LETTER)
     )
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Copies of a text count once: they neither lower the chance of the others nor take their places.
+    texts = known.select("lang", F.xxhash64("text").alias("draw")).distinct()
+    sizes = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     chance = F.least(F.lit(1.0), F.lit(1.2 * per_language) / F.col("n"))
     drawn = known.join(F.broadcast(sizes), "lang").where(hash_unit(F.col("text")) < chance)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             rows = batch.to_pydict()
-            made = [features(t).tobytes() for t in rows["text"]]
-            yield pa.RecordBatch.from_pydict({"lang": rows["lang"], "draw": rows["draw"], "features": made})
-
+            new = []
+            for i, key in enumerate(zip(rows["lang"], rows["draw"], strict=True)):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            if new:
+                made = {name: [rows[name][i] for i in new] for name in ("lang", "draw")}
+                made["features"] = [features(rows["text"][i]).tobytes() for i in new]
+                yield pa.RecordBatch.from_pydict(made)
+
+    schema = "lang string, draw long, features binary"
     sample = written(
-        drawn.select("lang", F.xxhash64("text", "doc_id").alias("draw"), "text").mapInArrow(
-            read, "lang string, draw long, features binary"
-        ),
-        "language-sample",
+        drawn.select("lang", F.xxhash64("text").alias("draw"), "text").mapInArrow(read, schema), "language-sample"
     )
-    # The draw holds somewhat more than per_language texts of each language; no more than that are taken.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "features"))
-    rows = sample.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "features").collect()
+    # The draw holds somewhat more than per_language texts of each language, each once a task; no more than that are
+    # taken, each once.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    taken = sample.select("lang", "draw").distinct().withColumn("rank", rank).where(F.col("rank") <= per_language)
+    once = sample.join(F.broadcast(taken.drop("rank")), ["lang", "draw"]).dropDuplicates(["lang", "draw"])
+    rows = once.select("lang", "features").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], r["features"]))  # the same model whatever order the tasks ended in

@@ -265,6 +265,19 @@ def test_labels_of_held_out_rows_are_not_learned(spark):
     assert "xx" not in langid.fit(docs).languages
 
 
+def test_copies_take_no_places_in_the_sample(spark, monkeypatch):
+    """A language of 60 texts beside thousands of copies of one: its distinct texts are learned, each once."""
+    rows = language_rows()
+    rows += [(10_000 + i, "the same english text again and again", "en") for i in range(50_000)]
+    learned = []
+    monkeypatch.setattr(langid, "_train", lambda texts, labels: learned.append((texts.copy(), labels)))
+    langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=40)
+    texts, labels = learned[0]
+    for lang in SAMPLES:
+        own = [t.tobytes() for t in texts[labels == lang]]
+        assert 30 <= len(own) <= 40 and len(set(own)) == len(own)
+
+
 def test_texts_without_a_language(spark):
     docs = spark.createDataFrame(language_rows(30), "doc_id long, text string, lang string")
     model = langid.fit(docs)
