@@ -6,7 +6,7 @@ as the next one's input, so a lost executor costs no earlier stage.
 The language model learns from the documents it is given; the held-out quarter is never learned from. Documents that it
 rejects are those without a letter. Near duplicates keep the document with the smallest id of each class. A
 document that benchmark passages make up by a twentieth or more is removed. Mixing repeats or drops documents
-by their fitted rate, toxic ones above all being dropped. The last stage adds `slot` and `shard`.
+by their fitted rate; toxic ones are thinned out to a sixteenth of the clean tokens, never repeated, and not all dropped. The last stage adds `slot` and `shard`.
 
 Null texts and texts without a letter leave in the first stage. Null ids take part in every stage; further
 columns are carried along. Empty tables give empty results.

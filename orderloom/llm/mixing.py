@@ -41,6 +41,8 @@ CLOSE = 1e-7
 TARGETS = {"clean": 0.80, "poor": 0.15, "toxic": 0.05}
 DOMAINS = ("clean", "poor", "toxic")
 QUESTIONS = ("toxic", "quality")
+# Domains that are never raised: their goal is no more than they have, and a text likely of them counts once at most.
+UNWANTED = ("toxic",)
 # Weights are kept as whole millionths, so that sums do not depend on their order.
 UNIT = 1_000_000
 
@@ -146,17 +148,23 @@ def _weighted(docs: DataFrame, text: Column, classifier: Classifier) -> DataFram
 
 
 def _rate(steps: list[list[float]]) -> Column:
-    """A row's rate after the steps taken so far: from 1, each step moves along `__p`, down to 0. The steps are data
-    of the expression, so that a further step needs no new code."""
+    """A row's rate after the steps taken so far: from 1, each step moves along `__p`, down to 0, and up to 1 for a text
+    likely unwanted. The steps are data of the expression, so that a further step needs no new code."""
     if not steps:
         return F.lit(1.0)
     k = len(DOMAINS)
+    unwanted = sum(F.col("__p")[DOMAINS.index(d)] for d in UNWANTED)
+    most = F.when(unwanted > 0.5, F.lit(1.0)).otherwise(F.lit(float("inf")))
     table = F.split(F.lit(",".join(repr(w) for step in steps for w in step)), ",").cast("array<double>")
     return F.aggregate(
         F.sequence(F.lit(0), F.lit(len(steps) - 1)),
         F.lit(1.0),
-        lambda rate, t: F.greatest(
-            F.lit(0.0), rate - sum((F.col("__p")[i] * table[t * k + i] for i in range(1, k)), F.col("__p")[0] * table[t * k])
+        lambda rate, t: F.least(
+            most,
+            F.greatest(
+                F.lit(0.0),
+                rate - sum((F.col("__p")[i] * table[t * k + i] for i in range(1, k)), F.col("__p")[0] * table[t * k]),
+            ),
         ),
     )
 
@@ -182,7 +190,9 @@ def fit_rates(weighted: DataFrame, targets: Mapping[str, float]) -> list[list[fl
 
     The budget is what the clean domain's tokens make at its target share, so clean texts are neither thinned
     out nor repeated to speak of; without clean tokens it is all tokens. Shares of domains that do
-    not occur are dealt out among the others.
+    not occur are dealt out among the others. Toxic texts are thinned out to their share, and stay as they are where
+    they have less. Their target should be above 0: hardly a text is surely not toxic, so a total of 0 would leave
+    the few surest texts only, many times over.
     """
     totals, gram = _sums(weighted, [])
     share = np.array([max(targets.get(d, 0.0), 0.0) for d in DOMAINS]) * (totals > 0)
@@ -190,6 +200,8 @@ def fit_rates(weighted: DataFrame, targets: Mapping[str, float]) -> list[list[fl
         return []
     share = share / share.sum()
     goal = share * (totals[0] / share[0] if share[0] else totals.sum())
+    unwanted = [DOMAINS.index(d) for d in UNWANTED]
+    goal[unwanted] = np.minimum(goal[unwanted], totals[unwanted])
     steps: list[list[float]] = []
     while len(steps) < STEPS and np.linalg.norm(totals - goal) > CLOSE * goal.sum():
         steps.append([float(w) for w in np.linalg.pinv(gram, hermitian=True) @ (totals - goal)])

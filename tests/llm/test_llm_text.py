@@ -347,6 +347,17 @@ def test_steps_reach_a_least_squares_solution(spark):
     assert (rate == 0).any() and np.allclose(totals / totals.sum(), [0.9, 0.08, 0.02], atol=1e-5)
 
 
+def test_few_toxic_documents_are_not_repeated(spark):
+    rows, labels = mixing_rows(1000)
+    rows = [r for r in rows if r[0] % 10 or r[0] % 50 == 0]
+    docs, labels = table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = mixing.rates(docs, labels).collect()
+    toxic = [r for r in got if r["doc_id"] % 10 == 0]
+    assert len(toxic) == 20 and all(r["domain"] == "toxic" and r["rate"] <= 1 and r["copies"] <= 1 for r in toxic)
+    mean = sum(r["rate"] for r in got) / len(got)
+    assert 0.5 < mean < 1.5 and max(r["rate"] for r in got) < 3
+
+
 def test_mixed_documents(spark):
     rows, labels = mixing_rows(200)
     docs = table(spark, rows + [(5000, None)])
