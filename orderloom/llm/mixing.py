@@ -29,6 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm import bitmaps
 from orderloom.llm.common import hash_unit, words_of, written
 
 WORD_PLACES = 1 << 14
@@ -216,9 +217,21 @@ def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id
     return classifier, weighted, fit_rates(weighted, targets) if classifier.texts else []
 
 
-def _copies(rate: Column, key: Column) -> Column:
-    """A whole number whose mean is the rate, by a hash of the id."""
-    return (F.floor(rate) + (hash_unit(key, F.lit("copies")) < rate - F.floor(rate)).cast("bigint")).cast("int")
+def _repeated(ids: DataFrame) -> Column | None:
+    """Whether `doc_id` may be on several rows: a bitmap of those that are, none if there are none."""
+    several = ids.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bitmap = bitmaps.gathered(several, bitmaps.bit_of(F.col("doc_id")))
+    return bitmaps.constant(bitmap) if any(bitmap) else None
+
+
+def _copies(rate: Column, key: Column, repeated: Column | None) -> Column:
+    """A whole number whose mean is the rate, by a hash of the id. Rows without an id of their own would share
+    the coin, so theirs is of the row. (Hashes skip nulls, so the row's number is no part of the others' coin.)"""
+    shared = key.isNull()
+    if repeated is not None:
+        shared = shared | bitmaps.holds(repeated, bitmaps.bit_of(key))
+    coin = hash_unit(key, F.lit("copies"), F.when(shared, F.monotonically_increasing_id()))
+    return (F.floor(rate) + (coin < rate - F.floor(rate)).cast("bigint")).cast("int")
 
 
 def rates(
@@ -231,7 +244,8 @@ def rates(
     """One row per document: doc_id, tokens, domain (the likeliest), p_clean, p_poor, p_toxic, rate, copies.
 
     A null or empty text has no tokens and no words, so it has the prior probabilities. Rows repeated
-    with id and text get the same rate and count as often as they come. Without labelled texts or
+    with id and text get the same rate and count as often as they come; rows that share an id, or have none, are
+    rounded each by itself, so that one run may keep others of them than the next. Without labelled texts or
     tokens all rates are 1. An empty table gives an empty result.
     """
     _, weighted, steps = _fitted(docs, labels, targets, id_col, text_col)
@@ -243,7 +257,7 @@ def rates(
         F.array(*[F.lit(d) for d in DOMAINS])[likeliest.cast("int")].alias("domain"),
         *[p[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
         "rate",
-        _copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+        _copies(F.col("rate"), F.col("doc_id"), _repeated(weighted.select("doc_id"))).alias("copies"),
     )
 
 
@@ -255,8 +269,8 @@ def mixed(
     text_col: str = "text",
 ) -> DataFrame:
     """The documents, each as often as its rate says, with their columns. Texts aren't shuffled."""
-    classifier, _, steps = _fitted(docs, labels, targets, id_col, text_col)
+    classifier, weighted, steps = _fitted(docs, labels, targets, id_col, text_col)
     rated = _weighted(docs, docs[text_col], classifier)
     # An outer generator keeps Catalyst from working out the rate a second time in a filter below it.
-    times = F.explode_outer(F.array_repeat(F.lit(1), _copies(_rate(steps), docs[id_col])))
+    times = F.explode_outer(F.array_repeat(F.lit(1), _copies(_rate(steps), docs[id_col], _repeated(weighted.select("doc_id")))))
     return rated.select(*docs.columns, times.alias("__copy")).where(F.col("__copy").isNotNull()).drop("__copy")

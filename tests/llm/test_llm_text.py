@@ -358,6 +358,24 @@ def test_few_toxic_documents_are_not_repeated(spark):
     assert 0.5 < mean < 1.5 and max(r["rate"] for r in got) < 3
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_that_share_an_id_are_rounded_each(spark, shared):
+    """A third of the rows have no id, or the same: the copies make the totals that the rates make."""
+    rows, labels = mixing_rows(1500)
+    rows = [(shared if i % 3 == 2 else i, t) for i, t in rows]
+    labels = [x for x in labels if x[0] % 3 != 2 and x[0] != shared]
+    docs, labels = table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    targets = {"clean": 0.6, "poor": 0.38, "toxic": 0.02}
+    for own in (True, False):
+        got = [r for r in mixing.rates(docs, labels, targets).collect() if (r["doc_id"] == shared) != own]
+        for domain in ("clean", "poor", "toxic"):
+            there = [r for r in got if r["domain"] == domain]
+            want = sum(r["rate"] for r in there)
+            assert len(there) > 30 and abs(sum(r["copies"] for r in there) - want) < 4 * (0.25 * len(there)) ** 0.5
+    kept = sum(r["copies"] for r in mixing.rates(docs, labels, targets).collect())
+    assert abs(mixing.mixed(docs, labels, targets).count() - kept) < 4 * (0.25 * len(rows)) ** 0.5
+
+
 def test_mixed_documents(spark):
     rows, labels = mixing_rows(200)
     docs = table(spark, rows + [(5000, None)])
