@@ -7,8 +7,9 @@ as many unknowns as documents and as many equations as domains. It is solved by
 from r = 1: the residual, one number per domain, is a distributed sum; the step
 r <- max(0, r - p . w) with w = G^-1 residual is taken by each row for itself, where G, the sum of
 tokens * p p' over the rows whose rate is above 0, scales the gradient so that a step of one is right for
-any data. The driver holds a vector per domain and step, the documents are never gathered or shuffled, and a document's rate
-depends on its probabilities only, so long texts aren't preferred.
+any data while rates stay above 0; the steps to the least residual are kept. The driver holds a vector per domain
+and step, the documents are never gathered or shuffled, and a document's rate depends on its probabilities only,
+so long texts aren't preferred.
 
 Two yes-or-no questions make the domains: is a text toxic, and if not, is it of good quality? For each, the
 classifier counts how often a feature occurs in labelled texts of either answer (lower-cased words and the
@@ -21,6 +22,7 @@ fitted on at most `LABELLED` labelled texts; everything else covers all document
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 from orderloom.llm import bitmaps
 from orderloom.llm.common import hash_unit, words_of, written
 
+LOG = logging.getLogger(__name__)
+
 WORD_PLACES = 1 << 14
 ENDING_PLACES = 1 << 12
 LABELLED = 20_000
@@ -39,6 +43,7 @@ Z_SCORE = 5.0
 RATIO = 3.0
 STEPS = 40
 CLOSE = 1e-7
+HALVED = 12
 TARGETS = {"clean": 0.80, "poor": 0.15, "toxic": 0.05}
 DOMAINS = ("clean", "poor", "toxic")
 QUESTIONS = ("toxic", "quality")
@@ -194,6 +199,11 @@ def fit_rates(weighted: DataFrame, targets: Mapping[str, float]) -> list[list[fl
     not occur are dealt out among the others. Toxic texts are thinned out to their share, and stay as they are where
     they have less. Their target should be above 0: hardly a text is surely not toxic, so a total of 0 would leave
     the few surest texts only, many times over.
+
+    Whole steps may raise the residual for a while on their way to the targets (halving these at once ends
+    early, off targets that can be reached). If `STEPS` of them don't reach the targets, `HALVED` more start
+    from the best, and those that do not lower the residual are halved. The steps to the least residual are
+    returned; it is logged, as a warning where the targets are not met.
     """
     totals, gram = _sums(weighted, [])
     share = np.array([max(targets.get(d, 0.0), 0.0) for d in DOMAINS]) * (totals > 0)
@@ -204,9 +214,26 @@ def fit_rates(weighted: DataFrame, targets: Mapping[str, float]) -> list[list[fl
     unwanted = [DOMAINS.index(d) for d in UNWANTED]
     goal[unwanted] = np.minimum(goal[unwanted], totals[unwanted])
     steps: list[list[float]] = []
-    while len(steps) < STEPS and np.linalg.norm(totals - goal) > CLOSE * goal.sum():
-        steps.append([float(w) for w in np.linalg.pinv(gram, hermitian=True) @ (totals - goal)])
+    off = float(np.linalg.norm(totals - goal) / goal.sum())
+    best = off, steps, totals, gram
+    size, tried = 1.0, 0
+    while best[0] > CLOSE and tried < STEPS + HALVED:
+        if tried >= STEPS:  # whole steps did not lead there: from the best, those that lower the residual
+            off, steps, totals, gram = best
+        step = [float(size * w) for w in np.linalg.pinv(gram, hermitian=True) @ (totals - goal)]
+        steps = [*steps, step]
         totals, gram = _sums(weighted, steps)
+        off = float(np.linalg.norm(totals - goal) / goal.sum())
+        tried += 1
+        if off < best[0]:
+            best = off, steps, totals, gram
+        elif tried > STEPS:
+            size /= 2
+    off, steps, *_ = best
+    LOG.log(
+        logging.INFO if off <= CLOSE else logging.WARNING,
+        "mixing: after %d steps the totals are off their targets by %.3g of the budget", len(steps), off,
+    )
     return steps
 
 

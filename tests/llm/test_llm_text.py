@@ -347,6 +347,30 @@ def test_steps_reach_a_least_squares_solution(spark):
     assert (rate == 0).any() and np.allclose(totals / totals.sum(), [0.9, 0.08, 0.02], atol=1e-5)
 
 
+def test_the_least_residual_is_kept_and_reported(spark, caplog):
+    """Targets out of reach: the steps end at the least residual of all on the way, and this is logged."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    p = np.concatenate([rng.dirichlet([8, 4, 1], 150), rng.dirichlet([4, 8, 2], 150)])
+    tokens = rng.integers(1, 500, 300)
+    weighted = spark.createDataFrame(
+        [(int(t), [float(x) for x in q]) for t, q in zip(tokens, p, strict=True)], "__tokens long, __p array<double>"
+    )
+    with caplog.at_level("WARNING", logger="orderloom.llm.mixing"):
+        steps = mixing.fit_rates(weighted, {"clean": 0.98, "poor": 0.0, "toxic": 0.02})
+    total = tokens @ p
+    goal = np.array([total[0], 0.0, min(total[2], total[0] * 0.02 / 0.98)])
+    unwanted = p[:, 2] > 0.5
+    rate, off = np.ones(300), [np.linalg.norm(total - goal)]
+    for step in steps:
+        rate = np.maximum(0, rate - p @ np.array(step))
+        rate[unwanted] = np.minimum(rate[unwanted], 1)
+        off.append(np.linalg.norm((rate * tokens) @ p - goal))
+    assert len(steps) > 1 and min(off) == off[-1]
+    assert f"{off[-1] / goal.sum():.3g}" in caplog.text
+
+
 def test_few_toxic_documents_are_not_repeated(spark):
     rows, labels = mixing_rows(1000)
     rows = [r for r in rows if r[0] % 10 or r[0] % 50 == 0]
