@@ -2,10 +2,11 @@
 
 A block of text that restates a licence hardly needs any bytes once the licence is known. Each candidate block (a
 sentence with a word that licences use, and a paragraph that has several) is compressed with zstandard by
-itself and with each template as raw dictionary. Templates are ranked by the share of bytes saved; the
-first in rank whose wording bears it out wins: the words of block and template are aligned, the template has
-to be covered, and its naming words, such as a version, must all be there with no word put between them
-that would make it another licence. The differences are returned along with the finding.
+itself and with each template as raw dictionary whose naming words it holds. Templates are ranked by the bytes saved; the
+first in rank whose wording bears it out wins, however long the block: the words of the template and of a stretch
+of its length around a naming word are aligned, the template has to be covered, and its naming words, such as a
+version, must all be there with no word put between them that would make it another licence. The differences
+are returned along with the finding.
 
 Spark finds the texts that hold such a word at all; only these reach Python, each for itself.
 """
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import ship
 
 LEVEL = 3
-SAVED = 0.35
 COVERED = 0.75
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 # Words that licences use, fixed values; SPDX marks among them.
@@ -143,8 +143,8 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
 class Scanner:
     """Compressors of a task, one per template."""
 
-    def __init__(self, templates=TEMPLATES, saved: float = SAVED, covered: float = COVERED):
-        self.saved, self.covered = saved, covered
+    def __init__(self, templates=TEMPLATES, covered: float = COVERED):
+        self.covered = covered
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False)
         self.known = []
         for name, naming, text in templates:
@@ -154,17 +154,32 @@ class Scanner:
             )
             self.known.append((name, naming.split(), words(text), packer))
 
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """Share of bytes saved and number of template, the largest share first."""
+    def ranked(self, block: str, there: set[str]) -> list[tuple[float, int]]:
+        """Share of bytes saved and number of the templates whose naming words are there, the largest share first."""
+        named = [i for i, (_, naming, *_) in enumerate(self.known) if there.issuperset(naming)]
+        if not named:
+            return []
         data = block.lower().encode(errors="replace")
         alone = len(self.plain.compress(data))
-        shares = [(1 - len(packer.compress(data)) / alone, i) for i, (*_, packer) in enumerate(self.known)]
-        return sorted(((s, i) for s, i in shares if s >= self.saved), key=lambda x: (-x[0], x[1]))
+        shares = [(1 - len(self.known[i][3].compress(data)) / alone, i) for i in named]
+        return sorted(shares, key=lambda x: (-x[0], x[1]))
 
-    def compared(self, block: str, template: int) -> tuple[float, list[str], list[str]] | None:
-        """Coverage of the template, its words that are missing and words put in; None if it is another wording."""
+    def compared(self, there: list[str], template: int) -> tuple[float, list[str], list[str]] | None:
+        """Coverage of the template, its words that are missing and words put in; None if it is another wording.
+        Of several stretches of the block that bear it out, the one that covers most."""
         _, naming, own, _ = self.known[template]
-        there = words(block)
+        places = {w: [i for i, x in enumerate(there) if x == w] for w in set(naming)}
+        anchor = min(naming, key=lambda w: len(places[w]))
+        before, slack = own.index(anchor), 2 + len(own) // (4 if len(own) < 20 else 1)
+        after = len(own) - own[::-1].index(anchor) - before
+        found = []
+        for i in places[anchor]:
+            told = self._aligned(there[max(0, i - before - after - slack) : i + len(own) - before + slack], naming, own)
+            if told:
+                found.append(told)
+        return max(found, key=lambda f: (f[0], -len(f[2])), default=None)
+
+    def _aligned(self, there: list[str], naming: list[str], own: list[str]) -> tuple[float, list[str], list[str]] | None:
         same = [m for m in SequenceMatcher(None, there, own, autojunk=False).get_matching_blocks() if m.size]
         if not same:
             return None
@@ -184,8 +199,9 @@ class Scanner:
         found = []
         for start, end in blocks(text):
             block = text[start:end]
-            for saved, template in self.ranked(block):
-                told = self.compared(block, template)
+            there = words(block)
+            for saved, template in self.ranked(block, set(there)):
+                told = self.compared(there, template)
                 if told:
                     name, _, own, _ = self.known[template]
                     found.append(Finding(start, end, name, saved, *told, block, len(own) - len(told[1])))

@@ -223,6 +223,17 @@ def test_wordings(spark, text, want):
     assert Counter((r["doc_id"], r["license"]) for r in got) == Counter((i, w) for i in (1, 1, None) for w in want)
 
 
+def test_statements_inside_longer_sentences(spark):
+    """Word for word among other words, before and after, without a mark that ends the sentence."""
+    once = {name: t for name, _, t in reversed(license_scan.TEMPLATES) if len(t) < 90 and "SPDX" not in t}
+    prose = "the code in this repository and the pages beside it were written over many years by several people and "
+    rows = [(name, f"{prose * n}{t.rstrip('.')} {prose * n}") for name, t in once.items() for n in (1, 20)]
+    rows += [("none", f"this {prose * 3} work {prose} is in the museum of public art and has a domain license {prose}")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = Counter((r["doc_id"], r["license"]) for r in license_scan.licenses(docs).collect())
+    assert got == Counter({(name, name): 2 for name in once})
+
+
 def test_licenses_of_an_empty_table(spark):
     assert license_scan.licenses(table(spark, [(1, "a")]).limit(0)).count() == 0
 
