@@ -3,7 +3,7 @@
 A block of text that restates a licence hardly needs any bytes once the licence is known. Each candidate block (a
 sentence with a word that licences use, and a paragraph that has several) is compressed with zstandard by
 itself and with each template as raw dictionary whose naming words it holds. Templates are ranked by the bytes saved; the
-first in rank whose wording bears it out wins, however long the block: the words of the template and of a stretch
+first in rank whose wording bears it out wins its place, however long the block, and others beside it stay: the words of the template and of a stretch
 of its length around a naming word are aligned, the template has to be covered, and its naming words, such as a
 version, must all be there with no word put between them that would make it another licence. The differences
 are returned along with the finding.
@@ -27,7 +27,7 @@ from orderloom.llm.common import ship
 
 LEVEL = 3
 COVERED = 0.75
-WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*", re.IGNORECASE | re.ASCII)
 # Words that licences use, fixed values; SPDX marks among them.
 TRIGGERS = [
     "licen[cs]",
@@ -39,9 +39,21 @@ TRIGGERS = [
     "redistribution and use",
     "without warrant",
     "creative commons",
+    # What names a licence without any of these.
+    r"\bcc[ -]by\b",
+    r"\bcc0\b",
+    r"general public",
+    r"\b[al]?gpl\b",
+    r"\bapache\b",
+    r"mozilla public",
+    r"eclipse public",
+    r"\bunder the (?:mit|bsd|isc)\b",
+    r"unencumbered",
 ]
 TRIGGER = re.compile("|".join(TRIGGERS), re.IGNORECASE)
 BLANK_LINE = re.compile(r"(\n[ \t\r]*\n)")
+# A version is told by its number: v3, v3.0 and 3.0 are 3.
+VERSION = re.compile(r"v?([0-9]+(?:\.[0-9]+)*?)(?:\.0)*")
 # "v. 2.0" does not end a sentence.
 SENTENCE_END = re.compile(r"(?<!\bv)[.!?](?=\s|$)|\n")
 SENTENCE_MARKS = (". ", "! ", "? ", "\n")
@@ -99,6 +111,40 @@ TEMPLATES = [
     ("CC-BY-ND-4.0", "cc by nd 4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "cc0 1.0 universal", "Licensed under Creative Commons CC0 1.0 Universal."),
     ("Unlicense", "released public domain", "This is free and unencumbered software released into the public domain."),
+    ("GPL-3.0", "gnu general public 3", "Licensed under the GNU General Public License v3.0."),
+    ("GPL-2.0", "gnu general public 2", "Licensed under the GNU General Public License v2.0."),
+    *[
+        (name, naming, f"SPDX-License-Identifier: {name}{suffix}")
+        for name, naming, suffix in [
+            ("GPL-2.0", "identifier gpl 2.0", "-only"),
+            ("LGPL-2.1", "identifier lgpl 2.1", "-only"),
+            ("LGPL-3.0", "identifier lgpl 3.0", "-only"),
+            ("AGPL-3.0", "identifier agpl 3.0", "-only"),
+            ("MPL-2.0", "identifier mpl 2.0", ""),
+            ("EPL-2.0", "identifier epl 2.0", ""),
+            ("BSD-2-Clause", "identifier bsd 2 clause", ""),
+            ("BSD-3-Clause", "identifier bsd 3 clause", ""),
+            ("ISC", "identifier isc", ""),
+        ]
+    ],
+    *[
+        (
+            f"{short}-{version}",
+            f"redistribute modify gnu {kind}general public {version}",
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+            f"{kind}General Public License as published by the Free Software Foundation, either version {version} of the "
+            "License, or (at your option) any later version.",
+        )
+        for short, kind, version in [
+            ("GPL", "", "2.0"),
+            ("GPL", "", "3.0"),
+            ("LGPL", "Lesser ", "2.1"),
+            ("LGPL", "Lesser ", "3.0"),
+            ("AGPL", "Affero ", "3.0"),
+        ]
+    ],
+    ("LGPL-2.1", "gnu lesser general public 2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("EPL-2.0", "eclipse public 2.0", "Licensed under the Eclipse Public License, version 2.0."),
     ("Public-Domain", "public domain", "This work is in the public domain."),
     ("Proprietary", "all rights reserved", "All rights reserved."),
 ]
@@ -115,10 +161,12 @@ class Finding:
     extra: list[str]
     block: str
     matched: int
+    part: bool
 
 
 def words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    found = [w.lower() for w in WORD.findall(text)]
+    return [v[1] if (v := VERSION.fullmatch(w)) else w for w in found]
 
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
@@ -152,7 +200,7 @@ class Scanner:
             packer = zstandard.ZstdCompressor(
                 level=LEVEL, dict_data=raw, write_checksum=False, write_content_size=False
             )
-            self.known.append((name, naming.split(), words(text), packer))
+            self.known.append((name, words(naming), words(text), packer))
 
     def ranked(self, block: str, there: set[str]) -> list[tuple[float, int]]:
         """Share of bytes saved and number of the templates whose naming words are there, the largest share first."""
@@ -164,9 +212,9 @@ class Scanner:
         shares = [(1 - len(self.known[i][3].compress(data)) / alone, i) for i in named]
         return sorted(shares, key=lambda x: (-x[0], x[1]))
 
-    def compared(self, there: list[str], template: int) -> tuple[float, list[str], list[str]] | None:
-        """Coverage of the template, its words that are missing and words put in; None if it is another wording.
-        Of several stretches of the block that bear it out, the one that covers most."""
+    def compared(self, there: list[str], template: int) -> list[tuple[int, int, float, list[str], list[str]]]:
+        """For each stretch of the block that bears the template out, the one that covers most first: its words,
+        coverage of the template, its words that are missing and words put in."""
         _, naming, own, _ = self.known[template]
         places = {w: [i for i, x in enumerate(there) if x == w] for w in set(naming)}
         anchor = min(naming, key=lambda w: len(places[w]))
@@ -174,12 +222,13 @@ class Scanner:
         after = len(own) - own[::-1].index(anchor) - before
         found = []
         for i in places[anchor]:
-            told = self._aligned(there[max(0, i - before - after - slack) : i + len(own) - before + slack], naming, own)
+            start = max(0, i - before - after - slack)
+            told = self._aligned(there[start : i + len(own) - before + slack], naming, own)
             if told:
-                found.append(told)
-        return max(found, key=lambda f: (f[0], -len(f[2])), default=None)
+                found.append((start + told[0], start + told[1], *told[2:]))
+        return sorted(found, key=lambda f: (-f[2], len(f[4]), f[0]))
 
-    def _aligned(self, there: list[str], naming: list[str], own: list[str]) -> tuple[float, list[str], list[str]] | None:
+    def _aligned(self, there: list[str], naming: list[str], own: list[str]):
         same = [m for m in SequenceMatcher(None, there, own, autojunk=False).get_matching_blocks() if m.size]
         if not same:
             return None
@@ -193,22 +242,27 @@ class Scanner:
         between = [k for k in range(names[0], names[-1]) if k not in held] if names else []
         if covered < self.covered or set(naming) & set(missing) or (between and len(own) < 20):
             return None
-        return covered, missing, extra
+        return first, last, covered, missing, extra
 
     def scan(self, text: str) -> list[Finding]:
         found = []
         for start, end in blocks(text):
             block = text[start:end]
-            there = words(block)
+            there, own_found = words(block), []
             for saved, template in self.ranked(block, set(there)):
-                told = self.compared(there, template)
-                if told:
-                    name, _, own, _ = self.known[template]
-                    found.append(Finding(start, end, name, saved, *told, block, len(own) - len(told[1])))
-                    break
-        # Of findings that overlap, the one with more of its template stays, then the shorter block.
+                for first, last, *told in self.compared(there, template):
+                    if all(last <= x or y <= first for x, y, *_ in own_found):
+                        own_found.append((first, last, template, saved, told))
+            # A block with one licence is its finding; of several, each is where its wording stands.
+            part = len(own_found) > 1
+            places = [m.span() for m in WORD.finditer(block)] if part else []
+            for first, last, template, saved, told in own_found:
+                name, _, own, _ = self.known[template]
+                x, y = (start + places[first][0], start + places[last - 1][1]) if part else (start, end)
+                found.append(Finding(x, y, name, saved, *told, text[x:y], len(own) - len(told[1]), part))
+        # Of findings that overlap, the one with more of its template stays, then a whole block, then the shorter one.
         kept: list[Finding] = []
-        for one in sorted(found, key=lambda f: (-f.matched, f.end - f.start, f.start)):
+        for one in sorted(found, key=lambda f: (-f.matched, f.part, f.end - f.start, f.start)):
             if all(one.end <= k.start or k.end <= one.start for k in kept):
                 kept.append(one)
         return sorted(kept, key=lambda f: f.start)

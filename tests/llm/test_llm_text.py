@@ -234,6 +234,34 @@ def test_statements_inside_longer_sentences(spark):
     assert got == Counter({(name, name): 2 for name in once})
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0"]),
+        ("// SPDX-License-Identifier: LGPL-2.1-only", ["LGPL-2.1"]),
+        ("SPDX-License-Identifier: BSD-3-Clause", ["BSD-3-Clause"]),
+        ("SPDX-License-Identifier: ISC", ["ISC"]),
+        ("It is licensed under the GNU General Public License v3.0.", ["GPL-3.0"]),
+        ("Available under CC BY 4.0", ["CC-BY-4.0"]),
+        ("Licensed under the Eclipse Public License, version 2.0.", ["EPL-2.0"]),
+        (
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+            "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+            "option) any later version.",
+            ["GPL-3.0"],
+        ),
+        (
+            "It is licensed under the Apache License, Version 2.0 or released under the MIT License at your option",
+            ["Apache-2.0", "MIT"],
+        ),
+    ],
+)
+def test_further_notices(spark, text, want):
+    got = license_scan.licenses(table(spark, [(1, text)])).collect()
+    assert [r["license"] for r in got] == want
+    assert all(text[r["start"] : r["end"]] == r["block"] for r in got)
+
+
 def test_licenses_of_an_empty_table(spark):
     assert license_scan.licenses(table(spark, [(1, "a")]).limit(0)).count() == 0
 
