@@ -4,7 +4,7 @@ Every stage but the last returns the columns of documents. A stage's rows are wr
 as the next one's input, so a lost executor costs no earlier stage.
 
 The language model learns from the documents it is given; the held-out quarter is never learned from. Documents that it
-rejects are those without a letter. Near duplicates keep the document with the smallest id of each class. A
+rejects are those without a letter: its predictions and scores decide nothing here. Near duplicates keep the document with the smallest id of each class. A
 document that benchmark passages make up by a twentieth or more is removed. Mixing repeats or drops documents
 by their fitted rate; toxic ones are thinned out to a sixteenth of the clean tokens, never repeated, and not all dropped. The last stage adds `slot` and `shard`.
 
@@ -57,7 +57,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("shards", shards),
 ]
 
-# Learned models decide in three of the stages.
+# A learned model decides in the mixture stage only.
 ORACLE_SQL = None
 
 
