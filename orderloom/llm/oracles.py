@@ -241,6 +241,116 @@ from documents d join texts t on coalesce(d.text, '') = t.text
 join classes using (node) join sized using (class_id)
 """
 
+# --- ranked search: every document that shares a term with an item
+
+_TERMS = f"regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+RANKED = f"""
+with doc as (select doc_id, {_TERMS} as w from documents),
+total as (select count(*) as documents, sum(len(w))::bigint as terms from doc where len(w) > 0),
+held as (
+    select doc_id, term, n, count(*) as tf from (select doc_id, len(w) as n, unnest(w) as term from doc) group by all
+),
+weights as (
+    select term, floor(1000 * ln((2 * any_value(documents) + 2)::double / (2 * count(*) + 1)))::bigint as weight
+    from held, total group by 1
+),
+asked as (select distinct item_id, unnest({_TERMS}) as term from benchmark),
+scored as (
+    select item_id, doc_id,
+           sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // terms))))::bigint as score
+    from asked join weights using (term) join held using (term), total group by 1, 2
+),
+placed as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+    from scored where score > 0
+)
+select * from placed where rank <= 50
+"""
+
+# --- a Merkle manifest, level by level; six levels are enough for 16 million rows a source
+
+
+def _crc32(text: str) -> str:
+    """Of an ASCII text, bit by bit."""
+    codes = f"[ascii(substr({text}, (i + 1)::int, 1))::bigint for i in range(length({text}))]"
+    bits = "lambda d, j: case when d & 1 = 1 then xor(d >> 1, 3988292384) else d >> 1 end"
+    each = f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), {bits})"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), {each}), 4294967295)"
+
+
+def _part(column: str) -> str:
+    text = f"{column}::varchar"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_part, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _tree(name: str, levels: int, tree: str) -> str:
+    """Tables {name}0 (tree, place, digest), {name}1, ...; and {name}_step: a node's place, its siblings before and
+    after it, by level."""
+    ctes = []
+    for k in range(levels):
+        ctes.append(f"""{name}{k + 1} as (
+    select {tree}, place // 16 as place, case when max(n) = 1 then any_value(digest)
+           else sha256(string_agg(digest, '' order by place)) end as digest
+    from (select *, count(*) over (partition by {tree}) as n from {name}{k}) group by {tree}, place // 16
+), {name}_step{k} as (
+    select a.{tree} as {tree}, a.place as place,
+           coalesce(string_agg(b.digest, '' order by b.place) filter (b.place < a.place), '') as before,
+           coalesce(string_agg(b.digest, '' order by b.place) filter (b.place > a.place), '') as after,
+           any_value(n) = 1 as done
+    from {name}{k} a join (select *, count(*) over (partition by {tree}) as n from {name}{k}) b
+      on a.{tree} = b.{tree} and a.place // 16 = b.place // 16
+    group by a.{tree}, a.place, a.digest
+)""")
+    return ", ".join(ctes)
+
+
+_TREE_LEVELS, _TOP_LEVELS = 6, 2
+
+
+def _folded(digest: str, steps: list[str]) -> tuple[list[str], str]:
+    """Columns f1, f2, ...: the node after each step; nested selects would repeat long texts."""
+    out, last = [], digest
+    for k, step in enumerate(steps):
+        out.append(f"case when {step}.done then {last} else sha256({step}.before || {last} || {step}.after) end as f{k}")
+        last = f"f{k}"
+    return out, last
+
+
+_STEPS = [f"s{k}" for k in range(_TREE_LEVELS)] + [f"t{k}" for k in range(_TOP_LEVELS)]
+_FOLDS, _LAST_FOLD = _folded("shown", _STEPS)
+_STEP_JOINS = " ".join(
+    [f"join row_step{k} s{k} on s{k}.tree = r.tree and s{k}.place = r.place // {16**k}" for k in range(_TREE_LEVELS)]
+    + [f"join top_step{k} t{k} on t{k}.one = 0 and t{k}.place = p.place // {16**k}" for k in range(_TOP_LEVELS)]
+)
+
+MERKLE = f"""
+with leaves as (
+    select doc_id, source, coalesce('s' || source, '') as tree, {_leaf("text")} as digest,
+           case when crc % 5 = 0 then {_leaf("lowered")} else {_leaf("text")} end as shown
+    from (select *, case when text is not null then {LOWERED} end as lowered,
+                 {_crc32('doc_id::varchar')} as crc from documents)
+), row0 as (
+    select tree, row_number() over (partition by tree order by doc_id nulls first, digest) - 1 as place, * exclude (tree)
+    from leaves
+), {_tree("row", _TREE_LEVELS, "tree")},
+top0 as (
+    select 0 as one, row_number() over (order by tree) - 1 as place, tree, digest from row{_TREE_LEVELS}
+), {_tree("top", _TOP_LEVELS, "one")}
+select doc_id, source, leaf, subroot, root, sha256(siblings) as proof_sha256, folded as folded_root,
+       folded = root as verified
+from (
+    select r.doc_id, r.source, r.digest as leaf, p.digest as subroot, t.digest as root,
+           {" || ".join(f"{s}.before || {s}.after" for s in _STEPS)} as siblings,
+           {", ".join(_FOLDS)}, {_LAST_FOLD} as folded
+    from row0 r join top0 p on r.tree = p.tree, top{_TOP_LEVELS} t {_STEP_JOINS}
+)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_sharding": SHARDING,
@@ -249,4 +359,6 @@ ORACLES = {
     "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRINGS,
     "op10_near_dedup": NEAR,
+    "op12_ranked_search": RANKED,
+    "op13_merkle": MERKLE,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +13,14 @@ from orderloom.llm import (
     decontam,
     exact_dedup,
     langid,
+    lemp,
     license_scan,
+    merkle,
     mixing,
     pii,
     recompression,
     sharding,
+    token_counts,
     warc_zip,
 )
 from orderloom.llm.common import table
@@ -77,6 +81,20 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_groups(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return merkle.verified(docs, tampered=number % 5 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_sharding": op2_sharding,
@@ -88,4 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language": op9_language,
     "op10_near_dedup": op10_near_dedup,
+    "op11_token_counts": op11_token_counts,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_merkle": op13_merkle,
 }
