@@ -17,17 +17,26 @@ def _split(columns: Sequence[str], keys: Sequence[str]) -> tuple[list[str], list
     return [c for c in rest if c in S.FIRST_WINS], [c for c in rest if c in S.LAST_WINS]
 
 
+def loose_keys(keys: Sequence[str]) -> str:
+    """Whether a row has a NULL in its key."""
+    return " or ".join(f"{k} is null" for k in keys)
+
+
 def latest_state(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], null_keys_distinct: bool = False
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    null_keys_distinct: bool = False,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """The table after upserting `rows` in `order`: one row per key.
+    """The table after upserting `rows` in `order`: one row per key, or one per key within each group of rows.
 
     One shuffle on the key. Each task first reduces its own rows, so a key with very many rows
     sends one row per task. As in a unique index, rows with a NULL in the key can be kept apart.
     """
     first, last = _split(S.SINK_COLUMNS, keys)
     position = F.struct(*order)
-    group = [F.col(k) for k in keys]
+    group = [F.col(k) for k in (*within, *keys)]
     if null_keys_distinct:
         any_null = reduce(or_, [F.col(k).isNull() for k in keys])
         group.append(F.when(any_null, position).alias("_apart"))
@@ -36,7 +45,7 @@ def latest_state(
         F.max_by(F.struct(*last), position).alias("_last"),
     )
     source = {c: f"_first.{c}" for c in first} | {c: f"_last.{c}" for c in last}
-    return reduced.select(*[F.col(source.get(c, c)).alias(c) for c in S.SINK_COLUMNS])
+    return reduced.select(*within, *[F.col(source.get(c, c)).alias(c) for c in S.SINK_COLUMNS])
 
 
 def merge_snapshot(
@@ -49,7 +58,7 @@ def merge_snapshot(
     meet in one task.
     """
     if null_keys_distinct:
-        loose = " or ".join(f"{k} is null" for k in keys)
+        loose = loose_keys(keys)
         merged = _merge(current.where(f"not ({loose})"), changes.where(f"not ({loose})"), keys)
         apart = [side.where(loose).select(*S.SINK_COLUMNS) for side in (current, changes)]
         return merged.unionAll(apart[0]).unionAll(apart[1])

@@ -56,6 +56,7 @@ _DIMENSIONS = f"with {CHANNELS}, {SPLIT}"
 
 # --- messages
 
+# The channels' first statuses.
 _PAIRS = """(('blib','PU'), ('blib','FP'), ('lzda','unpaid'), ('lzda','pending'), ('lzda','packed'),
   ('shpe','PROCESSED'), ('shpe','READY_TO_SHIP'), ('shpe','UNPAID'), ('tkpd','220'),
   ('tktk','accepted'), ('tktk','packed'), ('tktk','unpaid'), ('zlra','pending'))"""
@@ -269,7 +270,12 @@ from headers h left join marketplace m on h.channel_code = m.mp_code""",
     "upsert_latest": _upserted(["id", "remote_order_item_id"]),
     "upsert_null_keys": _upserted(["id", "remote_order_item_id"], "cast(id as bigint) % 7 = 0"),
     "upsert_first_last_policy": _upserted(["id"]),
+    "upsert_touched_buckets": _upserted(["id"]),
     "stream_order_lines": ENRICHED,
+    "stream_committed_batches": f"""select o_orderkey % 2 as batch_id, o_orderkey as message_seq,
+  case when outcome = 'sound' then {fx.LINE_COUNT} else 0 end as n_lines
+  from (select *, {_OUTCOME} as outcome from orders)
+  where outcome not in ('dropped', 'sound') or outcome = 'sound' and {_HAS_LINES}""",
     "stream_upsert_state": _enriched(_lines(changed=_RENEWED)),
     "stream_state_after_compaction": _enriched(_lines(changed=_RENEWED)),
 }

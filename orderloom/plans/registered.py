@@ -17,13 +17,13 @@ from orderloom.functions.times import normalize_ts
 from orderloom.operators import dimensions as dims
 from orderloom.operators import enrich as en
 from orderloom.operators import messages as msg
-from orderloom.operators.upsert import latest_state, merge_snapshot
+from orderloom.operators.upsert import latest_state
 from orderloom.plans.order_lines import build, build_with_rejects
 from orderloom.session import fresh_dir
 from orderloom.sources.files import append_lines as append_columns
-from orderloom.sources.files import read_log
+from orderloom.sources.files import attempt_path, committed, new_attempt, read_log, write_batch
 from orderloom.sources.streams import parquet_messages, text_messages
-from orderloom.streaming.job import Targets, compact, current_state, run_stream
+from orderloom.streaming.job import Targets, compact, current_state, open_snapshot, read_rejects, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,20 +251,28 @@ def upsert_null_keys(spark, sf_dir):
 
 
 def upsert_first_last_policy(spark, sf_dir):
-    """One batch after the other merged into the table, keyed by order only. The batches are written once, as a log."""
-    log = fresh_dir(spark, "batches")
-    fx.line_batches(spark, sf_dir).write.partitionBy("batch_id").parquet(log)
-    state = None
+    """Keyed by order only: one reduce to a row per batch and key, of which the first and last batches decide."""
+    rows = fx.line_batches(spark, sf_dir)
+    by_batch = latest_state(rows, ["id"], ["seq"], within=["batch_id"])
+    return _timestamps_as_text(latest_state(by_batch, ["id"], ["batch_id"]))
+
+
+def upsert_touched_buckets(spark, sf_dir):
+    """The same from a bucketed snapshot of the first batch, the second one as deltas over it, the third one unfolded."""
+    log, folder = fresh_dir(spark, "batches"), fresh_dir(spark, "state")
+    rows = fx.line_batches(spark, sf_dir).selectExpr("*", "seq as message_seq", "0L as message_row", "0 as line_pos")
     for batch in range(fx.BATCHES):
-        changes = latest_state(read_log(spark, log).where(F.col("batch_id") == batch), ["id"], ["seq"])
-        state = changes if state is None else merge_snapshot(state, changes, ["id"])
-    return _timestamps_as_text(state)
+        write_batch(rows.where(F.col("batch_id") == batch).drop("batch_id", "seq"), log, batch)
+    cfg, snapshot = JobConfig(key_cols=("id",)), None
+    for batch in range(fx.BATCHES - 1):
+        snapshot = compact(spark, log, batch, folder, snapshot, cfg, buckets=16, merge_share=10.0)
+    return _timestamps_as_text(current_state(spark, log, cfg, open_snapshot(spark, folder, snapshot.upto, cfg)))
 
 
-def _stream(spark, sf_dir, reader, targets):
+def _stream(spark, sf_dir, reader, targets, cfg=JobConfig()):
     """Run the job on what has arrived, to its end."""
     query = run_stream(
-        spark, reader, lambda s: fx.oms_channel(s, sf_dir), targets, trigger={"availableNow": True}
+        spark, reader, lambda s: fx.oms_channel(s, sf_dir), targets, cfg, trigger={"availableNow": True}
     )
     query.awaitTermination()
 
@@ -277,6 +285,25 @@ def stream_order_lines(spark, sf_dir):
     return read_log(spark, log).select(*CHECKED)
 
 
+def stream_committed_batches(spark, sf_dir):
+    """What readers see of a quarantine stream in two batches beside the leavings of attempts that failed: lines and rejects
+    of committed batches, with the batch of each message."""
+    inbox, log, checkpoint, rejects = (fresh_dir(spark, n) for n in ("inbox", "lines", "progress", "rejects"))
+    targets, cfg = Targets(log, checkpoint, rejects), JobConfig(on_error="quarantine")
+    dirty = fx.dirty_messages(spark, sf_dir)
+    for batch in range(2):
+        part = dirty.where(F.col("message_seq") % 2 == batch)
+        part.write.mode("append").parquet(inbox)
+        _stream(spark, sf_dir, lambda s: parquet_messages(s, inbox), targets, cfg)
+        # Attempts at this batch and the next that got no further, with rows that are not true.
+        for tried in (batch, batch + 1):
+            part.selectExpr("cast(message_seq as string) as id").write.parquet(attempt_path(log, tried, new_attempt()))
+    lines = read_log(spark, log).select("batch_id", F.col("id").cast("bigint").alias("message_seq"))
+    lines = lines.groupBy("batch_id", "message_seq").agg(F.count(F.lit(1)).alias("n_lines"))
+    aside = read_rejects(spark, targets).select("batch_id", "message_seq", F.lit(0).cast("bigint").alias("n_lines"))
+    return lines.unionAll(aside)
+
+
 def stream_upsert_state(spark, sf_dir):
     """The upserted table after a stream that brings second messages about half of the orders."""
     inbox, log, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "lines", "progress"))
@@ -294,9 +321,7 @@ def stream_state_after_compaction(spark, sf_dir):
         arriving.write.mode("append").parquet(inbox)
         _stream(spark, sf_dir, lambda s: parquet_messages(s, inbox), Targets(log, checkpoint))
         if snapshot is None:
-            upto = read_log(spark, log).agg(F.max("batch_id")).head()[0]
-            name = f"state_{folder.rsplit('-', 1)[-1]}"
-            snapshot = compact(spark, log, upto, folder, name, buckets=8)
+            snapshot = compact(spark, log, max(committed(spark, log)), folder, buckets=8)
     return current_state(spark, log, snapshot=snapshot).select(*CHECKED)
 
 
@@ -329,7 +354,9 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": upsert_latest,
     "upsert_null_keys": upsert_null_keys,
     "upsert_first_last_policy": upsert_first_last_policy,
+    "upsert_touched_buckets": upsert_touched_buckets,
     "stream_order_lines": stream_order_lines,
+    "stream_committed_batches": stream_committed_batches,
     "stream_upsert_state": stream_upsert_state,
     "stream_state_after_compaction": stream_state_after_compaction,
 }

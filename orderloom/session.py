@@ -36,3 +36,42 @@ def any_path(spark: SparkSession, pattern: str) -> bool:
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     return bool(target.getFileSystem(hadoop).globStatus(target))
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there as a whole or not at all: under another name first, then renamed."""
+    aside, files = _file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(aside)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    target, _ = _file_system(spark, path)
+    if not files.rename(aside, target):
+        raise OSError(f"cannot write {path}")
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    target, files = _file_system(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def files_below(spark: SparkSession, path: str) -> dict[str, int]:
+    """Paths, relative to the folder, and sizes of all files below it."""
+    target, files = _file_system(spark, path)
+    found, root = {}, files.makeQualified(target).toString().rstrip("/") + "/"
+    listed = files.listFiles(target, True)
+    while listed.hasNext():
+        status = listed.next()
+        found[status.getPath().toString().removeprefix(root)] = status.getLen()
+    return found

@@ -1,5 +1,6 @@
 """The job on a stream. Every micro-batch runs the batch plan inside `foreachBatch`, so it gets
-adaptive execution, and writes to a folder of its own, so a batch run again changes nothing."""
+adaptive execution. Its lines and rejects come into sight together, by one commit record; a batch run again after
+that changes nothing, and one that failed before leaves nothing that is read."""
 
 from __future__ import annotations
 
@@ -11,15 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderloom import schemas as S
 from orderloom.config import JdbcConfig, JobConfig
 from orderloom.operators.dimensions import Lookup, channel_lookups
 from orderloom.operators.messages import classify_messages, order_headers, rejected, sound_headers
-from orderloom.operators.upsert import latest_state, merge_snapshot
+from orderloom.operators.upsert import latest_state
 from orderloom.plans.order_lines import lines_of, to_sink
 from orderloom.session import any_path
 from orderloom.sources import jdbc
-from orderloom.sources.files import read_log, write_batch
+from orderloom.sources.files import (
+    LINES, REJECTS, attempt_path, commit, committed, is_committed, new_attempt, read_log,
+)
+from orderloom.streaming.snapshots import MERGE_SHARE, Snapshot, fold, open_snapshot, state_rows
 
 Reader = Callable[[SparkSession], DataFrame]
 
@@ -28,6 +31,9 @@ ORDER = ("batch_id", "message_seq", "message_row", "line_pos")
 LOGGED = ("message_seq", "message_row", "line_pos")
 
 
+__all__ = ["Snapshot", "Targets", "compact", "current_state", "open_snapshot", "read_rejects", "run_stream"]
+
+
 @dataclass(frozen=True)
 class Targets:
     """Where a run writes. All folders must be on storage shared by the cluster."""
@@ -38,29 +44,38 @@ class Targets:
     database: JdbcConfig | None = None
 
 
-def _write(lines: DataFrame, targets: Targets, batch_id: int, cfg: JobConfig) -> None:
-    rows = to_sink(lines, extra=LOGGED)
-    write_batch(rows, targets.lines, batch_id)
-    if targets.database is not None:
-        # The database takes the batch as logged: same rows, same load time, no second parse.
-        logged = rows.sparkSession.read.parquet(f"{targets.lines}/batch_id={batch_id}")
-        jdbc.upsert(logged, targets.database, cfg.key_cols, LOGGED)
+def _write(rows: DataFrame, path: str, batch_id: int, attempt: str) -> DataFrame:
+    """The rows as written."""
+    place = attempt_path(path, batch_id, attempt)
+    rows.write.parquet(place)
+    return rows.sparkSession.read.schema(rows.schema).parquet(place)
 
 
 def _process(
     messages: DataFrame, batch_id: int, store: Lookup, marketplace: Lookup, targets: Targets, cfg: JobConfig
 ) -> None:
+    spark, attempt = messages.sparkSession, new_attempt()
+    if is_committed(spark, targets.lines, batch_id):
+        return
     # Rows of one file or partition keep their order; the number tells them apart.
     numbered = messages.withColumn("message_row", F.monotonically_increasing_id())
     if cfg.on_error == "fail":
-        _write(lines_of(order_headers(numbered, cfg), store, marketplace, cfg), targets, batch_id, cfg)
-        return
-    judged = classify_messages(numbered, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _write(lines_of(sound_headers(judged), store, marketplace, cfg), targets, batch_id, cfg)
-        write_batch(rejected(judged), targets.rejects, batch_id)
-    finally:
-        judged.unpersist()
+        headers, outputs = order_headers(numbered, cfg), (LINES,)
+        lines = _write(to_sink(lines_of(headers, store, marketplace, cfg), extra=LOGGED), targets.lines, batch_id, attempt)
+    else:
+        outputs = (LINES, REJECTS)
+        judged = classify_messages(numbered, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found = to_sink(lines_of(sound_headers(judged), store, marketplace, cfg), extra=LOGGED)
+            lines = _write(found, targets.lines, batch_id, attempt)
+            _write(rejected(judged), targets.rejects, batch_id, attempt)
+        finally:
+            judged.unpersist()
+    if targets.database is not None:
+        # The database takes the batch as logged: same rows, same load time, no second parse. Should the batch fail
+        # after this, the same keys are upserted again.
+        jdbc.upsert(lines, targets.database, cfg.key_cols, LOGGED)
+    commit(spark, targets.lines, batch_id, attempt, outputs)
 
 
 def run_stream(
@@ -98,24 +113,20 @@ def run_stream(
     )
 
 
-@dataclass(frozen=True)
-class Snapshot:
-    """A table, bucketed and sorted by the key, that holds the state up to and with a batch of the log."""
-
-    table: str
-    upto: int
+def read_rejects(spark: SparkSession, targets: Targets) -> DataFrame:
+    """The messages set aside in committed batches."""
+    return read_log(spark, targets.rejects, commits=targets.lines, output=REJECTS)
 
 
 def current_state(
     spark: SparkSession, log: str, cfg: JobConfig = JobConfig(), snapshot: Snapshot | None = None
 ) -> DataFrame:
-    """The upserted table: a snapshot, if there is one, with the batches after it, which alone are read and shuffled."""
+    """The upserted table: a snapshot, if there is one, with the batches after it, which alone are read from the log."""
     apart = cfg.null_text is None
-    rows = read_log(spark, log)
     if snapshot is None:
-        return latest_state(rows, cfg.key_cols, ORDER, apart)
-    changes = latest_state(rows.where(F.col("batch_id") > snapshot.upto), cfg.key_cols, ORDER, apart)
-    return merge_snapshot(spark.table(snapshot.table), changes, cfg.key_cols, apart)
+        return latest_state(read_log(spark, log), cfg.key_cols, ORDER, apart)
+    later = read_log(spark, log, after=snapshot.upto)
+    return state_rows(spark, snapshot, latest_state(later, cfg.key_cols, ORDER, apart), cfg)
 
 
 def compact(
@@ -123,51 +134,21 @@ def compact(
     log: str,
     upto: int,
     folder: str,
-    name: str = "order_state",
     snapshot: Snapshot | None = None,
     cfg: JobConfig = JobConfig(),
     buckets: int = 64,
+    merge_share: float = MERGE_SHARE,
 ) -> Snapshot:
-    """Fold the batches after a snapshot, up to and with `upto`, into a new one in a folder of its own.
+    """Fold the batches after a snapshot, up to and with `upto`, into a new one.
 
-    The old one is untouched, and once the new one is in use it may go, as may the batches it holds. Use the same
-    number of buckets throughout, large enough for a bucket to fit a task.
+    The old one is untouched; once the new one is in use, the batches it holds may go from the log. The first
+    snapshot settles the number of buckets: so many that one fits a task.
     """
     first = -1 if snapshot is None else snapshot.upto
     if upto <= first:
         raise ValueError(f"the snapshot holds batch {first} already")
-    span = read_log(spark, log).where(F.col("batch_id").between(first + 1, upto))
-    apart = cfg.null_text is None
-    changes = latest_state(span, cfg.key_cols, ORDER, apart)
-    merged = changes
-    if snapshot is not None:
-        merged = merge_snapshot(spark.table(snapshot.table), changes, cfg.key_cols, apart)
-    made = Snapshot(f"{name}_{upto}", upto)
-    # Dealt out by the key as the table is, each task writes its own buckets only.
-    merged.select(*S.SINK_COLUMNS).repartition(buckets, *cfg.key_cols).write.bucketBy(buckets, *cfg.key_cols).sortBy(
-        *cfg.key_cols
-    ).option("path", _snapshot_path(folder, upto, buckets)).saveAsTable(made.table)
-    return made
-
-
-def _snapshot_path(folder: str, upto: int, buckets: int) -> str:
-    return f"{folder}/upto={upto},buckets={buckets}"
-
-
-def open_snapshot(
-    spark: SparkSession,
-    folder: str,
-    upto: int,
-    name: str = "order_state",
-    cfg: JobConfig = JobConfig(),
-    buckets: int = 64,
-) -> Snapshot:
-    """Make a snapshot written by another session known to this one's catalog."""
-    columns = ", ".join(f"{c} {t}" for c, t in S.SINK_TYPES.items())
-    keys = ", ".join(cfg.key_cols)
-    spark.sql(
-        f"""CREATE TABLE IF NOT EXISTS {name}_{upto} ({columns}) USING parquet
-        CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS
-        LOCATION '{_snapshot_path(folder, upto, buckets)}'"""
-    )
-    return Snapshot(f"{name}_{upto}", upto)
+    if upto not in committed(spark, log):
+        raise ValueError(f"{log} has no committed batch {upto}")
+    span = read_log(spark, log, after=first, upto=upto)
+    changes = latest_state(span, cfg.key_cols, ORDER, cfg.null_text is None)
+    return fold(spark, changes, upto, folder, snapshot, cfg, buckets, merge_share)

@@ -6,14 +6,19 @@ import pytest
 from builders import body, channels, line, message
 from conftest import SMALL
 
+from pyspark.sql import functions as F
+
 from orderloom import fixtures as fx
+from orderloom import schemas as S
 from orderloom.config import JdbcConfig, JobConfig
+from orderloom.operators.dimensions import channel_lookups
 from orderloom.operators.upsert import latest_state
 from orderloom.plans.order_lines import build
 from orderloom.plans.registered import CHECKED
-from orderloom.sources.files import read_log, write_append, write_batch
+from orderloom.sources.files import attempt_path, committed, new_attempt, read_log, write_append, write_batch
 from orderloom.sources.streams import parquet_messages, text_messages
-from orderloom.streaming import job
+from orderloom.streaming import job, snapshots
+from orderloom.streaming.snapshots import release, state_rows
 
 CHANNELS = [("BR1_SHPE", "Shopee - Official")]
 NOW = {"availableNow": True}
@@ -28,10 +33,14 @@ def write_text(folder, name, values):
     (folder / name).write_text("\n".join(values) + "\n")
 
 
-def run(spark, tmp_path, cfg=JobConfig(), reader=text_messages, table=None, **kw):
-    targets = job.Targets(
+def targets_of(tmp_path):
+    return job.Targets(
         lines=str(tmp_path / "lines"), checkpoint=str(tmp_path / "progress"), rejects=str(tmp_path / "rejects")
     )
+
+
+def run(spark, tmp_path, cfg=JobConfig(), reader=text_messages, table=None, **kw):
+    targets = targets_of(tmp_path)
     query = job.run_stream(
         spark,
         lambda s: reader(s, str(tmp_path / "in"), **kw),
@@ -73,7 +82,7 @@ def test_rejects_are_set_aside(spark, tmp_path):
     write_text(tmp_path / "in", "a.txt", [message(), "{bad", message(body(lines=[line(quantity=None)]))])
     log = run(spark, tmp_path, JobConfig(on_error="quarantine"))
     assert log.count() == 2
-    rejects = read_log(spark, str(tmp_path / "rejects")).collect()
+    rejects = read_log(spark, str(tmp_path / "rejects"), commits=str(tmp_path / "lines"), output="rejects").collect()
     assert [(r.value, r.error_reason) for r in rejects] == [("{bad", "envelope_not_json")]
 
 
@@ -101,24 +110,68 @@ def test_batch_run_again_changes_nothing(spark, tmp_path):
     write_text(tmp_path / "in", "a.txt", [message()])
     log = run(spark, tmp_path)
     before = shown(log)
-    write_batch(log.drop("batch_id").persist(), str(tmp_path / "copy"), 0)
-    for _ in range(2):
-        write_batch(spark.read.parquet(str(tmp_path / "lines" / "batch_id=0")), str(tmp_path / "copy"), 0)
+    for _ in range(3):
+        write_batch(log.drop("batch_id"), str(tmp_path / "copy"), 0)
     assert shown(read_log(spark, str(tmp_path / "copy"))) == before
 
 
-def test_batch_that_failed_after_writing_is_replaced(spark, tmp_path, monkeypatch):
-    write_text(tmp_path / "in", "a.txt", [message(), message(body(id="2"))])
-
-    def written_then_lost(rows, path, batch_id):
-        write_batch(rows, path, batch_id)
+@pytest.mark.parametrize("lost", ["after lines", "after rejects", "in the commit"])
+def test_batch_that_failed_between_its_writes_is_not_seen_and_made_again(spark, tmp_path, monkeypatch, lost):
+    write_text(tmp_path / "in", "a.txt", [message(), "{bad"])
+    quarantine, targets = JobConfig(on_error="quarantine"), targets_of(tmp_path)
+    run(spark, tmp_path, quarantine)
+    write_text(tmp_path / "in", "b.txt", [message(body(id="2")), "{worse"])
+    before = (shown(read_log(spark, targets.lines)), job.read_rejects(spark, targets).count())
+    write, calls = job._write, []
+
+    def failing_write(rows, path, *rest):
+        out = write(rows, path, *rest)
+        calls.append(path)
+        if len(calls) == (1 if lost == "after lines" else 2) and lost != "in the commit":
+            raise RuntimeError("lost")
+        return out
+
+    def failing_commit(*args):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(job, "write_batch", written_then_lost)
+    monkeypatch.setattr(job, "_write", failing_write)
+    if lost == "in the commit":
+        monkeypatch.setattr(job, "commit", failing_commit)
     with pytest.raises(Exception, match="lost"):
-        run(spark, tmp_path)
+        run(spark, tmp_path, quarantine)
+    assert (shown(read_log(spark, targets.lines)), job.read_rejects(spark, targets).count()) == before
+    assert shown(job.current_state(spark, targets.lines)) == before[0]
+
     monkeypatch.undo()
-    assert sorted(r.id for r in run(spark, tmp_path).collect()) == ["1", "2"]
+    log = run(spark, tmp_path, quarantine)
+    assert sorted((r.batch_id, r.id) for r in log.collect()) == [(0, "1"), (1, "2")]
+    assert sorted((r.batch_id, r.value) for r in job.read_rejects(spark, targets).collect()) == [(0, "{bad"), (1, "{worse")]
+
+
+def test_batch_run_again_after_its_commit_is_left_as_it_is(spark, tmp_path):
+    write_text(tmp_path / "in", "a.txt", [message()])
+    first = committed(spark, targets_of(tmp_path).lines) if run(spark, tmp_path).count() else None
+    lookups = channel_lookups(channels(spark, CHANNELS), 1 << 20)
+    other = spark.createDataFrame([(message(body(id="9")), 1)], "value string, message_seq long")
+    job._process(other, 0, *lookups, targets_of(tmp_path), JobConfig())
+    assert committed(spark, targets_of(tmp_path).lines) == first
+    assert [r.id for r in read_log(spark, targets_of(tmp_path).lines).collect()] == ["1"]
+
+
+def test_a_log_without_batches_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="no committed batch"):
+        read_log(spark, str(tmp_path))
+    spark.range(3).write.parquet(attempt_path(str(tmp_path), 0, new_attempt()))
+    with pytest.raises(ValueError, match="no committed batch"):
+        read_log(spark, str(tmp_path))
+
+
+def test_batches_out_of_range_give_no_rows(spark, tmp_path):
+    for batch in range(4):
+        write_batch(spark.range(batch, batch + 1), str(tmp_path), batch)
+    assert [r.id for r in read_log(spark, str(tmp_path), after=0, upto=2).orderBy("id").collect()] == [1, 2]
+    none = read_log(spark, str(tmp_path), after=3)
+    assert none.columns == ["id", "batch_id"] and none.count() == 0
 
 
 @pytest.mark.parametrize("refresh, second", [("never", "Official"), ("per_batch", "New")])
@@ -144,36 +197,157 @@ def batch_log(spark, log):
     return rows
 
 
+ONE_KEY = JobConfig(key_cols=("id",))
+
+
 def test_compaction(spark, tmp_path, conf):
     log, folder = str(tmp_path / "lines"), str(tmp_path / "state")
-    cfg = JobConfig(key_cols=("id",))
     rows = batch_log(spark, log)
-    want = latest_state(rows, cfg.key_cols, job.ORDER)
-    first = job.compact(spark, log, 0, folder, "compacted", cfg=cfg, buckets=4)
-    assert first == job.Snapshot("compacted_0", 0)
-    later = job.current_state(spark, log, cfg, first)
+    want = latest_state(rows, ONE_KEY.key_cols, job.ORDER)
+    first = job.compact(spark, log, 0, folder, cfg=ONE_KEY, buckets=4)
+    assert first.upto == 0 and set(first.base) == set(range(4)) and not first.deltas
+    later = job.current_state(spark, log, ONE_KEY, first)
     assert shown(later, want.columns) == shown(want, want.columns)
-    assert shown(job.current_state(spark, log, cfg), want.columns) == shown(want, want.columns)
+    assert shown(job.current_state(spark, log, ONE_KEY), want.columns) == shown(want, want.columns)
 
     # Of the snapshot and the later batches, only the latter are read from the log, and only they are shuffled.
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.enabled", "false")
-    text = job.current_state(spark, log, cfg, first)._jdf.queryExecution().executedPlan().toString()
+    later = job.current_state(spark, log, ONE_KEY, first)
+    assert not any("batch_id=0" in file for file in later.inputFiles())
+    text = later._jdf.queryExecution().executedPlan().toString()
     assert sum("Exchange hashpartitioning" in line for line in text.splitlines()) == 1
     assert "Exchange" not in text[text.index("SortMergeJoin") : text.index("SortAggregate")]
-    assert "(batch_id" in text and "> 0)" in text
+    assert "Bucketed: true" in text
 
-    second = job.compact(spark, log, fx.BATCHES - 1, folder, "compacted", first, cfg, buckets=4)
-    assert shown(spark.table(second.table), want.columns) == shown(want, want.columns)
+    # All buckets have grown by more than their share: they are merged.
+    second = job.compact(spark, log, fx.BATCHES - 1, folder, first, ONE_KEY)
+    assert not second.deltas and second.buckets == 4
+    assert shown(state_rows(spark, second, cfg=ONE_KEY), want.columns) == shown(want, want.columns)
     with pytest.raises(ValueError, match="already"):
-        job.compact(spark, log, fx.BATCHES - 1, folder, "compacted", second, cfg, buckets=4)
+        job.compact(spark, log, fx.BATCHES - 1, folder, second, ONE_KEY)
+    with pytest.raises(ValueError, match="no committed batch 9"):
+        job.compact(spark, log, 9, folder, second, ONE_KEY)
 
-    # Another session finds the snapshot in its folder.
-    spark.sql(f"drop table {second.table}")
-    again = job.open_snapshot(spark, folder, second.upto, "compacted", cfg, buckets=4)
-    assert again == second and shown(spark.table(again.table), want.columns) == shown(want, want.columns)
-    for snapshot in (first, second):
-        spark.sql(f"drop table {snapshot.table}")
+    # Another session finds the snapshots in their folder; the first one is as it was.
+    assert job.open_snapshot(spark, folder, second.upto, ONE_KEY, buckets=4) == second
+    assert job.open_snapshot(spark, folder, 0, ONE_KEY) == first
+    release(spark, second)
+    assert shown(state_rows(spark, second, cfg=ONE_KEY), want.columns) == shown(want, want.columns)
+
+
+def small_batches(spark, log, *batches):
+    """A log of lines by id; the price tells the batch."""
+    for number, ids in enumerate(batches):
+        rows = [(f"k{i}", str(number), float(number), 0, 0, i) for i in ids]
+        made = spark.createDataFrame(rows, "id string, customer_reference string, raw_price double, message_seq int, message_row int, line_pos int")
+        others = [F.lit(None).cast(t).alias(c) for c, t in S.SINK_TYPES.items() if c not in made.columns]
+        write_batch(made.select("*", *others).select(*job.LOGGED, *S.SINK_COLUMNS), log, number)
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    log, folder = str(tmp_path / "lines"), str(tmp_path / "state")
+    small_batches(spark, log, range(400), [3, 4], [3, 1000], range(0, 400, 2))
+    state = {f"k{i}": ("0", 0.0) for i in range(400)}
+
+    def held(snapshot):
+        rows = state_rows(spark, snapshot, cfg=ONE_KEY).collect()
+        return {r.id: (r.customer_reference, r.raw_price) for r in rows}
+
+    one = job.compact(spark, log, 0, folder, cfg=ONE_KEY, buckets=16)
+    assert held(one) == state and sum(f.rows for f in one.base.values()) == 400
+    two = job.compact(spark, log, 1, folder, one, ONE_KEY)
+    state |= {"k3": ("0", 1.0), "k4": ("0", 1.0)}
+    # Few rows for large buckets: no file of the base is written anew, and only their buckets have deltas.
+    assert held(two) == state and two.base == one.base and 1 <= len(two.deltas) <= 2
+    three = job.compact(spark, log, 2, folder, two, ONE_KEY, merge_share=0.0)
+    state |= {"k3": ("0", 2.0), "k1000": ("2", 2.0)}
+    changed = {b for b in three.base if three.base[b] != two.base[b]}
+    assert held(three) == state and 1 <= len(changed) <= 2
+    assert set(three.deltas) == set(two.deltas) - changed
+    four = job.compact(spark, log, 3, folder, three, ONE_KEY)
+    state |= {f"k{i}": ("0", 3.0) for i in range(0, 400, 2)}
+    assert held(four) == state and not four.deltas
+    # Older snapshots read as before.
+    assert held(one) == {f"k{i}": ("0", 0.0) for i in range(400)}
+
+
+def test_null_keys_stay_apart_through_compactions(spark, tmp_path):
+    log, folder = str(tmp_path / "lines"), str(tmp_path / "state")
+    cfg = JobConfig(key_cols=("id",), null_text=None)
+    small_batches(spark, log, range(50), range(5), range(5))
+    for batch in range(3):
+        rows = read_log(spark, log).where(F.col("batch_id") == batch).drop("batch_id")
+        loose = rows.where("line_pos < 3").withColumn("id", F.lit(None).cast("string"))
+        write_batch(rows.unionAll(loose), str(tmp_path / "loose"), batch)
+    log, snapshot = str(tmp_path / "loose"), None
+    for batch in range(3):
+        snapshot = job.compact(spark, log, batch, folder, snapshot, cfg, buckets=4, merge_share=[0.25, 9.0, 0.0][batch])
+        got = state_rows(spark, snapshot, cfg=cfg)
+        want = latest_state(read_log(spark, log, upto=batch), cfg.key_cols, job.ORDER, True)
+        assert shown(got, want.columns) == shown(want, want.columns)
+
+
+def test_a_wrong_or_partial_snapshot_is_refused(spark, tmp_path):
+    log, folder = str(tmp_path / "lines"), str(tmp_path / "state")
+    batch_log(spark, log)
+    with pytest.raises(ValueError, match="no snapshot up to batch 0"):
+        job.open_snapshot(spark, folder, 0, ONE_KEY)
+    made = job.compact(spark, log, 0, folder, cfg=ONE_KEY, buckets=4)
+    with pytest.raises(ValueError, match="no snapshot up to batch 1"):
+        job.open_snapshot(spark, folder, 1, ONE_KEY)
+    with pytest.raises(ValueError, match="4 buckets, not 8"):
+        job.open_snapshot(spark, folder, 0, ONE_KEY, buckets=8)
+    with pytest.raises(ValueError, match="kept by"):
+        job.open_snapshot(spark, folder, 0)
+    with pytest.raises(ValueError, match="kept by"):
+        job.compact(spark, log, 1, folder, made)
+    part = made.base[0]
+    file = tmp_path / "state" / part.folder / next(iter(part.files))
+    whole = file.read_bytes()
+    file.write_bytes(whole[:-10])
+    with pytest.raises(ValueError, match="missing or cut short"):
+        job.open_snapshot(spark, folder, 0, ONE_KEY)
+    file.unlink()
+    with pytest.raises(ValueError, match="missing or cut short"):
+        job.open_snapshot(spark, folder, 0, ONE_KEY)
+    file.write_bytes(whole)
+    assert job.open_snapshot(spark, folder, 0, ONE_KEY) == made
+
+
+@pytest.mark.parametrize("lost", ["_written", "put_text"])
+def test_a_compaction_that_died_can_be_made_again(spark, tmp_path, monkeypatch, lost):
+    log, folder = str(tmp_path / "lines"), str(tmp_path / "state")
+    rows = batch_log(spark, log)
+    want = latest_state(rows.where("batch_id < 2"), ONE_KEY.key_cols, job.ORDER)
+    first = job.compact(spark, log, 0, folder, cfg=ONE_KEY, buckets=4)
+    done = getattr(snapshots, lost)
+
+    def dies(*args, **kw):
+        if lost == "_written":
+            done(*args, **kw)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(snapshots, lost, dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        job.compact(spark, log, 1, folder, first, ONE_KEY)
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="no snapshot up to batch 1"):
+        job.open_snapshot(spark, folder, 1, ONE_KEY)
+    job.compact(spark, log, 1, folder, job.open_snapshot(spark, folder, 0, ONE_KEY), ONE_KEY)
+    again = job.open_snapshot(spark, folder, 1, ONE_KEY)
+    assert shown(state_rows(spark, again, cfg=ONE_KEY), want.columns) == shown(want, want.columns)
+
+
+def test_snapshot_without_rows(spark, tmp_path):
+    log, folder = str(tmp_path / "lines"), str(tmp_path / "state")
+    small_batches(spark, log, [], range(3), [])
+    none = job.compact(spark, log, 0, folder, cfg=ONE_KEY, buckets=4)
+    assert not none.base and state_rows(spark, none, cfg=ONE_KEY).count() == 0
+    assert job.current_state(spark, log, ONE_KEY, job.open_snapshot(spark, folder, 0, ONE_KEY)).count() == 3
+    some = job.compact(spark, log, 1, folder, none, ONE_KEY)
+    same = job.compact(spark, log, 2, folder, some, ONE_KEY)
+    assert same.base == some.base and state_rows(spark, same, cfg=ONE_KEY).count() == 3
 
 
 def test_append(spark, tmp_path):
@@ -184,6 +358,15 @@ def test_append(spark, tmp_path):
     assert table.count() == 2 * rows.count() and "line_number" not in table.columns
 
 
+def test_the_same_append_counts_once(spark, tmp_path):
+    rows, path = fx.line_batches(spark, SMALL), str(tmp_path / "table")
+    for run_number in (1, 1, 2, 1):
+        write_append(rows.where(F.col("batch_id") == run_number), path, run_number)
+    table = read_log(spark, path)
+    assert table.count() == rows.where("batch_id > 0").count()
+    assert table.columns == [*S.APPEND_COLUMNS, "batch_id"]
+
+
 def test_quarantine_needs_a_folder(spark, tmp_path):
     targets = job.Targets(lines=str(tmp_path / "l"), checkpoint=str(tmp_path / "c"))
     with pytest.raises(ValueError, match="rejects"):
@@ -223,11 +406,11 @@ def test_new_checkpoint_needs_a_new_folder_for_rejects(spark, tmp_path):
         query.awaitTermination()
 
     start("c1", "l1")
-    first = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    first = job.read_rejects(spark, job.Targets(str(tmp_path / "l1"), "", str(tmp_path / "rejects"))).collect()
     assert [r.value for r in first] == ["{"]
     with pytest.raises(ValueError, match="rejects has batches of another run"):
         start("c2", "l2")
-    assert spark.read.parquet(str(tmp_path / "rejects")).collect() == first
+    assert job.read_rejects(spark, job.Targets(str(tmp_path / "l1"), "", str(tmp_path / "rejects"))).collect() == first
 
 
 def test_a_database_needs_a_text_for_null(spark, tmp_path):
