@@ -11,8 +11,8 @@ are taken, so a long text costs little more than a pass over its shingles.
 
 Texts that are equal stand for one node. Nodes that share a band of the signature share a bucket. Emitting all
 pairs of a bucket would be quadratic, so a bucket links its members to one of them, its pivot: those pairs are
-verified by exact overlap, and components of the links are formed. A bucket is settled if its other members
-lie in one component. The members of those that aren't are cut into blocks of bounded size, and two blocks at a
+verified by the exact overlap of the shingles' words, and components of the links are formed. A bucket is settled if
+its other members lie in one component. The members of those that aren't are cut into blocks of bounded size, and two blocks at a
 time meet in a task, which works out the overlaps of all their texts as a product of matrices and returns the
 links that join components, a spanning forest at most. No candidate pair is skipped: each is verified, or
 has both ends in one component already.
@@ -20,6 +20,7 @@ has both ends in one component already.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from orderloom.llm.common import ship, small_enough, written
 from orderloom.llm.components import components
-from orderloom.llm.tokens import PLAIN_WORDS, mixed, shingles, word_hashes
+from orderloom.llm.tokens import PLAIN_WORDS, mixed, shingles, word_hashes, word_runs
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -110,13 +111,19 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+def exact_bag(text: str | None, size: int = SHINGLE) -> Counter[bytes]:
+    """The shingles themselves and their weights."""
+    return Counter(word_runs(text, PLAIN_WORDS, size))
+
+
+def similarity(a: Counter[bytes], b: Counter[bytes]) -> float:
     """Weighted Jaccard similarity of two bags; 0 if either is empty."""
-    if not len(a[0]) or not len(b[0]):
+    if not a or not b:
         return 0.0
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    shared = int(np.minimum(a[1][i], b[1][j]).sum())
-    return shared / (int(a[1].sum()) + int(b[1].sum()) - shared)
+    if len(b) < len(a):
+        a, b = b, a
+    shared = sum(min(w, b[x]) for x, w in a.items() if x in b)
+    return shared / (a.total() + b.total() - shared)
 
 
 def _node(text: Column) -> Column:
@@ -141,10 +148,10 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    read = lru_cache(maxsize=16)(bag)
+    read = lru_cache(maxsize=16)(exact_bag)
     for batch in batches:
         pairs = zip(batch.column("a_text"), batch.column("b_text"), strict=True)
-        found = [similarity(read(a.as_py()), bag(b.as_py())) for a, b in pairs]
+        found = [similarity(read(a.as_py()), exact_bag(b.as_py())) for a, b in pairs]
         yield pa.RecordBatch.from_arrays(
             [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"]
         )
@@ -190,12 +197,19 @@ def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _overlaps(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def _overlaps(bags: list[Counter[bytes]]) -> np.ndarray:
     """Weighted overlap of each two bags. A shingle of weight w counts as w elements, of which two bags share the
-    smaller number; elements of one bag only are left out, the others go through in slices."""
-    owner = np.repeat(np.arange(len(bags)), [int(w.sum()) for _, w in bags])
-    elements = [mixed(np.repeat(x, w) + _ranks(w) * np.uint64(_GOLDEN)) for x, w in bags]
-    _, column, count = np.unique(np.concatenate(elements), return_inverse=True, return_counts=True)
+    smaller number; elements of one bag only are left out, the others go through in slices. Shingles are numbered as
+    they come, so different ones are told apart."""
+    numbers: dict[bytes, int] = {}
+    items = [np.array([numbers.setdefault(x, len(numbers)) for x in b], dtype=np.uint64) for b in bags]
+    weights = [np.fromiter(b.values(), dtype=np.int64, count=len(b)) for b in bags]
+    owner = np.repeat(np.arange(len(bags)), [int(w.sum()) for w in weights])
+    ranks = np.concatenate([_ranks(w) for w in weights])
+    # The rank counts in steps of the number of shingles, so an element is a number of its own.
+    elements = np.concatenate([np.repeat(x, w) for x, w in zip(items, weights, strict=True)])
+    elements = elements + ranks * np.uint64(len(numbers))
+    _, column, count = np.unique(elements, return_inverse=True, return_counts=True)
     shared = count > 1
     number = np.cumsum(shared) - 1
     kept = shared[column]
@@ -221,8 +235,8 @@ def _forest(similar: float):
     def join(block: pd.DataFrame) -> pd.DataFrame:
         """Links of `similar` or more between components, from both of two blocks or within one."""
         two = block["block"].nunique() > 1
-        bags = [bag(t) for t in block["text"]]
-        sizes = np.array([float(w.sum()) for _, w in bags])
+        bags = [exact_bag(t) for t in block["text"]]
+        sizes = np.array([float(b.total()) for b in bags])
         shared = _overlaps(bags)
         score = shared / (sizes[:, None] + sizes[None, :] - shared)
         parts = block["component"].to_numpy()

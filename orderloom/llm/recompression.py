@@ -12,8 +12,9 @@ The anchor of a window is the least, by hash, of the `GRAM` successive symbols o
 whose core has as many. Equal windows have equal anchors at the same place, so a window whose anchor stands at
 one place of the corpus only isn't repeated. Neighbouring windows share anchors, which makes them about ten
 times fewer than words, and only those are counted across the corpus, after each task has added up its
-own. Windows with an anchor that is found again are verified: a 128-bit digest of their words is counted, and
-those that occur at least twice are the repeats.
+own. Words have 64-bit numbers up to here, which different words may share: that can only make an anchor found again that
+is not. Windows with such an anchor are verified by their words: 128 bits of the SHA-256 of a window's bytes are
+counted, and those that occur at least twice are the repeats.
 
 Texts that are equal to the byte are represented by one of them; each of their windows is repeated. The anchors found
 again go to the scan as a sorted array if they are measured to be few, and by a join beyond that.
@@ -42,19 +43,9 @@ CHUNK_WORDS = 1 << 17
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _SPAN = CHUNK_WORDS + WINDOW
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full(_SPAN + 1, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-_DIGEST = [(_powers(b), _powers(pow(b, -1, 1 << 64))) for b in _BASES]
-
-
 @dataclass
 class Chunk:
     """Words of one or more texts, one after the other, and the windows that lie within a text."""
@@ -169,13 +160,20 @@ def anchors(chunk: Chunk, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]
     return keys, places
 
 
-def digests(chunk: Chunk, which: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """128 bits for each of the windows, as two numbers."""
-    at, out = chunk.starts[which], []
-    for powers, inverses in _DIGEST:
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chunk.words * powers[: len(chunk.words)])])
-        out.append(mixed((sums[at + window] - sums[at]) * inverses[at]).view(np.int64))
-    return out
+class Words:
+    """The words of a text, joined by a space, and where they begin and end."""
+
+    def __init__(self, text: str | None):
+        self.data = b" ".join((text or "").encode(errors="replace").translate(RAW_WORDS).split())
+        spaces = np.flatnonzero(np.frombuffer(self.data, dtype=np.uint8) == 0x20)
+        self.starts = np.concatenate([[0], spaces + 1])
+        self.ends = np.concatenate([spaces, [len(self.data)]])
+
+    def digests(self, places: np.ndarray, window: int) -> np.ndarray:
+        """The first 128 bits of the SHA-256 of the words from each place on, as two numbers."""
+        spans = zip(self.starts[places].tolist(), self.ends[places + window - 1].tolist(), strict=True)
+        found = b"".join([sha256(self.data[start:end]).digest()[:16] for start, end in spans])
+        return np.frombuffer(found, dtype=np.int64).reshape(-1, 2)
 
 
 def _hashed(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -214,6 +212,7 @@ def _window_digests(window: int, shared):
         """node, place, d1, d2 of the windows whose anchor is found again."""
         for batch in batches:
             own = batch.column("keys") if shared is None else None
+            last = (-1, None)
             for chunk in chunks(_hashed(batch), window):
                 keys, _ = anchors(chunk, window)
                 if own is None:
@@ -227,9 +226,20 @@ def _window_digests(window: int, shared):
                         rows = chunk.text == i
                         hit[rows] = np.isin(keys[rows].view(np.int64), of_text)
                     which = np.flatnonzero(hit)
-                nodes = batch.column("node").take(pa.array(chunk.text[which]))
+                texts, places = chunk.text[which], chunk.place[which]
+                found = [np.zeros((0, 2), dtype=np.int64)]
+                for i in np.unique(texts):
+                    if last[0] != i:  # a long text comes in several chunks
+                        last = i, Words(batch.column("text")[int(i)].as_py())
+                    found.append(last[1].digests(places[texts == i], window))
+                digests = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays(
-                    [nodes, pa.array(chunk.place[which]), *map(pa.array, digests(chunk, which, window))],
+                    [
+                        batch.column("node").take(pa.array(texts)),
+                        pa.array(places),
+                        pa.array(digests[:, 0]),
+                        pa.array(digests[:, 1]),
+                    ],
                     names=["node", "place", "d1", "d2"],
                 )
 

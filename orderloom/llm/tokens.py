@@ -63,14 +63,16 @@ def _hashed(piece: bytes) -> np.ndarray:
 
 
 def word_hashes(text: str | None, table: bytes) -> np.ndarray:
-    """One number per word, in order; equal words have equal numbers everywhere."""
+    """One number per word, in order; equal words have equal numbers everywhere. Different words may share a number, and
+    some are made to: numbers find candidates, and words decide."""
     data = (text or "").encode(errors="replace").translate(table)
     parts = [_hashed(piece) for piece in _pieces(data)]
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
-    """One number per run of `size` words; a shorter text is one run, an empty one none."""
+    """One number per run of `size` words; a shorter text is one run, an empty one none. See `word_runs` for the
+    runs themselves."""
     if not len(words):
         return words
     size = min(size, len(words))
@@ -79,3 +81,11 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         out = out * np.uint64(0xD6E8FEB86659FD93) + words[k : k + n]
     return mixed(out)
+
+
+def word_runs(text: str | None, table: bytes, size: int) -> list[bytes]:
+    """The runs themselves: their words, joined by a space."""
+    words = (text or "").encode(errors="replace").translate(table).split()
+    if len(words) <= size:
+        return [b" ".join(words)] if words else []
+    return [b" ".join(run) for run in zip(*[words[k:] for k in range(size)], strict=False)]

@@ -195,7 +195,7 @@ def test_overlaps_as_a_product(monkeypatch):
     monkeypatch.setattr(bagminhash, "SLICE", 16)
     random.seed(7)
     texts = [" ".join(random.choice("abcd") for _ in range(random.choice([3, 30, 90]))) for _ in range(25)]
-    bags = [bagminhash.bag(t) for t in texts]
+    bags = [bagminhash.exact_bag(t) for t in texts]
     got = bagminhash._overlaps(bags)
     for i, t in enumerate(texts):
         want = [sum((plain_bag(t) & plain_bag(u)).values()) for j, u in enumerate(texts) if j != i]
@@ -312,3 +312,42 @@ def test_words_have_one_number_each():
                 for w, h in zip(words, hashes, strict=True):
                     assert numbers.setdefault(w, int(h)) == int(h)
     assert len(set(numbers.values())) == len(numbers)
+
+
+# --- different words that have one number
+
+
+def twins():
+    """Two words of 1,024 letters whose sums over powers are equal modulo 2^64, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_the_twins_share_a_number():
+    one, other = (tokens.word_hashes(w, tokens.PLAIN_WORDS) for w in twins())
+    assert one == other and twins()[0] != twins()[1]
+
+
+def test_windows_that_differ_in_a_word_of_the_same_number_stay(spark):
+    one, other = twins()
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{rest} {one}"), (2, f"{rest} {other}"), (3, f"{rest} {one} end"), (4, f"x {rest} tail {other}")]
+    for broadcast in (recompression.BROADCAST_BYTES, 0):
+        got = recompression.without_repeats(table(spark, rows), broadcast_bytes=broadcast)
+        assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {1: 35, 2: 0, 3: 35, 4: 0}
+
+
+def test_texts_that_differ_in_words_of_the_same_number_are_no_duplicates(spark):
+    one, other = twins()
+    rows = [(1, one), (2, other), (3, one), (4, f"{one} a b c d"), (5, f"{other} a b c d")]
+    got = bagminhash.near_groups(table(spark, rows))
+    assert {r["doc_id"]: (r["class_id"], r["class_size"]) for r in got.collect()} == {
+        1: (1, 2), 2: (2, 1), 3: (1, 2), 4: (4, 1), 5: (5, 1)
+    }
+
+
+def test_blocks_of_texts_tell_the_twins_apart():
+    one, other = twins()
+    texts = [f"{one} a b c d e", f"{other} a b c d e", f"{one} a b c d e"]
+    got = bagminhash._overlaps([bagminhash.exact_bag(t) for t in texts])
+    assert got[0, 1] == 1 and got[0, 2] == 2 and got[1, 2] == 1
