@@ -42,8 +42,8 @@ class JobConfig:
     refresh            "never" reads the channels once per run, "per_batch" for every micro-batch
     key_cols           the target's unique key
     broadcast_limit    bytes up to which a lookup table is broadcast; beyond, the join shuffles
-    lookup_shares      where a lookup shuffles, a key with more than one part in so many of the rows is
-                       dealt out to as many parts as it holds
+    lookup_shares      where a lookup shuffles, the rows of a key with more than one part in so many of all rows are
+                       dealt out evenly
     """
 
     line_number: str = "quantity"
@@ -55,7 +55,7 @@ class JobConfig:
     refresh: str = "never"
     key_cols: tuple[str, ...] = ("id", "remote_order_item_id")
     broadcast_limit: int = 64 * 1024 * 1024
-    lookup_shares: int = 64
+    lookup_shares: int = 1024
 
     def __post_init__(self):
         allowed = {

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.text import (
     after_last, before_first, clean_store_name, excluded_channel, official_store,
 )
-from orderloom.session import ensure_checkpoint_dir
+from orderloom.session import drop_dir, ensure_checkpoint_dir, fresh_dir
 
 
 def split_channels(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:
@@ -105,12 +105,13 @@ def dimension(df: DataFrame, key: str, value: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Lookup:
-    """A lookup table and whether it was measured small enough to broadcast."""
+    """A lookup table, whether it was measured small enough to broadcast, and the folders of its rows."""
 
     rows: DataFrame
     key: str
     value: str
     small: bool
+    paths: tuple[str, ...] = ()
 
 
 # Memory a broadcast row takes beyond its text.
@@ -125,17 +126,31 @@ def _measured_bytes(key: str, value: str) -> Column:
 STORE, MARKETPLACE = "store", "marketplace"
 
 
+def _table_at(path: str) -> str:
+    return path.rsplit("/", 1)[-1].replace("-", "_")
+
+
+def _store_by_key(rows: DataFrame, key: str, path: str) -> DataFrame:
+    """The rows as a table bucketed by the key, which a join by shuffle reads as it lies."""
+    spark = rows.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    dealt.option("path", path).saveAsTable(_table_at(path))
+    return spark.table(_table_at(path))
+
+
 def channel_lookups(
     channels: DataFrame, broadcast_limit: int, case_insensitive: bool = False
 ) -> tuple[Lookup, Lookup]:
     """Store and marketplace lookups over a channel table.
 
     The table is read once: each channel gives a pair for either lookup, and one shuffle takes the greatest value
-    per lookup and key, which makes keys unique. The result is kept by a checkpoint. What is measured,
+    per lookup and key, which makes keys unique. The result is written. What is measured,
     what is broadcast and both lookups are thus the same rows, whatever becomes of the table or of an
-    executor. A store has no NULL name; a marketplace may, and then counts as not found.
+    executor. A lookup too large to broadcast is stored once more, in buckets by its key. A store has no NULL name; a
+    marketplace may, and then counts as not found.
     """
-    ensure_checkpoint_dir(channels.sparkSession)
+    spark = channels.sparkSession
     pairs = split_channels(channels, case_insensitive).selectExpr(
         f"""inline(array(named_struct('kind', '{STORE}', 'key', channel_code, 'value', official_store),
             named_struct('kind', '{MARKETPLACE}', 'key', mp_code, 'value', marketplace)))"""
@@ -143,7 +158,10 @@ def channel_lookups(
     wanted = pairs.where(f"if(kind = '{STORE}', value is not null, key is not null)")
     best = _greatest(wanted, "key", "value", case_insensitive, "kind")
     shown = f"if(kind = '{STORE}', {clean_store_name('value')}, value)"
-    kept = best.selectExpr("kind", "key", f"{shown} as value").checkpoint()
+    path = fresh_dir(spark, "lookups")
+    named = best.selectExpr("kind", "key", f"{shown} as value")
+    named.write.parquet(path)
+    kept = spark.read.schema(named.schema).parquet(path)
     bytes_of = {
         r["kind"]: r["bytes"]
         for r in kept.groupBy("kind").agg(_measured_bytes("key", "value").alias("bytes")).collect()
@@ -151,6 +169,43 @@ def channel_lookups(
 
     def lookup(kind: str, key: str, value: str) -> Lookup:
         rows = kept.where(F.col("kind") == kind).select(F.col("key").alias(key), F.col("value").alias(value))
-        return Lookup(rows, key, value, bytes_of.get(kind, 0) <= broadcast_limit)
+        if bytes_of.get(kind, 0) <= broadcast_limit:
+            return Lookup(rows, key, value, True, (path,))
+        stored = fresh_dir(spark, "lookup")
+        return Lookup(_store_by_key(rows, key, stored), key, value, False, (path, stored))
 
     return lookup(STORE, "brand_id", "official_store"), lookup(MARKETPLACE, "mp_code", "marketplace")
+
+
+def fingerprint(channels: DataFrame) -> tuple[int, ...]:
+    """Numbers that stand for the rows of a channel table, in whatever order: one scan, a row per task."""
+    row = ("channel_code", "channel_name")
+    each = [F.xxhash64(F.lit(seed), *[F.hex(c) for c in row], *[F.col(c).isNull() for c in row]) for seed in (1, 2)]
+    sums = [F.sum(h.cast("decimal(38,0)")) for h in each]
+    found = channels.agg(F.count(F.lit(1)), *sums, *[F.bit_xor(h) for h in each]).head()
+    return tuple(int(x or 0) for x in found)
+
+
+class LookupVersions:
+    """The lookups of a channel table that is read again and again: made anew only if its rows have changed, the version
+    before being removed. Whoever reads a version has to be done with it when the next one is asked for."""
+
+    def __init__(self, broadcast_limit: int, case_insensitive: bool = False):
+        self.settings = broadcast_limit, case_insensitive
+        self.mark: tuple[int, ...] | None = None
+        self.lookups: tuple[Lookup, Lookup] | None = None
+
+    def of(self, channels: DataFrame) -> tuple[Lookup, Lookup]:
+        mark = fingerprint(channels)
+        if mark != self.mark:
+            before, self.lookups = self.lookups, channel_lookups(channels, *self.settings)
+            self.mark = mark
+            if before is not None:
+                self._remove(channels.sparkSession, before)
+        return self.lookups
+
+    @staticmethod
+    def _remove(spark: SparkSession, lookups: tuple[Lookup, Lookup]) -> None:
+        for path in {path for lookup in lookups for path in lookup.paths}:
+            spark.sql(f"drop table if exists {_table_at(path)}")
+            drop_dir(spark, path)

@@ -75,3 +75,9 @@ def files_below(spark: SparkSession, path: str) -> dict[str, int]:
         status = listed.next()
         found[status.getPath().toString().removeprefix(root)] = status.getLen()
     return found
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package has written and nobody reads any more."""
+    target, files = _file_system(spark, path)
+    files.delete(target, True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.config import JdbcConfig, JobConfig
-from orderloom.operators.dimensions import Lookup, channel_lookups
+from orderloom.operators.dimensions import Lookup, LookupVersions, channel_lookups
 from orderloom.operators.messages import classify_messages, order_headers, rejected, sound_headers
 from orderloom.operators.upsert import latest_state
 from orderloom.plans.order_lines import lines_of, to_sink
@@ -96,13 +96,12 @@ def run_stream(
             # Batch numbers would start again at 0 and replace the batches already there.
             raise ValueError(f"{folder} has batches of another run: use a new folder or its checkpoint")
 
-    def read_lookups(session: SparkSession) -> tuple[Lookup, Lookup]:
-        return channel_lookups(channels(session), cfg.broadcast_limit, cfg.case_insensitive)
-
-    frozen = read_lookups(spark) if cfg.refresh == "never" else None
+    settings = cfg.broadcast_limit, cfg.case_insensitive
+    frozen = channel_lookups(channels(spark), *settings) if cfg.refresh == "never" else None
+    versions = LookupVersions(*settings)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        _process(batch, batch_id, *(frozen or read_lookups(batch.sparkSession)), targets, cfg)
+        _process(batch, batch_id, *(frozen or versions.of(channels(batch.sparkSession))), targets, cfg)
 
     return (
         messages(spark)

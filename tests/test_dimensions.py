@@ -13,6 +13,7 @@ from orderloom.operators import dimensions as d
 from orderloom.operators import enrich as e
 from orderloom.operators.messages import order_headers
 from orderloom.plans.order_lines import build
+from orderloom.session import any_path
 
 
 def stores(spark, pairs, **kw):
@@ -179,3 +180,29 @@ def test_random_channels(spark):
     want = read_stores(pairs)
     assert len(want) > 100
     assert stores(spark, pairs) == want
+
+
+# --- versions
+
+
+def test_fingerprint_is_of_the_rows_in_any_order(spark):
+    pairs = [("a_b", "x-y"), ("a_b", "x-y"), (None, "x"), ("x", None), ("", "")]
+    mark = d.fingerprint(channels(spark, pairs))
+    assert d.fingerprint(channels(spark, pairs[::-1]).repartition(3)) == mark
+    others = [pairs[1:], [*pairs, ("a_b", "x-y")], [("x", None), *pairs[:3], ("", "")][1:], [(n, c) for c, n in pairs]]
+    assert mark not in [d.fingerprint(channels(spark, p)) for p in others]
+    assert d.fingerprint(channels(spark, pairs).limit(0))[0] == 0
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_versions_are_made_on_change_only(spark, limit):
+    versions = d.LookupVersions(limit)
+    first = versions.of(channels(spark, CHANNELS))
+    assert versions.of(channels(spark, CHANNELS[::-1])) is first
+    assert {r.official_store for r in first[0].rows.collect()} == {"Official", "Quoted", ""}
+    second = versions.of(channels(spark, CHANNELS[:1]))
+    assert second is not first and [tuple(r) for r in second[0].rows.collect()] == [("BR1", "Official")]
+    # The one before is gone, folder and table.
+    for path in [p for lookup in first for p in lookup.paths]:
+        assert not any_path(spark, path) and not spark.catalog.tableExists(path.rsplit("/", 1)[-1].replace("-", "_"))
+    assert all(any_path(spark, p) for lookup in second for p in lookup.paths)

@@ -13,7 +13,7 @@ from orderloom import fixtures as fx
 from orderloom import schemas as S
 from orderloom.config import JobConfig
 from orderloom.operators import dimensions as d
-from orderloom.operators.enrich import hot_keys, lookup_overwrite, store_lookup
+from orderloom.operators.enrich import kept_with_hot_keys, lookup_overwrite, store_lookup
 from orderloom.operators.messages import order_lines
 from orderloom.operators.upsert import latest_state, merge_snapshot
 from orderloom.plans.order_lines import build
@@ -50,10 +50,14 @@ def test_enrichment_broadcasts_small_lookups(spark, stored):
     assert text.index("posexplode") < text.index("BroadcastHashJoin")
 
 
-def test_large_lookups_are_joined_by_shuffle(spark, stored):
-    text = plan(build(stored, fx.oms_channel(spark, SMALL), JobConfig(broadcast_limit=0)))
-    assert text.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in text
+def test_large_lookups_lie_in_buckets_and_only_the_rows_are_shuffled(spark, stored, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    text = plan(build(stored, fx.oms_channel(spark, SMALL), JobConfig(broadcast_limit=0, lookup_shares=1)))
+    assert text.count("SortMergeJoin") == 2 and text.count("Bucketed: true") == 2
     assert text.index("posexplode") < text.index("SortMergeJoin")
+    # One exchange for each join, on its left side; the kept rows are read, and no message.
+    assert count(text, "Exchange hashpartitioning(_probe") == count(text, "Exchange hashpartitioning") == 2
+    assert "from_json(" not in text
 
 
 def hot_messages(stored):
@@ -66,37 +70,55 @@ def checked(rows):
     return sorted(str([r[c] for c in key]) for r in rows)
 
 
-def test_hot_keys_of_a_large_lookup_may_be_split_at_run_time(spark, stored, conf):
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
-    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4KB")
-    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+@pytest.mark.parametrize("shares", [1, 4, 1024])
+def test_hot_keys_change_no_row(spark, stored, shares):
     hot = hot_messages(stored)
-    df = build(hot, fx.oms_channel(spark, SMALL), JobConfig(broadcast_limit=0, lookup_shares=1))
-    rows = df.collect()
-    assert "SortMergeJoin(skew=true)" in plan(df)
+    rows = build(hot, fx.oms_channel(spark, SMALL), JobConfig(broadcast_limit=0, lookup_shares=shares)).collect()
     assert checked(rows) == checked(build(hot, fx.oms_channel(spark, SMALL)).collect())
 
 
+def test_messages_are_parsed_once_for_shuffled_lookups(spark, stored):
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(value):
+        parsed.add(1)
+        return value
+
+    seen = stored.withColumn("value", noted.asNondeterministic()("value"))
+    df = build(seen, fx.oms_channel(spark, SMALL), JobConfig(broadcast_limit=0))
+    assert df.count() > 0 and parsed.value == stored.count()
+
+
 def test_hot_keys_of_a_large_lookup_are_dealt_out(spark, conf):
     """Without adaptive execution, and a third of the rows under one key, no task gets much more than its part."""
     conf("spark.sql.adaptive.enabled", "false")
     conf("spark.sql.shuffle.partitions", "8")
     rows = spark.range(30_000).selectExpr(
-        "cast(id as string) as id", "if(id % 3 = 0, 'hot', concat('k', id % 997)) as brand_id", "'x' as shop_name"
+        "cast(id as string) as id",
+        "case id % 6 when 0 then 'hot' when 3 then null else concat('k', id % 997) end as brand_id",
+        "'x' as shop_name",
     )
     found = spark.range(997).selectExpr("concat('k', id) as brand_id", "concat('store ', id) as official_store")
     found = found.union(spark.sql("select 'hot', 'hot store'"))
     lookup = d.Lookup(found, "brand_id", "official_store", small=False)
-    assert hot_keys(rows, "brand_id", 64) == {"hot": 22}
-    joined = store_lookup(rows, lookup)
+    assert kept_with_hot_keys(rows, ["brand_id", "id"], 64)[1] == {"brand_id": ["hot"], "id": []}
+    joined = store_lookup(rows, lookup, shares=64)
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 30_000 and max(sizes) < 1.6 * 30_000 / 8
     plain = lookup_overwrite(rows, d.Lookup(found, "brand_id", "official_store", small=True), "brand_id", "shop_name")
-    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))
-    # Without a hot key nothing is copied.
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    # Without a hot key nothing is broadcast.
     even = spark.range(1000).selectExpr("concat('k', id) as brand_id", "'x' as shop_name")
-    assert hot_keys(even, "brand_id", 64) == {} and "explode" not in plan(store_lookup(even, lookup))
+    assert "Broadcast" not in plan(store_lookup(even, lookup, shares=64))
+
+
+def test_keys_that_look_like_the_spread_ones(spark):
+    rows = spark.range(2000).selectExpr("cast(id as string) as id", "if(id % 2 = 0, 'hot', concat('-', id)) as brand_id", "'x' as shop_name")
+    found = spark.range(4096).selectExpr("concat('-', id) as brand_id", "concat('s', id) as official_store")
+    lookup = d.Lookup(found, "brand_id", "official_store", small=False)
+    got = {r.id: r.shop_name for r in store_lookup(rows, lookup, shares=64).collect()}
+    assert got == {str(i): "x" if i % 2 == 0 else f"s{i}" for i in range(2000)}
 
 
 def test_channels_are_read_once(spark, stored):

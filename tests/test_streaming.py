@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderloom import fixtures as fx
 from orderloom import schemas as S
 from orderloom.config import JdbcConfig, JobConfig
+from orderloom.operators import dimensions
 from orderloom.operators.dimensions import channel_lookups
 from orderloom.operators.upsert import latest_state
 from orderloom.plans.order_lines import build
@@ -188,6 +189,20 @@ def test_channels_are_frozen_or_read_per_batch(spark, tmp_path, refresh, second)
     assert [r.shop_name for r in log.orderBy("batch_id").collect()] == ["Official", second]
 
 
+def test_unchanged_channels_leave_one_version(spark, tmp_path, monkeypatch):
+    made = []
+
+    def noted(*args):
+        made.append(channel_lookups(*args))
+        return made[-1]
+
+    monkeypatch.setattr(dimensions, "channel_lookups", noted)
+    for i in range(3):
+        write_text(tmp_path / "in", f"{i}.txt", [message(body(id=str(i)))])
+    log = run(spark, tmp_path, JobConfig(refresh="per_batch"), max_files=1)
+    assert log.select("batch_id").distinct().count() == 3 and len(made) == 1
+
+
 def batch_log(spark, log):
     rows = fx.line_batches(spark, SMALL).selectExpr(
         "*", "seq as message_seq", "0L as message_row", "0 as line_pos"
