@@ -222,6 +222,45 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- messages in which a field repeats --------------------------------------------------------
+
+# What repeats, by remainder of `o_orderkey` by REPEAT_MODULUS; nothing for other remainders.
+REPEAT_MODULUS = 11
+IN_OTHER, IN_CHANNEL, CHANNEL_TWICE, IN_REFERENCE, IN_QUANTITY, ID_TWICE, IN_ID, IN_CUT_SHORT = range(8)
+REPEATING = '{"x":1,"x":{"y":2,"y":3}}'
+
+
+def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`messages` with fields that repeat: at the top, where the last value counts, or inside a value that should be a
+    scalar, which then has no text and is 0 as a number."""
+    which = F.col("o_orderkey") % REPEAT_MODULUS
+
+    def sub(text: Column, cases: dict[int, tuple[str, str]]) -> Column:
+        for k, (pattern, new) in cases.items():
+            text = F.when(which == k, F.regexp_replace(text, pattern, new)).otherwise(text)
+        return text
+
+    body = sub(
+        _body(),
+        {
+            IN_REFERENCE: (r'"customer_reference":("[^"]*"|null)', f'"customer_reference":{REPEATING}'),
+            IN_QUANTITY: (r'"quantity":\d+', f'"quantity":{REPEATING}'),
+            ID_TWICE: (r'^\{"id":', '{"id":"first","id":'),
+            IN_ID: (r'^\{"id":"[^"]*"', f'{{"id":{REPEATING}'),
+        },
+    )
+    value = sub(
+        _envelope(body),
+        {
+            IN_OTHER: (r"^\{", f'{{"other":{REPEATING},'),
+            IN_CHANNEL: (r'"channel":"[^"]*"', f'"channel":{REPEATING}'),
+            CHANNEL_TWICE: (r'"channel":', f'"channel":{REPEATING},"channel":'),
+            IN_CUT_SHORT: (r"^.*$", f'{{"channel":{REPEATING},"url'),
+        },
+    )
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("message_seq"), value.alias("value"))
+
+
 # --- line batches for upserts -----------------------------------------------------------------
 
 BATCHES = 3

@@ -41,13 +41,42 @@ def _once(df: DataFrame, keep: list[str], row: str) -> DataFrame:
 
 
 def _struct(fields: dict[str, str]) -> str:
-    return f"named_struct({', '.join(f'{name!r}, {sql}' for name, sql in fields.items())})"
+    return f"named_struct({', '.join(f'{name.strip('`')!r}, {sql}' for name, sql in fields.items())})"
 
 
 def _parse(df: DataFrame, column: str, ddl: str, keep: list[str]) -> DataFrame:
     return _once(df, keep, f"from_json({column}, '{ddl}', {_STRICT_JSON})")
 
 
+def _field(text: str, name: str, kind: str) -> str:
+    return f"from_json({text}, '`{name}` {kind}', {_STRICT_JSON}).`{name}`"
+
+
+def _reread(text: str, name: str, plain: str) -> str:
+    """A field of an object's JSON text, by itself: the last value if the field repeats, which `plain` is the text of. An
+    object or array in which a field repeats is not read as a value; as any other, it counts as an empty object."""
+    pair = f"named_struct('v', {_field(text, name, 'variant')}, 's', {plain})"
+    there = f"array_contains(json_object_keys({text}), {name!r})"
+    # What has been read may be a value that another one has followed.
+    last = f"(p.v is not null and {as_text('p.v')} = p.s)"
+    value = f"""case when p.s is null then if({there}, parse_json('null'), null) when {last} then p.v
+        when p.s like '{{%' or p.s like '[%' then parse_json('{{}}') else cast(p.s as variant) end"""
+    return f"get(transform(array({pair}), p -> {value}), 0)"
+
+
+def _tolerant(parsed: DataFrame, text: str, ddl: str, keep: list[str], texts: dict[str, str], fields: dict[str, str]) -> DataFrame:
+    """A strict reading in which sound JSON is not flagged because a field repeats inside a value. What is flagged is read
+    once more with plain texts as leaves, which tells whether it is sound, and then field by field.
+    `fields`: columns and how to read them again, from `text` or one of `texts`."""
+    flagged = f"{S.BAD} is not null"
+    plain = f"from_json({text}, '{S.plain_texts(ddl)}', {_STRICT_JSON})"
+    found = {"_plain": f"if({flagged}, {plain}, null)"} | {n: f"if({flagged}, {sql}, null)" for n, sql in texts.items()}
+    told = _once(parsed, [*dict.fromkeys([*keep, text, *fields]), S.BAD], _struct(found))
+    sound = f"(_plain is not null and _plain.{S.BAD} is null)"
+    again = {f: f"if({sound}, {sql}, {f})" for f, sql in fields.items()}
+    return _once(told, keep, _struct(again | {S.BAD: f"if({sound}, null, {S.BAD})"}))
+
+
 def _any_missing(fields: list[str]) -> str:
     return f"({' or '.join(f'{f} is null' for f in fields)})"
 
@@ -75,10 +104,13 @@ def _read_envelopes(messages: DataFrame, keep: list[str]) -> DataFrame:
     """Messages that are wanted or rejected; the others are dropped here."""
     kept = [*keep, *({"value"} - set(keep))]
     parsed = _parse(_candidates(messages, kept), "value", S.ENVELOPE_DDL, kept)
-    read = _once(parsed, [*kept, S.BAD], _struct({f: as_text(f) for f in S.ENVELOPE_FIELDS}))
+    again = {f: _reread("value", f, f"_plain.{f}") for f in S.ENVELOPE_FIELDS}
+    told = _tolerant(parsed, "value", S.ENVELOPE_DDL, kept, {}, again)
+    read = _once(told, [*kept, S.BAD], _struct({f: as_text(f) for f in S.ENVELOPE_FIELDS}))
 
     # Flagged values that still parse are JSON of another kind than an object: not for us.
-    not_json = f"({S.BAD} is not null and try_parse_json(value) is null)"
+    other = f"(try_parse_json(value) is not null or from_json(value, 'array<string>', {_STRICT_JSON}) is not null)"
+    not_json = f"({S.BAD} is not null and not {other})"
     addressed = "(action is not null and url is not null)"
     wanted = f"({addressed} and {_WANTED})"
     reason = f"""case when {not_json} then '{NOT_JSON}'
@@ -110,7 +142,13 @@ def _text(x: str, cfg: JobConfig) -> str:
 
 def _read_bodies(envelopes: DataFrame, keep: list[str], cfg: JobConfig) -> DataFrame:
     """`keep`, the ten header columns, `line_items` and what is wrong with the body, if anything."""
-    parsed = _parse(envelopes, "request_body", S.BODY_DDL, keep)
+    parsed = _parse(envelopes, "request_body", S.BODY_DDL, [*keep, "request_body"])
+    order = {c: _reread("_order", c, f"_plain.`order`.{c}") for c in S.ORDER_FIELDS}
+    line = _struct({f: _reread("t", f, f"_plain.`order`.line_items[i].{f}") for f in S.LINE_FIELDS})
+    order["line_items"] = f"transform({_field('_order', 'line_items', 'array<string>')}, (t, i) -> {line})"
+    again = {c: _reread("request_body", c, f"_plain.{c}") for c in S.BODY_FIELDS} | {"`order`": _struct(order)}
+    texts = {"_order": _field("request_body", "order", "string")}
+    parsed = _tolerant(parsed, "request_body", S.BODY_DDL, keep, texts, again)
     lines = "`order`.line_items"
     header = {c: c for c in S.BODY_FIELDS} | {c: f"`order`.{c}" for c in S.ORDER_FIELDS}
     required = [header[c] for c in ("order_status", *_DATES)]

@@ -142,6 +142,9 @@ _OUTCOME = f"""case when {_FAULT} = {fx.CUT_SHORT} then 'envelope_not_json'
 _DIRTY_BRAND = f"case when {_FAULT} = {fx.NULL_BRAND} then 'null' else {fx.HEADER['brand_id']} end"
 
 
+_REPEATS = f"o_orderkey % {fx.REPEAT_MODULUS}"
+
+
 def _choice(values: list[str], by: str = "o_orderkey") -> str:
     cases = " ".join(f"when {i} then {v}" for i, v in enumerate(values))
     return f"case {by} % {len(values)} {cases} end"
@@ -243,6 +246,14 @@ select channel_code as brand_id, count(*) as n_rows from pairs group by 1 having
     "quarantine_rejects": f"""select message_seq, true as has_text, outcome as error_reason from (
   select o_orderkey as message_seq, {_OUTCOME} as outcome from orders) where outcome not in ('dropped', 'sound')""",
     "quarantine_lines": _enriched(_lines(f"{_OUTCOME} = 'sound'", brand=_DIRTY_BRAND)),
+    "envelope_repeated_fields": f"""with {_lines()}
+select o_orderkey as message_seq, line_pos, case {_REPEATS} when {fx.IN_ID} then '' else id end as id,
+  case {_REPEATS} when {fx.IN_REFERENCE} then '' else customer_reference end as customer_reference,
+  case {_REPEATS} when {fx.IN_QUANTITY} then 0 else quantity end as quantity,
+  case {_REPEATS} when {fx.IN_QUANTITY} then '0' else line_number end as line_number
+from lines where {_REPEATS} not in ({fx.IN_CHANNEL}, {fx.IN_CUT_SHORT})
+union all select o_orderkey, null, 'envelope_not_json', null, null, null from orders
+where {_REPEATS} = {fx.IN_CUT_SHORT}""",
     "json_as_text": f"""select o_orderkey, {_choice(_quoted(_AS_TEXT))} as v,
   case when o_orderkey % {len(_AS_TEXT)} <> {_NULL_AT} then {_choice(_quoted(_AS_TEXT))} end as v_or_null,
   cast(o_totalprice as varchar) as price_text, cast(null as varchar) as absent from orders""",

@@ -131,6 +131,16 @@ def quarantine_rejects(spark, sf_dir):
     return rejects.select("message_seq", (F.length("value") > 0).alias("has_text"), "error_reason")
 
 
+def envelope_repeated_fields(spark, sf_dir):
+    """Lines of messages in which fields repeat, and the messages set aside."""
+    cfg = JobConfig(on_error="quarantine")
+    judged = msg.classify_messages(fx.repeated_messages(spark, sf_dir), cfg)
+    lines = msg.explode_lines(msg.sound_headers(judged), cfg)
+    columns = ["message_seq", "line_pos", "id", "customer_reference", "quantity", "line_number"]
+    aside = msg.rejected(judged).select("message_seq", F.col("error_reason").alias("id"))
+    return lines.select(*columns).unionByName(aside, allowMissingColumns=True)
+
+
 # --- value functions, on JSON made of varied values
 
 JSON_VALUES = [
@@ -340,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_split": quarantine_split,
     "quarantine_lines": quarantine_lines,
     "quarantine_rejects": quarantine_rejects,
+    "envelope_repeated_fields": envelope_repeated_fields,
     "json_as_text": json_as_text,
     "numeric_coerce": numeric_coerce,
     "quote_escape": quote_escape_text,

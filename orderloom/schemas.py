@@ -63,3 +63,8 @@ BODY_DDL = (
     f"line_items: array<struct<{variants(LINE_FIELDS).replace('` ', '`: ')}>>>, "
     f"{BAD} string"
 )
+
+
+def plain_texts(ddl: str) -> str:
+    """The same fields with plain texts as leaves."""
+    return ddl.replace(" variant", " string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from builders import ABSENT, body, line, message, messages
 
@@ -153,3 +155,67 @@ def test_dates_to_utc(spark):
 def test_order_with_very_many_lines(spark):
     rows = m.order_lines(messages(spark, [message(body(lines=[line(quantity=i) for i in range(5000)]))]))
     assert rows.count() == 5000 and rows.selectExpr("sum(quantity)").first()[0] == sum(range(5000))
+
+
+# --- repeated fields
+
+
+REPEATING = '{"x": 1, "x": {"y": 2, "y": 3}}'
+
+
+def read(spark, *values):
+    judged = m.classify_messages(messages(spark, values), JobConfig(on_error="quarantine"))
+    return {r.message_seq: r for r in judged.collect()}
+
+
+def test_repeated_fields_of_the_envelope(spark):
+    whole, shpe = message(), '"channel": "shpe"'
+    assert shpe in whole
+    got = read(
+        spark,
+        whole[:-1] + f', "other": {REPEATING}}}',
+        whole.replace(shpe, f'"channel": {REPEATING}'),
+        whole.replace(shpe, f'"channel": {REPEATING}, {shpe}'),
+        whole.replace(shpe, f'{shpe}, "channel": {REPEATING}'),
+        whole.replace(shpe, f'"channel": [{REPEATING}], "channel": null'),
+        f"[{REPEATING}]",
+        REPEATING,
+        REPEATING[:-2],
+        whole.replace(shpe, f"'channel': {REPEATING}, {shpe}"),
+        whole.replace(shpe, f'"channel": {REPEATING}, "remote": NaN, {shpe}'),
+        whole.replace('"action"', f'"url": {REPEATING}, "action"'),
+        message(None, remote_order_status=220, channel="tkpd")[:-1] + f', "x": {REPEATING}, "url": "order-fetched"}}',
+    )
+    reasons = {i: r.error_reason for i, r in got.items()}
+    assert reasons == {0: None, 2: None} | dict.fromkeys((7, 8, 9), "envelope_not_json") | {10: None, 11: None}
+
+
+def test_repeated_fields_of_the_order(spark):
+    whole = json.dumps(body())
+
+    def put(old, new):
+        assert old in whole
+        return message(whole.replace(old, new))
+
+    got = read(
+        spark,
+        put('"id": "1"', f'"id": {REPEATING}'),
+        put('"id": "1"', f'"id": "0", "id": {REPEATING}, "id": 7'),
+        put('"customer_reference": "C1"', f'"customer_reference": [{REPEATING}]'),
+        put('"raw_price": 10.5', f'"raw_price": {REPEATING}'),
+        put('"product_code": "P1"', f'"product_code": "{{}}", "remote": {REPEATING}'),
+        put('"product_code": "P1", ', f'"remote": {REPEATING}, '),
+        put('"order_status": "F", ', f'"other": {REPEATING}, '),
+        put('"line_items": [', f'"line_items": [5, {REPEATING}, '),
+        message(whole.replace('"id": "1"', f'"id": {REPEATING}')[:-3]),
+        put('"quantity": 2', f'"quantity": {REPEATING}, "quantity": 99999999999'),
+    )
+    assert [r.error_reason for _, r in sorted(got.items())] == [
+        None, None, None, None, None, "line_field_missing", "body_malformed", "body_malformed", "body_malformed", None
+    ]
+    assert (got[0].id, got[1].id, got[2].customer_reference) == ("", "7", "")
+    cfg = JobConfig(on_error="quarantine")
+    values = [put('"raw_price": 10.5', f'"raw_price": {REPEATING}'), put('"quantity": 2', f'"quantity": {REPEATING}, "quantity": "12"')]
+    values.append(put('"product_code": "P1"', f'"product_code": "{{}}", "remote": {REPEATING}'))
+    lines = m.order_lines(messages(spark, values), cfg).orderBy("message_seq").collect()
+    assert [(r.raw_price, r.quantity, r.product_code) for r in lines] == [(0.0, 2, "P1"), (10.5, 12, "P1"), (10.5, 2, "{}")]
