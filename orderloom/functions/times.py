@@ -58,5 +58,7 @@ def normalize_ts(text: str, to_utc: bool = False) -> str:
 
 
 def load_ts() -> str:
-    """Processing time to the second; one value for a whole query or micro-batch."""
-    return "cast(date_trunc('second', localtimestamp()) as timestamp_ntz)"
+    """Processing time to the second, taken anew for each row. It is not the same when asked twice, so take it once, where
+    a row is a message; Spark leaves such a value where it stands."""
+    millis = "cast(java_method('java.lang.System', 'currentTimeMillis') as bigint)"
+    return f"cast(date_trunc('second', timestamp_millis({millis})) as timestamp_ntz)"

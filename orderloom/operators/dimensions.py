@@ -28,8 +28,18 @@ def split_channels(channels: DataFrame, case_insensitive: bool = False) -> DataF
     )
 
 
-def oms_channel_clean(channels: DataFrame) -> DataFrame:
-    return split_channels(channels).distinct()
+def _folded(column: str) -> Column:
+    """The text as a server compares it that pays no regard to case."""
+    return F.collate(F.col(column), "UTF8_LCASE")
+
+
+def oms_channel_clean(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:
+    """The distinct shop channels. Of rows that differ in case only, the first one bytewise stays."""
+    parts = split_channels(channels, case_insensitive)
+    if not case_insensitive:
+        return parts.distinct()
+    same = [_folded(c).alias(f"folded_{c}") for c in parts.columns]
+    return parts.groupBy(*same).agg(F.min(F.struct(*parts.columns)).alias("row")).select("row.*")
 
 
 def _greatest(df: DataFrame, key: str, value: str, case_insensitive: bool, *kinds: str) -> DataFrame:
@@ -37,8 +47,9 @@ def _greatest(df: DataFrame, key: str, value: str, case_insensitive: bool, *kind
     very many rows costs no more than the others."""
     if not case_insensitive:
         return df.groupBy(*kinds, key).agg(F.max(value).alias(value))
-    top = F.max(F.struct(F.lower(value).alias("folded"), F.col(value), F.col(key))).alias("top")
-    folded = df.groupBy(*kinds, F.lower(key).alias("folded_key")).agg(top)
+    # Among names that differ in case only, the last one bytewise.
+    top = F.max(F.struct(_folded(value).alias("folded"), F.col(value), F.col(key))).alias("top")
+    folded = df.groupBy(*kinds, _folded(key).alias("folded_key")).agg(top)
     return folded.select(*kinds, f"top.{key}", f"top.{value}")
 
 
@@ -71,18 +82,24 @@ def master_marketplace(channels: DataFrame, case_insensitive: bool = False) -> D
     return _greatest(_marketplace_rows(channels), "mp_code", "marketplace", case_insensitive)
 
 
-def _first_row(df: DataFrame, key: str, value: str) -> DataFrame:
-    ranked = Window.partitionBy(key).orderBy(F.desc_nulls_last(value))
+def _first_row(df: DataFrame, key: str, value: str, case_insensitive: bool = False) -> DataFrame:
+    if case_insensitive:
+        order = [F.desc_nulls_last("_folded"), F.desc_nulls_last(value), F.desc(key)]
+        df = df.withColumn("_folded", _folded(value)).withColumn("_key", _folded(key))
+        ranked = Window.partitionBy("_key").orderBy(*order)
+    else:
+        ranked = Window.partitionBy(key).orderBy(F.desc_nulls_last(value))
     return df.withColumn("row_num", F.row_number().over(ranked)).where("row_num = 1").select(key, value)
 
 
-def master_store_windowed(channels: DataFrame) -> DataFrame:
+def master_store_windowed(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """`master_store` with a ranking window, as a cross-check of the aggregate."""
-    return _cleaned(_first_row(_store_rows(channels), "brand_id", "official_store"))
+    rows = _store_rows(channels, case_insensitive)
+    return _cleaned(_first_row(rows, "brand_id", "official_store", case_insensitive))
 
 
-def master_marketplace_windowed(channels: DataFrame) -> DataFrame:
-    return _first_row(_marketplace_rows(channels), "mp_code", "marketplace")
+def master_marketplace_windowed(channels: DataFrame, case_insensitive: bool = False) -> DataFrame:
+    return _first_row(_marketplace_rows(channels), "mp_code", "marketplace", case_insensitive)
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

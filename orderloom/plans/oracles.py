@@ -53,6 +53,9 @@ _MARKETPLACE = """select mp_code, max(marketplace) as marketplace from split
   where mp_code is not null group by mp_code"""
 
 _DIMENSIONS = f"with {CHANNELS}, {SPLIT}"
+_ANY_CASE = f"""with {CHANNELS.replace("channels as", "told as", 1)}, channels as (
+  select * from told union all select upper(channel_code), upper(channel_name) from told
+  union all select lower(channel_code), lower(channel_name) from told), {_split(f"(?i){_B2B}")}"""
 
 # --- messages
 
@@ -231,6 +234,14 @@ ORACLES: dict[str, str] = {
     "master_store_any_case": (
         f"with {CHANNELS}, {_split(f'(?i){_B2B}')} {_STORE_ANY_CASE}"
     ),
+    "oms_channel_any_case": f"""{_ANY_CASE} select unnest(row) from (
+  select min({{'channel_code': channel_code, 'mp_code': mp_code, 'official_store': official_store,
+               'marketplace': marketplace}}) as row from split
+  group by lower(channel_code), lower(mp_code), lower(official_store), lower(marketplace))""",
+    "master_store_any_case_windowed": f"{_ANY_CASE} {_STORE_ANY_CASE}",
+    "master_marketplace_any_case": f"""{_ANY_CASE}
+select mp_code, arg_max(marketplace, row(lower(marketplace), marketplace)) as marketplace
+from split where mp_code is not null group by mp_code""",
     "master_marketplace": f"{_DIMENSIONS} {_MARKETPLACE}",
     "master_marketplace_agg": f"{_DIMENSIONS} {_MARKETPLACE}",
     "dimension_key_check": f"""{_DIMENSIONS}, pairs as (select distinct * from split)

@@ -17,16 +17,18 @@ from orderloom.session import ensure_checkpoint_dir
 
 
 def to_sink(lines: DataFrame, loaded: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """The target table's columns, in its order and types, after any `extra` ones."""
+    """The target table's columns, in its order and types, after any `extra` ones. `loaded` replaces the load time."""
     columns = [f"cast({c} as {t}) as {c}" for c, t in S.SINK_TYPES.items()]
-    stamped = lines.withColumn("load_timestamp", F.expr(load_ts()) if loaded is None else loaded)
+    stamped = lines if loaded is None else lines.withColumn("load_timestamp", loaded)
     return stamped.selectExpr(*extra, *columns)
 
 
 def lines_of(headers: DataFrame, store: Lookup, marketplace: Lookup, cfg: JobConfig = JobConfig()) -> DataFrame:
     """Enriched lines. The lookups use header columns only, so they run before the explode: once
-    per order, and with far fewer rows to move should a lookup be too large to broadcast."""
-    return explode_lines(enrich(headers, store, marketplace, cfg), cfg)
+    per order, and with far fewer rows to move should a lookup be too large to broadcast. The load time is taken there
+    too, so the lines of a message share it."""
+    timed = headers.withColumn("load_timestamp", F.expr(load_ts()))
+    return explode_lines(enrich(timed, store, marketplace, cfg), cfg)
 
 
 def build(

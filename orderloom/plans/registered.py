@@ -61,6 +61,25 @@ def master_store_any_case(spark, sf_dir):
     return dims.master_store(fx.oms_channel(spark, sf_dir), case_insensitive=True)
 
 
+def _any_case(spark, sf_dir):
+    """The channels as they are, in capitals and in small letters."""
+    channels = fx.oms_channel(spark, sf_dir)
+    shown = [channels.selectExpr(*[f"{fold}({c}) as {c}" for c in channels.columns]) for fold in ("upper", "lower")]
+    return channels.unionAll(shown[0]).unionAll(shown[1])
+
+
+def oms_channel_any_case(spark, sf_dir):
+    return dims.oms_channel_clean(_any_case(spark, sf_dir), case_insensitive=True)
+
+
+def master_store_any_case_windowed(spark, sf_dir):
+    return dims.master_store_windowed(_any_case(spark, sf_dir), case_insensitive=True)
+
+
+def master_marketplace_any_case(spark, sf_dir):
+    return dims.master_marketplace(_any_case(spark, sf_dir), case_insensitive=True)
+
+
 def master_marketplace(spark, sf_dir):
     return dims.master_marketplace_windowed(fx.oms_channel(spark, sf_dir))
 
@@ -340,6 +359,9 @@ QUERIES: dict[str, Query] = {
     "master_store": master_store,
     "master_store_agg": master_store_agg,
     "master_store_any_case": master_store_any_case,
+    "oms_channel_any_case": oms_channel_any_case,
+    "master_store_any_case_windowed": master_store_any_case_windowed,
+    "master_marketplace_any_case": master_marketplace_any_case,
     "master_marketplace": master_marketplace,
     "master_marketplace_agg": master_marketplace_agg,
     "dimension_key_check": dimension_key_check,

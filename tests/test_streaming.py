@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import time
+
 import pytest
-from builders import body, channels, line, message
+from builders import body, channels, line, message, messages
 from conftest import SMALL
 
 from pyspark.sql import functions as F
@@ -433,3 +436,23 @@ def test_a_database_needs_a_text_for_null(spark, tmp_path):
     targets = job.Targets(str(tmp_path / "l"), str(tmp_path / "c"), database=database)
     with pytest.raises(ValueError, match="null_text"):
         job.run_stream(spark, lambda s: None, lambda s: None, targets, JobConfig(null_text=None))
+
+
+def test_lines_of_a_message_share_their_load_time_and_messages_need_not(spark):
+    @F.udf("string")
+    def slowly(value):
+        time.sleep(0.8)
+        return value
+
+    values = [message(body(id=str(i), lines=[line(remote_order_item_id=str(k)) for k in range(3)])) for i in range(4)]
+    slow = messages(spark, values).coalesce(1).withColumn("value", slowly.asNondeterministic()("value"))
+    before = datetime.datetime.now().replace(microsecond=0)
+    # Two readings one after the other: Python rows are handed over in batches.
+    halves = slow.where("message_seq < 2").unionAll(slow.where("message_seq >= 2")).coalesce(1)
+    rows = build(halves, channels(spark, CHANNELS)).collect()
+    times = {}
+    for r in rows:
+        times.setdefault(r.id, set()).add(r.load_timestamp)
+    assert len(rows) == 12 and all(len(t) == 1 for t in times.values())
+    assert len(set().union(*times.values())) > 1
+    assert min(min(t) for t in times.values()) >= before
