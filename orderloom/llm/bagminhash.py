@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from orderloom.llm.common import ship, small_enough, written
+from orderloom.llm.common import boxed, picked, ship, small_enough, unboxed, written
 from orderloom.llm.components import components
 from orderloom.llm.tokens import PLAIN_WORDS, mixed, shingles, word_hashes, word_runs
 
@@ -302,7 +302,7 @@ def near_groups(
     table gives an empty result.
     """
     ship(docs.sparkSession)
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    plain = picked(docs, doc_id=id_col, text=text_col)
     signed = plain.select("doc_id", _node(F.col("text")).alias("node"), "text")
     schema = signed.select("doc_id", "node").schema.add("size", "long").add("bands", ArrayType(LongType()))
     base = written(signed.mapInArrow(_signed, schema), "signatures")
@@ -336,8 +336,9 @@ def near_groups(
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are kept, as they are."""
     gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__id"), F.col("node").alias("__node")
+        F.col("doc_id").alias("gone_id"), "node"
     )
     gone = small_enough(written(gone.distinct(), "gone"), 96, BROADCAST_BYTES)
-    same = docs[id_col].eqNullSafe(F.col("__id")) & (_node(docs[text_col]) == F.col("__node"))
-    return docs.join(gone, same, "left_anti")
+    rows = boxed(docs, doc_id=id_col, text=text_col).select("row", "doc_id", _node(F.col("text")).alias("own"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("own") == F.col("node"))
+    return unboxed(rows.join(gone, same, "left_anti"), docs)

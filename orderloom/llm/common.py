@@ -1,7 +1,7 @@
 """What several operators share: reading a table, normalising text, scratch tables.
 
-Operators take any table with an id and a text column and pick these two out under their own names,
-so further columns, whatever they are called, neither clash nor travel.
+Operators take any table with an id and a text column and pick these two out under their own names, or put all columns
+into one, so further columns, whatever they are called, neither clash nor change.
 """
 
 from __future__ import annotations
@@ -31,9 +31,39 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lower_ascii(text), SEPARATORS), lambda w: w != "")
 
 
-def picked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only id and text, as `doc_id` and `text`."""
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+def _place(docs: DataFrame, name: str) -> int:
+    """Where a column stands: the one of just this name, or else the only one of this name in any case."""
+    if name in docs.columns:
+        return docs.columns.index(name)
+    alike = [i for i, c in enumerate(docs.columns) if c.lower() == name.lower()]
+    if len(alike) != 1:
+        raise ValueError(f"{len(alike)} columns are called {name}")
+    return alike[0]
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+
+
+def picked(docs: DataFrame, **columns: str) -> DataFrame:
+    """Only these of the caller's columns, under the names of the arguments."""
+    own = _numbered(docs)
+    return own.select(*[F.col(f"_{_place(docs, c)}").alias(name) for name, c in columns.items()])
+
+
+def boxed(docs: DataFrame, **columns: str) -> DataFrame:
+    """All of the caller's columns as one, `row`, so that no name of theirs meets one of ours; and some under names of
+    ours beside it. See `unboxed`."""
+    own = _numbered(docs)
+    some = [F.col(f"_{_place(docs, c)}").alias(name) for name, c in columns.items()]
+    return own.select(F.struct(*own.columns).alias("row"), *some)
+
+
+def unboxed(rows: DataFrame, docs: DataFrame, *more: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """The caller's columns as they were, and more columns behind them. `without`: names, in any case, to leave out."""
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() not in without]
+    out = rows.select(*[F.col(f"row._{i}").alias(f"_{i}") for i in kept], *more)
+    return out.toDF(*[docs.columns[i] for i in kept], *more)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import bitmaps
-from orderloom.llm.common import SEPARATORS, words_of, written
+from orderloom.llm.common import SEPARATORS, boxed, picked, unboxed, words_of, written
 
 WINDOW = 13
 EVERY_NTH = 3
@@ -25,9 +25,9 @@ ONE_IN = 20
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """gram, length, items: each distinct window with the ids of the items that have it, as texts."""
-    words = benchmark.select(
-        benchmark["item_id"].cast("string").alias("item_id"), words_of(benchmark["text"]).alias("words")
-    ).where(F.size("words") > 0)
+    items = picked(benchmark, item_id="item_id", text="text")
+    words = items.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("words"))
+    words = words.where(F.size("words") > 0)
     length = F.least(F.size("words"), F.lit(window))
     return (
         words.withColumn("length", length)
@@ -75,11 +75,11 @@ def scanned(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str, bits:
     lengths = sorted(r["length"] for r in grams.select("length").distinct().collect())
     found = [_windows_let_through(grams, n, bits) for n in lengths]
     none = F.array().cast("array<struct<start:int,length:int,gram:string>>")
-    words = docs.select(
+    words = picked(docs, doc_id=id_col, text=text_col).select(
         F.monotonically_increasing_id().alias("row"),
-        docs[id_col].alias("doc_id"),
-        F.sha2(docs[text_col], 256).alias("text_key"),
-        words_of(docs[text_col]).alias("words"),
+        "doc_id",
+        F.sha2("text", 256).alias("text_key"),
+        words_of(F.col("text")).alias("words"),
     )
     return written(
         words.select(
@@ -159,9 +159,10 @@ def contamination(
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that aren't contaminated, as they are."""
     bad = contamination(docs, benchmark, id_col, text_col).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("__id")) & F.sha2(docs[text_col], 256).eqNullSafe(F.col("__text"))
-    return docs.join(bad, same, "left_anti")
+    bad = bad.select(F.col("doc_id").alias("bad_id"), "text_key").distinct()
+    rows = boxed(docs, doc_id=id_col, text=text_col).select("row", "doc_id", F.sha2("text", 256).alias("own"))
+    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & F.col("own").eqNullSafe(F.col("text_key"))
+    return unboxed(rows.join(bad, same, "left_anti"), docs)
 
 
 def without_spans(text: Column, spans: Column) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import lower_ascii, picked, written
+from orderloom.llm.common import boxed, lower_ascii, picked, unboxed, written
 
 BUCKETS = 64
 COUNTERS = 128
@@ -23,7 +23,7 @@ HEAVY_SHARE = 1000
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id` and the SHA-256 of the normalised text."""
-    return picked(docs, id_col, text_col).select(
+    return picked(docs, doc_id=id_col, text=text_col).select(
         "doc_id", F.sha2(lower_ascii(F.col("text")), 256).alias("text_sha256")
     )
 
@@ -80,6 +80,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     kept = exact_groups(docs, id_col, text_col).where("kept")
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")).distinct()
-    digest = F.sha2(lower_ascii(docs[text_col]), 256)
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")) & (digest == F.col("__digest")), "left_semi")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
+    own = F.sha2(lower_ascii(F.col("text")), 256).alias("own")
+    rows = boxed(docs, doc_id=id_col, text=text_col).select("row", "doc_id", own)
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("own") == F.col("text_sha256"))
+    return unboxed(rows.join(kept, same, "left_semi"), docs)

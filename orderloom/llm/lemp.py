@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import ship, written
+from orderloom.llm.common import picked, ship, written
 from orderloom.llm.tokens import PLAIN_WORDS
 
 TOP = 50
@@ -278,8 +278,8 @@ def ranked(
     """
     spark = docs.sparkSession
     ship(spark)
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    asked = items.select(items[item_col].alias("item_id"), items[item_text_col].alias("text")).distinct()
+    plain = picked(docs, doc_id=id_col, text=text_col)
+    asked = picked(items, item_id=item_col, text=item_text_col).distinct()
     asked = written(asked.withColumn("_size", F.coalesce(F.octet_length("text"), F.lit(0)) + 64), "items")
     blocks = math.ceil((asked.agg(F.sum("_size")).head()[0] or 0) / block_bytes)
     item_type = asked.schema["item_id"].dataType.simpleString()

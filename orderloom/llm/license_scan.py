@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import ship
+from orderloom.llm.common import picked, ship
 
 LEVEL = 3
 COVERED = 0.75
@@ -295,7 +295,7 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     the table is scanned for itself, so repeated rows and null ids have their findings as often.
     """
     ship(docs.sparkSession)
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    plain = picked(docs, doc_id=id_col, text=text_col)
     likely = plain.where(F.col("text").rlike("(?i)" + "|".join(TRIGGERS)))
     id_type = plain.schema["doc_id"].dataType.simpleString()
     return likely.mapInArrow(

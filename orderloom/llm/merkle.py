@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import lower_ascii, ship, small_enough, written
+from orderloom.llm.common import lower_ascii, picked, ship, small_enough, written
 
 FAN = 16
 STRIDE = 2
@@ -249,13 +249,14 @@ def verified(
     not tampered. An empty table gives an empty result.
     """
     ship(docs.sparkSession)
-    columns = [docs[c] for c in LEAF[:-1]] + [docs[text_col]]
-    shown = leaf(*columns[:-1], F.when(columns[-1].isNotNull(), lower_ascii(columns[-1])))
+    plain = picked(docs, **{c: c for c in LEAF[:-1]}, text=text_col)
+    columns = [F.col(c) for c in LEAF]
+    shown = leaf(*columns[:-1], F.when(F.col("text").isNotNull(), lower_ascii(F.col("text"))))
     true = leaf(*columns)
-    rows = docs.select(
-        columns[0].alias("doc_id"),
+    rows = plain.select(
+        "doc_id",
         # Null sorts before all names, and is a tree like them.
-        F.coalesce(F.concat(F.lit("s"), columns[1].cast("string")), F.lit("")).alias("tree"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("tree"),
         true.alias("digest"),
         (true if tampered is None else F.when(tampered, shown).otherwise(true)).alias("shown"),
     )

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import bitmaps
-from orderloom.llm.common import hash_unit, words_of, written
+from orderloom.llm.common import boxed, hash_unit, picked, unboxed, words_of, written
 
 LOG = logging.getLogger(__name__)
 
@@ -104,7 +104,8 @@ def _counted(read: DataFrame, places: Column) -> dict[str, np.ndarray]:
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, z_score: float = Z_SCORE) -> Classifier:
     """Learn from at most `labelled` of the labels, taken by a hash of the id. A null label is no answer; to a
     question with one kind of answer only, that is the likely one for all texts."""
-    answers = labels.select(labels["doc_id"].alias("doc_id"), *[labels[q].cast("int").alias(q) for q in QUESTIONS])
+    given = picked(labels, doc_id="doc_id", **{q: q for q in QUESTIONS})
+    answers = given.select("doc_id", *[F.col(q).cast("int").alias(q) for q in QUESTIONS])
     sample = answers.where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", *QUESTIONS).limit(labelled)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     read = written(texts.select(*QUESTIONS, _features(F.col("text")).alias("places")), "labelled")
@@ -238,7 +239,7 @@ def fit_rates(weighted: DataFrame, targets: Mapping[str, float]) -> list[list[fl
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_col: str, text_col: str):
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    plain = picked(docs, doc_id=id_col, text=text_col)
     classifier = fit(plain, labels)
     weighted = written(_weighted(plain, F.col("text"), classifier).drop("text"), "weighted")
     return classifier, weighted, fit_rates(weighted, targets) if classifier.texts else []
@@ -297,7 +298,8 @@ def mixed(
 ) -> DataFrame:
     """The documents, each as often as its rate says, with their columns. Texts aren't shuffled."""
     classifier, weighted, steps = _fitted(docs, labels, targets, id_col, text_col)
-    rated = _weighted(docs, docs[text_col], classifier)
+    rated = _weighted(boxed(docs, doc_id=id_col, text=text_col), F.col("text"), classifier)
+    copies = _copies(_rate(steps), F.col("doc_id"), _repeated(weighted.select("doc_id")))
     # An outer generator keeps Catalyst from working out the rate a second time in a filter below it.
-    times = F.explode_outer(F.array_repeat(F.lit(1), _copies(_rate(steps), docs[id_col], _repeated(weighted.select("doc_id")))))
-    return rated.select(*docs.columns, times.alias("__copy")).where(F.col("__copy").isNotNull()).drop("__copy")
+    times = rated.select("row", F.explode_outer(F.array_repeat(F.lit(1), copies)).alias("copy"))
+    return unboxed(times.where(F.col("copy").isNotNull()), docs)

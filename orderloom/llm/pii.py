@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import bitmaps
-from orderloom.llm.common import SEPARATORS, lower_ascii, small_enough, words_of, written
+from orderloom.llm.common import SEPARATORS, lower_ascii, picked, small_enough, words_of, written
 
 # kind: plain pattern (fixed values), the same pattern without needless search, what a text must hold.
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -100,10 +100,8 @@ def _spans(parts: Column, kind: str, rank: int) -> Column:
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row, doc_id, text, spans: validated matches by start, then kind; offsets in code points."""
-    marked = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        docs[id_col].alias("doc_id"),
-        F.coalesce(docs[text_col], F.lit("")).alias("text"),
+    marked = picked(docs, doc_id=id_col, text=text_col).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("marked", F.translate("text", MARK, INSTEAD))
     parts = marked.select(
         "row", "doc_id", "text", *[_parts(F.col("marked"), kind).alias(f"parts_{kind}") for kind in KINDS]
@@ -170,10 +168,10 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text")
     if terms.isEmpty():
         return pairs.select("entity", "term", F.lit(1.0).alias("disclosure"))
     table = bitmaps.constant(bitmaps.gathered(terms, bitmaps.bit_of(F.col("term"))))
-    seen = docs.select(
-        F.sha2(F.coalesce(docs[text_col], F.lit("")), 256).alias("text_key"),
+    seen = picked(docs, text=text_col).select(
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_key"),
         F.array_distinct(
-            F.filter(words_of(docs[text_col]), lambda w: bitmaps.holds(table, bitmaps.bit_of(w)))
+            F.filter(words_of(F.col("text")), lambda w: bitmaps.holds(table, bitmaps.bit_of(w)))
         ).alias("words"),
     )
     counts = (

@@ -23,7 +23,7 @@ from orderloom.llm import (
     token_counts,
     warc_zip,
 )
-from orderloom.llm.common import table
+from orderloom.llm.common import picked, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    told = langid.predictions(docs.select("doc_id", "text"), F.col("text"), langid.fit(docs))
+    told = langid.predictions(picked(docs, doc_id="doc_id", text="text"), F.col("text"), langid.fit(docs))
     return told.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import ship, small_enough, written
+from orderloom.llm.common import picked, ship, small_enough, written
 from orderloom.llm.tokens import RAW_WORDS, mixed, word_hashes
 
 WINDOW = 35
@@ -278,7 +278,7 @@ def repeated_spans(
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: node, spans of the texts with repeats, and node, keep_id of the texts that have copies."""
     ship(docs.sparkSession)
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    plain = picked(docs, doc_id=id_col, text=text_col)
     named = plain.withColumn("node", node_of(F.col("text")))
     copied = written(
         named.groupBy("node")
@@ -367,7 +367,7 @@ def without_repeats(
     spans, copied = repeated_spans(docs, id_col, text_col, window, broadcast_bytes)
     spans = small_enough(spans, 48 + 16 * F.size("spans"), broadcast_bytes)
     copied = small_enough(copied.select("node", F.lit(True).alias("copied")), 64, broadcast_bytes)
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    plain = picked(docs, doc_id=id_col, text=text_col)
     rows = plain.withColumn("node", node_of(F.col("text"))).join(spans, "node", "left").join(copied, "node", "left")
     rows = rows.select("doc_id", "text", "spans", F.coalesce("copied", F.lit(False)).alias("copied"))
     id_type = plain.schema["doc_id"].dataType.simpleString()

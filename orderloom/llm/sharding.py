@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.llm.common import boxed, unboxed
+
 SHARDS = 32
 SLOTS = 4099
 MOST_SLOTS = 1_000_003
@@ -74,11 +76,6 @@ def place(
     Equal ids, repeated rows among them, have one shard; null ids share that of the empty text. An empty
     table stays empty.
     """
-    owners = lookup_table(docs.sparkSession, names or shard_names(), slots).select(
-        F.col("slot").alias("__slot"), F.col("shard").alias("__shard")
-    )
-    keyed = docs.withColumn("__slot", slot_of(docs[id_col], slots))
-    others = [c for c in docs.columns if c.lower() not in ("slot", "shard")]
-    return keyed.join(F.broadcast(owners), "__slot").select(
-        *others, F.col("__slot").alias("slot"), F.col("__shard").alias("shard")
-    )
+    owners = lookup_table(docs.sparkSession, names or shard_names(), slots)
+    keyed = boxed(docs, key=id_col).select("row", slot_of(F.col("key"), slots).alias("slot"))
+    return unboxed(keyed.join(F.broadcast(owners), "slot"), docs, "slot", "shard", without=("slot", "shard"))

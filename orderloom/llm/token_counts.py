@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import ship
+from orderloom.llm.common import picked, ship
 
 SPACE = "▁"
 LIMIT = 4096
@@ -434,8 +434,9 @@ def token_counts(
     pieces = vocabulary(model_path)
     name = sha256(repr(sorted(pieces.items())).encode()).hexdigest()
     shared = Shared(name, spark.sparkContext.broadcast(pieces))
-    text = F.coalesce(docs[text_col], F.lit(""))
-    plain = docs.select(docs[id_col].alias("doc_id"), F.octet_length(text).cast("bigint").alias("n_bytes"), text.alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    plain = picked(docs, doc_id=id_col, text=text_col)
+    plain = plain.select("doc_id", F.octet_length(text).cast("bigint").alias("n_bytes"), text.alias("text"))
     is_long = F.length("text") > chunk
     schema = plain.select("doc_id", "n_bytes").schema.add("n_tokens", "long")
     short = plain.where(~is_long).mapInArrow(_counted(shared), schema)

@@ -8,13 +8,15 @@ lost or repeated attempt left behind is never read.
 The reader looks only at what it needs. From the end of a file it finds the end record, its ZIP64 form if there is
 one, and the central directory; from that, the stored archive members and their indexes. The index
 gives the ranges of records, which are dealt out over tasks and read by range; nothing is extracted, and
-archives without an index are read from the start of the member on. Files are opened through Arrow's file
+archives without an index are read from the start of the member on, record by record, as are members of plain records
+(`.warc`). Files are opened through Arrow's file
 systems, so the folder may be any that they and Spark know by the same address.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import struct
@@ -23,20 +25,23 @@ import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import scratch, ship, small_enough, written
+from orderloom.llm.common import picked, scratch, ship, small_enough, written
 
 ARCHIVE_BYTES = 64 * 1024 * 1024
 RANGE_BYTES = 2 * 1024 * 1024
 ROWS_AT_ONCE = 256
 BROADCAST_BYTES = 32 * 1024 * 1024
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
-PAGE_URN = "urn:page:"
+PAGE_URN, NO_PAGE_URN = "urn:page:", "urn:page-without-id"
+# A file is read in blocks of so many bytes; a record is held as a whole.
+BLOCK_BYTES = 64 * 1024
 DATE = "1970-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -48,9 +53,22 @@ def base32_sha1(payload: bytes) -> str:
 # --- records -----------------------------------------------------------------------------------
 
 
-def _clean(value: str) -> str:
-    """A header value on one line."""
-    return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
+def _on_one_line(value: str) -> str:
+    """An address as a header value: what may not stand in one is written as `%XX`."""
+    return "".join(c if c.isprintable() and c != " " else quote(c, safe="") for c in value)
+
+
+def page_urn(page_id: object) -> str:
+    """The name of a page's record, from which its id is read back as it was."""
+    if page_id is None:
+        return NO_PAGE_URN
+    return PAGE_URN + "".join(c if c.isprintable() and c not in " %<>{}" else quote(c, safe="") for c in str(page_id))
+
+
+def page_of(urn: str) -> str | None:
+    """The id in a record's name; none if it is not the name of a page with an id."""
+    urn = urn.removeprefix("<").removesuffix(">")
+    return unquote(urn.removeprefix(PAGE_URN)) if urn.startswith(PAGE_URN) else None
 
 
 def record(page_id: object, url: str | None, payload: bytes, refers_to: object = None) -> bytes:
@@ -60,11 +78,11 @@ def record(page_id: object, url: str | None, payload: bytes, refers_to: object =
     body = http if revisit else http + payload
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<{PAGE_URN}{'' if page_id is None else _clean(str(page_id))}>"),
+        ("WARC-Record-ID", f"<{page_urn(page_id)}>"),
         ("WARC-Date", DATE),
-        *([("WARC-Target-URI", _clean(url))] if url else []),
+        *([("WARC-Target-URI", _on_one_line(url))] if url else []),
         ("WARC-Payload-Digest", f"sha1:{base32_sha1(payload)}"),
-        *([("WARC-Refers-To", f"<{PAGE_URN}{_clean(str(refers_to))}>"), ("WARC-Profile", REVISIT_PROFILE)] if revisit else []),
+        *([("WARC-Refers-To", f"<{page_urn(refers_to)}>"), ("WARC-Profile", REVISIT_PROFILE)] if revisit else []),
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(body))),
     ]
@@ -80,8 +98,7 @@ class Record:
     payload: bytes
 
     def page(self, header: str) -> str | None:
-        value = self.headers.get(header, "").strip("<>")
-        return value.removeprefix(PAGE_URN) or None
+        return page_of(self.headers.get(header, ""))
 
 
 def parsed(data: bytes) -> Record:
@@ -102,15 +119,45 @@ def _fields(lines: Iterable[str]) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
 
-def members(data: bytes) -> Iterator[bytes]:
-    """The contents of successive gzip members."""
-    while data:
-        unpacker = zlib.decompressobj(31)
-        content = unpacker.decompress(data) + unpacker.flush()
-        if not unpacker.eof:
-            raise ValueError("a record is cut short")
-        yield content
-        data = unpacker.unused_data
+def plain_blocks(file, start: int, length: int) -> Iterator[bytes]:
+    """A stretch of a file, block by block."""
+    for at in range(start, start + length, BLOCK_BYTES):
+        yield _read(file, at, min(BLOCK_BYTES, start + length - at))
+
+
+def unpacked_blocks(blocks: Iterable[bytes]) -> Iterator[bytes]:
+    """The contents of successive gzip members, block by block."""
+    unpacker = None
+    for data in blocks:
+        while data:
+            unpacker = unpacker or zlib.decompressobj(31)
+            yield unpacker.decompress(data)
+            data = unpacker.unused_data
+            if unpacker.eof:
+                unpacker = None
+    if unpacker is not None:
+        raise ValueError("a record is cut short")
+
+
+def split_records(blocks: Iterable[bytes]) -> Iterator[bytes]:
+    """Record by record, whatever blocks they come in: no more than a record and a block are held."""
+    held, wanted = bytearray(), None
+    for data in blocks:
+        held += data
+        while True:
+            if wanted is None:
+                end = held.find(b"\r\n\r\n")
+                if end < 0:
+                    break
+                fields = _fields(held[:end].decode().split("\r\n")[1:])
+                wanted = end + 4 + int(fields["content-length"]) + 4
+            if len(held) < wanted:
+                break
+            yield bytes(held[:wanted])
+            del held[:wanted]
+            wanted = None
+    if held.strip():
+        raise ValueError("a record is cut short")
 
 
 # --- ZIP ---------------------------------------------------------------------------------------
@@ -185,8 +232,19 @@ def _zip64(extra: bytes, plain: int, packed: int, local: int) -> tuple[int, int]
     return packed, local
 
 
-def ranges(path: str) -> Iterator[tuple[str, int, int]]:
-    """path, start, length of runs of records in a file, by its index; a member without one is a run."""
+def _index(file, member: Member) -> str:
+    """The text of an index, stored or compressed."""
+    data = _read(file, member.start, member.size)
+    if member.method == zipfile.ZIP_DEFLATED:
+        data = zlib.decompress(data, -15)
+    elif member.method != zipfile.ZIP_STORED:
+        raise ValueError(f"the index {member.name} is compressed by a method that is not known")
+    return (gzip.decompress(data) if member.name.endswith(".gz") else data).decode()
+
+
+def ranges(path: str) -> Iterator[tuple[str, int, int, bool]]:
+    """path, start, length and packed (by gzip) of runs of records in a file, by its index; a member without one is a
+    run, which its reader takes record by record."""
     system, place = fs.FileSystem.from_uri(path)
     size = system.get_file_info(place).size
     with system.open_input_file(place) as file:
@@ -197,22 +255,25 @@ def ranges(path: str) -> Iterator[tuple[str, int, int]]:
                 raise ValueError(f"{m.name} is compressed in {path}; archive members must be stored")
         spans: dict[str, list[tuple[int, int]]] = {}
         for m in found:
-            if m.name.startswith("indexes/") and m.name.endswith(".cdxj") and m.method == 0:
-                for line in _read(file, m.start, m.size).decode().splitlines():
-                    entry = json.loads(line[line.index("{") :])
+            if m.name.startswith("indexes/") and m.name.endswith((".cdxj", ".cdxj.gz")):
+                for line in _index(file, m).split("\n"):
+                    if not line or line.startswith("!"):  # a note about the index
+                        continue
+                    entry = json.loads(line.split(" ", 2)[2])
                     spans.setdefault(entry["filename"], []).append((int(entry["offset"]), int(entry["length"])))
     for m in archives:
         own = sorted(spans.get(m.name.removeprefix("archive/"), [(0, m.size)] if m.size else []))
+        packed = m.name.endswith(".gz")
         start = stop = None
         for offset, length in own:
             if start is not None and offset == stop and offset + length - start <= RANGE_BYTES:
                 stop = offset + length
                 continue
             if start is not None:
-                yield path, m.start + start, stop - start
+                yield path, m.start + start, stop - start, packed
             start, stop = offset, offset + length
         if start is not None:
-            yield path, m.start + start, stop - start
+            yield path, m.start + start, stop - start, packed
 
 
 # --- Spark -------------------------------------------------------------------------------------
@@ -231,7 +292,7 @@ class _Archive:
 
     def add(self, page_id, url, data: bytes) -> None:
         entry = {"url": url or "", "offset": str(self.size), "length": str(len(data)), "filename": "data.warc.gz"}
-        self.lines.append(f"{PAGE_URN}{page_id} {DATE} {json.dumps(entry)}\n")
+        self.lines.append(f"{page_urn(page_id)} {DATE} {json.dumps(entry)}\n")
         self.member.write(data)
         self.size += len(data)
 
@@ -266,9 +327,7 @@ def _writer(folder: str, archive_bytes: int):
 def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """page_id, url, html, refers_to: the page whose payload a page repeats. Of equal payloads of `min_bytes` or more
     the one with the largest page_id is the original."""
-    plain = pages.select(
-        pages["page_id"].alias("page_id"), pages["url"].alias("url"), pages["html"].alias("html")
-    )
+    plain = picked(pages, page_id="page_id", url="url", html="html")
     long = F.octet_length(F.coalesce("html", F.lit(""))) >= min_bytes
     keyed = plain.withColumn("key", F.when(long, F.unhex(F.sha2(F.coalesce("html", F.lit("")), 256))))
     repeated = written(
@@ -300,7 +359,7 @@ def _planner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = list(ranges(path.as_py()))
             if found:
                 yield pa.RecordBatch.from_pydict(
-                    dict(zip(("path", "start", "length"), map(list, zip(*found)), strict=True))
+                    dict(zip(("path", "start", "length", "packed"), map(list, zip(*found)), strict=True))
                 )
 
 
@@ -310,27 +369,30 @@ _COLUMNS = "record_id string, record_type string, url string, payload_bytes long
 def _reader(with_payload: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for path, start, length in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "length")), strict=True):
+            columns = ("path", "start", "length", "packed")
+            for path, start, length, packed in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 system, place = fs.FileSystem.from_uri(path)
                 with system.open_input_file(place) as file:
-                    data = _read(file, start, length)
-                for content in members(data):
-                    one = parsed(content)
-                    kind, digest = one.headers.get("warc-type"), one.headers.get("warc-payload-digest", "")
-                    size = len(one.payload)
-                    if kind == "response" and digest != f"sha1:{base32_sha1(one.payload)}":
-                        raise ValueError(f"payload and digest differ in {path} at {start}")
-                    if kind == "revisit":
-                        size = int(one.http["content-length"])
-                    yield {
-                        "record_id": one.page("warc-record-id"),
-                        "record_type": kind,
-                        "url": one.headers.get("warc-target-uri"),
-                        "payload_bytes": size,
-                        "payload_digest": digest.removeprefix("sha1:"),
-                        "refers_to": one.page("warc-refers-to"),
-                        **({"payload": one.payload if kind == "response" else None} if with_payload else {}),
-                    }
+                    blocks = plain_blocks(file, start, length)
+                    for content in split_records(unpacked_blocks(blocks) if packed else blocks):
+                        yield row(parsed(content), f"{path} at {start}")
+
+    def row(one: Record, place: str) -> dict:
+        kind, digest = one.headers.get("warc-type"), one.headers.get("warc-payload-digest", "")
+        size = len(one.payload)
+        if kind == "response" and digest and digest != f"sha1:{base32_sha1(one.payload)}":
+            raise ValueError(f"payload and digest differ in {place}")
+        if kind == "revisit":
+            size = int(one.http.get("content-length", size))
+        return {
+            "record_id": one.page("warc-record-id"),
+            "record_type": kind,
+            "url": one.headers.get("warc-target-uri"),
+            "payload_bytes": size,
+            "payload_digest": digest.removeprefix("sha1:") or None,
+            "refers_to": one.page("warc-refers-to"),
+            **({"payload": one.payload if kind == "response" else None} if with_payload else {}),
+        }
 
     kinds = [("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64())]
     kinds += [("payload_digest", pa.string()), ("refers_to", pa.string())]
@@ -353,10 +415,12 @@ def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
     """One row per record of the archives at `path`: record_id, record_type, url, payload_bytes, payload_digest,
     refers_to and, if asked for, payload. A response's payload is held against its digest.
 
-    Payload figures of a revisit are those of the full payload. An archive without records gives no rows.
+    Payload figures of a revisit are those of the full payload, as far as it states them. `record_id` and `refers_to` are the
+    ids of pages, as they were; records that are not named for a page with an id have none. An archive without records
+    gives no rows.
     """
     ship(archives.sparkSession)
-    runs = written(archives.select("path").mapInArrow(_planner, "path string, start long, length long"), "ranges")
+    runs = written(archives.select("path").mapInArrow(_planner, "path string, start long, length long, packed boolean"), "ranges")
     total = runs.agg(F.sum("length")).head()[0] or 0
     parts = max(1, min(runs.count(), total // (4 * RANGE_BYTES) + 1))
     dealt = runs.repartition(int(parts), "path", "start")
@@ -371,7 +435,7 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     while there is another. Pages repeated with id and payload are all responses.
     """
     archives = write_archives(pages, scratch(spark, "warc"))
-    id_type = pages.select("page_id").schema["page_id"].dataType
+    id_type = picked(pages, page_id="page_id").schema["page_id"].dataType
     return read_archives(archives).select(
         F.col("record_id").cast(id_type).alias("page_id"),
         "payload_bytes",

@@ -17,7 +17,7 @@ from test_llm_text import plain_contamination
 
 import __spark_entry__ as registered
 import corpus_pipeline
-from orderloom.llm import mixing, sharding
+from orderloom.llm import langid, mixing, sharding
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -92,8 +92,9 @@ def plain_mixture(docs, labels):
     return out
 
 
-def plain_pipeline(docs, benchmark, labels):
+def plain_pipeline(docs, benchmark, labels, model):
     docs = [(i, t) for i, t in docs if t is not None and any(c.isalpha() for c in t)]
+    docs = [(i, t) for i, t in docs if model.predict(t)[1] >= langid.TOSS_UP]
     kept = {i for i, least, _ in plain_classes(docs) if i == least}
     docs = [(i, t) for i, t in docs if i in kept]
     bad = {i for i, *_, contaminated in plain_contamination(docs, benchmark) if contaminated}
@@ -113,6 +114,7 @@ def test_pipeline_on_whole_tables(spark):
         [(r.doc_id, r.text) for r in docs.collect()],
         [(r.item_id, r.text) for r in benchmark.collect()],
         [(r.doc_id, r.quality, r.toxic) for r in labels.collect()],
+        langid.fit(docs),
     )
     got = corpus_pipeline.run(spark, SMALL)
     assert got.columns == [*docs.columns, "slot", "shard"]

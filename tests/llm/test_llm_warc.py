@@ -6,6 +6,8 @@ import base64
 import gzip
 import hashlib
 import io
+import time
+import tracemalloc
 import zipfile
 from collections import Counter
 
@@ -134,7 +136,8 @@ def test_zip64_directory():
     found = warc_zip.directory(io.BytesIO(data), len(data))
     assert found == warc_zip.directory(io.BytesIO(plain), len(plain)) and len(found) == 2
     member = next(m for m in found if m.name.endswith(".gz"))
-    contents = list(warc_zip.members(data[member.start : member.start + member.size]))
+    blocks = warc_zip.plain_blocks(io.BytesIO(data), member.start, member.size)
+    contents = list(warc_zip.split_records(warc_zip.unpacked_blocks(blocks)))
     assert [warc_zip.parsed(c).payload for c in contents] == [f"payload {i}".encode() for i in range(5)]
 
 
@@ -165,3 +168,111 @@ def test_a_damaged_payload_is_noticed(spark, tmp_path):
     path.write_bytes(archive([one]))
     with pytest.raises(Exception, match="differ"):
         warc_zip.read_archives(spark.createDataFrame([(str(path),)], "path string")).collect()
+
+
+# --- ids of any kind, and archives of others
+
+IDS = ["a b", "a%20b", "<x>", "x>", "", " ", "%", "{", "é\u2028ü", "urn:page:1", "\t\r\nWARC-Type: evil", "null", "日本", "a" * 300]
+
+
+def test_ids_come_back_as_they_were(spark):
+    rows = [(i, "http://h/", f"<p>{n % 5}</p>") for n, i in enumerate(IDS)] + [(None, "u", "own"), (None, "u", "<p>1</p>")]
+    pages = spark.createDataFrame([(h, u, i, "x") for i, u, h in rows], "html string, url string, page_id string, Score string")
+    got = warc_zip.round_trip(spark, pages).drop("url").collect()
+    assert Counter(map(tuple, got)) == expected(rows)
+
+
+def test_names_of_pages():
+    assert [warc_zip.page_of(f"<{warc_zip.page_urn(i)}>") for i in [*IDS, None]] == [*IDS, None]
+    assert warc_zip.page_of("<urn:uuid:1>") is None and warc_zip.page_of("") is None
+
+
+def raw(records):
+    return [gzip.decompress(r) for r in records]
+
+
+def read(spark, tmp_path, data):
+    path = tmp_path / "other.zip"
+    path.write_bytes(data)
+    return warc_zip.read_archives(spark.createDataFrame([(str(path),)], "path string"), with_payload=True).collect()
+
+
+def test_members_of_plain_records(spark, tmp_path):
+    got = read(spark, tmp_path, archive(raw(records()), name="archive/x.warc"))
+    assert {r["record_id"]: r["payload"] for r in got} == {str(i): f"payload {i}".encode() for i in range(5)}
+
+
+def test_all_records_in_one_gzip_member(spark, tmp_path):
+    got = read(spark, tmp_path, archive([gzip.compress(b"".join(raw(records())))]))
+    assert sorted(r["record_id"] for r in got) == list("01234")
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, "gz"])
+def test_indexes_stored_or_compressed(tmp_path, method, monkeypatch):
+    monkeypatch.setattr(warc_zip, "RANGE_BYTES", 1)
+    own, at, lines = records(), 0, ["!meta 0 {}"]
+    for n, r in enumerate(own):
+        entry = f'{{"offset": "{at}", "length": "{len(r)}", "filename": "x.warc.gz"}}'
+        lines.append(f"com,x)/%7B{{{n} 20200101 {entry}")
+        at += len(r)
+    text = "\n".join(lines).encode()
+    path = tmp_path / "indexed.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("archive/x.warc.gz", b"".join(own), zipfile.ZIP_STORED)
+        if method == "gz":
+            z.writestr("indexes/x.cdxj.gz", gzip.compress(text), zipfile.ZIP_STORED)
+        else:
+            z.writestr("indexes/x.cdxj", text, method)
+    assert [length for _, _, length, _ in warc_zip.ranges(str(path))] == [len(r) for r in own]
+
+
+def test_an_index_that_cannot_be_read_is_refused(tmp_path):
+    path = tmp_path / "indexed.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("archive/x.warc.gz", b"".join(records()), zipfile.ZIP_STORED)
+        z.writestr("indexes/x.cdxj", "a 1 {}", zipfile.ZIP_BZIP2)
+    with pytest.raises(ValueError, match="index"):
+        list(warc_zip.ranges(str(path)))
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_a_large_member_is_read_in_bounded_memory_and_linear_time(packed):
+    one = warc_zip.record(1, "http://x/", b"payload " * 40)
+    one = one if packed else gzip.decompress(one)
+
+    class Repeated:
+        """A member of many records that is never there as a whole."""
+
+        at = most = 0
+
+        def seek(self, at):
+            self.at = at
+
+        def read(self, n):
+            self.most = max(self.most, n)
+            out = (one * (n // len(one) + 2))[self.at % len(one) :][:n]
+            self.at += n
+            return out
+
+    def seconds(n):
+        file, start = Repeated(), time.perf_counter()
+        blocks = warc_zip.plain_blocks(file, 0, n * len(one))
+        found = warc_zip.split_records(warc_zip.unpacked_blocks(blocks) if packed else blocks)
+        assert sum(1 for _ in found) == n and file.most <= warc_zip.BLOCK_BYTES
+        return time.perf_counter() - start
+
+    seconds(500)
+    small = min(seconds(4_000) for _ in range(3))
+    tracemalloc.start()
+    seconds(2_000)
+    assert tracemalloc.get_traced_memory()[1] < 2_000_000
+    tracemalloc.stop()
+    assert seconds(32_000) < 20 * small + 0.5
+
+
+def test_a_record_cut_short_is_noticed():
+    whole = records()
+    for data, packed in ((b"".join(whole)[:-9], True), (b"".join(raw(whole))[:-9], False)):
+        blocks = warc_zip.plain_blocks(io.BytesIO(data), 0, len(data))
+        with pytest.raises(ValueError, match="cut short"):
+            list(warc_zip.split_records(warc_zip.unpacked_blocks(blocks) if packed else blocks))
