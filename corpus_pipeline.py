@@ -3,12 +3,13 @@
 Every stage but the last returns the columns of documents. A stage's rows are written as Parquet and read again
 as the next one's input, so a lost executor costs no earlier stage.
 
-The language model learns from the documents it is given; the held-out quarter is never learned from. Documents that it
-rejects are those without a letter: its predictions and scores decide nothing here. Near duplicates keep the document with the smallest id of each class. A
+The language model learns from the documents it is given; the held-out quarter is never learned from. It rejects
+documents without a letter, and those whose language it cannot tell: the closest of its duels is all but a toss-up
+(`langid.TOSS_UP`). Near duplicates keep the document with the smallest id of each class. A
 document that benchmark passages make up by a twentieth or more is removed. Mixing repeats or drops documents
 by their fitted rate; toxic ones are thinned out to a sixteenth of the clean tokens, never repeated, and not all dropped. The last stage adds `slot` and `shard`.
 
-Null texts and texts without a letter leave in the first stage. Null ids take part in every stage; further
+Null texts and texts without a letter leave in the first stage; without a lang to learn from, only these. Null ids take part in every stage; further
 columns are carried along. Empty tables give empty results.
 """
 
@@ -17,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderloom.llm import bagminhash, decontam, langid, mixing, sharding
 from orderloom.llm.common import table, written
@@ -26,11 +26,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.fit(docs)
-    if model is None:  # nothing to learn from is no reason to reject a text
-        return docs.where(F.col("text").rlike(langid.LETTER))
-    told = langid.predictions(docs, F.col("text"), model)
-    return told.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+    return langid.languages_kept(docs, langid.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +53,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("shards", shards),
 ]
 
-# A learned model decides in the mixture stage only.
+# Learned models decide in the stages language and mixture.
 ORACLE_SQL = None
 
 
