@@ -5,7 +5,8 @@ sentence with a word that licences use, and a paragraph that has several) is com
 itself and with each template as raw dictionary whose naming words it holds. Templates are ranked by the bytes saved; the
 first in rank whose wording bears it out wins its place, however long the block, and others beside it stay: the words of the template and of a stretch
 of its length around a naming word are aligned, the template has to be covered, and its naming words, such as a
-version, must all be there with no word put between them that would make it another licence. The differences
+version, must all be there with no word put between them that would make it another licence, and no word that denies it.
+Licences that are joined to one that is found, by their short names and "or" or "and", are findings too. The differences
 are returned along with the finding.
 
 Spark finds the texts that hold such a word at all; only these reach Python, each for itself.
@@ -27,7 +28,8 @@ from orderloom.llm.common import picked, ship
 
 LEVEL = 3
 COVERED = 0.75
-WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*", re.IGNORECASE | re.ASCII)
+# A version written on to a short name, as in GPLv3, is a word by itself.
+WORD = re.compile(r"(?:[al]?gpl|mpl|epl)(?=v?[0-9])|[a-z0-9]+(?:\.[0-9]+)*", re.IGNORECASE | re.ASCII)
 # Words that licences use, fixed values; SPDX marks among them.
 TRIGGERS = [
     "licen[cs]",
@@ -43,11 +45,12 @@ TRIGGERS = [
     r"\bcc[ -]by\b",
     r"\bcc0\b",
     r"general public",
-    r"\b[al]?gpl\b",
+    r"\b[al]?gpl(?:v?[0-9]|\b)",
     r"\bapache\b",
     r"mozilla public",
     r"eclipse public",
     r"\bunder the (?:mit|bsd|isc)\b",
+    r"\bdual[ -]licen[cs]ed\b",
     r"unencumbered",
 ]
 TRIGGER = re.compile("|".join(TRIGGERS), re.IGNORECASE)
@@ -58,6 +61,16 @@ VERSION = re.compile(r"v?([0-9]+(?:\.[0-9]+)*?)(?:\.0)*")
 SENTENCE_END = re.compile(r"(?<!\bv)[.!?](?=\s|$)|\n")
 SENTENCE_MARKS = (". ", "! ", "? ", "\n")
 
+# Words that make a statement its opposite, and words that join licences of which one may choose.
+DENIALS = {"not", "never", "neither", "nor", "isn", "cannot"}
+JOINTS = {"or", "and"}
+# Licences by the words of their short names, fixed values: what may stand beside a licence that is found.
+SHORT_NAMES = {
+    "MIT": "mit", "ISC": "isc", "Apache-2.0": "apache 2.0", "MPL-2.0": "mpl 2.0", "EPL-2.0": "epl 2.0",
+    "GPL-2.0": "gpl 2.0", "GPL-3.0": "gpl 3.0", "LGPL-2.1": "lgpl 2.1", "LGPL-3.0": "lgpl 3.0", "AGPL-3.0": "agpl 3.0",
+    "BSD-2-Clause": "bsd 2 clause", "BSD-3-Clause": "bsd 3 clause", "CC0-1.0": "cc0 1.0", "CC-BY-4.0": "cc by 4.0",
+    "CC-BY-SA-4.0": "cc by sa 4.0",
+}
 # Templates, fixed values: licence, naming words, text of a statement or notice.
 TEMPLATES = [
     ("MIT", "mit", "Released under the MIT License."),
@@ -145,6 +158,34 @@ TEMPLATES = [
     ],
     ("LGPL-2.1", "gnu lesser general public 2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
     ("EPL-2.0", "eclipse public 2.0", "Licensed under the Eclipse Public License, version 2.0."),
+    *[
+        (name, naming, f"Licensed under the {written}.")
+        for name, naming, written in [
+            ("GPL-2.0", "gpl 2", "GPLv2"),
+            ("GPL-3.0", "gpl 3", "GPLv3"),
+            ("LGPL-2.1", "lgpl 2.1", "LGPLv2.1"),
+            ("LGPL-3.0", "lgpl 3", "LGPLv3"),
+            ("AGPL-3.0", "agpl 3", "AGPLv3"),
+            ("BSD-2-Clause", "bsd 2 clause", "BSD 2-Clause License"),
+            ("BSD-3-Clause", "bsd 3 clause", "BSD 3-Clause License"),
+        ]
+    ],
+    *[
+        (
+            f"CC-BY{short}-4.0",
+            f"creative commons attribution {naming} 4.0",
+            f"Creative Commons Attribution{written} 4.0 International License.",
+        )
+        for short, naming, written in [
+            ("", "", ""),
+            ("-SA", "sharealike", "-ShareAlike"),
+            ("-NC", "noncommercial", "-NonCommercial"),
+            ("-NC-SA", "noncommercial sharealike", "-NonCommercial-ShareAlike"),
+            ("-ND", "noderivatives", "-NoDerivatives"),
+        ]
+    ],
+    ("MIT", "dual licensed mit", "Dual licensed: MIT."),
+    ("Apache-2.0", "dual licensed apache 2.0", "Dual licensed: Apache-2.0."),
     ("Public-Domain", "public domain", "This work is in the public domain."),
     ("Proprietary", "all rights reserved", "All rights reserved."),
 ]
@@ -188,6 +229,37 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         at += len(paragraph)
 
 
+def _denied(there: list[str], first: int, last: int, extra: list[str]) -> bool:
+    """Whether a short statement is denied, within it or by one of the two words before it; "not only" denies nothing."""
+    near = there[max(0, first - 2) : first] + extra
+    return any(w in DENIALS and "only" not in there[max(0, first - 2) : last] for w in near)
+
+
+def beside(there: list[str], first: int, last: int) -> list[tuple[int, int, str]]:
+    """Words and licence of the short names joined, by "or" or "and", to one within or at the end of a stretch."""
+    names = []
+    for name, short in SHORT_NAMES.items():
+        own = words(short)
+        names += [(i, i + len(own), name) for i in range(len(there) - len(own) + 1) if there[i : i + len(own)] == own]
+    # Of names that begin at a place, the longest one; "only" and "later" may follow a version.
+    longest = {i: (i, j, n) for i, j, n in sorted(names, key=lambda x: x[1])}
+    names = sorted(longest.values())
+    chain = [k for k, (i, j, _) in enumerate(names) if first <= i and j <= last]
+    reached = set(chain)
+    for k in chain:
+        for step in (1, -1):
+            at = k
+            while 0 <= at + step < len(names):
+                left, right = sorted((names[at], names[at + step]))
+                gap = [w for w in there[left[1] : right[0]] if w not in ("only", "later")]
+                if right[0] < left[1] or not gap or set(gap) - JOINTS:
+                    break
+                at += step
+                reached.add(at)
+    joined = len(reached) > 1
+    return [names[k] for k in sorted(reached)] if joined else []
+
+
 class Scanner:
     """Compressors of a task, one per template."""
 
@@ -240,8 +312,13 @@ class Scanner:
         covered = len(matched) / len(own)
         names = [k for k in range(first, last) if k in held and there[k] in naming]
         between = [k for k in range(names[0], names[-1]) if k not in held] if names else []
+        # A list of licences may stand between: other names and what joins them.
+        listed = {w for name in SHORT_NAMES.values() for w in words(name)} | JOINTS
+        between = [k for k in between if not ("dual" in naming and there[k] in listed)]
         if covered < self.covered or set(naming) & set(missing) or (between and len(own) < 20):
             return None
+        if len(own) < 20 and _denied(there, first, last, extra):
+            return None
         return first, last, covered, missing, extra
 
     def scan(self, text: str) -> list[Finding]:
@@ -253,6 +330,16 @@ class Scanner:
                 for first, last, *told in self.compared(there, template):
                     if all(last <= x or y <= first for x, y, *_ in own_found):
                         own_found.append((first, last, template, saved, told))
+            known = {self.known[t][0] for _, _, t, *_ in own_found}
+            for k, (first, last, template, saved, told) in enumerate(list(own_found)):
+                joined = beside(there, first, last)
+                for x, y, name in joined:
+                    if name == self.known[template][0] and any(first <= i and j <= last for i, j, n in joined if n != name):
+                        own_found[k] = (x, y, template, saved, told)  # the others stand within the statement
+                    elif name not in known:
+                        known.add(name)
+                        number = next(i for i, (n, *_) in enumerate(self.known) if n == name)
+                        own_found.append((x, y, number, saved, [1.0, [], []]))
             # A block with one licence is its finding; of several, each is where its wording stands.
             part = len(own_found) > 1
             places = [m.span() for m in WORD.finditer(block)] if part else []

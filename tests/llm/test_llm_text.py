@@ -254,6 +254,13 @@ def test_statements_inside_longer_sentences(spark):
             "It is licensed under the Apache License, Version 2.0 or released under the MIT License at your option",
             ["Apache-2.0", "MIT"],
         ),
+        ("It is licensed under the GPLv3", ["GPL-3.0"]),
+        ("licensed under the LGPLv2.1 by us", ["LGPL-2.1"]),
+        ("Licensed under the BSD 3-Clause License", ["BSD-3-Clause"]),
+        ("Licensed under the BSD 2-Clause License.", ["BSD-2-Clause"]),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]),
+        ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+        ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", ["CC-BY-NC-SA-4.0"]),
     ],
 )
 def test_further_notices(spark, text, want):
@@ -262,6 +269,70 @@ def test_further_notices(spark, text, want):
     assert all(text[r["start"] : r["end"]] == r["block"] for r in got)
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Dual licensed: MIT or Apache-2.0", {"MIT", "Apache-2.0"}),
+        ("Dual licensed: Apache-2.0 or MIT.", {"MIT", "Apache-2.0"}),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0)", {"MIT", "Apache-2.0"}),
+        ("SPDX-License-Identifier: GPL-2.0-only OR MIT", {"GPL-2.0", "MIT"}),
+        ("SPDX-License-Identifier: MIT AND BSD-3-Clause AND ISC", {"MIT", "BSD-3-Clause", "ISC"}),
+        ("This is not licensed under the MIT License.", set()),
+        ("It is never released under the MIT License.", set()),
+        ("Licensed, but not under the Apache License, Version 2.0.", set()),
+        ("It is not only released under the MIT License.", {"MIT"}),
+        ("This is not Licensed under the GPLv3", set()),
+        ("You may not use it otherwise. Released under the MIT License.", {"MIT"}),
+    ],
+)
+def test_expressions_and_denials(text, want):
+    assert {f.license for f in license_scan.Scanner().scan(text)} == want
+
+
+def brute_force(text):
+    """All templates against all stretches of each sentence: the licences of those that bear one out, the longest first."""
+    found = []
+    for sentence in re.split(r"(?<=[.!?])\s+|\n", text):
+        there = license_scan.words(sentence)
+        scanner = license_scan.Scanner()
+        for name, naming, own, _ in scanner.known:
+            for i in range(len(there)):
+                for j in range(i + 1, min(len(there), i + 2 * len(own)) + 1):
+                    if not set(naming) - set(there[i:j]):
+                        told = scanner._aligned(there[i:j], naming, own)
+                        denied = set(there[max(0, i - 2) : i]) & license_scan.DENIALS and len(own) < 20
+                        if told and not denied:
+                            found.append((len(own) - len(told[3]), name, sentence, i + told[0], i + told[1]))
+    kept = []
+    for matched, name, sentence, first, last in sorted(found, key=lambda f: (-f[0], f[4] - f[3], f[3])):
+        if all(s != sentence or last <= x or y <= first for _, s, x, y in kept):
+            kept.append((name, sentence, first, last))
+    return {name for name, *_ in kept}
+
+
+def test_licenses_against_all_templates_and_stretches():
+    rng = random.Random(8)
+    statements = [t for *_, t in license_scan.TEMPLATES if len(t) < 120 and "Dual" not in t]
+    filler = "the code here and its pages are by many people who share it with a license of the kind one reads".split()
+    texts = []
+    for _ in range(40):
+        parts = []
+        for _ in range(rng.randrange(1, 3)):
+            words = rng.choice(statements).rstrip(".").split()
+            if rng.random() < 0.4:
+                words.pop(rng.randrange(len(words)))
+            if rng.random() < 0.4:
+                words.insert(rng.randrange(len(words)), rng.choice(filler))
+            around = [rng.choice(filler) for _ in range(rng.randrange(8))]
+            parts.append(" ".join(around[:3] + words + around[3:]) + ".")
+        texts.append("\n".join(parts))
+    scanner = license_scan.Scanner()
+    got = [{f.license for f in scanner.scan(t)} for t in texts]
+    want = [brute_force(t) for t in texts]
+    assert sum(map(bool, want)) > 15
+    assert [(t, g, w) for t, g, w in zip(texts, got, want, strict=True) if g != w] == []
+
+
 def test_licenses_of_an_empty_table(spark):
     assert license_scan.licenses(table(spark, [(1, "a")]).limit(0)).count() == 0
 
