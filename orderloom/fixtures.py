@@ -173,11 +173,11 @@ UNZONED_DATE, NULL_BRAND, NUMBER_STATUS, BLANK, ARRAY, NO_BODY = 6, 7, 8, 9, 10,
 NO_WAREHOUSE, NO_ACTION, DATE_WORD, BODY_CUT_SHORT, LINE_NUMBER_ONLY = 12, 13, 14, 15, 16
 
 
-def _by_fault(plain: Column, faults: dict[int, Column]) -> Column:
-    fault = F.col("o_orderkey") % DIRTY_MODULUS
+def _by_remainder(modulus: int, plain: Column, changed: dict[int, Column]) -> Column:
+    which = F.col("o_orderkey") % modulus
     out = None
-    for k, changed in faults.items():
-        out = (F if out is None else out).when(fault == k, changed)
+    for k, text in changed.items():
+        out = (F if out is None else out).when(which == k, text)
     return out.otherwise(plain)
 
 
@@ -186,7 +186,8 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.regexp_replace(text, pattern, new)
 
     plain = F.col("body")
-    body = _by_fault(
+    body = _by_remainder(
+        DIRTY_MODULUS,
         plain,
         {
             NO_LINES: sub(plain, r',"line_items":\[.*\]', ""),
@@ -201,7 +202,8 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     )
     envelope = F.col("envelope")
-    value = _by_fault(
+    value = _by_remainder(
+        DIRTY_MODULUS,
         envelope,
         {
             CUT_SHORT: F.expr("substring(envelope, 1, 40)"),
@@ -233,32 +235,36 @@ REPEATING = '{"x":1,"x":{"y":2,"y":3}}'
 def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`messages` with fields that repeat: at the top, where the last value counts, or inside a value that should be a
     scalar, which then has no text and is 0 as a number."""
-    which = F.col("o_orderkey") % REPEAT_MODULUS
-
-    def sub(text: Column, cases: dict[int, tuple[str, str]]) -> Column:
-        for k, (pattern, new) in cases.items():
-            text = F.when(which == k, F.regexp_replace(text, pattern, new)).otherwise(text)
-        return text
+    def sub(text: Column, pattern: str, new: str) -> Column:
+        return F.regexp_replace(text, pattern, new)
 
-    body = sub(
-        _body(),
+    plain, envelope = F.col("body"), F.col("envelope")
+    body = _by_remainder(
+        REPEAT_MODULUS,
+        plain,
         {
-            IN_REFERENCE: (r'"customer_reference":("[^"]*"|null)', f'"customer_reference":{REPEATING}'),
-            IN_QUANTITY: (r'"quantity":\d+', f'"quantity":{REPEATING}'),
-            ID_TWICE: (r'^\{"id":', '{"id":"first","id":'),
-            IN_ID: (r'^\{"id":"[^"]*"', f'{{"id":{REPEATING}'),
+            IN_REFERENCE: sub(plain, r'"customer_reference":("[^"]*"|null)', f'"customer_reference":{REPEATING}'),
+            IN_QUANTITY: sub(plain, r'"quantity":\d+', f'"quantity":{REPEATING}'),
+            ID_TWICE: sub(plain, r'^\{"id":', '{"id":"first","id":'),
+            IN_ID: sub(plain, r'^\{"id":"[^"]*"', f'{{"id":{REPEATING}'),
         },
     )
-    value = sub(
-        _envelope(body),
+    value = _by_remainder(
+        REPEAT_MODULUS,
+        envelope,
         {
-            IN_OTHER: (r"^\{", f'{{"other":{REPEATING},'),
-            IN_CHANNEL: (r'"channel":"[^"]*"', f'"channel":{REPEATING}'),
-            CHANNEL_TWICE: (r'"channel":', f'"channel":{REPEATING},"channel":'),
-            IN_CUT_SHORT: (r"^.*$", f'{{"channel":{REPEATING},"url'),
+            IN_OTHER: sub(envelope, r"^\{", f'{{"other":{REPEATING},'),
+            IN_CHANNEL: sub(envelope, r'"channel":"[^"]*"', f'"channel":{REPEATING}'),
+            CHANNEL_TWICE: sub(envelope, r'"channel":', f'"channel":{REPEATING},"channel":'),
+            IN_CUT_SHORT: F.lit(f'{{"channel":{REPEATING},"url'),
         },
     )
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("message_seq"), value.alias("value"))
+    return (
+        table(spark, sf_dir, "orders")
+        .withColumn("body", _body())
+        .withColumn("envelope", _envelope(body))
+        .select(F.col("o_orderkey").alias("message_seq"), value.alias("value"))
+    )
 
 
 # --- line batches for upserts -----------------------------------------------------------------

@@ -58,7 +58,7 @@ def _reread(text: str, name: str, plain: str) -> str:
     pair = f"named_struct('v', {_field(text, name, 'variant')}, 's', {plain})"
     there = f"array_contains(json_object_keys({text}), {name!r})"
     # What has been read may be a value that another one has followed.
-    last = f"(p.v is not null and {as_text('p.v')} = p.s)"
+    last = "try_variant_get(p.v, '$', 'string') = p.s"
     value = f"""case when p.s is null then if({there}, parse_json('null'), null) when {last} then p.v
         when p.s like '{{%' or p.s like '[%' then parse_json('{{}}') else cast(p.s as variant) end"""
     return f"get(transform(array({pair}), p -> {value}), 0)"
