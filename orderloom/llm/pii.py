@@ -17,12 +17,15 @@ length allows, not all terms times all entities. Term counts cover all texts: a
 keeps the words of interest in the row that holds the text, and the join with the terms verifies them.
 
 Matches of a pattern are found by marking them in the text and splitting at the marks, in one pass. The
-patterns are written with possessive repeats and without second starts inside a run, so that they take
-time linear in the text; they match what the plain forms in `KINDS` match.
+patterns are written with possessive repeats and without second starts inside a run, so that matching takes
+time linear in the text; they match what the plain forms in `KINDS` match. The offset of a match is a sum over the parts
+before it, so a text with very many matches takes time that grows with their square.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -197,24 +200,36 @@ def _disclosure(texts: Column, n_term: str) -> Column:
     return F.when(content > 0, shared / content)
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is worked out once. Written out where a lambda function uses it, it would be worked
+    out for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:
     """Where the terms stand in the text, but for what a base span covers already."""
-    words = F.filter(F.split(text, SEPARATORS), lambda w: w != "")
-    between = F.split(text, r"[0-9A-Za-z\x{80}-\x{10FFFF}]+", -1)
-    places = F.filter(
-        F.sequence(F.lit(0), F.size(words) - 1),
-        lambda i: F.array_contains(terms, lower_ascii(words[i])),
-    )
-    starts = F.transform(
-        places,
-        lambda i: F.struct(
-            (
-                F.aggregate(F.slice(between, 1, i + 1), F.lit(0), lambda n, x: n + F.length(x))
-                + F.aggregate(F.slice(words, 1, i), F.lit(0), lambda n, x: n + F.length(x))
-            ).alias("start"),
-            words[i].alias("value"),
-        ),
+
+    def found(words: Column, between: Column) -> Column:
+        places = F.filter(
+            F.sequence(F.lit(0), F.size(words) - 1),
+            lambda i: F.array_contains(terms, lower_ascii(words[i])),
+        )
+        return F.transform(
+            places,
+            lambda i: F.struct(
+                (
+                    F.aggregate(F.slice(between, 1, i + 1), F.lit(0), lambda n, x: n + F.length(x))
+                    + F.aggregate(F.slice(words, 1, i), F.lit(0), lambda n, x: n + F.length(x))
+                ).alias("start"),
+                words[i].alias("value"),
+            ),
+        )
+
+    split = F.struct(
+        F.filter(F.split(text, SEPARATORS), lambda w: w != "").alias("words"),
+        F.split(text, r"[0-9A-Za-z\x{80}-\x{10FFFF}]+", -1).alias("between"),
     )
+    starts = _with(split, lambda x: found(x["words"], x["between"]))
     spans = F.transform(
         starts,
         lambda x: F.struct(
