@@ -5,20 +5,21 @@ of it, kept here for each of `BUCKETS` ranges of digests, so that each map task
 of counters and no single task merges all of them. What it names is only a candidate. The
 candidates' rows are counted exactly, which partial sums do before the shuffle, and those that hold at
 least a thousandth of all rows win. At most a thousand digests can, so broadcasting them is safe; their
-rows are settled where they lie and never shuffled. The other digests are dealt out as usual, and no
-group among them holds more than a thousandth of the rows.
+rows are settled where they lie and never shuffled. The other digests are shuffled as usual: partial sums by digest, of
+which those with two rows or more are written and joined back, by broadcast if they are measured to be few.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import boxed, lower_ascii, picked, unboxed, written
+from orderloom.llm.common import boxed, lower_ascii, picked, small_enough, unboxed, written
 
 BUCKETS = 64
 COUNTERS = 128
 HEAVY_SHARE = 1000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,12 +66,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heavy = written(heavy_groups(keyed), "heavy-digests")
     result = ["doc_id", "keep_id", "group_size", "text_sha256"]
     settled = keyed.join(F.broadcast(heavy), "text_sha256").select(*result)
-    same = Window.partitionBy("text_sha256")
-    others = (
-        keyed.join(F.broadcast(heavy), "text_sha256", "left_anti")
-        .withColumn("keep_id", F.max("doc_id").over(same))
-        .withColumn("group_size", F.count(F.lit(1)).over(same))
-        .select(*result)
+    rest = keyed.join(F.broadcast(heavy), "text_sha256", "left_anti")
+    groups = rest.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = small_enough(written(groups.where("group_size > 1"), "groups"), 128, BROADCAST_BYTES)
+    # A digest without a group is one row's own.
+    others = rest.join(groups, "text_sha256", "left").select(
+        "doc_id",
+        F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
+        "text_sha256",
     )
     return settled.unionByName(others).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
