@@ -388,6 +388,16 @@ def test_copies_take_no_places_in_the_sample(spark, monkeypatch):
         assert 30 <= len(own) <= 40 and len(set(own)) == len(own)
 
 
+def test_held_out_documents_of_the_tables(spark):
+    """Documents that are never learned from, of the largest of the tables."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(4)
+    told = langid.predictions(docs, F.col("text"), langid.fit(docs)).where(langid.held_out(F.col("doc_id")))
+    right = (F.col("lang") == F.col("lang_pred")).cast("int")
+    few = (F.col("score") < langid.TOSS_UP).cast("int")
+    found = told.where("lang is not null").agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("right"), F.avg(few).alias("few")).head()
+    assert found["n"] > 2000 and found["right"] >= 0.997 and found["few"] <= 0.001
+
+
 def test_texts_without_a_language(spark):
     docs = spark.createDataFrame(language_rows(30), "doc_id long, text string, lang string")
     model = langid.fit(docs)
