@@ -170,7 +170,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _starred(members: DataFrame, similar: float) -> DataFrame:
     """Pairs of each bucket's pivot, its least node, and those members that may be as similar by their sizes."""
     pivots = members.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("pivot"))
-    pivots = pivots.select("bucket", F.col("pivot.node").alias("a"), F.col("pivot.size").alias("a_size"))
+    # Written, both sides of the join are plain tables, and Spark may split a bucket with very many members.
+    pivots = written(pivots.select("bucket", F.col("pivot.node").alias("a"), F.col("pivot.size").alias("a_size")), "pivots")
     sides = members.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"))
     plausible = F.least("a_size", "b_size") >= similar * F.greatest("a_size", "b_size")
     return sides.join(pivots, "bucket").where((F.col("a") != F.col("b")) & plausible).select("a", "b").distinct()
@@ -182,7 +183,8 @@ def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
     placed = members.join(components(links), "node", "left").select(
         "bucket", "node", "size", F.coalesce("component", "node").alias("component")
     )
-    spans = placed.groupBy("bucket").agg(F.min("node").alias("pivot"))
+    placed = written(placed, "placed-members")
+    spans = written(placed.groupBy("bucket").agg(F.min("node").alias("pivot")), "spans")
     others = placed.join(spans, "bucket").where(F.col("node") != F.col("pivot")).drop("pivot")
     others = written(others, "members")
     sizes = others.groupBy("bucket").agg(
@@ -192,7 +194,8 @@ def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
             F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_TEXTS)), F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES))
         ).alias("blocks"),
     )
-    return others.join(sizes.where("x <> y").select("bucket", "blocks"), "bucket").select(
+    open_buckets = written(sizes.where("x <> y").select("bucket", "blocks"), "open-buckets")
+    return others.join(open_buckets, "bucket").select(
         "bucket", "node", "component", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "blocks"
     )
 
