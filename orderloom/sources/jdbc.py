@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -113,8 +114,14 @@ def upsert(rows: DataFrame, cfg: JdbcConfig, keys: Sequence[str], order: Sequenc
         raise ValueError(f"rows with NULL in the key {tuple(keys)} cannot be upserted")
     staging = f"{cfg.staging}_{uuid.uuid4().hex[:12]}"
     reduced = latest_state(rows, keys, order).repartition(cfg.connections)
-    reduced.write.format("jdbc").options(**staging_options(cfg, staging)).mode("overwrite").save()
-    _execute(rows.sparkSession, cfg, [upsert_statement(cfg, keys, staging), f"DROP TABLE {staging}"])
+    drop = f"DROP TABLE {staging}"
+    try:
+        reduced.write.format("jdbc").options(**staging_options(cfg, staging)).mode("overwrite").save()
+        _execute(rows.sparkSession, cfg, [upsert_statement(cfg, keys, staging), drop])
+    except Exception:
+        with contextlib.suppress(Exception):  # it may not be there, or the database not answer; the first error counts
+            _execute(rows.sparkSession, cfg, [drop])
+        raise
 
 
 def append(lines: DataFrame, cfg: JdbcConfig) -> None:

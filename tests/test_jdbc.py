@@ -148,6 +148,30 @@ def test_each_upsert_has_a_staging_table_of_its_own(spark, monkeypatch):
     assert len(set(merged)) == 2
 
 
+@pytest.mark.parametrize("lost", ["staging", "merge"])
+def test_a_failed_upsert_leaves_no_staging_table(spark, monkeypatch, lost):
+    from conftest import SMALL
+    from orderloom import fixtures as fx
+    from pyspark.sql import DataFrameWriter
+
+    asked = []
+
+    def save(self):
+        if lost == "staging":
+            raise RuntimeError("lost")
+
+    def execute(session, cfg, statements):
+        asked.append(statements)
+        if lost == "staging" or len(asked) == 1:
+            raise RuntimeError("lost" if lost == "merge" else "no such table")
+
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    monkeypatch.setattr(jdbc, "_execute", execute)
+    with pytest.raises(RuntimeError, match="^lost$"):
+        jdbc.upsert(fx.line_batches(spark, SMALL), CFG, ["id"], ["batch_id", "seq"])
+    assert len(asked[-1]) == 1 and re.fullmatch(r"DROP TABLE order_lines_staging_\w+", asked[-1][0])
+
+
 def test_rows_without_a_key_are_refused(spark, monkeypatch):
     from conftest import SMALL
     from orderloom import fixtures as fx
