@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom import schemas as S
 from orderloom.functions.rules import ACTION, URL
+from orderloom.session import with_fine_splits
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -299,8 +300,9 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 
 
 def line_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sink rows in three batches, many keys coming more than once; ordered by `batch_id, seq`."""
+    """Sink rows in three batches, many keys coming more than once; ordered by `batch_id, seq`. They are read for upserts,
+    which sort what a task reads."""
     columns = [F.expr(sql).cast(S.SINK_TYPES[c]).alias(c) for c, sql in BATCH_LINE.items()]
-    return table(spark, sf_dir, "lineitem").select(
+    return table(with_fine_splits(spark), sf_dir, "lineitem").select(
         F.expr(BATCH_ID).alias("batch_id"), F.struct(*LINE_ORDER).alias("seq"), *columns
     )

@@ -9,6 +9,11 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# What a task reads at most where it sorts wide rows before a shuffle: a row of a column file is some twenty times wider
+# in memory, so that 16 MB are several hundred MB there.
+SPLIT_CONF = "spark.sql.files.maxPartitionBytes"
+FINE_SPLIT = 16 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only for a local master without the setting."""
@@ -25,6 +30,19 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def with_fine_splits(spark: SparkSession) -> SparkSession:
+    """A session like this one that reads files in splits of `FINE_SPLIT` bytes at most; this one stays as it is."""
+    fine = spark.newSession()
+    known = fine.conf.getAll
+    for name, value in spark.conf.getAll.items():
+        if known.get(name) != value:  # set since the application began
+            fine.conf.set(name, value)
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if as_bytes(fine.conf.get(SPLIT_CONF)) > FINE_SPLIT:
+        fine.conf.set(SPLIT_CONF, str(FINE_SPLIT))
+    return fine
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime
 
 import pytest
 
 from orderloom import schemas as S
 from orderloom.operators.upsert import latest_state, merge_snapshot
+from orderloom.plans.registered import QUERIES
 
 KEYS = ["id", "remote_order_item_id"]
 TYPES = {c: "string" if t == "timestamp_ntz" else t for c, t in S.SINK_TYPES.items()}
@@ -92,3 +94,22 @@ def test_merging_the_same_changes_again_changes_nothing(spark):
 def test_columns_of_each_kind():
     assert len(S.SINK_COLUMNS) == 20 and len(S.APPEND_COLUMNS) == 19
     assert len(S.LAST_WINS) == 15 and set(S.FIRST_WINS) | set(S.LAST_WINS) == set(S.SINK_COLUMNS)
+
+
+@pytest.mark.parametrize("query", ["upsert_latest", "upsert_null_keys", "upsert_first_last_policy"])
+@pytest.mark.parametrize("set_to, read_in", [("128m", str(16 << 20)), ("1m", "1m")])
+def test_rows_to_reduce_are_read_in_fine_splits(spark, tmp_path, conf, query, set_to, read_in):
+    """A task that reads 128 MB has gigabytes of rows to sort before the shuffle, and spills most of them."""
+    spark.createDataFrame(
+        [(1, n, 3, 4, 5.0, 6.0, 0.1, "A", "F", datetime(2024, 1, 1)) for n in range(3)],
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    split = "spark.sql.files.maxPartitionBytes"
+    conf(split, set_to)
+    conf("spark.sql.shuffle.partitions", "5")
+    found = QUERIES[query](spark, str(tmp_path))
+    shown = found.select("id", "customer_reference", "product_code").collect()
+    assert [tuple(r) for r in shown] == [("1", "C0", "2")]
+    assert found.sparkSession.conf.get(split) == read_in and spark.conf.get(split) == set_to
+    assert found.sparkSession.conf.get("spark.sql.shuffle.partitions") == "5"
