@@ -17,7 +17,7 @@ from orderloom.operators.dimensions import Lookup, LookupVersions, channel_looku
 from orderloom.operators.messages import classify_messages, order_headers, rejected, sound_headers
 from orderloom.operators.upsert import latest_state
 from orderloom.plans.order_lines import lines_of, to_sink
-from orderloom.session import any_path
+from orderloom.session import any_path, with_fine_splits
 from orderloom.sources import jdbc
 from orderloom.sources.files import (
     LINES, REJECTS, attempt_path, commit, committed, is_committed, new_attempt, read_log,
@@ -121,7 +121,7 @@ def current_state(
     spark: SparkSession, log: str, cfg: JobConfig = JobConfig(), snapshot: Snapshot | None = None
 ) -> DataFrame:
     """The upserted table: a snapshot, if there is one, with the batches after it, which alone are read from the log."""
-    apart = cfg.null_text is None
+    spark, apart = with_fine_splits(spark), cfg.null_text is None
     if snapshot is None:
         return latest_state(read_log(spark, log), cfg.key_cols, ORDER, apart)
     later = read_log(spark, log, after=snapshot.upto)
@@ -148,6 +148,7 @@ def compact(
         raise ValueError(f"the snapshot holds batch {first} already")
     if upto not in committed(spark, log):
         raise ValueError(f"{log} has no committed batch {upto}")
+    spark = with_fine_splits(spark)
     span = read_log(spark, log, after=first, upto=upto)
     changes = latest_state(span, cfg.key_cols, ORDER, cfg.null_text is None)
     return fold(spark, changes, upto, folder, snapshot, cfg, buckets, merge_share)

@@ -96,7 +96,7 @@ def test_columns_of_each_kind():
     assert len(S.LAST_WINS) == 15 and set(S.FIRST_WINS) | set(S.LAST_WINS) == set(S.SINK_COLUMNS)
 
 
-@pytest.mark.parametrize("query", ["upsert_latest", "upsert_null_keys", "upsert_first_last_policy"])
+@pytest.mark.parametrize("query", ["upsert_latest", "upsert_null_keys", "upsert_first_last_policy", "upsert_touched_buckets"])
 @pytest.mark.parametrize("set_to, read_in", [("128m", str(16 << 20)), ("1m", "1m")])
 def test_rows_to_reduce_are_read_in_fine_splits(spark, tmp_path, conf, query, set_to, read_in):
     """A task that reads 128 MB has gigabytes of rows to sort before the shuffle, and spills most of them."""
