@@ -244,6 +244,11 @@ def fold(
     if old.folder != folder:
         raise ValueError("snapshots that build on each other share a folder")
     run = f"run-{upto:012d}-{uuid.uuid4().hex}"
+    if not old.base and not old.deltas:  # all buckets are new, and the changes are their base
+        base = _written(changes.repartition(old.buckets, *keys), old, f"{run}/base", bucketed=True)
+        made = Snapshot(folder, upto, keys, old.buckets, old.columns, base, {})
+        put_text(spark, _manifest(folder, upto), made.dumped())
+        return made
     dealt = changes.select(*S.SINK_COLUMNS, F.expr(_bucket(keys, old.buckets)).alias("bucket"))
     kept, place = dealt.drop("bucket"), f"{run}/changes"
     arrived = _written(kept, old, place, bucketed=False)

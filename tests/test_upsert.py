@@ -8,8 +8,11 @@ from datetime import datetime
 import pytest
 
 from orderloom import schemas as S
+from orderloom.config import JobConfig
 from orderloom.operators.upsert import latest_state, merge_snapshot
 from orderloom.plans.registered import QUERIES
+from orderloom.session import files_below
+from orderloom.streaming.snapshots import fold, state_rows
 
 KEYS = ["id", "remote_order_item_id"]
 TYPES = {c: "string" if t == "timestamp_ntz" else t for c, t in S.SINK_TYPES.items()}
@@ -113,3 +116,21 @@ def test_rows_to_reduce_are_read_in_fine_splits(spark, tmp_path, conf, query, se
     assert [tuple(r) for r in shown] == [("1", "C0", "2")]
     assert found.sparkSession.conf.get(split) == read_in and spark.conf.get(split) == set_to
     assert found.sparkSession.conf.get("spark.sql.shuffle.partitions") == "5"
+
+
+def test_first_snapshot_is_written_once(spark, tmp_path):
+    """Its rows went through a delta of every bucket before, shuffled and written once more than needed."""
+    data = [r for r in rows(300, 6) if None not in r]
+    typed = spark.createDataFrame(data, DDL).selectExpr(
+        "batch_id", "seq", *[f"cast({c} as {t}) as {c}" if c != "load_timestamp" else f"cast(null as {t}) as {c}" for c, t in S.SINK_TYPES.items()]
+    )
+    changes = latest_state(typed, ["id"], ["batch_id", "seq"])
+    folder = str(tmp_path / "state")
+    made = fold(spark, changes, 0, folder, cfg=JobConfig(key_cols=("id",)), buckets=4)
+    assert not [f for f in files_below(spark, folder) if "/changes/" in f]
+    assert not made.deltas and sum(f.rows for f in made.base.values()) == changes.count()
+    assert shown(state_rows(spark, made, cfg=JobConfig(key_cols=("id",)))) == shown(changes)
+    empty = fold(spark, changes.limit(0), 0, str(tmp_path / "none"), cfg=JobConfig(key_cols=("id",)), buckets=4)
+    assert not empty.base and not empty.deltas
+    again = fold(spark, changes, 1, str(tmp_path / "none"), empty, JobConfig(key_cols=("id",)))
+    assert again.buckets == 4 and shown(state_rows(spark, again, cfg=JobConfig(key_cols=("id",)))) == shown(changes)
