@@ -159,10 +159,12 @@ ITEM_LINE = {
 
 
 def line_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A wanted message with one line for each row of `lineitem`."""
+    """A wanted message with one line for each row of `lineitem`, read in fine splits: a message costs far more time than its
+    row has bytes, so coarse ones leave cores idle at the end."""
     body = _body(ITEM_HEADER, lines=f"array({_struct(ITEM_LINE)})")
     value = _envelope(body, "'order-fetched'", "'lzda'", "'unpaid'")
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("message_seq"), value.alias("value"))
+    rows = table(with_fine_splits(spark), sf_dir, "lineitem")
+    return rows.select(F.col("l_orderkey").alias("message_seq"), value.alias("value"))
 
 
 # --- messages with faults ---------------------------------------------------------------------

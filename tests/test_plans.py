@@ -43,6 +43,16 @@ def test_lines_need_no_shuffle_and_no_python(spark, stored):
     assert text.count("Generate inline(array(from_json(") == 3
 
 
+def test_only_readings_and_lines_are_generators(spark, stored):
+    # Generators are evaluated without code generation. What is neither a reading nor the lines is a projection.
+    text = plan(order_lines(stored))
+    assert count(text, "Generate ") == 4 and count(text, "Generate posexplode") == 1
+    # No filter has got a copy of what it tests, and a wanted envelope is not read strictly once more.
+    assert not any(word in row for row in text.splitlines() if "Filter " in row for word in ("from_json", "variant", "RLIKE"))
+    strict = [row for row in text.splitlines() if "Generate inline(array(from_json(" in row and "_sure" in row]
+    assert len(strict) == 1
+
+
 def test_enrichment_broadcasts_small_lookups(spark, stored):
     text = plan(build(stored, fx.oms_channel(spark, SMALL)))
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
@@ -212,6 +222,13 @@ def test_shared_folder_comes_from_the_session():
         shared_dir(Session(**{"spark.master": "yarn"}))
 
 
+def test_line_messages_are_read_in_fine_splits(spark, conf):
+    conf("spark.sql.files.maxPartitionBytes", "128m")
+    rows = fx.line_messages(spark, SMALL)
+    assert int(rows.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")) <= 16 << 20
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "128m"
+
+
 def test_batches_are_read_in_one_scan(spark):
     from orderloom.plans.registered import upsert_first_last_policy
 

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.functions.json_values import as_double, as_int, as_text
+from orderloom.functions.json_values import as_double, as_int, as_number, as_text, kind_of
 from orderloom.functions.rules import FIRST_STATUSES, first_status
 from orderloom.functions.text import quote_escape
 from orderloom.functions.times import load_ts, normalize_ts
@@ -54,6 +54,29 @@ def parsed(spark, texts):
     return rows.select("i", F.inline(F.array(F.from_json("value", "v variant, absent variant"))))
 
 
+# More values that could be told differently by their plain text.
+PLAIN = ["-0.0", "-0e0", "0.0", "1E2", "-1.5e-7", "0.1e400", "0.10", "123456789012345678.5", "9223372036854775807",
+         "9223372036854775808", "1" * 60, "0." + "1" * 50, '"1d"', '"0x1p3"', '"1e2"', '"-0"', '"-0.0"', '" 12.5 "', '"\\t3\\n"',
+         '"true"', '"null"', '"{}"', '"\\u00e9\\\\"', '"-Infinity"', '"-inf"', '"1_0"', '"2147483648"', '"- 5"', '{"a": [1.50, "x"]}']
+
+
+def test_values_from_plain_texts_are_those_of_the_variants(spark):
+    texts = [v[0] for v in VALUES] + PLAIN
+    rows = spark.createDataFrame([(i, f'{{"v":{t}}}') for i, t in enumerate(texts)], "i int, value string")
+    read = rows.selectExpr("i", "from_json(value, 'v variant').v as v", "from_json(value, 'v string').v as s")
+    both = read.selectExpr("*", f"{kind_of('v')} as k", "cast(null as string) as none")
+    shown = {
+        "text": [as_text("v"), as_text("v", kind="k", plain="s"), as_text("v", kind="k", plain="none")],
+        "bare": [as_text("v", None), as_text("v", None, "k", "s"), as_text("v", None, "k", "none")],
+        # As text, a negative zero is not equal to zero.
+        "number": [f"cast({n} as string)" for n in (as_number("v"), as_number("v", "k", "s"), as_number("v", "k", "none"))],
+        "int": [as_int("v"), as_int("v", "k", "s", as_number("v", "k", "s")), as_int("v", "k", "none", as_number("v", "k", "none"))],
+    }
+    for name, sqls in shown.items():
+        for i, *got in both.selectExpr("i", *sqls).collect():
+            assert got == [got[0]] * 3, (name, texts[i])
+
+
 def test_json_values(spark):
     df = parsed(spark, [v[0] for v in VALUES])
     rows = df.selectExpr("i", as_text("v"), as_double("v"), as_int("v")).orderBy("i").collect()
