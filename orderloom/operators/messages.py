@@ -82,7 +82,7 @@ def _settled(sql: str) -> str:
 def _tolerant(parsed: DataFrame, keep: list[str], plain: str, fields: list[str], again: str) -> DataFrame:
     """A strict reading in which sound JSON is not flagged because a field repeats inside a value. What is flagged is read
     once more with plain texts as leaves (`plain`), which tells whether it is sound, and then field by field.
-    `again`: a struct of `fields` read so; it may refer to the plain reading as `_plain`. `_exact`: not flagged."""
+    `again`: a struct of `fields` read so; it may refer to the plain reading as `_plain`. `_exact`: not flagged by the first reading."""
     sound = f"_plain is not null and _plain.{S.BAD} is null"
     told = parsed.selectExpr(
         *dict.fromkeys([*keep, *fields]),
